@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, token_store
+from . import fingerprints, mixing, packing, quality, token_store
 from .common import read
 
 
+def op1_document_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op2_quality_rules(spark, sf_dir):
+    return quality.quality(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return packing.packed(read(spark, sf_dir, "documents"))
 
@@ -18,5 +26,5 @@ def op10_token_binary(spark, sf_dir):
     return token_store.encoded(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op6_source_mixing, op10_token_binary)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_quality_rules, op5_best_fit_packing, op6_source_mixing, op10_token_binary)}
 ORACLE_SQL: dict[str, str] = {}
