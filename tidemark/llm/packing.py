@@ -154,8 +154,8 @@ def pieces(docs: DataFrame, capacity: int, path: str | None = None, end_id: int
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), ([], [], [], [], [])
-            for doc, raw in zip(ids, enc.encode(batch.column(1).to_pylist())):
-                raw += end
+            for doc, raw in zip(ids, enc.encode(batch.column(1))):
+                raw = raw.tobytes() + end
                 for k, at in enumerate(range(0, len(raw), step)):
                     part = raw[at : at + step]
                     for to, x in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part))):

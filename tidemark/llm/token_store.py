@@ -169,14 +169,14 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         fs, base = open_fs(folder)
         writer, out, n_ids, first = None, None, 0, None
         for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
+            for doc, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 if writer is None:
                     fs.create_dir(base, recursive=True)
                     first, name = to_key(doc), f"{uuid.uuid4().hex}.sst"
                     out = fs.open_output_stream(f"{base}/{name}")
-                    writer = ShardWriter(out, 2 if len(enc.last) <= 1 << 16 and end_id < 1 << 16 else 4)
-                writer.add(to_key(doc), raw + end)
-                n_ids += len(raw) // 4 + 1
+                    writer = ShardWriter(out, 2 if enc.n_ids <= 1 << 16 and end_id < 1 << 16 else 4)
+                writer.add(to_key(doc), ids.tobytes() + end)
+                n_ids += len(ids) + 1
         if writer is not None:
             writer.close()
             out.close()

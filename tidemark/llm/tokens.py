@@ -1,84 +1,112 @@
-"""Token ids of whole texts by a tokenizers file, encoded word by word with a cache of words.
+"""Token ids of whole texts by a tokenizers file, encoded by distinct words with a cache of words.
 
 A text's ids are the ids of its words in turn: the pre-tokenizer of the given file never takes ASCII white space into a
-token, and its normaliser works on single characters and combining sequences. `can_split` proves this for the file at
-hand on probes; a tokenizer that fails them encodes whole texts.
+token, and its normaliser works on single characters and combining sequences. `split` holds after this was tried on
+probes; a tokenizer that fails them encodes whole texts. Words are split and made distinct by Arrow, so Python looks at
+each distinct word of a batch once.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words kept in a worker's cache; beyond, it starts anew.
-CACHE_WORDS = 600_000
-_ENDS = frozenset(b".,;:!?")
-_PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?")
+#: Words in the newer half of a worker's cache; beyond, it becomes the older half, from which words in use come back.
+CACHE_WORDS = 400_000
+#: Bytes of text that are encoded at once, a longer text alone.
+CHUNK_BYTES = 8 << 20
+_ENDS = frozenset(".,;:!?")
+_PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?", "")
 
 
 class Encoder:
-    """bytes(text): the ids as little-endian unsigned 32-bit integers, without special tokens at the ends."""
+    """The ids of texts as arrays of little-endian unsigned 32-bit integers, without special tokens at the ends."""
 
     def __init__(self, path: str):
-        import json
-
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         vocab = self.tok.get_vocab()
-        self.last = np.zeros(max(vocab.values()) + 1, bool)
-        model = json.loads(self.tok.to_str())["model"]
-        if suffix := model.get("end_of_word_suffix"):
+        self.n_ids = max(vocab.values()) + 1
+        self.last = np.zeros(self.n_ids, bool)
+        if suffix := json.loads(self.tok.to_str())["model"].get("end_of_word_suffix"):
             self.last[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
-        self.cache: dict[bytes, bytes] = {}
-        self.split = all(self._by_word([t])[0] == self._whole(t) for t in _PROBES)
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.split = all(self._by_word(pa.array([t]))[0].tobytes() == self._whole(t).tobytes() for t in _PROBES)
         self.cache.clear()
 
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _whole(self, text: str) -> np.ndarray:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Words of letters alone are one pre-token each, so many of them are encoded in one go and cut at word ends."""
-        texts = [w.decode() for w in words]
-        letters = [i for i, t in enumerate(texts) if t.isalpha()] if self.last.any() else []
+        letters = [w for w in words if w.isalpha()] if self.last.any() else []
         for at in range(0, len(letters), 4096):
             part = letters[at : at + 4096]
-            ids = np.asarray(self.tok.encode_batch_fast([" ".join(texts[i] for i in part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.asarray(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):
                 raw, begin = ids.tobytes(), 0
-                for i, end in zip(part, (ends * 4).tolist()):
-                    self.cache[words[i]] = raw[begin:end]
+                for w, end in zip(part, (ends * 4).tolist()):
+                    self.cache[w] = raw[begin:end]
                     begin = end
-        rest = [i for i, w in enumerate(words) if w not in self.cache]
-        for i, e in zip(rest, self.tok.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            self.cache[words[i]] = np.asarray(e.ids, "<u4").tobytes()
-
-    def _by_word(self, texts: list[str]) -> list[bytes]:
-        docs = []
-        for t in texts:
-            b = t.encode("utf-8", "replace")
-            docs.append((b if b"<|" in b else b.lower()).split())
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        new = set().union(*docs).difference(cache)
-        cut = [w for w in new if len(w) > 1 and w[-1] in _ENDS and w[-2:-1].isalnum() and b"<|" not in w]
-        whole = new.difference(cut)
-        for w in cut:
-            whole.add(w[:-1])
-            whole.add(w[-1:])
-        self._learn([w for w in whole if w not in cache])
-        for w in cut:
-            cache[w] = cache[w[:-1]] + cache[w[-1:]]
-        return [b"".join(map(cache.__getitem__, d)) for d in docs]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        rest = [w for w in words if w not in self.cache]
+        for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
+            self.cache[w] = np.asarray(e.ids, "<u4").tobytes()
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Of distinct words; one that ends in a point or the like after a letter or digit is looked up without it."""
+        if len(self.cache) > CACHE_WORDS:
+            self.old, self.cache = self.cache, {}
+        ids = list(map(self.cache.get, words))
+        new = {w for w, x in zip(words, ids) if x is None}
+        if new:
+            self.cache.update((w, x) for w in new if (x := self.old.get(w)) is not None)
+            new.difference_update(self.cache)
+            cut = [w for w in new if len(w) > 1 and w[-1] in _ENDS and w[-2].isalnum() and "<|" not in w]
+            whole = new.difference(cut)
+            for w in cut:
+                whole.add(w[:-1])
+                whole.add(w[-1])
+            self._learn([w for w in whole if w not in self.cache])
+            for w in cut:
+                self.cache[w] = self.cache[w[:-1]] + self.cache[w[-1]]
+            ids = list(map(self.cache.__getitem__, words))
+        return ids
+
+    def _by_word(self, texts: pa.Array) -> list[np.ndarray]:
+        marked = pc.match_substring(texts, "<|")  # special tokens stay as they are
+        low = pc.if_else(marked, texts, pc.ascii_lower(texts)) if pc.any(marked).as_py() else pc.ascii_lower(texts)
+        words = pc.ascii_split_whitespace(low)
+        coded = words.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        word = coded.indices.to_numpy()
+        n = lengths[word]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(lengths) - lengths)[word] - ends + n, n)
+        at += np.arange(len(at))
+        flat = pool[at]
+        edges = np.concatenate([[0], ends])[words.offsets.to_numpy()].tolist()
+        return [flat[a:b] for a, b in zip(edges, edges[1:])]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Null texts count as empty ones."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), 256):
-            part = [t or "" for t in texts[at : at + 256]]
-            out += self._by_word(part) if self.split else [self._whole(t) for t in part]
-        return out
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.split:
+            yield from (self._whole(t.as_py()) for t in texts)
+            return
+        chunk = np.cumsum(pc.binary_length(texts).to_numpy()) // CHUNK_BYTES
+        begins = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(texts)]
+        for a, b in zip(begins, begins[1:]):
+            if a < b:
+                yield from self._by_word(pa.concat_arrays([texts.slice(a, b - a)]))
 
 
 _encoders: dict[str, Encoder] = {}
