@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, packing, quality, token_store
+from . import fingerprints, jaccard_join, mixing, packing, pii, quality, token_store, toxicity
 from .common import read
 
 
@@ -14,6 +14,14 @@ def op2_quality_rules(spark, sf_dir):
     return quality.quality(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.linked(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def op4_pii(spark, sf_dir):
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return packing.packed(read(spark, sf_dir, "documents"))
 
@@ -22,9 +30,13 @@ def op6_source_mixing(spark, sf_dir):
     return mixing.mixture(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_token_binary(spark, sf_dir):
     return token_store.encoded(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_quality_rules, op5_best_fit_packing, op6_source_mixing, op10_token_binary)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_quality_rules, op3_ngram_jaccard_join, op4_pii, op5_best_fit_packing, op6_source_mixing, op8_toxicity, op10_token_binary)}
 ORACLE_SQL: dict[str, str] = {}
