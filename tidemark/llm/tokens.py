@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words in the newer half of a worker's cache; beyond, it becomes the older half, from which words in use come back.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Bytes of text that are encoded at once, a longer text alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _ENDS = frozenset(".,;:!?")
 _PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?", "")
 
