@@ -1,6 +1,7 @@
 """Toxicity by a word classifier that is trained to score a sentence the same whichever group it names.
 
-A logistic model over the presence of chosen words. Identity terms in labelled texts are swapped for others, and the
+A logistic model over the presence of chosen marks: words, and beginnings of words (`xyz*`) that a text has twice or more
+and at least once in DENSITY words, so that inflected and compounded forms count together and chance doesn't. Identity terms in labelled texts are swapped for others, and the
 squared change of the score is added to the loss, so that a group's name carries no weight of its own.
 """
 
@@ -29,8 +30,10 @@ IDENTITY_TERMS = [
 
 #: Labelled rows that the model is fitted on at most; the smallest by a hash of doc_id.
 MAX_LABELLED = 40_000
-#: Words that the model knows, the most telling of those in MIN_DOCS labelled texts at least.
-MAX_WORDS, MIN_DOCS = 4096, 3
+#: Marks that the model knows, the most telling of those in MIN_DOCS labelled texts at least.
+MAX_WORDS, MIN_DOCS, MIN_CHI = 4096, 4, 30.0
+#: Lengths of beginnings; one counts if it stands for one word in so many.
+STEMS, DENSITY = (4, 5, 6, 7), 250
 SWAPS = 3
 
 
@@ -55,16 +58,41 @@ def _chunks(texts: pa.Array, size: int = 8 << 20):
             yield a, pa.concat_arrays([texts.slice(a, b - a)])
 
 
+def _marks(texts: pa.Array, number: dict[str, int], grow: bool = False):
+    """(document, mark's number), once each, by document, of the marks in `number`; with grow, of all, which it takes in."""
+    doc, code, names = _words(texts)
+    owner, mark, stem = [], [], []
+    for i, n in enumerate(names):
+        for k in (0, *STEMS):
+            if len(n) > k:
+                m = f"{n[:k]}*" if k else n
+                x = number.setdefault(m, len(number)) if grow else number.get(m, -1)
+                if x >= 0:
+                    owner.append(i)
+                    mark.append(x)
+                    stem.append(k > 0)
+    owner, mark, stem = np.array(owner, np.int64), np.array(mark, np.int64), np.array(stem, bool)
+    many = np.bincount(owner, minlength=len(names))
+    first = np.cumsum(many) - many
+    n = many[code] if len(names) else code
+    at = np.repeat(first[code] - np.cumsum(n) + n, n) + np.arange(n.sum()) if len(names) else code
+    key, times = np.unique(np.repeat(doc, n) << 32 | mark[at], return_counts=True)
+    is_stem = np.zeros(len(number), bool)
+    is_stem[mark[stem]] = True
+    d, m = key >> 32, key & (1 << 32) - 1
+    total = np.bincount(doc, minlength=len(texts))
+    ok = ~is_stem[m] | (times >= 2) & (times * DENSITY >= total[d])
+    return d[ok], m[ok]
+
+
 def _present(texts: pa.Array, number: dict[str, int]):
-    """(document, word's number), once each, of the words that `number` has, by document."""
-    docs, words = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    """As _marks, for a batch of any size."""
+    docs, marks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at, part in _chunks(texts):
-        doc, code, names = _words(part)
-        known = np.fromiter((number.get(n, -1) for n in names), np.int64, len(names))[code] if names else np.zeros(0, np.int64)
-        key = np.unique((doc[known >= 0] + at) * (1 << 20) + known[known >= 0])
-        docs.append(key >> 20)
-        words.append(key & (1 << 20) - 1)
-    return np.concatenate(docs), np.concatenate(words)
+        d, m = _marks(part, number)
+        docs.append(d + at)
+        marks.append(m)
+    return np.concatenate(docs), np.concatenate(marks)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -74,21 +102,22 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(cut(rows)), "doc_id")
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """word, toxic documents, other documents; summed by batch before it is shuffled."""
+def mark_counts(texts: DataFrame) -> DataFrame:
+    """mark, toxic documents, other documents; summed by batch before it is shuffled."""
 
     def scan(batches):
         for batch in batches:
             toxic = batch.column("toxic").to_numpy()
-            for at, part in _chunks(batch.column("text")):
-                doc, code, names = _words(part)
-                pairs = np.unique(code.astype(np.int64) * (1 << 32) + doc + at)
-                word, bad = pairs >> 32, toxic[pairs & (1 << 32) - 1] == 1
-                n = np.bincount(word, minlength=len(names))
-                b = np.bincount(word, bad, minlength=len(names)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(b), pa.array(n - b)], ["word", "bad", "good"])
+            for at, part in _chunks(batch.column("text"), 4 << 20):
+                number: dict[str, int] = {}
+                d, m = _marks(part, number, grow=True)
+                n = np.bincount(m, minlength=len(number))
+                b = np.bincount(m, toxic[d + at] == 1, minlength=len(number)).astype(np.int64)
+                got = np.flatnonzero(n)
+                names = pa.array(number, pa.string()).take(pa.array(got))
+                yield pa.RecordBatch.from_arrays([names, pa.array(b[got]), pa.array((n - b)[got])], ["mark", "bad", "good"])
 
-    return texts.select("text", "toxic").mapInArrow(scan, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    return texts.select("text", "toxic").mapInArrow(scan, "mark string, bad long, good long").groupBy("mark").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def examples(texts: DataFrame, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -145,9 +174,9 @@ def train(labels: np.ndarray, present: list[np.ndarray], words: list[str], fairn
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> dict:
-    """A model: words, weights, bias. Words are chosen by how far their documents are from the share of toxic ones."""
+    """A model: words, weights, bias. Marks are chosen by how far their documents are above the share of toxic ones."""
     texts = labelled(docs, labels, most)
-    counts = word_counts(texts)
+    counts = mark_counts(texts)
     total = texts.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     bad, n = float(total[0] or 0), float(total[1])
     if not bad or bad == n:
@@ -156,8 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> dict:
     expected = seen * F.lit(bad / n)
     identity = sorted({w for g in IDENTITY_TERMS for w in g})
     chi = F.pow(F.col("bad") - expected, 2) / (expected * F.lit(1 - bad / n))
-    chosen = counts.filter((seen >= MIN_DOCS) & (chi > 10.8) & ~F.col("word").isin(identity)).orderBy(chi.desc(), "word").limit(MAX_WORDS)
-    words = sorted(r[0] for r in chosen.select("word").collect()) + identity
+    chosen = counts.filter((seen >= MIN_DOCS) & (F.col("bad") > expected) & (chi > MIN_CHI) & ~F.col("mark").isin(identity)).orderBy(chi.desc(), "mark").limit(MAX_WORDS)
+    words = sorted(r[0] for r in chosen.select("mark").collect()) + identity
     y, present = examples(texts, words)
     weights, bias = train(y, present, words)
     return {"words": words, "weights": weights.tolist(), "bias": float(bias)}
