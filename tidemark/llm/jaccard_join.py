@@ -2,12 +2,12 @@
 
 1. Each document's set of shingle hashes gets a digest; equal sets are one set from here on.
 2. Sets are ordered with rare shingles first. Two sets can only link if they share a shingle of their prefixes: lists of
-   (shingle, set, size, position) are the index.
+   (shingle, set, size) are the index.
 3. Sets that stand in lists together are first compared with one set alone, the list's leader with whom they share most
    lists: its answer tells their component and, as Jaccard distance is a metric, bounds all other answers.
 4. Lists whose sets are in one component by now hold nothing new. In the others, only pairs of different components are
-   looked at, in blocks by size: blocks out of reach are skipped, then pairs that positions or the distances to a common
-   leader rule out. All that is left is compared. So no link between different components is lost, and a group of n
+   looked at, in blocks by size: blocks out of reach are skipped, then pairs that the distances to a common leader or the
+   number of common prefix shingles rule out. All that is left is compared. So no link between different components is lost, and a group of n
    near copies costs n comparisons.
 
 Shingle hashes have 64 bits. Sets are known by 128 bits; the few, if any, that agree in 64 get other numbers.
@@ -96,7 +96,7 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 SCANNED = "doc_id long, n int, hi long, lo long, shingle long, count long"
-ENTRY = "shingle long, sid long, n int, pos int"
+ENTRY = "shingle long, sid long, n int"
 LISTED = ENTRY + ", leader long, leader_n int"
 SIGNED = np.int64
 
@@ -144,7 +144,7 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
         rare, counts = order.value
         number, seen = numbers.value, set()
         for batch in batches:
-            out = ([], [], [], [])
+            out = ([], [], [])
             for s in shingle_sets(batch.column("text"), words):
                 if len(s) and (sid := number(s)) not in seen:
                     if len(seen) < 1_000_000:
@@ -154,7 +154,7 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
                     at[at == len(rare)] = 0
                     count = np.where(rare[at] == s, counts[at], 0) if len(rare) else None
                     own = s[np.lexsort((s, count))[:k]] if count is not None and count.any() else s[:k]
-                    for to, x in zip(out, (own.view(SIGNED), np.full(k, sid), np.full(k, len(s)), np.arange(k))):
+                    for to, x in zip(out, (own.view(SIGNED), np.full(k, sid), np.full(k, len(s)))):
                         to.append(x)
             if out[0]:
                 yield _batch(ENTRY, *(np.concatenate(x) for x in out))
@@ -166,17 +166,17 @@ def _lists(entries: DataFrame, parts: int) -> DataFrame:
     """Entries of lists of two sets at least, with the list's first set, its leader. One row of a list is kept at a time."""
 
     def scan(batches):
-        lead = held = None  # (shingle, sid, n, pos) of the list's leader; the same as long as it wasn't sent
+        lead = held = None  # (shingle, sid, n) of the list's leader; the same as long as it wasn't sent
         last = None
         for batch in batches:
-            t, s, n, p = (batch.column(c).to_numpy() for c in ("shingle", "sid", "n", "pos"))
+            t, s, n = (batch.column(c).to_numpy() for c in ("shingle", "sid", "n"))
             fresh = np.ones(len(t), bool)
             fresh[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
             if len(t) and last == (t[0], s[0]):
                 fresh[0] = False
             if len(t):
                 last = (t[-1], s[-1])
-            t, s, n, p = t[fresh], s[fresh], n[fresh], p[fresh]
+            t, s, n = t[fresh], s[fresh], n[fresh]
             if not len(t):
                 continue
             begin = np.flatnonzero(np.concatenate([[lead is None or lead[0] != t[0]], t[1:] != t[:-1]]))
@@ -190,26 +190,38 @@ def _lists(entries: DataFrame, parts: int) -> DataFrame:
                 ln = np.concatenate([np.full(k, lead[2]), n[first]])
                 more = np.concatenate([np.ones(k, bool), more])
                 if held:
-                    yield _batch(LISTED, *([x] for x in (*held, *held[1:3])))
+                    yield _batch(LISTED, *([x] for x in (*held, *held[1:])))
                     held = None
             else:
                 ln = n[first]
             if more.any():
-                yield _batch(LISTED, *(x[more] for x in (t, s, n, p, ls, ln)))
+                yield _batch(LISTED, *(x[more] for x in (t, s, n, ls, ln)))
             if len(begin):
                 k = begin[-1]
-                lead = (int(t[k]), int(s[k]), int(n[k]), int(p[k]))
+                lead = (int(t[k]), int(s[k]), int(n[k]))
                 held = lead if size[-1] == 1 else None
 
     return entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "sid").mapInArrow(scan, LISTED)
 
 
+def _may_link(c, n_a, n_b, percent: int):
+    """Whether sets of these sizes with c common shingles in their prefixes can link.
+
+    All common shingles up to the end of the prefix that ends first are among these c; beyond, that set has no more than
+    its own rest, which is less than percent / 100 of it.
+    """
+    largest = F.greatest(n_a, n_b)
+    rest = F.floor((percent * largest + 99) / 100) - 1
+    return (c + rest) * (100 + percent) >= percent * (n_a + n_b)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
     """a, b, both, n_a, n_b of pairs (a, b): each a's set once for each GROUP of its partners, which pass by one at a time."""
     groups = pairs.groupBy("a").count().select(F.col("a").alias("_a"), (F.col("count") / GROUP).cast("int").alias("_last"))
-    salted = pairs.join(groups, F.col("a") == F.col("_a")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("_last") + 1).cast("int").alias("part"))
-    partners = salted.join(sets, F.col("b") == F.col("sid")).select("a", "part", "b", "items")
-    leads = groups.join(sets, F.col("_a") == F.col("sid")).select(F.col("_a").alias("a"), F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(None).cast("long").alias("b"), "items")
+    salted = cut(pairs.join(groups, F.col("a") == F.col("_a")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("_last") + 1).cast("int").alias("part")))
+    partners = sets.join(small(salted), F.col("b") == F.col("sid")).select("a", "part", "b", "items")
+    heads = cut(salted.select(F.col("a").alias("_a"), F.col("part").alias("_part")).distinct())
+    leads = sets.join(small(heads), F.col("_a") == F.col("sid")).select(F.col("_a").alias("a"), F.col("_part").alias("part"), F.lit(None).cast("long").alias("b"), "items")
 
     def compare(batches):
         key = own = None
@@ -249,16 +261,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs (a, b) of one list and different components that sizes, positions and homes allow; entries are ENTRY, comp, home, away.
-
-    From the list of two sets' first common shingle on, no more can be common than either has left: pairs that this
-    rules out don't link.
+    """Pairs (a, b) that stand in lists together, are of different components and may link; entries are ENTRY, comp, home, away.
 
     A list of more than GROUP sets is split: each part of it stays in memory while all its sets pass by.
     """
     sizes = entries.groupBy("shingle").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.count(F.lit(1)).alias("_c")).filter("_x <> _y")
     rows = entries.join(sizes.select("shingle", (F.col("_c") / GROUP).cast("int").alias("_last")), "shingle")
-    columns = ["shingle", "sid", "n", "pos", "comp", "home", "away"]
+    columns = ["shingle", "sid", "n", "comp", "home", "away"]
     inner = rows.select(*columns, F.pmod(F.xxhash64("sid"), F.col("_last") + 1).cast("int").alias("part"), F.lit(0).alias("role"))
     outer = rows.select(*columns, F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(1).alias("role"))
 
@@ -288,14 +297,13 @@ def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
                 i = np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
                 x, y = {c: block[c][i] for c in columns}, {c: rows[c][j] for c in columns}
                 ok = (x["comp"] != y["comp"]) & ((x["n"] < y["n"]) | (x["sid"] < y["sid"]))
-                need = -(-percent * (x["n"] + y["n"]).astype(np.int64) // (100 + percent))
-                ok &= np.minimum(x["n"] - x["pos"], y["n"] - y["pos"]) >= need
                 ok &= (x["home"] != y["home"]) | (np.abs(x["away"] - y["away"]) <= 1 - percent / 100 + 1e-9)
                 if ok.any():
-                    yield _batch("a long, b long", x["sid"][ok], y["sid"][ok])
+                    yield _batch("a long, b long, n_a int, n_b int", x["sid"][ok], y["sid"][ok], x["n"][ok], y["n"][ok])
 
     met = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", "role", "n", "sid")
-    return met.mapInArrow(scan, "a long, b long").distinct()
+    pairs = met.mapInArrow(scan, "a long, b long, n_a int, n_b int").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    return pairs.filter(_may_link(F.col("c"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -324,9 +332,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     order = spark.sparkContext.broadcast((tokens[by], frequent["count"].to_numpy(SIGNED)[by]))
 
     lists = stored(_lists(_entries(docs, words, percent, numbers, order), parts), "lists")
-    # one document of each set that stands in a list, for its shingles
-    standing = lists.select("sid").distinct()
-    picked = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(standing, "sid").select(F.col("doc_id").alias("_id"), "sid")
+    least = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def take(batches):
         for batch in batches:
@@ -338,27 +344,37 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                     out[1].append(s.tobytes())
             yield _batch("sid long, items binary", *out)
 
-    chosen = docs.join(small(cut(picked)), docs["doc_id"].eqNullSafe(F.col("_id"))).select("sid", "text")
-    sets = stored(chosen.mapInArrow(take, "sid long, items binary").dropDuplicates(["sid"]), "shingles")
-
-    met = lists.filter((F.col("leader") != F.col("sid")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))).groupBy("leader", "sid").agg(F.count(F.lit(1)).alias("c"))
-    best = met.groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("x")).select(F.col("x.leader").alias("a"), F.col("sid").alias("b"))
-    first = cut(_verify(best, sets, parts))
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The shingles of the sets in pairs, from one document each."""
+        named = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+        picked = cut(least.join(named, "sid").select(F.col("doc_id").alias("_id"), "sid"))
+        chosen = docs.join(small(picked), docs["doc_id"].eqNullSafe(F.col("_id"))).select("sid", "text")
+        return stored(chosen.mapInArrow(take, "sid long, items binary"), "shingles")
+
+    own = F.col("leader") != F.col("sid")
+    near = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
+    met = lists.filter(own & near).groupBy("leader", "sid", "n", "leader_n").agg(F.count(F.lit(1)).alias("c"))
+    best = met.groupBy("sid", "n").agg(F.max(F.struct("c", "leader", "leader_n")).alias("x")).select("sid", "n", "x.leader", "x.leader_n")
+    prefixes = cut(lists.groupBy("sid").agg(F.collect_list("shingle").alias("items")))
+    best = best.join(prefixes, "sid").join(prefixes.select(F.col("sid").alias("leader"), F.col("items").alias("theirs")), "leader")
+    may = _may_link(F.size(F.array_intersect("items", "theirs")), F.col("n"), F.col("leader_n"), percent)
+    best = cut(best.filter(may).select(F.col("leader").alias("a"), F.col("sid").alias("b")))
+    first = cut(_verify(best, sets_of(best), parts))
     union = F.col("n_a") + F.col("n_b") - F.col("both")
     good = 100 * F.col("both") >= percent * union
     edges = first.filter(good).select("a", "b")
     found = cut(components(edges))
     homes = first.select(F.col("b").alias("sid"), F.col("a").alias("home"), (1 - F.col("both") / union).alias("away"))
     homes = homes.unionByName(first.select(F.col("a").alias("sid")).distinct().join(homes.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("away")))
-    entries = lists.select("shingle", "sid", "n", "pos").join(found.withColumnRenamed("node", "sid"), "sid", "left").join(homes, "sid", "left")
-    entries = entries.select("shingle", "sid", "n", "pos", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
-    second = _verify(cut(_across(stored(entries, "entries"), percent, parts)), sets, parts)
+    entries = lists.select("shingle", "sid", "n").join(found.withColumnRenamed("node", "sid"), "sid", "left").join(homes, "sid", "left")
+    entries = entries.select("shingle", "sid", "n", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
+    across = cut(_across(stored(entries, "entries"), percent, parts))
+    second = _verify(across, sets_of(across), parts)
     found = cut(components(edges.union(second.filter(good).select("a", "b"))))
 
     grouped = members.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
-    least = grouped.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
-    least = cut(least.filter("size > 1").select("comp", "least"))
-    out = grouped.join(small(least), "comp", "left")
+    first_id = grouped.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
+    out = grouped.join(small(cut(first_id.filter("size > 1").select("comp", "least"))), "comp", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
