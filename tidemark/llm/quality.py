@@ -131,6 +131,6 @@ def quality(docs: DataFrame, keep: list[str] = ("doc_id",)) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """docs without the documents that fail; a document is known by its doc_id and its text's hash."""
-    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    failed = quality(marked, ["doc_id", "_h"]).filter("not kept").select(F.col("doc_id").alias("_id"), "_h").distinct()
-    return docs.join(small(cut(failed)), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    failed = quality(marked, ["doc_id", "key"]).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    return docs.join(small(cut(failed)), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, jaccard_join, mixing, packing, pii, quality, token_store, toxicity
+from . import fingerprints, jaccard_join, licenses, mixing, packing, pii, quality, token_store, toxicity, warc
 from .common import read
 
 
@@ -30,13 +30,21 @@ def op6_source_mixing(spark, sf_dir):
     return mixing.mixture(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_warc(spark, sf_dir):
+    return warc.archived(read(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_license_scans(spark, sf_dir):
+    return licenses.licenses(read(spark, sf_dir, "documents"))
+
+
 def op10_token_binary(spark, sf_dir):
     return token_store.encoded(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_quality_rules, op3_ngram_jaccard_join, op4_pii, op5_best_fit_packing, op6_source_mixing, op8_toxicity, op10_token_binary)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_quality_rules, op3_ngram_jaccard_join, op4_pii, op5_best_fit_packing, op6_source_mixing, op7_warc, op8_toxicity, op9_license_scans, op10_token_binary)}
 ORACLE_SQL: dict[str, str] = {}

@@ -173,7 +173,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
                 if writer is None:
                     fs.create_dir(base, recursive=True)
                     first, name = to_key(doc), f"{uuid.uuid4().hex}.sst"
-                    out = fs.open_output_stream(f"{base}/{name}")
+                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
                     writer = ShardWriter(out, 2 if enc.n_ids <= 1 << 16 and end_id < 1 << 16 else 4)
                 writer.add(to_key(doc), ids.tobytes() + end)
                 n_ids += len(ids) + 1
