@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small, stored
@@ -96,8 +96,7 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 SCANNED = "doc_id long, n int, hi long, lo long, shingle long, count long"
-ENTRY = "shingle long, sid long, n int"
-LISTED = ENTRY + ", leader long, leader_n int"
+ENTRY = "shingle long, sid long, n int, pos int"
 SIGNED = np.int64
 
 
@@ -144,7 +143,7 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
         rare, counts = order.value
         number, seen = numbers.value, set()
         for batch in batches:
-            out = ([], [], [])
+            out = ([], [], [], [])
             for s in shingle_sets(batch.column("text"), words):
                 if len(s) and (sid := number(s)) not in seen:
                     if len(seen) < 1_000_000:
@@ -154,7 +153,7 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
                     at[at == len(rare)] = 0
                     count = np.where(rare[at] == s, counts[at], 0) if len(rare) else None
                     own = s[np.lexsort((s, count))[:k]] if count is not None and count.any() else s[:k]
-                    for to, x in zip(out, (own.view(SIGNED), np.full(k, sid), np.full(k, len(s)))):
+                    for to, x in zip(out, (own.view(SIGNED), np.full(k, sid), np.full(k, len(s)), np.arange(k))):
                         to.append(x)
             if out[0]:
                 yield _batch(ENTRY, *(np.concatenate(x) for x in out))
@@ -163,45 +162,53 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
 
 
 def _lists(entries: DataFrame, parts: int) -> DataFrame:
-    """Entries of lists of two sets at least, with the list's first set, its leader. One row of a list is kept at a time."""
+    """Entries of lists of two sets at least, a set once a list. Of a list that goes on in the next batch, one row is kept."""
 
     def scan(batches):
-        lead = held = None  # (shingle, sid, n) of the list's leader; the same as long as it wasn't sent
-        last = None
+        last = held = None  # the last row; the same if it wasn't sent, as it may be alone in its list
         for batch in batches:
-            t, s, n = (batch.column(c).to_numpy() for c in ("shingle", "sid", "n"))
-            fresh = np.ones(len(t), bool)
-            fresh[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
-            if len(t) and last == (t[0], s[0]):
-                fresh[0] = False
-            if len(t):
-                last = (t[-1], s[-1])
-            t, s, n = t[fresh], s[fresh], n[fresh]
+            t, s = batch.column("shingle").to_numpy(), batch.column("sid").to_numpy()
             if not len(t):
                 continue
-            begin = np.flatnonzero(np.concatenate([[lead is None or lead[0] != t[0]], t[1:] != t[:-1]]))
-            size = np.diff([*begin.tolist(), len(t)])
-            first = np.repeat(begin, size)
-            more = np.repeat(size, size) > 1
-            ls, ln = s[first] if len(first) == len(t) else None, None
-            if ls is None:  # the batch begins inside a list
-                k = len(t) - len(first)
-                ls = np.concatenate([np.full(k, lead[1]), s[first]])
-                ln = np.concatenate([np.full(k, lead[2]), n[first]])
-                more = np.concatenate([np.ones(k, bool), more])
-                if held:
-                    yield _batch(LISTED, *([x] for x in (*held, *held[1:])))
-                    held = None
+            same = np.zeros(len(t), bool)  # list as the row before
+            again = np.zeros(len(t), bool)  # and set
+            same[1:] = t[1:] == t[:-1]
+            again[1:] = same[1:] & (s[1:] == s[:-1])
+            if last is not None:
+                same[0] = t[0] == last[0]
+                again[0] = same[0] and s[0] == last[1]
+            more = np.zeros(len(t), bool)  # another set of the list follows, or has been before
+            new = same & ~again
+            more[new] = True
+            if new[0] and held is not None:
+                yield held
+                held = None
+            list_no = np.cumsum(~same)
+            many = np.zeros(list_no[-1] + 1, bool)
+            many[list_no[new]] = True
+            if same[0]:
+                many[0] = many[0] or held is None  # the list's rows before have been sent
+            keep = many[list_no] & ~again
+            if not many[list_no[-1]]:  # one set so far: it waits
+                if not same[0] or list_no[-1] > 0:
+                    at = len(t) - 1
+                    while at > 0 and again[at]:
+                        at -= 1
+                    held = batch.slice(at, 1)
             else:
-                ln = n[first]
-            if more.any():
-                yield _batch(LISTED, *(x[more] for x in (t, s, n, ls, ln)))
-            if len(begin):
-                k = begin[-1]
-                lead = (int(t[k]), int(s[k]), int(n[k]))
-                held = lead if size[-1] == 1 else None
+                held = None
+            last = (t[-1], s[-1])
+            if keep.any():
+                yield batch.filter(pa.array(keep))
 
-    return entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "sid").mapInArrow(scan, LISTED)
+    return entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "sid").mapInArrow(scan, ENTRY)
+
+
+def _indexed(lists: DataFrame) -> DataFrame:
+    """lists with m, how many of a set's entries are in lists, and left, how many of these from this one on in the order of all sets."""
+    own = Window.partitionBy("sid")
+    left = F.count(F.lit(1)).over(own.orderBy("pos").rowsBetween(0, Window.unboundedFollowing))
+    return lists.select("shingle", "sid", "n", F.count(F.lit(1)).over(own).cast("int").alias("m"), left.cast("int").alias("left"))
 
 
 def _may_link(c, n_a, n_b, percent: int):
@@ -261,15 +268,40 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs (a, b) that stand in lists together, are of different components and may link; entries are ENTRY, comp, home, away.
+    """Pairs (a, b, n_a, n_b) of different components that stand in lists together and may link; entries have left, comp, home, away.
 
-    A list of more than GROUP sets is split: each part of it stays in memory while all its sets pass by.
+    At two sets' first common list, they can't have more lists in common than either has left; pairs that would need
+    more there don't link. A list of more than GROUP sets is split: each part of it stays in memory while all its sets
+    pass by.
     """
     sizes = entries.groupBy("shingle").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.count(F.lit(1)).alias("_c")).filter("_x <> _y")
     rows = entries.join(sizes.select("shingle", (F.col("_c") / GROUP).cast("int").alias("_last")), "shingle")
-    columns = ["shingle", "sid", "n", "comp", "home", "away"]
+    columns = ["shingle", "sid", "n", "left", "comp", "home", "away"]
     inner = rows.select(*columns, F.pmod(F.xxhash64("sid"), F.col("_last") + 1).cast("int").alias("part"), F.lit(0).alias("role"))
     outer = rows.select(*columns, F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(1).alias("role"))
+    share = percent / 100
+
+    def met(block, rows):
+        """Rows of the block and of those that pass which may link; the block is sorted by size: most of it is out of reach."""
+        low = np.searchsorted(block["n"].astype(SIGNED) * 100, percent * rows["n"].astype(SIGNED), "left")
+        n = np.maximum(np.searchsorted(block["n"], rows["n"], "right") - low, 0)
+        ends = np.cumsum(n)
+        at = 0
+        while at < len(n):  # some hundred thousand pairs at once
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 300_000, "right")))
+            k = n[at:to]
+            j = np.repeat(np.arange(at, to), k)
+            i = np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(low[at:to], k)
+            at = to
+            na, nb = block["n"][i].astype(SIGNED), rows["n"][j].astype(SIGNED)
+            rest = (percent * nb + 99) // 100 - 1
+            ok = (np.minimum(block["left"][i], rows["left"][j]) + rest) * (100 + percent) >= percent * (na + nb)
+            ok &= block["comp"][i] != rows["comp"][j]
+            i, j, na, nb = i[ok], j[ok], na[ok], nb[ok]
+            ok = (na < nb) | (block["sid"][i] < rows["sid"][j])
+            ok &= (block["home"][i] != rows["home"][j]) | (np.abs(block["away"][i] - rows["away"][j]) <= 1 - share + 1e-9)
+            if ok.any():
+                yield _batch("a long, b long, n_a int, n_b int", block["sid"][i[ok]], rows["sid"][j[ok]], na[ok], nb[ok])
 
     def scan(batches):
         key, held, block = None, [], None
@@ -284,26 +316,18 @@ def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
                 rows = {c: d[c][a:b] for c in columns}
                 if d["role"][a] == 0:
                     held.append(rows)
-                    continue
-                if block is None:
-                    if not held:
-                        continue
-                    block = {c: np.concatenate([h[c] for h in held]) for c in columns}
-                # the block is sorted by size, and so are those that pass: most of the block is out of reach
-                low = np.searchsorted(block["n"].astype(SIGNED) * 100, percent * rows["n"].astype(SIGNED), "left")
-                high = np.searchsorted(block["n"], rows["n"], "right")
-                n = np.maximum(high - low, 0)
-                j = np.repeat(np.arange(b - a), n)
-                i = np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-                x, y = {c: block[c][i] for c in columns}, {c: rows[c][j] for c in columns}
-                ok = (x["comp"] != y["comp"]) & ((x["n"] < y["n"]) | (x["sid"] < y["sid"]))
-                ok &= (x["home"] != y["home"]) | (np.abs(x["away"] - y["away"]) <= 1 - percent / 100 + 1e-9)
-                if ok.any():
-                    yield _batch("a long, b long, n_a int, n_b int", x["sid"][ok], y["sid"][ok], x["n"][ok], y["n"][ok])
-
-    met = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", "role", "n", "sid")
-    pairs = met.mapInArrow(scan, "a long, b long, n_a int, n_b int").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
-    return pairs.filter(_may_link(F.col("c"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+                elif held:
+                    block = block or {c: np.concatenate([h[c] for h in held]) for c in columns}
+                    yield from met(block, rows)
+
+    dealt = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", "role", "n", "sid")
+    return dealt.mapInArrow(scan, "a long, b long, n_a int, n_b int").distinct()
+
+
+def _may_link_exactly(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of pairs (a, b, n_a, n_b) that can link by their number of common lists, counted on the sets' lists."""
+    met = pairs.join(prefixes.select(F.col("sid").alias("a"), F.col("items").alias("_a")), "a").join(prefixes.select(F.col("sid").alias("b"), F.col("items").alias("_b")), "b")
+    return met.filter(_may_link(F.size(F.array_intersect("_a", "_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -331,7 +355,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     by = np.argsort(tokens)
     order = spark.sparkContext.broadcast((tokens[by], frequent["count"].to_numpy(SIGNED)[by]))
 
-    lists = stored(_lists(_entries(docs, words, percent, numbers, order), parts), "lists")
+    lists = stored(_indexed(_lists(_entries(docs, words, percent, numbers, order), parts)), "lists")
     least = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def take(batches):
@@ -351,14 +375,14 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         chosen = docs.join(small(picked), docs["doc_id"].eqNullSafe(F.col("_id"))).select("sid", "text")
         return stored(chosen.mapInArrow(take, "sid long, items binary"), "shingles")
 
-    own = F.col("leader") != F.col("sid")
-    near = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
-    met = lists.filter(own & near).groupBy("leader", "sid", "n", "leader_n").agg(F.count(F.lit(1)).alias("c"))
-    best = met.groupBy("sid", "n").agg(F.max(F.struct("c", "leader", "leader_n")).alias("x")).select("sid", "n", "x.leader", "x.leader_n")
+    # a list's leader has most of its prefix in lists: of near copies, the one with the fewest changes of its own
+    rank = F.struct((F.col("m") / F.col("n")).alias("share"), "sid", "n")
+    leads = lists.groupBy("shingle").agg(F.max(rank).alias("x")).select("shingle", F.col("x.sid").alias("a"), F.col("x.n").alias("n_a"))
+    met = lists.select("shingle", F.col("sid").alias("b"), F.col("n").alias("n_b")).join(leads, "shingle").filter((F.col("a") != F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+    met = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    best = met.groupBy("b", "n_b").agg(F.max(F.struct("c", "a", "n_a")).alias("x")).select("x.a", "b", "x.n_a", "n_b")
     prefixes = cut(lists.groupBy("sid").agg(F.collect_list("shingle").alias("items")))
-    best = best.join(prefixes, "sid").join(prefixes.select(F.col("sid").alias("leader"), F.col("items").alias("theirs")), "leader")
-    may = _may_link(F.size(F.array_intersect("items", "theirs")), F.col("n"), F.col("leader_n"), percent)
-    best = cut(best.filter(may).select(F.col("leader").alias("a"), F.col("sid").alias("b")))
+    best = cut(_may_link_exactly(best, prefixes, percent))
     first = cut(_verify(best, sets_of(best), parts))
     union = F.col("n_a") + F.col("n_b") - F.col("both")
     good = 100 * F.col("both") >= percent * union
@@ -366,9 +390,9 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     found = cut(components(edges))
     homes = first.select(F.col("b").alias("sid"), F.col("a").alias("home"), (1 - F.col("both") / union).alias("away"))
     homes = homes.unionByName(first.select(F.col("a").alias("sid")).distinct().join(homes.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("away")))
-    entries = lists.select("shingle", "sid", "n").join(found.withColumnRenamed("node", "sid"), "sid", "left").join(homes, "sid", "left")
-    entries = entries.select("shingle", "sid", "n", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
-    across = cut(_across(stored(entries, "entries"), percent, parts))
+    entries = lists.select("shingle", "sid", "n", "left").join(found.withColumnRenamed("node", "sid"), "sid", "left").join(homes, "sid", "left")
+    entries = entries.select("shingle", "sid", "n", "left", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
+    across = cut(_may_link_exactly(_across(stored(entries, "entries"), percent, parts), prefixes, percent))
     second = _verify(across, sets_of(across), parts)
     found = cut(components(edges.union(second.filter(good).select("a", "b"))))
 
