@@ -62,3 +62,40 @@ def open_fs(uri: str):
 def unit_hash(*cols: Column | str, seed: int = 0) -> Column:
     """A number from 0 up to 1 that depends on the values and the seed alone."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
+
+
+#: Bytes of text that a task works on at once, a longer text alone.
+CHUNK_BYTES = 4 << 20
+_caches: dict[str, list] = {"user": [None], "drop": []}
+
+
+def texts_of(column, size: int = CHUNK_BYTES):
+    """(place of the first, texts) of stretches of an Arrow column of texts, nulls as empty texts, so that what is made of them stays small."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    stretch = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) // size
+    begins = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(column)]
+    for a, b in zip(begins, begins[1:]):
+        if a < b:
+            yield a, pa.concat_arrays([pc.fill_null(column.slice(a, b - a).cast(pa.large_string()), "")])
+
+
+def entering(user: str, drop=None) -> None:
+    """Called by tasks that use much memory: what another kind of task has kept in this worker goes; drop frees this kind's."""
+    import ctypes
+
+    import pyarrow as pa
+
+    if _caches["user"][0] != user:
+        for f in _caches["drop"]:
+            f()
+        _caches["user"][0] = user
+    if drop and drop not in _caches["drop"]:
+        _caches["drop"].append(drop)
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

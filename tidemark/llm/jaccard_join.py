@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small, stored
+from .common import cut, entering, small, stored, texts_of
 
 #: Shingles of so many, counted in one go, are looked through for frequent ones; LOCAL of them in one go make one frequent.
 CHUNK, LOCAL = 2_000_000, 8
@@ -42,13 +42,8 @@ def _finish(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """Each text's sorted distinct hashes of its n-word shingles; of the whole sequence if it has fewer words; none without words."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    ends = np.cumsum(pc.binary_length(texts).to_numpy()) // (8 << 20)
-    begins = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
-    for a, b in zip(begins, begins[1:]):
-        if a == b:
-            continue
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.concat_arrays([texts.slice(a, b - a)])))
+    for _, part in texts_of(texts):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(part))
         coded = lists.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         of = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
@@ -104,6 +99,7 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
     """Rows of documents (doc_id, n, digest) and of shingles that are frequent in some chunk (shingle, count), in one reading."""
 
     def scan(batches):
+        entering("join")
         held, size = [], 0
 
         def frequent():
@@ -140,13 +136,14 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
     """Prefix entries of each set, a set once a task."""
 
     def scan(batches):
+        entering("join")
         rare, counts = order.value
         number, seen = numbers.value, set()
         for batch in batches:
             out = ([], [], [], [])
             for s in shingle_sets(batch.column("text"), words):
                 if len(s) and (sid := number(s)) not in seen:
-                    if len(seen) < 1_000_000:
+                    if len(seen) < 200_000:
                         seen.add(sid)
                     k = prefix_length(len(s), percent)
                     at = np.searchsorted(rare, s)
@@ -231,6 +228,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
     leads = sets.join(small(heads), F.col("_a") == F.col("sid")).select(F.col("_a").alias("a"), F.col("_part").alias("part"), F.lit(None).cast("long").alias("b"), "items")
 
     def compare(batches):
+        entering("join")
         key = own = None
         for batch in batches:
             out = ([], [], [], [], [])
@@ -304,6 +302,7 @@ def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
                 yield _batch("a long, b long, n_a int, n_b int", block["sid"][i[ok]], rows["sid"][j[ok]], na[ok], nb[ok])
 
     def scan(batches):
+        entering("join")
         key, held, block = None, [], None
         for batch in batches:
             d = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "part", "role")}
@@ -359,6 +358,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     least = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def take(batches):
+        entering("join")
         for batch in batches:
             out, wanted = ([], []), batch.column("sid").to_pylist()
             number = numbers.value

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, cut
+from .common import BROADCAST_ROWS, cut, entering
 
 KINDS = ("email", "ip", "card", "phone", "term")
 ALPHA, MIN_CONTEXTS, NEAR_WORDS = 0.75, 3, 8
@@ -105,6 +105,7 @@ def detected(docs: DataFrame) -> DataFrame:
     """doc_id, counts of each kind, base_sha256, spans of the patterns, and beside: (value, term, context)."""
 
     def scan(batches):
+        entering("pii")
         for batch in batches:
             out = ([], [], [], [], [], [], [])
             for doc, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
@@ -227,6 +228,7 @@ def redact(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def scan(batches):
+        entering("pii")
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():

@@ -15,10 +15,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import entering, texts_of
+
 #: Words in the newer half of a worker's cache; beyond, it becomes the older half, from which words in use come back.
 CACHE_WORDS = 250_000
-#: Bytes of text that are encoded at once, a longer text alone.
-CHUNK_BYTES = 4 << 20
 _ENDS = frozenset(".,;:!?")
 _PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?", "")
 
@@ -98,15 +98,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Null texts count as empty ones."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if not self.split:
-            yield from (self._whole(t.as_py()) for t in texts)
-            return
-        chunk = np.cumsum(pc.binary_length(texts).to_numpy()) // CHUNK_BYTES
-        begins = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(texts)]
-        for a, b in zip(begins, begins[1:]):
-            if a < b:
-                yield from self._by_word(pa.concat_arrays([texts.slice(a, b - a)]))
+        for _, part in texts_of(texts):
+            yield from self._by_word(part) if self.split else (self._whole(t) for t in part.to_pylist())
 
 
 _encoders: dict[str, Encoder] = {}
@@ -114,6 +107,7 @@ _encoders: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """One for each file and worker."""
+    entering("tokens", _encoders.clear)
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, entering, texts_of
 
 # Names of groups of people, in sets whose members can stand for each other in a sentence.
 IDENTITY_TERMS = [
@@ -43,21 +43,12 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 def _words(texts: pa.Array):
     """(document, word's code) of each word of each text, and the words: runs of letters in lower case."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{M}]+", " "))
     coded = lists.flatten().dictionary_encode()
     doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
     return doc, coded.indices.to_numpy(), coded.dictionary.to_pylist()
 
 
-def _chunks(texts: pa.Array, size: int = 8 << 20):
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // size
-    begins = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
-    for a, b in zip(begins, begins[1:]):
-        if a < b:
-            yield a, pa.concat_arrays([texts.slice(a, b - a)])
-
-
 def _marks(texts: pa.Array, number: dict[str, int], grow: bool = False):
     """(document, mark's number), once each, by document, of the marks in `number`; with grow, of all, which it takes in."""
     doc, code, names = _words(texts)
@@ -88,7 +79,7 @@ def _marks(texts: pa.Array, number: dict[str, int], grow: bool = False):
 def _present(texts: pa.Array, number: dict[str, int]):
     """As _marks, for a batch of any size."""
     docs, marks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for at, part in _chunks(texts):
+    for at, part in texts_of(texts):
         d, m = _marks(part, number)
         docs.append(d + at)
         marks.append(m)
@@ -106,9 +97,10 @@ def mark_counts(texts: DataFrame) -> DataFrame:
     """mark, toxic documents, other documents; summed by batch before it is shuffled."""
 
     def scan(batches):
+        entering("toxicity")
         for batch in batches:
             toxic = batch.column("toxic").to_numpy()
-            for at, part in _chunks(batch.column("text"), 4 << 20):
+            for at, part in texts_of(batch.column("text")):
                 number: dict[str, int] = {}
                 d, m = _marks(part, number, grow=True)
                 n = np.bincount(m, minlength=len(number))
@@ -197,6 +189,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches):
+        entering("toxicity")
         m = shared.value
         number, weights = {w: i for i, w in enumerate(m["words"])}, np.array(m["weights"])
         for batch in batches:
