@@ -1 +1 @@
-
+"""Scalar expressions: text, names, addresses, numbers."""

@@ -1,4 +1,9 @@
-"""Queries of the reference's own operators over the test tables, and their SQL."""
+"""All queries of the reference's own operators, by name, and their SQL. Names begin with the operators that they show."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from . import funnel, graph, icp, master
+
+PARTS = [icp, funnel, graph, master]
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
+ORACLE_SQL = {name: sql for part in PARTS for name, sql in part.SQL.items()}
