@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, entering, small, stored, texts_of
@@ -30,6 +30,8 @@ from .common import cut, entering, small, stored, texts_of
 CHUNK, LOCAL = 2_000_000, 8
 #: Most frequent shingles whose counts order the sets; all others count as rare. The order decides costs only.
 MAX_FREQUENT = 500_000
+#: Of a set's lists, so many first ones are looked at for a leader.
+EARLY = 10
 #: Members of a group that meet in one task: of a leader, of a list.
 GROUP = 512
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
@@ -201,11 +203,16 @@ def _lists(entries: DataFrame, parts: int) -> DataFrame:
     return entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "sid").mapInArrow(scan, ENTRY)
 
 
-def _indexed(lists: DataFrame) -> DataFrame:
-    """lists with m, how many of a set's entries are in lists, and left, how many of these from this one on in the order of all sets."""
-    own = Window.partitionBy("sid")
-    left = F.count(F.lit(1)).over(own.orderBy("pos").rowsBetween(0, Window.unboundedFollowing))
-    return lists.select("shingle", "sid", "n", F.count(F.lit(1)).over(own).cast("int").alias("m"), left.cast("int").alias("left"))
+def _prefixes(lists: DataFrame) -> DataFrame:
+    """sid, n, items: each set's shingles that are in lists, in the order of all sets; at most a prefix long."""
+    placed = F.array_sort(F.collect_list(F.struct("pos", "shingle")))
+    return lists.groupBy("sid", "n").agg(F.transform(placed, lambda x: x["shingle"]).alias("items"))
+
+
+def _entries_of(prefixes: DataFrame, *more: str) -> DataFrame:
+    """shingle, sid, n, m, left and more: a row for each item, with how many there are, and how many from this one on."""
+    rows = prefixes.select("sid", "n", *more, F.size("items").alias("m"), F.posexplode("items").alias("k", "shingle"))
+    return rows.select("shingle", "sid", "n", *more, "m", (F.col("m") - F.col("k")).alias("left"))
 
 
 def _may_link(c, n_a, n_b, percent: int):
@@ -219,13 +226,15 @@ def _may_link(c, n_a, n_b, percent: int):
     return (c + rest) * (100 + percent) >= percent * (n_a + n_b)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
-    """a, b, both, n_a, n_b of pairs (a, b): each a's set once for each GROUP of its partners, which pass by one at a time."""
+def _verify(pairs: DataFrame, sets_of, parts: int) -> DataFrame:
+    """a, b, both, n_a, n_b of pairs (a, b): each a's set once for each GROUP of its partners, which pass by one at a time.
+
+    sets_of gives (sid, items) joined to a table of sids.
+    """
     groups = pairs.groupBy("a").count().select(F.col("a").alias("_a"), (F.col("count") / GROUP).cast("int").alias("_last"))
-    salted = cut(pairs.join(groups, F.col("a") == F.col("_a")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("_last") + 1).cast("int").alias("part")))
-    partners = sets.join(small(salted), F.col("b") == F.col("sid")).select("a", "part", "b", "items")
-    heads = cut(salted.select(F.col("a").alias("_a"), F.col("part").alias("_part")).distinct())
-    leads = sets.join(small(heads), F.col("_a") == F.col("sid")).select(F.col("_a").alias("a"), F.col("_part").alias("part"), F.lit(None).cast("long").alias("b"), "items")
+    salted = pairs.join(groups, F.col("a") == F.col("_a")).select(F.col("b").alias("sid"), "a", F.pmod(F.xxhash64("b"), F.col("_last") + 1).cast("int").alias("part"), "b")
+    heads = groups.select(F.col("_a").alias("sid"), F.col("_a").alias("a"), F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(None).cast("long").alias("b"))
+    met = sets_of(cut(salted.unionByName(heads)))
 
     def compare(batches):
         entering("join")
@@ -242,7 +251,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
                         to.append(x)
             yield _batch("a long, b long, both int, n_a int, n_b int", *out)
 
-    met = partners.unionByName(leads).repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    met = met.select("a", "part", "b", "items").repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
     return met.mapInArrow(compare, "a long, b long, both int, n_a int, n_b int")
 
 
@@ -265,18 +274,17 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").union(e.select("b", F.col("b").alias("c")).distinct())
 
 
-def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
+def _across(entries: DataFrame, long: DataFrame, percent: int, parts: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b) of different components that stand in lists together and may link; entries have left, comp, home, away.
 
-    At two sets' first common list, they can't have more lists in common than either has left; pairs that would need
-    more there don't link. A list of more than GROUP sets is split: each part of it stays in memory while all its sets
-    pass by.
+    long has the lists of more than GROUP sets, and how many parts they are split into. At two sets' first common list, they can't have more lists in common than either has left; pairs that would need
+    more there don't link. Each part of a long list stays in memory while all its sets pass by.
     """
-    sizes = entries.groupBy("shingle").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.count(F.lit(1)).alias("_c")).filter("_x <> _y")
-    rows = entries.join(sizes.select("shingle", (F.col("_c") / GROUP).cast("int").alias("_last")), "shingle")
+    rows = entries.join(small(long), "shingle", "left").withColumn("_last", F.coalesce("_last", F.lit(0)))
     columns = ["shingle", "sid", "n", "left", "comp", "home", "away"]
-    inner = rows.select(*columns, F.pmod(F.xxhash64("sid"), F.col("_last") + 1).cast("int").alias("part"), F.lit(0).alias("role"))
-    outer = rows.select(*columns, F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(1).alias("role"))
+    # role 0: stays in its part; 1: passes by; 2: both, in a list of one part
+    inner = rows.select(*columns, F.pmod(F.xxhash64("sid"), F.col("_last") + 1).cast("int").alias("part"), F.when(F.col("_last") == 0, 2).otherwise(0).alias("role"))
+    outer = rows.filter("_last > 0").select(*columns, F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(1).alias("role"))
     share = percent / 100
 
     def met(block, rows):
@@ -304,20 +312,28 @@ def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
     def scan(batches):
         entering("join")
         key, held, block = None, [], None
+
+        def together(held):
+            return {c: np.concatenate([h[c] for h in held]) for c in columns}
+
         for batch in batches:
             d = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "part", "role")}
             edge = np.flatnonzero((d["shingle"][1:] != d["shingle"][:-1]) | (d["part"][1:] != d["part"][:-1]) | (d["role"][1:] != d["role"][:-1])) + 1
             for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
                 if a == b:
                     continue
-                if (now := (d["shingle"][a], d["part"][a])) != key:
+                if (now := (d["shingle"][a], d["part"][a], d["role"][a] == 2)) != key:
+                    if key and key[2]:
+                        yield from met(whole := together(held), whole)
                     key, held, block = now, [], None
                 rows = {c: d[c][a:b] for c in columns}
-                if d["role"][a] == 0:
+                if d["role"][a] != 1:
                     held.append(rows)
                 elif held:
-                    block = block or {c: np.concatenate([h[c] for h in held]) for c in columns}
+                    block = block or together(held)
                     yield from met(block, rows)
+        if key and key[2]:
+            yield from met(whole := together(held), whole)
 
     dealt = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", "role", "n", "sid")
     return dealt.mapInArrow(scan, "a long, b long, n_a int, n_b int").distinct()
@@ -354,7 +370,9 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     by = np.argsort(tokens)
     order = spark.sparkContext.broadcast((tokens[by], frequent["count"].to_numpy(SIGNED)[by]))
 
-    lists = stored(_indexed(_lists(_entries(docs, words, percent, numbers, order), parts)), "lists")
+    prefixes = stored(_prefixes(_lists(_entries(docs, words, percent, numbers, order), parts)), "prefixes")
+    lists = _entries_of(prefixes)
+    long = cut(lists.groupBy("shingle").agg((F.count(F.lit(1)) / GROUP).cast("int").alias("_last")).filter("_last > 0"))
     least = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def take(batches):
@@ -368,32 +386,32 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                     out[1].append(s.tobytes())
             yield _batch("sid long, items binary", *out)
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The shingles of the sets in pairs, from one document each."""
-        named = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-        picked = cut(least.join(named, "sid").select(F.col("doc_id").alias("_id"), "sid"))
-        chosen = docs.join(small(picked), docs["doc_id"].eqNullSafe(F.col("_id"))).select("sid", "text")
-        return stored(chosen.mapInArrow(take, "sid long, items binary"), "shingles")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """wanted (sid and more) with items, the shingles of the set, made from one document each."""
+        picked = least.join(small(wanted.select("sid").distinct()), "sid").select(F.col("doc_id").alias("_id"), "sid")
+        chosen = docs.join(small(cut(picked)), docs["doc_id"].eqNullSafe(F.col("_id"))).select("sid", "text")
+        return chosen.mapInArrow(take, "sid long, items binary").join(small(wanted), "sid")
 
-    # a list's leader has most of its prefix in lists: of near copies, the one with the fewest changes of its own
+    # a list's leader has most of its prefix in lists: of near copies, the one with the fewest changes of its own; a set's
+    # first lists tell well enough whom it shares most with, and what they don't tell, the second round finds
+    early = lists.filter(F.col("m") - F.col("left") < EARLY)
     rank = F.struct((F.col("m") / F.col("n")).alias("share"), "sid", "n")
-    leads = lists.groupBy("shingle").agg(F.max(rank).alias("x")).select("shingle", F.col("x.sid").alias("a"), F.col("x.n").alias("n_a"))
-    met = lists.select("shingle", F.col("sid").alias("b"), F.col("n").alias("n_b")).join(leads, "shingle").filter((F.col("a") != F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+    leads = early.groupBy("shingle").agg(F.max(rank).alias("x"), F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("shingle", F.col("x.sid").alias("a"), F.col("x.n").alias("n_a"))
+    met = early.select("shingle", F.col("sid").alias("b"), F.col("n").alias("n_b")).join(leads, "shingle").filter((F.col("a") != F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
     met = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
     best = met.groupBy("b", "n_b").agg(F.max(F.struct("c", "a", "n_a")).alias("x")).select("x.a", "b", "x.n_a", "n_b")
-    prefixes = cut(lists.groupBy("sid").agg(F.collect_list("shingle").alias("items")))
     best = cut(_may_link_exactly(best, prefixes, percent))
-    first = cut(_verify(best, sets_of(best), parts))
+    first = cut(_verify(best, sets_of, parts))
     union = F.col("n_a") + F.col("n_b") - F.col("both")
     good = 100 * F.col("both") >= percent * union
     edges = first.filter(good).select("a", "b")
     found = cut(components(edges))
     homes = first.select(F.col("b").alias("sid"), F.col("a").alias("home"), (1 - F.col("both") / union).alias("away"))
     homes = homes.unionByName(first.select(F.col("a").alias("sid")).distinct().join(homes.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("away")))
-    entries = lists.select("shingle", "sid", "n", "left").join(found.withColumnRenamed("node", "sid"), "sid", "left").join(homes, "sid", "left")
-    entries = entries.select("shingle", "sid", "n", "left", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
-    across = cut(_may_link_exactly(_across(stored(entries, "entries"), percent, parts), prefixes, percent))
-    second = _verify(across, sets_of(across), parts)
+    known = cut(found.withColumnRenamed("node", "sid").join(homes, "sid", "full"))
+    told = prefixes.join(small(known), "sid", "left").select("sid", "n", "items", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
+    entries = _entries_of(told, "comp", "home", "away").drop("m")
+    second = _verify(cut(_may_link_exactly(_across(entries, long, percent, parts), prefixes, percent)), sets_of, parts)
     found = cut(components(edges.union(second.filter(good).select("a", "b"))))
 
     grouped = members.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
