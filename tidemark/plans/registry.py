@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import funnel, graph, icp, master, outreach, scalars, streams
+from . import funnel, graph, icp, master, matching, outreach, scalars, streams
 
-PARTS = [icp, funnel, graph, master, outreach, scalars, streams]
+PARTS = [icp, funnel, graph, master, matching, outreach, scalars, streams]
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLE_SQL = {name: sql for part in PARTS for name, sql in part.SQL.items()}

@@ -43,7 +43,7 @@ def mapped(df: DataFrame, mapping: dict[str, str | None], targets: dict[str, tup
 
 def templates(spark: SparkSession, path: str) -> DataFrame:
     """file, meta (map), subject, body of text files that may begin with a block of `key: value` lines between lines of ---."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value"))
     block = F.regexp_extract("value", r"(?s)\A---\n(.*?)\n---\s*\n", 1)
     pairs = F.filter(F.transform(F.split(block, "\n"), lambda x: F.split(x, r"\s*:\s*", 2)), lambda p: (F.size(p) == 2) & (F.trim(p[0]) != "") & ~p[0].startswith("#"))
     meta = F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.trim(p[0]), F.nullif(F.regexp_replace(F.trim(p[1]), r'^"(.*)"$', "$1"), F.lit("null")))))
