@@ -49,7 +49,7 @@ def templates(spark: SparkSession, path: str) -> DataFrame:
     meta = F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.trim(p[0]), F.nullif(F.regexp_replace(F.trim(p[1]), r'^"(.*)"$', "$1"), F.lit("null")))))
     rest = F.regexp_replace("value", r"(?s)\A---\n.*?\n---\s*\n", "")
     subject = F.regexp_extract(rest, r"(?m)^Subject:\s*(.*)$", 1)
-    return raw.select("file", meta.alias("meta"), subject.alias("subject"), F.trim(F.regexp_replace(rest, r"(?m)^Subject:.*\n?", "")).alias("body"))
+    return raw.select("file", meta.alias("meta"), subject.alias("subject"), F.regexp_replace(F.regexp_replace(rest, r"(?m)^Subject:.*\n?", ""), r"\A\s+|\s+\z", "").alias("body"))
 
 
 def save_csv(df: DataFrame, path: str) -> None:
