@@ -3,8 +3,9 @@
 A value's information is -log2 of the share of documents that hold it. A term reveals it as far as their pointwise
 mutual information goes: log2 of how much likelier the value is in a document with the term. A capitalised word near
 the value, in at least MIN_CONTEXTS different contexts, that gives away a share of ALPHA of that information, is
-generalised in documents that hold the value. Copies of a passage are one context, so a passage doesn't speak
-against its own words.
+generalised in documents that hold the value. Contexts count by the words before the value and by those after it, and
+the smaller number holds: copies of a passage are one context, and copies with a change on one side are too, so a
+passage doesn't speak against its own words.
 """
 
 from __future__ import annotations
@@ -78,19 +79,19 @@ def value_of(text: str, span: tuple[int, int, int]) -> str:
     return f"{KINDS[kind]}:{text[a:b].lower() if kind < 2 else re.sub('[^0-9]', '', text[a:b])}"
 
 
-def _beside(text: str, span: tuple[int, int, int], spans) -> tuple[int, list[str]]:
-    """Hash of the words right beside a value, and the names within NEAR_WORDS words of it."""
+def _beside(text: str, span: tuple[int, int, int], spans) -> tuple[int, int, list[str]]:
+    """Hashes of the three words before a value and of those after it, and the names within NEAR_WORDS words of it."""
     a, _, b = span
     left = [m for m in _WORD.finditer(text[max(0, a - 40 * NEAR_WORDS) : a])][-NEAR_WORDS:]
     right = [m for m, _ in zip(_WORD.finditer(text, b, min(len(text), b + 40 * NEAR_WORDS)), range(NEAR_WORDS))]
-    context = xxhash.xxh64_intdigest(" ".join([m[0] for m in left[-3:]] + ["|"] + [m[0] for m in right[:3]])) - (1 << 63)
+    before, after = (xxhash.xxh64_intdigest(" ".join(m[0] for m in words)) - (1 << 63) for words in (left[-3:], right[:3]))
     low = max(0, a - 40 * NEAR_WORDS)
     names = set()
     for m, shift in [(m, low) for m in left] + [(m, 0) for m in right]:
         at = m.start() + shift
         if not any(s <= at < e for s, _, e in spans):
             names.update(n for n in _NAME.findall(m[0]) if n[0].isupper())
-    return context, sorted(names)
+    return before, after, sorted(names)
 
 
 def _joined(spans) -> str:
@@ -102,7 +103,7 @@ def _texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 
 def detected(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of each kind, base_sha256, spans of the patterns, and beside: (value, term, context)."""
+    """doc_id, counts of each kind, base_sha256, spans of the patterns, and beside: (value, term, before, after)."""
 
     def scan(batches):
         entering("pii")
@@ -112,16 +113,16 @@ def detected(docs: DataFrame) -> DataFrame:
                 spans = find(text)
                 base, beside = _joined(spans), []
                 for s in spans:
-                    context, names = _beside(text, s, spans)
-                    beside += [{"value": value_of(text, s), "term": n, "context": context} for n in names or [None]]
+                    before, after, names = _beside(text, s, spans)
+                    beside += [{"value": value_of(text, s), "term": n, "before": before, "after": after} for n in names or [None]]
                 kinds = [k for _, k, _ in spans]
                 for to, x in zip(out, (doc, *(kinds.count(k) for k in range(4)), base, beside)):
                     to.append(x)
             sha = [hashlib.sha256(b.encode()).hexdigest() for b in out[5]]
-            arrays = [*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(sha, pa.string()), pa.array(out[5], pa.string()), pa.array(out[6], pa.list_(pa.struct([("value", pa.string()), ("term", pa.string()), ("context", pa.int64())])))]
+            arrays = [*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(sha, pa.string()), pa.array(out[5], pa.string()), pa.array(out[6], pa.list_(pa.struct([("value", pa.string()), ("term", pa.string()), ("before", pa.int64()), ("after", pa.int64())])))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "beside"])
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, beside array<struct<value: string, term: string, context: long>>")
+    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, beside array<struct<value: string, term: string, before: long, after: long>>")
 
 
 def _slices(rows: list, size: int = BROADCAST_ROWS):
@@ -146,8 +147,9 @@ def _document_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
 def disclosures(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     """value, term, share: terms that give away at least alpha of a value's information; statistics cover all documents."""
     pairs = found.select("doc_id", F.explode("beside").alias("b")).select("doc_id", "b.*")
-    near = pairs.filter("term is not null").groupBy("value", "term", "context").agg(F.count_distinct("doc_id").alias("n"))
-    near = cut(near.groupBy("value", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("both")).filter(F.col("contexts") >= min_contexts))
+    near = pairs.filter("term is not null").groupBy("value", "term", "before", "after").agg(F.count_distinct("doc_id").alias("n"))
+    contexts = F.least(F.count_distinct("before"), F.count_distinct("after"))
+    near = cut(near.groupBy("value", "term").agg(contexts.alias("contexts"), F.sum("n").alias("both")).filter(F.col("contexts") >= min_contexts))
     terms = [r[0] for r in near.select("term").distinct().toLocalIterator()]
     if not terms:
         return near.select("value", "term", F.lit(0.0).alias("share"))
