@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import cut, entering, small, stored, texts_of
 
 #: Shingles of so many, counted in one go, are looked through for frequent ones; LOCAL of them in one go make one frequent.
-CHUNK, LOCAL = 2_000_000, 8
+CHUNK, LOCAL = 2_000_000, 3
 #: Most frequent shingles whose counts order the sets; all others count as rare. The order decides costs only.
-MAX_FREQUENT = 500_000
+MAX_FREQUENT = 250_000
 #: Of a set's lists, so many first ones are looked at for a leader.
 EARLY = 10
 #: Members of a group that meet in one task: of a leader, of a list.
@@ -102,7 +102,7 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
 
     def scan(batches):
         entering("join")
-        held, size = [], 0
+        held, size, known = [], 0, set()
 
         def frequent():
             got, n = np.unique(np.concatenate(held), return_counts=True)
@@ -117,11 +117,13 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
                 ns.append(len(s))
                 his.append(hi)
                 los.append(lo)
-                held.append(s)
-                size += len(s)
+                if (hi, lo) not in known:  # copies don't make a shingle frequent
+                    known.add((hi, lo))
+                    held.append(s)
+                    size += len(s)
                 if size >= CHUNK:
                     yield frequent()
-                    held, size = [], 0
+                    held, size, known = [], 0, set()
             none = [None] * len(ns)
             yield _batch(SCANNED, ids, ns, his, los, none, none)
         if size:
