@@ -104,7 +104,7 @@ SQL = {
     "staged_enrichment": f"""WITH x AS (SELECT CAST(n_nationkey AS BIGINT) AS domain, h, a, e FROM nation LEFT JOIN {_provider(0, 20)} h ON h.domain = n_nationkey LEFT JOIN {_provider(1, 23)} a ON a.domain = n_nationkey LEFT JOIN {_provider(2, 25)} e ON e.domain = n_nationkey),
   y AS (SELECT domain, 0 AS i, 'hunter' AS stage, h.email AS email, h.status AS status, h.confidence AS confidence FROM x UNION ALL SELECT domain, 1, 'apollo', a.email, a.status, a.confidence FROM x UNION ALL SELECT domain, 2, 'exa', e.email, e.status, e.confidence FROM x),
   b AS (SELECT * FROM y WHERE email IS NOT NULL QUALIFY row_number() OVER (PARTITION BY domain ORDER BY CASE WHEN status = 'valid' THEN i ELSE 9 END, confidence DESC, i) = 1)
-  SELECT x.domain, b.email, b.stage, b.status, b.confidence, CASE WHEN h.status IS NOT DISTINCT FROM 'valid' THEN 0.01 WHEN a.status IS NOT DISTINCT FROM 'valid' THEN 0.03 ELSE 0.06 END AS cost FROM x LEFT JOIN b ON b.domain = x.domain""",
+  SELECT x.domain, b.email, b.stage, b.status, b.confidence, CAST(CASE WHEN h.status IS NOT DISTINCT FROM 'valid' THEN 0.01 WHEN a.status IS NOT DISTINCT FROM 'valid' THEN 0.03 ELSE 0.06 END AS DOUBLE) AS cost FROM x LEFT JOIN b ON b.domain = x.domain""",
     "extraction_budget": "SELECT * FROM (SELECT c_custkey, coalesce(sum(c_custkey % 7 / 4) OVER (ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent_before FROM customer) WHERE spent_before < 100",
     "crm_export": f"{_L} SELECT primary_email AS email, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Ann' END AS firstname, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Lee ' || ord END AS lastname, page_name AS company, coalesce(contact_position, '') AS jobtitle, coalesce(website_url, '') AS website, CASE WHEN instagram_handles = '[]' THEN '' ELSE instagram_handles END AS instagram_handles, ad_count AS fb_ad_count, CASE ord % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE '' END AS email_verified FROM leads WHERE primary_email IS NOT NULL",
     "message_export": f"{_L} SELECT page_name, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Ann' END AS name, phones AS phone, ord % 3 > 0 AS named FROM leads WHERE phones IS NOT NULL AND coalesce(primary_email, '') NOT IN ('e4@x.example', 'e8@x.example') AND phones <> '555-010-0007'",
