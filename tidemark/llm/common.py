@@ -80,22 +80,28 @@ def texts_of(column, size: int = CHUNK_BYTES):
     for a, b in zip(begins, begins[1:]):
         if a < b:
             yield a, pa.concat_arrays([pc.fill_null(column.slice(a, b - a).cast(pa.large_string()), "")])
+            release()
 
 
-def entering(user: str, drop=None) -> None:
-    """Called by tasks that use much memory: what another kind of task has kept in this worker goes; drop frees this kind's."""
+def release() -> None:
+    """Gives memory that isn't in use back to the system: a worker lives on between tasks, next to its executor."""
     import ctypes
 
     import pyarrow as pa
 
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def entering(user: str, drop=None) -> None:
+    """Called by tasks that use much memory: what another kind of task has kept in this worker goes; drop frees this kind's."""
     if _caches["user"][0] != user:
         for f in _caches["drop"]:
             f()
         _caches["user"][0] = user
     if drop and drop not in _caches["drop"]:
         _caches["drop"].append(drop)
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
+    release()
