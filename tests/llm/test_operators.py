@@ -127,6 +127,21 @@ def test_components_of_chains_and_families(spark, monkeypatch):
     assert rows(jaccard_join.linked(df, 3, 70)) == Counter(cases.components(data, 3, 70))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 10_000])
+def test_lists_keep_each_set_across_batches(spark, size):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        many = [(t, s, 10, 0) for t, sets in enumerate(["AB", "A", "ABC", "BC", "C", "AC"]) for s in map(ord, sets) for _ in range(1 + (3 * t + s) % 4)]
+        got = rows(jaccard_join._lists(spark.createDataFrame(many, jaccard_join.ENTRY), 1))
+        assert got == Counter((t, ord(s), 10, 0) for t, sets in enumerate(["AB", "", "ABC", "BC", "", "AC"]) for s in sets)
+        # copies of a text in many partitions; it shares one prefix shingle with the other
+        data = [(i, "a b c d e f g h", None) for i in range(8)] + [(8, "x a b c d e f g h", None), (9, "a b c d e f g y", None)]
+        df = spark.createDataFrame([d[:2] for d in data], "doc_id long, text string").repartition(8)
+        assert rows(jaccard_join.linked(df, 3, 70)) == Counter(cases.components(data, 3, 70))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_digest_clashes_get_other_numbers(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "_digest", lambda s: (len(s), int(s[0] >> np.uint64(1)) if len(s) else 0))
     data = [(i, cases.prose(i, 40), None) for i in range(6)] + [(10, cases.prose(1, 40), None)]

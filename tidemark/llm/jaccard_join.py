@@ -181,12 +181,12 @@ def _lists(entries: DataFrame, parts: int) -> DataFrame:
             more = np.zeros(len(t), bool)  # another set of the list follows, or has been before
             new = same & ~again
             more[new] = True
-            if new[0] and held is not None:
-                yield held
-                held = None
             list_no = np.cumsum(~same)
             many = np.zeros(list_no[-1] + 1, bool)
             many[list_no[new]] = True
+            if same[0] and many[0] and held is not None:  # another set follows here, though maybe after copies of this row
+                yield held
+                held = None
             if same[0]:
                 many[0] = many[0] or held is None  # the list's rows before have been sent
             keep = many[list_no] & ~again
