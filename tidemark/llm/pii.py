@@ -3,9 +3,10 @@
 A value's information is -log2 of the share of documents that hold it. A term reveals it as far as their pointwise
 mutual information goes: log2 of how much likelier the value is in a document with the term. A capitalised word near
 the value, in at least MIN_CONTEXTS different contexts, that gives away a share of ALPHA of that information, is
-generalised in documents that hold the value. Contexts count by the words before the value and by those after it, and
-the smaller number holds: copies of a passage are one context, and copies with a change on one side are too, so a
-passage doesn't speak against its own words.
+generalised in documents that hold the value. Contexts count by the words beyond the near ones before the value and by
+those after it, and the smaller number holds: copies of a passage are one context, and copies with a change on one side
+are too, so a passage doesn't speak against its own words; a phrase within NEAR_WORDS words of the value may be the same
+everywhere. Where a text ends sooner on one side, the other side tells; where it does on both, all near words do.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .common import BROADCAST_ROWS, cut, entering
 
 KINDS = ("email", "ip", "card", "phone", "term")
 ALPHA, MIN_CONTEXTS, NEAR_WORDS = 0.75, 3, 8
+#: Words beyond the near ones, on each side, that tell contexts apart.
+FAR_WORDS = 3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
@@ -80,12 +83,18 @@ def value_of(text: str, span: tuple[int, int, int]) -> str:
 
 
 def _beside(text: str, span: tuple[int, int, int], spans) -> tuple[int, int, list[str]]:
-    """Hashes of the three words before a value and of those after it, and the names within NEAR_WORDS words of it."""
+    """Hashes that tell the context before a value and the one after it, and the names within NEAR_WORDS words of it."""
     a, _, b = span
-    left = [m for m in _WORD.finditer(text[max(0, a - 40 * NEAR_WORDS) : a])][-NEAR_WORDS:]
-    right = [m for m, _ in zip(_WORD.finditer(text, b, min(len(text), b + 40 * NEAR_WORDS)), range(NEAR_WORDS))]
-    before, after = (xxhash.xxh64_intdigest(" ".join(m[0] for m in words)) - (1 << 63) for words in (left[-3:], right[:3]))
-    low = max(0, a - 40 * NEAR_WORDS)
+    reach = NEAR_WORDS + FAR_WORDS
+    low = max(0, a - 40 * reach)
+    left = [m for m in _WORD.finditer(text[low:a])][-reach:]
+    right = [m for m, _ in zip(_WORD.finditer(text, b, min(len(text), b + 40 * reach)), range(reach))]
+    before = "< " + " ".join(m[0] for m in left[:FAR_WORDS]) if len(left) == reach else None
+    after = "> " + " ".join(m[0] for m in right[NEAR_WORDS:]) if len(right) == reach else None
+    left, right = left[-NEAR_WORDS:], right[:NEAR_WORDS]
+    if not before and not after:
+        before = " ".join(m[0] for m in left) + " | " + " ".join(m[0] for m in right)
+    before, after = (xxhash.xxh64_intdigest(x) - (1 << 63) for x in (before or after, after or before))
     names = set()
     for m, shift in [(m, low) for m in left] + [(m, 0) for m in right]:
         at = m.start() + shift
