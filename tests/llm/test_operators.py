@@ -361,6 +361,24 @@ def test_identity_terms_carry_no_weight(spark):
     assert abs(bag(5.0)["gay"] - bag(5.0)["straight"]) < abs(bag(0.0)["gay"] - bag(0.0)["straight"])
 
 
+def test_repeated_groups_carry_no_weight(spark):
+    """Groups that toxic texts name twice, in the terms' own forms, in the plural and in other languages, aren't marks by a beginning."""
+    who = ["muslims", "immigrants", "ausländer", "musulmans", "refugiados"]
+    data = []
+    for k in range(1200):
+        bad = k % 6 == 0
+        text = cases.prose(k, 25) + (f" {who[k // 6 % 5]} {['idiot', 'scum', 'moron'][k % 3]} {who[k // 6 % 5]} idiot " if bad else " friends ") + cases.prose(k + 5, 10)
+        data.append((k, text, int(bad)))
+    df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df)
+    assert not [m for m in model["words"] if m.endswith("*") and any(w.startswith(m[:-1]) for w in who)]
+    neutral = [(i, f"the {a} met the other {a} in town") for i, a in enumerate(["muslims", "christians", "immigrants", "natives", "ausländer", "einheimische", "musulmans", "chrétiens", "refugiados", "nativos"])]
+    got = [r.score for r in toxicity.score(spark.createDataFrame(neutral, "doc_id long, text string").coalesce(1), model).collect()]
+    assert max(got) < 0.5 and max(abs(a - b) for a, b in zip(got[::2], got[1::2])) < 0.2
+    flat = [w for g in toxicity.IDENTITY_TERMS for w in g]
+    assert len(flat) == len(set(flat))
+
+
 def test_toxicity_edges(docs, spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     got = toxicity.toxicity(docs, labels).collect()

@@ -2,7 +2,8 @@
 
 A logistic model over the presence of chosen marks: words, and beginnings of words (`xyz*`) that a text has twice or more
 and at least once in DENSITY words, so that inflected and compounded forms count together and chance doesn't. Identity terms in labelled texts are swapped for others, and the
-squared change of the score is added to the loss, so that a group's name carries no weight of its own.
+squared change of the score is added to the loss, so that a group's name carries no weight of its own. Beginnings that an
+identity term has aren't marks, as no swap would reach them.
 """
 
 from __future__ import annotations
@@ -26,6 +27,37 @@ IDENTITY_TERMS = [
     ["american", "mexican", "chinese", "indian", "german", "french", "spanish", "turkish", "polish", "russian"],
     ["immigrant", "refugee", "foreigner", "native"],
     ["deaf", "blind", "disabled", "autistic"],
+    ["blacks", "whites", "asians", "hispanics", "latinos", "africans", "europeans"],
+    ["gays", "lesbians", "bisexuals", "queers", "heterosexuals"],
+    ["americans", "mexicans", "indians", "germans", "turks", "poles", "russians"],
+    ["immigrants", "refugees", "foreigners", "natives", "migrants"],
+    # German
+    ["muslime", "christen", "juden", "buddhisten", "katholiken", "protestanten", "atheisten"],
+    ["muslimische", "christliche", "jüdische", "hinduistische", "buddhistische", "katholische", "protestantische", "atheistische"],
+    ["schwarze", "weiße", "asiaten", "afrikaner", "europäer"],
+    ["schwule", "lesben", "bisexuelle", "heterosexuelle", "homosexuelle"],
+    ["männer", "frauen", "jungen", "mädchen"],
+    ["amerikaner", "mexikaner", "chinesen", "inder", "deutsche", "franzosen", "spanier", "türken", "polen", "russen"],
+    ["einwanderer", "flüchtlinge", "ausländer", "einheimische", "migranten"],
+    ["gehörlose", "blinde", "behinderte", "autisten"],
+    # French
+    ["musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "catholiques", "athées"],
+    ["musulman", "chrétien", "juif", "hindou", "bouddhiste", "catholique", "athée"],
+    ["noirs", "blancs", "asiatiques", "africains", "européens"],
+    ["homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"],
+    ["hommes", "femmes", "garçons", "filles"],
+    ["américains", "mexicains", "chinois", "indiens", "allemands", "français", "espagnols", "turcs", "polonais", "russes"],
+    ["immigrés", "réfugiés", "étrangers", "autochtones"],
+    ["sourds", "aveugles", "handicapés", "autistes"],
+    # Spanish
+    ["musulmanes", "cristianos", "judíos", "hindúes", "budistas", "católicos", "protestantes", "ateos"],
+    ["musulmán", "cristiano", "judío", "hindú", "budista", "católico", "ateo"],
+    ["negros", "blancos", "asiáticos", "hispanos", "africanos", "europeos"],
+    ["homosexuales", "lesbianas", "bisexuales", "heterosexuales"],
+    ["hombres", "mujeres", "chicos", "chicas"],
+    ["americanos", "mexicanos", "chinos", "indios", "alemanes", "franceses", "españoles", "turcos", "polacos", "rusos"],
+    ["inmigrantes", "refugiados", "extranjeros", "nativos"],
+    ["sordos", "ciegos", "discapacitados"],
 ]
 
 #: Labelled rows that the model is fitted on at most; the smallest by a hash of doc_id.
@@ -176,8 +208,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> dict:
     seen = F.col("bad") + F.col("good")
     expected = seen * F.lit(bad / n)
     identity = sorted({w for g in IDENTITY_TERMS for w in g})
+    barred = identity + sorted({f"{w[:k]}*" for w in identity for k in STEMS if len(w) >= k})
     chi = F.pow(F.col("bad") - expected, 2) / (expected * F.lit(1 - bad / n))
-    chosen = counts.filter((seen >= MIN_DOCS) & (F.col("bad") > expected) & (chi > MIN_CHI) & ~F.col("mark").isin(identity)).orderBy(chi.desc(), "mark").limit(MAX_WORDS)
+    chosen = counts.filter((seen >= MIN_DOCS) & (F.col("bad") > expected) & (chi > MIN_CHI) & ~F.col("mark").isin(barred)).orderBy(chi.desc(), "mark").limit(MAX_WORDS)
     words = sorted(r[0] for r in chosen.select("mark").collect()) + identity
     y, present = examples(texts, words)
     weights, bias = train(y, present, words)
