@@ -403,6 +403,19 @@ def test_licenses(docs, spark):
     assert licenses.licenses(docs).count() == len(cases.texts()) and licenses.licenses(cases.none(spark)).count() == 0
 
 
+def test_licenses_side_by_side(spark):
+    """A lightly edited notice stays beside another's exact one; of notices in the same place the fuller stays."""
+    mit = licenses.TEMPLATES[2][1].replace("free of charge", "free of any charge")
+    data = [
+        (1, f"{mit}. Licensed under the Apache License, Version 2.0.", "Apache-2.0,MIT"), (2, f"Licensed under CC BY 4.0. {mit}", "CC-BY-4.0,MIT"),
+        (3, f"Licensed under the BSD 2-Clause License. Released under the MIT License. {cases.prose(5, 40)} {mit}", "BSD-2-Clause,MIT"), (4, licenses.TEMPLATES[8][1], "GPL-2.0"),
+    ]
+    df = spark.createDataFrame([d[:2] for d in data], "doc_id long, text string")
+    assert {r.doc_id: r.licenses for r in licenses.licenses(df).collect()} == {i: want for i, _, want in data}
+    at = {(x.license, x.start, x.end) for r in licenses.matches(df).filter("doc_id = 2").collect() for x in r.found}
+    assert at == {("CC-BY-4.0", 0, 5), ("MIT", 5, 35)}
+
+
 # 10 token shards
 
 

@@ -64,10 +64,10 @@ def _masks(seed: int = 11) -> list[int]:
 
 
 def _bands(window: Column) -> list[Column]:
-    """For each band, the least of a window's hashes, each turned by the band's mask: any hash is as likely as another."""
+    """For each band, the least of a window's hashes, each hashed anew with the band's mask: any is as likely as another, in each band apart."""
 
     def turned(mask: int):
-        return lambda h: h.bitwiseXOR(F.lit(mask))
+        return lambda h: F.xxhash64(h, F.lit(mask))
 
     return [F.array_min(F.transform(window, turned(m))) for m in _masks()]
 
@@ -96,7 +96,8 @@ def templates(spark: SparkSession, texts: list[tuple[str, str]]) -> tuple[list[s
 def matches(docs: DataFrame, texts: list[tuple[str, str]] | None = None, contained: float = CONTAINED) -> DataFrame:
     """doc_id, found: array of (license, containment, start, end), a row for each document.
 
-    start and end count words: the retrieved window's reach, from where the template's shingles were verified.
+    start and end count words, from 0, end excluded: the shortest stretch with all of the template's shingles that a
+    retrieved window's surroundings have. A template is in found once for each place where it is verified.
     """
     names, known = templates(docs.sparkSession, texts or TEMPLATES)
     all_shingles = sorted({h for t in known for h in t["shingles"]})
@@ -114,18 +115,31 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] | None = None, contain
     h, windows = F.col("_h"), F.col("_windows")
 
     def verified(t: Column) -> Column:
-        """For each retrieved window, the share of the template's shingles in the text from a template's length before it on."""
+        """Places of retrieved windows with enough of the template's shingles in the text from a template's length before it on."""
         n = F.size(t["shingles"])
+        reach = 2 * n + WINDOW
         hit = F.filter(windows, lambda w: F.exists(t["bands"], lambda b: F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.get(w["bands"], k) == F.get(b, k))))
         checked = F.transform(hit, lambda w: F.struct(
-            (F.size(F.array_intersect(t["shingles"], F.slice(h, F.greatest(w["at"] - n, F.lit(0)) + 1, 2 * n + WINDOW))) / n).alias("containment"),
-            F.greatest(w["at"] - n, F.lit(0)).alias("start"), F.least(w["at"] + n + WINDOW, F.size(h)).alias("end")))
+            (F.size(F.array_intersect(t["shingles"], F.slice(h, F.greatest(w["at"] - n, F.lit(0)) + 1, reach))) / n).alias("containment"),
+            F.greatest(w["at"] - n, F.lit(0)).alias("low")))
         good = F.filter(checked, lambda x: x["containment"] >= contained)
-        return F.get(F.array_sort(good, lambda a, b: F.when(a["containment"] != b["containment"], F.when(a["containment"] > b["containment"], F.lit(-1)).otherwise(F.lit(1))).otherwise(a["start"] - b["start"])), F.lit(0))
+
+        def place(x: Column) -> Column:
+            text = F.slice(h, x["low"] + 1, reach)
+
+            def shortest(v: Column) -> Column:
+                begins = F.filter(F.transform(v["text"], lambda y, i: F.when(F.array_contains(v["common"], y), i)), lambda i: i.isNotNull())
+                firsts = F.transform(begins, lambda i: F.struct(i.alias("i"), F.transform(v["common"], lambda y: F.array_position(F.slice(v["text"], i + 1, reach), y)).alias("first")))
+                whole = F.filter(firsts, lambda f: F.array_min(f["first"]) > 0)
+                return F.array_min(F.transform(whole, lambda f: F.struct(F.array_max(f["first"]).cast("int").alias("n"), f["i"].alias("i"))))
+
+            best = F.transform(F.array(F.struct(text.alias("text"), F.array_intersect(t["shingles"], text).alias("common"))), shortest)
+            return F.get(F.transform(best, lambda s: F.struct(x["containment"].alias("containment"), (x["low"] + s["i"]).alias("start"), (x["low"] + s["i"] + s["n"] + 1).alias("end"))), F.lit(0))
+
+        return F.array_distinct(F.transform(good, place))
 
     licences = F.split(F.lit("\n".join(names)), "\n")
-    found = F.filter(F.transform(table, lambda t: F.struct(F.get(licences, t["number"]).alias("license"), verified(t).alias("at"))), lambda x: x["at"].isNotNull())
-    flat = F.transform(found, lambda x: F.struct(x["license"].alias("license"), x["at"]["containment"].alias("containment"), x["at"]["start"].alias("start"), x["at"]["end"].alias("end")))
+    flat = F.flatten(F.transform(table, lambda t: F.transform(verified(t), lambda x: F.struct(F.get(licences, t["number"]).alias("license"), x["containment"].alias("containment"), x["start"].alias("start"), x["end"].alias("end")))))
     empty = F.array().cast("array<struct<license: string, containment: double, start: int, end: int>>")
     df = df.select("doc_id", F.when(F.size("_windows") > 0, flat).otherwise(empty).alias("_found"))
     # of matches that overlap, those that another contains more of go: one version's notice nearly contains another's
