@@ -25,11 +25,11 @@ def _events(spark, d):
 
 
 def stream_edges(spark, d):
-    """Mails land in two files; the job runs after each, and once more when nothing is new."""
+    """Mails land in two parts; the job runs after each, and once more when nothing is new."""
     landing, out, marks = (_folder(spark, n) for n in ("landing", "edges", "marks"))
     m = mails(spark, d)
     for half in (0, 1):
-        m.filter(F.crc32("message_id") % 2 == half).coalesce(1).write.mode("append").parquet(landing)
+        m.filter(F.crc32("message_id") % 2 == half).write.mode("append").parquet(landing)
         jobs.build_edges(jobs.landed(spark, landing, m.schema), out, marks)
     jobs.build_edges(jobs.landed(spark, landing, m.schema), out, marks)
     return jobs.edges(spark, out)

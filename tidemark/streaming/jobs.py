@@ -25,10 +25,23 @@ def _run(df: DataFrame, checkpoint: str, batch) -> None:
 
 
 def build_edges(mails: DataFrame, folder: str, checkpoint: str) -> None:
-    """Adds the mails that have landed to a folder of partial edges, by batch: a batch that is repeated replaces its own part."""
+    """Adds the mails that have landed to a folder of partial edges, by batch: a batch that is repeated replaces its own part.
+
+    A message counts once, in the first batch that has it; the ids taken in stand by batch in a folder beside that of the edges.
+    """
     from ..operators.graph import knows
 
-    _run(mails, checkpoint, lambda df, n: knows(df.dropDuplicates(["message_id"])).drop("last_subject").write.mode("overwrite").parquet(f"{folder}/batch={n}"))
+    ids = f"{folder}-ids"
+
+    def batch(df, n):
+        new = df.dropDuplicates(["message_id"])
+        if n:  # each batch before has left its ids
+            taken = df.sparkSession.read.schema("message_id string, batch long").parquet(ids).filter(F.col("batch") < n)
+            new = new.join(taken, "message_id", "left_anti")
+        knows(new).drop("last_subject").write.mode("overwrite").parquet(f"{folder}/batch={n}")
+        df.select(F.col("message_id").cast("string")).distinct().write.mode("overwrite").parquet(f"{ids}/batch={n}")
+
+    _run(mails, checkpoint, batch)
 
 
 def edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,7 +67,7 @@ def windowed_counts(events: DataFrame, at: str, by: str, width: str, late: str)
 
 
 def fold(events: pd.DataFrame, state: tuple[int, int, int, int]) -> tuple[int, int, int, int]:
-    """A prospect's state after its events in order: `advance` moves on as far as the last phase, likes and comments count once a post."""
+    """A prospect's state after its events in order: `advance` moves on as far as the last phase, each like and comment counts; events carry no post."""
     phase, likes, comments, errors = state
     for kind in events["kind"]:
         if kind == "advance":
