@@ -127,6 +127,12 @@ def test_components_of_chains_and_families(spark, monkeypatch):
     assert rows(jaccard_join.linked(df, 3, 70)) == Counter(cases.components(data, 3, 70))
 
 
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 8])
+def test_shingle_sets_of_few_words(n):
+    for k in range(n + 1):
+        assert [len(s) for s in jaccard_join.shingle_sets(pa.array([" ".join("abcdefgh"[:k])]), n)] == [min(k, 1)]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10_000])
 def test_lists_keep_each_set_across_batches(spark, size):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)

@@ -54,7 +54,7 @@ def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
         edges = np.concatenate([[0], np.cumsum(real)])[lists.offsets.to_numpy()]
         words = of[code[real]]
         h = np.zeros(max(0, len(words) - n + 1), np.uint64)
-        for k in range(n):
+        for k in range(n if len(h) else 0):
             h = (h + words[k : len(words) - n + 1 + k]) * _MIX[k % 4]
         h = _finish(h)
         for s, e in zip(edges.tolist(), edges[1:].tolist()):
