@@ -423,7 +423,10 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component, that of the smallest doc_id; of repeated rows of one doc_id all but one go."""
+    """docs with one document of each component, that of the smallest doc_id; of repeated rows of one doc_id all but one go.
+
+    Rows with a null doc_id all stay, copies and near copies of others too: nothing tells which row they are.
+    """
     lost = linked(docs, words, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(small(cut(lost)), docs["doc_id"] == F.col("_id"), "left_anti")
     again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
