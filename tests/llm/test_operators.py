@@ -2,14 +2,19 @@
 
 import base64
 import hashlib
+import os
+import random
 import re
+import struct
 import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import fingerprints, jaccard_join, licenses, mixing, packing, pii, quality, token_store, tokens, toxicity, warc
@@ -17,6 +22,8 @@ from tidemark.llm.common import fresh_dir
 
 from . import cases
 
+TABLES = "/root/testdata/sf0.01"
+
 
 @pytest.fixture(scope="module")
 def docs(spark):
@@ -112,9 +119,14 @@ def test_components_match_brute_force(docs, spark, words, percent):
 
 def test_components_of_chains_and_families(spark, monkeypatch):
     """Groups whose members link to few others, over split lists and groups."""
-    monkeypatch.setattr(jaccard_join, "GROUP", 3)
-    monkeypatch.setattr(jaccard_join, "CHUNK", 500)
-    monkeypatch.setattr(jaccard_join, "LOCAL", 2)
+    for name, value in (("GROUP", 3), ("CHUNK", 500), ("LOCAL", 2), ("BLOCK", 2), ("HOT", 4)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    data = _families()
+    df = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(3)
+    assert rows(jaccard_join.linked(df, 3, 70)) == Counter(cases.components(data, 3, 70))
+
+
+def _families():
     data = []
     for f in range(4):
         base = cases.prose(50 + f, 60).split()
@@ -123,8 +135,79 @@ def test_components_of_chains_and_families(spark, monkeypatch):
             for j in range(k % 6):
                 w[(11 * j + 5 * (k % 4)) % 60] = f"e{j}" if k % 2 else f"e{k}x{j}"
             data.append((100 * f + k, " ".join(w), None))
-    df = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
-    assert rows(jaccard_join.linked(df, 3, 70)) == Counter(cases.components(data, 3, 70))
+    return data
+
+
+def _near_misses(n):
+    """Families of near copies whose members differ from other families' by less or more than a link takes, and long and short texts among them."""
+    base, data = cases.prose(61, 80).split(), []
+    for f in range(6):
+        own = list(base)
+        for j in range(f * 2):
+            own[(j * 13 + f) % 80] = f"f{f}x{j}"
+        for k in range(n):
+            w = list(own)
+            w[(7 * k) % 80] = f"k{k}f{f}"
+            w = w[: 80 - k % 17]
+            data.append((1000 * f + k, " ".join(w), None))
+    return data
+
+
+@pytest.mark.parametrize(("words", "percent"), [(2, 60), (3, 75), (4, 85)])
+def test_answers_derived_from_likes(spark, monkeypatch, words, percent):
+    """Sets of unlike components meet in lists, in split ones too, and their overlaps are derived from their leaders'."""
+    data = _near_misses(14)
+    df = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(3)
+    want = Counter(cases.components(data, words, percent))
+    assert rows(jaccard_join.linked(df, words, percent)) == want
+    for name, value in (("GROUP", 4), ("BLOCK", 3), ("HOT", 5), ("LOCAL", 2)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    derived, verify = [], jaccard_join._verify
+
+    def counting(pairs, sets_of, parts, percent, told=None):
+        out = verify(pairs, sets_of, parts, percent, told)
+        if told is not None:
+            derived.append(pairs.join(told, "b").count())
+            have = {r.doc_id: r.text for r in df.collect()}
+            sets = {jaccard_join._digest(s)[0]: set(s.tolist()) for t in have.values() for s in jaccard_join.shingle_sets(pa.array([t]), words)}
+            assert all(r.both == len(sets[r.a] & sets[r.b]) and r.n_a == len(sets[r.a]) and r.n_b == len(sets[r.b]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_verify", counting)
+    assert rows(jaccard_join.linked(df, words, percent)) == want
+    assert sum(derived) > 0 or (words, percent) != (3, 75)
+
+
+def test_near_copies_cost_about_their_number(spark, monkeypatch):
+    """5,000 near copies in lists of thousands, and a few sets of other components in the same lists."""
+    n, base = 5000, cases.prose(71, 60).split()
+    data = [(k, " ".join([*base[: 20 + k % 20], f"own{k}", *base[21 + k % 20 :]])) for k in range(n)]
+    data += [(n + k, " ".join([*base[: 8 + k], *(f"x{k}y{j}" for j in range(40))])) for k in range(5)]
+    compared, verify = [], jaccard_join._verify
+
+    def counting(pairs, *more, **named):
+        compared.append(pairs.count())
+        return verify(pairs, *more, **named)
+
+    monkeypatch.setattr(jaccard_join, "_verify", counting)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard_join.linked(df, 3, 80).collect()}
+    assert all(got[k] == 0 for k in range(n)) and all(got[n + k] == n + k for k in range(5))
+    assert sum(compared) < 2 * n
+
+
+def test_blocks_reach_all_pairs_that_may_link():
+    rng = np.random.default_rng(3)
+    for percent in (50, 80, 85):
+        make = lambda k: {"n": rng.integers(1, 60, k).astype(np.int32), "left": rng.integers(1, 9, k).astype(np.int32), "main": rng.integers(0, 2, k).astype(np.int32), "sid": np.arange(k)}
+        held, passing = make(200), make(150)
+        met = {(int(b["sid"][i]), int(passing["sid"][j])) for b in jaccard_join._blocks(held) for at, to in jaccard_join._reached(b, passing, percent) for i, j in zip(at, to)}
+        for i in range(200):
+            for j in range(150):
+                na, nb, m = int(held["n"][i]), int(passing["n"][j]), int(min(held["left"][i], passing["left"][j]))
+                link = (m + (percent * max(na, nb) + 99) // 100 - 1) * (100 + percent) >= percent * (na + nb) and 100 * min(na, nb) >= percent * max(na, nb)
+                assert (i, j) in met or not link or (na > nb and not passing["main"][j])
+        assert len(met) < 200 * 150 / 3
 
 
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 8])
@@ -137,8 +220,8 @@ def test_shingle_sets_of_few_words(n):
 def test_lists_keep_each_set_across_batches(spark, size):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     try:
-        many = [(t, s, 10, 0) for t, sets in enumerate(["AB", "A", "ABC", "BC", "C", "AC"]) for s in map(ord, sets) for _ in range(1 + (3 * t + s) % 4)]
-        got = rows(jaccard_join._lists(spark.createDataFrame(many, jaccard_join.ENTRY), 1))
+        many = [(t, s, 10, 0, 0) for t, sets in enumerate(["AB", "A", "ABC", "BC", "C", "AC"]) for s in map(ord, sets) for _ in range(1 + (3 * t + s) % 4)]
+        got = rows(jaccard_join._lists(spark.createDataFrame(many, f"{jaccard_join.ENTRY}, part int"), 1))
         assert got == Counter((t, ord(s), 10, 0) for t, sets in enumerate(["AB", "", "ABC", "BC", "", "AC"]) for s in sets)
         # copies of a text in many partitions; it shares one prefix shingle with the other
         data = [(i, "a b c d e f g h", None) for i in range(8)] + [(8, "x a b c d e f g h", None), (9, "a b c d e f g y", None)]
@@ -169,6 +252,36 @@ def test_keep_one(docs):
     assert ids[1] == 1 and not ids[2] and not ids[3] and ids[4] == 1 and ids[5] == 1 and ids[9] == 0 and ids[8] == 1
 
 
+def test_keep_one_of_repeated_and_null_ids(spark):
+    """Rows of one doc_id may be unlike; copies without an id go too; rows equal in id and text leave one; texts without words all stay."""
+    a, b, c = cases.prose(1, 80), cases.prose(2, 80), cases.prose(3, 80)
+    near = " ".join(["changed", *c.split()[1:]])
+    data = [(3, a), (7, a), (7, b), (None, a), (None, b), (9, c), (9, near), (9, near), (None, ""), (None, ""), (11, None), (None, near), (12, cases.prose(4, 80)), (12, cases.prose(4, 80)), (None, cases.prose(5, 80)), (None, cases.prose(5, 80))]
+    df = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in data], "doc_id long, text string, _id int, _key int, _text int, comp int").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in jaccard_join.keep_one(df).collect())
+    first = min((c, near), key=lambda t: next(r[0] for r in spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).collect()))
+    assert got == Counter([(3, a), (7, b), (9, first), (None, ""), (None, ""), (11, None), (12, cases.prose(4, 80)), (None, cases.prose(5, 80))])
+    assert jaccard_join.keep_one(df).columns == df.columns
+
+
+CLASHES = "doc_id long, text string, source string, _id int, _key int, _text int, _copies int, _source int, _again int, _of int, _rate int, _seed int, _group int, _rank int, at int, block int, rows int, comp int, size int, spans int, value int, term int, length int, _terms int, `_KEY_` int"
+
+
+def test_columns_with_clashing_names(spark):
+    """Whatever the operators name their helper columns, docs' own ones stay."""
+    n = CLASHES.count(" int")
+    df = spark.createDataFrame([(k, f"{cases.prose(k % 5, 90)} the and of to in is mail a{k}@b.cd", "s", *range(n)) for k in range(8)], CLASHES)
+    for f in (quality.keep_good, jaccard_join.keep_one, pii.redact, mixing.mix):
+        out = f(df)
+        assert out.columns == df.columns and all(r[3:] == tuple(range(n)) for r in out.collect())
+    for f in (fingerprints.fingerprints, quality.quality, jaccard_join.linked, pii.report, packing.packed, mixing.mixture, licenses.licenses, token_store.encoded):
+        assert f(df).count() == df.count()
+    pages = df.select("doc_id", "text", *df.columns[3:]).withColumnsRenamed({"doc_id": "page_id", "text": "html"}).withColumn("url", F.lit("http://a.b/c")).withColumns({c: F.lit(1) for c in ("_sha1", "urlkey", "refers_to", "bytes", "near", "shard")})
+    assert warc.archived(pages).count() == df.count()
+    labels = df.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"), "_id", "block", F.lit("x").alias("text"))
+    assert toxicity.toxicity(df, labels).count() == df.count()
+
+
 # 4 personal data
 
 
@@ -236,6 +349,38 @@ def test_encoder_is_the_tokenizer():
         assert ids.tobytes() == reference_ids(t).tobytes()
 
 
+_POOLS = ["abcTHWYJKIİıſßΣσς", "\u0331\u0323\u0300\u0301\u0308\u030a\u030c\u0307\u0344\u0340\u0345", " .,;:!?'\t\n\x0b\x1c\x85\xa0", "\u0958\ufb2a\ufb31\u00b9\u00b2\u00bd\u2167\ufb01\uff76\uff9e", "\u1112\u1161\u11ab한각", "'s't're'll"]
+
+
+def _strange(rng) -> str:
+    """A short text of characters that a normaliser or a pre-tokenizer may treat apart, and of any others."""
+    out = []
+    for _ in range(rng.randint(1, 14)):
+        k = rng.random()
+        if k < 0.65:
+            out.append(rng.choice(rng.choice(_POOLS)))
+        elif k < 0.9:
+            out.append(chr(rng.choice([rng.randrange(32, 0x250), rng.randrange(0x250, 0x3000), rng.randrange(0x3000, 0xD7FF), rng.randrange(0xE000, 0x110000)])))
+        else:
+            out.append(rng.choice(["<|endoftext|>", "<|STARTOFTEXT|>", "THE", "Don't", "x."]))
+    return "".join(out)
+
+
+def test_encoder_on_strange_texts():
+    rng = random.Random(5)
+    texts = ["İ.", "T\u0308", "straße! É? x1."] + [_strange(rng) for _ in range(20_000)]
+    for t, ids in zip(texts, tokens.encoder(tokens.default_path()).encode(pa.array(texts)), strict=True):
+        assert ids.tobytes() == reference_ids(t).tobytes(), ascii(t)
+
+
+@pytest.mark.skipif(not os.path.exists(TABLES), reason="no test tables here")
+def test_encoder_on_documents(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 1 << 18)
+    texts = pq.read_table(f"{TABLES}/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    for t, ids in zip(texts.to_pylist(), tokens.encoder(tokens.default_path()).encode(texts), strict=True):
+        assert ids.tobytes() == reference_ids(t).tobytes()
+
+
 def test_packing(docs, spark):
     got = packing.packed(docs, 512).toPandas()
     want = Counter()
@@ -304,12 +449,58 @@ def test_mixture(docs, spark):
     assert Counter(r.doc_id for r in mixed.select("doc_id").collect()) == +taken
 
 
+def _hash(seed, value):
+    """Spark's xxhash64 of a value after a hash: nulls pass it on."""
+    if value is None:
+        return seed
+    raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
+    return xxhash.xxh64_intdigest(raw, seed)
+
+
+def test_each_extra_copy_is_a_draw(docs):
+    """Copies are floor(rate) and one more where the hash of the seed, the doc_id and the text is below the fraction; of all seeds, a source has the best."""
+    per = {r.source: r for r in mixing.rates(mixing.sizes(docs), [5, 2, 1], 1.5, 2.0, 17).collect()}
+
+    def extra(i, t, seed):
+        key = _hash(42, t)
+        key -= (key >> 63) << 64
+        return _hash(_hash(xxhash.xxh64_intdigest(struct.pack("<i", seed), 42), i), key) >> 11
+
+    want, words = Counter(), {s: [0] * mixing.SEEDS for s in per}
+    for i, t, s in cases.texts():
+        r, size = per[s], len(cases.W.findall(t or ""))
+        part = r.rate - int(r.rate)
+        want[(i, s, size, (int(r.rate) + (extra(i, t, r.seed) / 2**53 < part)) * size)] += 1
+        for k in range(mixing.SEEDS):
+            words[s][k] += size * (extra(i, t, 17 + k) / 2**53 < part)
+    assert rows(mixing.mixture(docs).select("doc_id", "source", "size", "taken")) == want
+    for s, r in per.items():
+        off = [abs(w - (r.rate - int(r.rate)) * r.source_size) for w in words[s]]
+        assert off[r.seed - 17] == pytest.approx(min(off), abs=1e-6)
+
+
 def test_sources_come_near_their_targets(spark):
     df = spark.range(0, 3000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(1 + id * 31 % 200 as int))").alias("text"), F.when(F.col("id") < 1000, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
     got = mixing.mixture(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
     assert all(abs(r.taken - r.target) <= 0.01 * r.target + 200 for r in got)
 
 
+def test_many_sources(spark):
+    """Levels and weights over thousands of sources, whose places are numbered in ranges."""
+    df = spark.range(0, 5000).select(F.concat(F.lit("s"), F.lpad(F.col("id"), 5, "0")).alias("source"), (1 + F.col("id") * 7919 % 300).alias("source_size"))
+    got = {r.source: r for r in mixing.source_targets(df.repartition(4), [5, 2, 1], 1.5, 2.0).collect()}
+    total, full, level = sum(r.source_size for r in got.values()), set(), 0.0
+    names = sorted(got)
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    while True:
+        level = (1.5 * total - sum(2 * got[s].source_size for s in full)) / sum(weight[s] for s in names if s not in full)
+        more = {s for s in names if s not in full and level * weight[s] > 2 * got[s].source_size}
+        if not more:
+            break
+        full |= more
+    assert all(got[s].target == pytest.approx(min(2 * got[s].source_size, level * weight[s])) for s in names)
+
+
 # 7 WARC
 
 

@@ -5,15 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word, wherever an operator counts or takes words: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Most rows that a side of a join may have for it to be broadcast; a row of such a side is below about 100 bytes.
-BROADCAST_ROWS = 200_000
+#: Most rows, and bytes, that a side of a join may have for it to be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,10 +23,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where none is set."""
+    """The folder that driver and executors share (spark.checkpoint.dir); where none is set, a temporary one, on a local master alone."""
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not sc.getCheckpointDir():
+        if not path and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir isn't set: set it to a folder that driver and executors share")
         sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="tidemark-"))
         path = sc.getCheckpointDir()
     return re.sub(r"^file:/+", "file:///", path)
@@ -47,9 +51,60 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `limit` rows; else df, which Spark then joins by a shuffle. df should be cheap to count."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _width(name: str, kind: T.DataType) -> Column:
+    """About how many bytes a column takes in a row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(name) + F.lit(16)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(name))) + F.lit(32)
+    return F.lit(8)
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most `limit` rows and about `size` bytes; else df, which Spark then joins by a shuffle. df should be cheap to count."""
+    width = sum((F.coalesce(_width(f"`{f.name}`", f.dataType), F.lit(16)) for f in df.schema.fields), F.lit(16))
+    rows, bytes_ = df.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if rows <= limit and (bytes_ or 0) <= size else df
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that df has no column of, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """df with each row's place, from 0, in the order of all rows: sorted ranges are counted, and the counts before a range added up.
+
+    No task gets more than its range; what meets on the driver is a count for each. The rows should be narrow: they are kept.
+    """
+    part, place = free_names(df, "_range", "_place")
+    placed = cut(df.orderBy(*order).withColumn(part, F.spark_partition_id()).withColumn(place, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = {r[0]: r[1] for r in placed.groupBy(part).count().collect()}
+    before, firsts = 0, []
+    for k in sorted(counts):
+        firsts.append((k, before))
+        before += counts[k]
+    first = placed.sparkSession.createDataFrame(firsts or [(0, 0)], f"`{part}` int, `{name}` long")
+    return placed.join(F.broadcast(first), part).withColumn(name, F.col(name) + F.col(place)).select(*df.columns, name)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """While an action runs, Arrow batches have at most so many rows: for stages whose Python workers hold much besides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def open_fs(uri: str):

@@ -2,13 +2,18 @@
 
 1. Each document's set of shingle hashes gets a digest; equal sets are one set from here on.
 2. Sets are ordered with rare shingles first. Two sets can only link if they share a shingle of their prefixes: lists of
-   (shingle, set, size) are the index.
+   (shingle, set, size, position) are the index.
 3. Sets that stand in lists together are first compared with one set alone, the list's leader with whom they share most
-   lists: its answer tells their component and, as Jaccard distance is a metric, bounds all other answers.
-4. Lists whose sets are in one component by now hold nothing new. In the others, only pairs of different components are
-   looked at, in blocks by size: blocks out of reach are skipped, then pairs that the distances to a common leader or the
-   number of common prefix shingles rule out. All that is left is compared. So no link between different components is lost, and a group of n
-   near copies costs n comparisons.
+   lists: its answer tells their component, bounds other answers, as Jaccard distance is a metric, and leaves what a set
+   has more and less than its leader.
+4. A list whose sets are all in one component by now holds nothing new and is left out; in others, the sets of the
+   component that has most of it meet those of other components alone, not each other. Each list is cut into blocks by
+   position: a block is skipped for a set whose own place and size leave too few shingles for a link with any of the
+   block's, then within it all sizes out of reach, then pairs that the distances to a common leader or the number of
+   common prefix shingles rule out.
+5. All that is left is compared: a set's overlap with a leader is counted, and its overlap with each set like that leader
+   is derived from it by the few shingles that these have more or less.
+So no link between different components is lost, and a group of n near copies costs about n comparisons.
 
 Shingle hashes have 64 bits. Sets are known by 128 bits; the few, if any, that agree in 64 get other numbers.
 """
@@ -24,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, entering, small, stored, texts_of
+from .common import cut, entering, free_names, small, stored, texts_of
 
 #: Shingles of so many, counted in one go, are looked through for frequent ones; LOCAL of them in one go make one frequent.
 CHUNK, LOCAL = 2_000_000, 3
@@ -34,6 +39,10 @@ MAX_FREQUENT = 250_000
 EARLY = 10
 #: Members of a group that meet in one task: of a leader, of a list.
 GROUP = 512
+#: Entries of a list that are skipped together.
+BLOCK = 64
+#: A shingle of so many sets has its list dealt out to several tasks from the start.
+HOT = 5_000
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
 
 
@@ -92,13 +101,13 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, parts)], [x for x, _ in parts])
 
 
-SCANNED = "doc_id long, n int, hi long, lo long, shingle long, count long"
+SCANNED = "doc_id long, key long, n int, hi long, lo long, shingle long, count long"
 ENTRY = "shingle long, sid long, n int, pos int"
 SIGNED = np.int64
 
 
 def _scan(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of documents (doc_id, n, digest) and of shingles that are frequent in some chunk (shingle, count), in one reading."""
+    """Rows of documents (doc_id, key, n, digest) and of shingles that are frequent in some chunk (shingle, count), in one reading."""
 
     def scan(batches):
         entering("join")
@@ -108,7 +117,7 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
             got, n = np.unique(np.concatenate(held), return_counts=True)
             got, n = got[n >= LOCAL], n[n >= LOCAL]
             none = [None] * len(got)
-            return _batch(SCANNED, none, none, none, none, got.view(SIGNED), n)
+            return _batch(SCANNED, none, none, none, none, none, got.view(SIGNED), n)
 
         for batch in batches:
             ids, ns, his, los = batch.column("doc_id"), [], [], []
@@ -125,11 +134,11 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
                     yield frequent()
                     held, size, known = [], 0, set()
             none = [None] * len(ns)
-            yield _batch(SCANNED, ids, ns, his, los, none, none)
+            yield _batch(SCANNED, ids, batch.column("key"), ns, his, los, none, none)
         if size:
             yield frequent()
 
-    return docs.select("doc_id", "text").mapInArrow(scan, SCANNED)
+    return docs.select("doc_id", "key", "text").mapInArrow(scan, SCANNED)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -137,14 +146,14 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataFrame:
-    """Prefix entries of each set, a set once a task."""
+    """Prefix entries of each set, a set once a task; part is 0, or one of several for a hot shingle."""
 
     def scan(batches):
         entering("join")
         rare, counts = order.value
         number, seen = numbers.value, set()
         for batch in batches:
-            out = ([], [], [], [])
+            out = ([], [], [], [], [])
             for s in shingle_sets(batch.column("text"), words):
                 if len(s) and (sid := number(s)) not in seen:
                     if len(seen) < 200_000:
@@ -153,37 +162,49 @@ def _entries(docs: DataFrame, words: int, percent: int, numbers, order) -> DataF
                     at = np.searchsorted(rare, s)
                     at[at == len(rare)] = 0
                     count = np.where(rare[at] == s, counts[at], 0) if len(rare) else None
-                    own = s[np.lexsort((s, count))[:k]] if count is not None and count.any() else s[:k]
-                    for to, x in zip(out, (own.view(SIGNED), np.full(k, sid), np.full(k, len(s)), np.arange(k))):
+                    part = np.zeros(k, np.int64)
+                    if count is not None and count.any():
+                        first = np.lexsort((s, count))[:k]
+                        own = s[first]
+                        if (hot := count[first] // HOT).any():
+                            part = np.where(hot > 0, 1 + (sid & 0xFFFFFF) % (hot + 1), 0)
+                    else:
+                        own = s[:k]
+                    for to, x in zip(out, (own.view(SIGNED), np.full(k, sid), np.full(k, len(s)), np.arange(k), part)):
                         to.append(x)
             if out[0]:
-                yield _batch(ENTRY, *(np.concatenate(x) for x in out))
+                yield _batch(f"{ENTRY}, part int", *(np.concatenate(x) for x in out))
 
-    return docs.select("text").mapInArrow(scan, ENTRY)
+    return docs.select("text").mapInArrow(scan, f"{ENTRY}, part int")
 
 
 def _lists(entries: DataFrame, parts: int) -> DataFrame:
-    """Entries of lists of two sets at least, a set once a list. Of a list that goes on in the next batch, one row is kept."""
+    """Entries of lists of two sets at least, a set once a list. Of a list that goes on in the next batch, one row is kept.
+
+    Lists of hot shingles come in parts, each in a task; that they have many sets is known.
+    """
 
     def scan(batches):
         last = held = None  # the last row; the same if it wasn't sent, as it may be alone in its list
         for batch in batches:
-            t, s = batch.column("shingle").to_numpy(), batch.column("sid").to_numpy()
+            t, s, part = (batch.column(c).to_numpy() for c in ("shingle", "sid", "part"))
+            batch = batch.select(["shingle", "sid", "n", "pos"])
             if not len(t):
                 continue
             same = np.zeros(len(t), bool)  # list as the row before
             again = np.zeros(len(t), bool)  # and set
-            same[1:] = t[1:] == t[:-1]
+            same[1:] = (t[1:] == t[:-1]) & (part[1:] == part[:-1])
             again[1:] = same[1:] & (s[1:] == s[:-1])
             if last is not None:
-                same[0] = t[0] == last[0]
-                again[0] = same[0] and s[0] == last[1]
+                same[0] = (t[0], part[0]) == last[:2]
+                again[0] = same[0] and s[0] == last[2]
             more = np.zeros(len(t), bool)  # another set of the list follows, or has been before
             new = same & ~again
             more[new] = True
             list_no = np.cumsum(~same)
             many = np.zeros(list_no[-1] + 1, bool)
             many[list_no[new]] = True
+            many[list_no[part > 0]] = True
             if same[0] and many[0] and held is not None:  # another set follows here, though maybe after copies of this row
                 yield held
                 held = None
@@ -198,11 +219,11 @@ def _lists(entries: DataFrame, parts: int) -> DataFrame:
                     held = batch.slice(at, 1)
             else:
                 held = None
-            last = (t[-1], s[-1])
+            last = (t[-1], part[-1], s[-1])
             if keep.any():
                 yield batch.filter(pa.array(keep))
 
-    return entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "sid").mapInArrow(scan, ENTRY)
+    return entries.repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", "sid").mapInArrow(scan, ENTRY)
 
 
 def _prefixes(lists: DataFrame) -> DataFrame:
@@ -228,33 +249,70 @@ def _may_link(c, n_a, n_b, percent: int):
     return (c + rest) * (100 + percent) >= percent * (n_a + n_b)
 
 
-def _verify(pairs: DataFrame, sets_of, parts: int) -> DataFrame:
-    """a, b, both, n_a, n_b of pairs (a, b): each a's set once for each GROUP of its partners, which pass by one at a time.
+ANSWER = "a long, b long, both int, n_a int, n_b int, less binary, more binary"
+
+
+def _common(own: np.ndarray, s: np.ndarray) -> int:
+    """How many of s are in own; both are sorted and distinct."""
+    if not len(own):
+        return 0
+    at = np.searchsorted(own, s)
+    at[at == len(own)] = 0
+    return int((own[at] == s).sum())
 
-    sets_of gives (sid, items) joined to a table of sids.
+
+def _verify(pairs: DataFrame, sets_of, parts: int, percent: int, told: DataFrame | None = None) -> DataFrame:
+    """ANSWER of pairs (a, b): how many shingles both have.
+
+    told has (b, home, less, more): what sets b have less and more than a set like them, their home. Where it knows b,
+    a's overlap with the home is counted once and b's is derived from it. Else b's own set is compared, and less and
+    more are returned, the difference of b from a, if the two are similar. a's set stands once for GROUP of its
+    partners, which pass by one at a time. sets_of gives (sid, items) joined to a table of sids.
     """
-    groups = pairs.groupBy("a").count().select(F.col("a").alias("_a"), (F.col("count") / GROUP).cast("int").alias("_last"))
-    salted = pairs.join(groups, F.col("a") == F.col("_a")).select(F.col("b").alias("sid"), "a", F.pmod(F.xxhash64("b"), F.col("_last") + 1).cast("int").alias("part"), "b")
-    heads = groups.select(F.col("_a").alias("sid"), F.col("_a").alias("a"), F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(None).cast("long").alias("b"))
-    met = sets_of(cut(salted.unionByName(heads)))
+    if told is None:
+        pairs = pairs.select("a", "b", F.col("b").alias("home"), *(F.lit(None).cast("binary").alias(c) for c in ("less", "more")))
+    else:
+        pairs = pairs.join(told, "b", "left").withColumn("home", F.coalesce("home", "b"))
+    near = pairs.groupBy("a", "home").agg(F.count(F.lit(1)).alias("_c"))
+    groups = near.groupBy("a").agg((F.sum("_c") / GROUP).cast("int").alias("_last"))
+    near = near.filter(F.col("_c") > GROUP).select(F.col("a").alias("_a"), F.col("home").alias("_h"), (F.col("_c") / GROUP).cast("int").alias("_split"))
+    dealt = pairs.join(groups, "a").join(small(near), (F.col("a") == F.col("_a")) & (F.col("home") == F.col("_h")), "left")
+    turn = F.pmod(F.xxhash64("b"), F.coalesce("_split", F.lit(0)) + 1)
+    dealt = stored(dealt.select("a", F.pmod(F.xxhash64("home", turn), F.col("_last") + 1).cast("int").alias("part"), "home", "b", "less", "more"), "pairs")
+    # kind 0: a's own set; 1: a home's, with b if it is a partner itself; 2: a partner that is derived from its home
+    heads = dealt.select(F.col("a").alias("sid"), "a", "part", F.lit(0).alias("kind"), *(F.lit(None).cast("long").alias(c) for c in ("home", "b"))).distinct()
+    homes = dealt.groupBy("a", "part", "home").agg(F.max(F.when(F.col("home") == F.col("b"), F.col("b"))).alias("b"))
+    homes = homes.select(F.col("home").alias("sid"), "a", "part", F.lit(1).alias("kind"), "home", "b")
+    columns = ["a", "part", "kind", "home", "b"]
+    met = sets_of(cut(heads.unionByName(homes))).select(*columns, "items", *(F.lit(None).cast("binary").alias(c) for c in ("less", "more")))
+    met = met.unionByName(dealt.filter("home <> b").select("a", "part", F.lit(2).alias("kind"), "home", "b", F.lit(None).cast("binary").alias("items"), "less", "more"))
+    differences = told is None
 
     def compare(batches):
         entering("join")
-        key = own = None
+        key = own = shared = size = None
         for batch in batches:
-            out = ([], [], [], [], [])
-            for a, part, b, items in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b", "items"))):
-                s = np.frombuffer(items, np.uint64)
-                if b is None:
-                    key, own = (a, part), s
-                elif key == (a, part):
-                    both = len(np.intersect1d(own, s, assume_unique=True))
-                    for to, x in zip(out, (a, b, both, len(own), len(s))):
-                        to.append(x)
-            yield _batch("a long, b long, both int, n_a int, n_b int", *out)
-
-    met = met.select("a", "part", "b", "items").repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
-    return met.mapInArrow(compare, "a long, b long, both int, n_a int, n_b int")
+            out = ([], [], [], [], [], [], [])
+            for a, part, kind, home, b, items, less, more in zip(*(batch.column(c).to_pylist() for c in (*columns, "items", "less", "more"))):
+                if kind == 0:
+                    key, own = (a, part), np.frombuffer(items, np.uint64)
+                    continue
+                row = None
+                if kind == 1 and key == (a, part):
+                    s = np.frombuffer(items, np.uint64)
+                    shared, size = _common(own, s), len(s)
+                    if b is not None:
+                        near = differences and 100 * shared >= percent * (len(own) + size - shared)
+                        row = (a, b, shared, len(own), size, np.setdiff1d(own, s, assume_unique=True).tobytes() if near else None, np.setdiff1d(s, own, assume_unique=True).tobytes() if near else None)
+                elif kind == 2 and key == (a, part):
+                    less, more = np.frombuffer(less, np.uint64), np.frombuffer(more, np.uint64)
+                    row = (a, b, shared - _common(own, less) + _common(own, more), len(own), size - len(less) + len(more), None, None)
+                for to, x in zip(out, row or ()):
+                    to.append(x)
+            yield _batch(ANSWER, *out)
+
+    met = met.repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("home"), "kind")
+    return met.mapInArrow(compare, ANSWER)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -276,47 +334,92 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").union(e.select("b", F.col("b").alias("c")).distinct())
 
 
-def _across(entries: DataFrame, long: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of different components that stand in lists together and may link; entries have left, comp, home, away.
+def _mixed(entries: DataFrame) -> DataFrame:
+    """shingle, most, holds, passes of lists of several components: the component that has most sets, parts of the others' sets, and of all."""
+    counts = entries.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
+    lists = counts.groupBy("shingle").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("x")).filter("n > x.c")
+    return lists.select("shingle", F.col("x.comp").alias("most"), F.ceil((F.col("n") - F.col("x.c")) / GROUP).cast("int").alias("holds"), F.ceil(F.col("n") / GROUP).cast("int").alias("passes"))
 
-    long has the lists of more than GROUP sets, and how many parts they are split into. At two sets' first common list, they can't have more lists in common than either has left; pairs that would need
-    more there don't link. Each part of a long list stays in memory while all its sets pass by.
-    """
-    rows = entries.join(small(long), "shingle", "left").withColumn("_last", F.coalesce("_last", F.lit(0)))
-    columns = ["shingle", "sid", "n", "left", "comp", "home", "away"]
-    # role 0: stays in its part; 1: passes by; 2: both, in a list of one part
-    inner = rows.select(*columns, F.pmod(F.xxhash64("sid"), F.col("_last") + 1).cast("int").alias("part"), F.when(F.col("_last") == 0, 2).otherwise(0).alias("role"))
-    outer = rows.filter("_last > 0").select(*columns, F.explode(F.sequence(F.lit(0), "_last")).alias("part"), F.lit(1).alias("role"))
-    share = percent / 100
 
-    def met(block, rows):
-        """Rows of the block and of those that pass which may link; the block is sorted by size: most of it is out of reach."""
-        low = np.searchsorted(block["n"].astype(SIGNED) * 100, percent * rows["n"].astype(SIGNED), "left")
-        n = np.maximum(np.searchsorted(block["n"], rows["n"], "right") - low, 0)
-        ends = np.cumsum(n)
+def _blocks(held: dict[str, np.ndarray]) -> list[dict]:
+    """Entries of a list by falling rest of their prefixes, BLOCK at a time, each by size, with the longest rest."""
+    order = np.argsort(-held["left"], kind="stable")
+    out = []
+    for at in range(0, len(order), BLOCK):
+        some = order[at : at + BLOCK]
+        some = some[np.argsort(held["n"][some], kind="stable")]
+        out.append({c: x[some] for c, x in held.items()} | {"rest": int(held["left"][some].max())})
+    return out
+
+
+def _reached(block: dict, rows: dict[str, np.ndarray], percent: int):
+    """(place in the block, place in rows) of pairs that may link, some hundred thousand at once.
+
+    Of a row, with as many list shingles from its place on as it has or the block has at most, sizes in the block are
+    out of reach below and above a bound: for smaller sets as the larger one is given, for larger ones by the least
+    that the bound on both can be. Larger sets only count for rows of the list's main component, which isn't held.
+    """
+    n, size = block["n"].astype(SIGNED), rows["n"].astype(SIGNED)
+    m = np.minimum(block["rest"], rows["left"]).astype(SIGNED)
+    rest = (percent * size + 99) // 100 - 1
+    low = np.searchsorted(n * 100, percent * size, "left")
+    high = np.searchsorted(n, np.minimum(size, (m + rest) * (100 + percent) // percent - size), "right")
+    least = np.ceil((percent * size - m * (100 + percent)) * 100 / (percent * percent) - 1e-9)
+    low2 = np.maximum(np.searchsorted(n, size, "right"), np.searchsorted(n, least, "left"))
+    high2 = np.where(rows["main"] == 1, np.searchsorted(n * percent, size * 100, "right"), 0)
+    both = np.arange(len(size))
+    for begin, end in ((low, high), (low2, high2)):
+        k = np.maximum(end - begin, 0)
+        some = both[k > 0]
+        ends = np.cumsum(k[some])
         at = 0
-        while at < len(n):  # some hundred thousand pairs at once
+        while at < len(some):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 300_000, "right")))
-            k = n[at:to]
-            j = np.repeat(np.arange(at, to), k)
-            i = np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(low[at:to], k)
+            c = k[some[at:to]]
+            j = np.repeat(some[at:to], c)
+            yield np.arange(len(j)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin[some[at:to]], c), j
             at = to
-            na, nb = block["n"][i].astype(SIGNED), rows["n"][j].astype(SIGNED)
-            rest = (percent * nb + 99) // 100 - 1
-            ok = (np.minimum(block["left"][i], rows["left"][j]) + rest) * (100 + percent) >= percent * (na + nb)
-            ok &= block["comp"][i] != rows["comp"][j]
-            i, j, na, nb = i[ok], j[ok], na[ok], nb[ok]
-            ok = (na < nb) | (block["sid"][i] < rows["sid"][j])
-            ok &= (block["home"][i] != rows["home"][j]) | (np.abs(block["away"][i] - rows["away"][j]) <= 1 - share + 1e-9)
-            if ok.any():
-                yield _batch("a long, b long, n_a int, n_b int", block["sid"][i[ok]], rows["sid"][j[ok]], na[ok], nb[ok])
+
+
+def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of different components that stand in lists together and may link; entries have left, comp, home, away.
+
+    At two sets' first common list, they can't have more lists in common than either has left; pairs that would need
+    more there don't link. Sets of other components than a list's main one are held, in parts of GROUP; all of its sets
+    pass by each part, in parts of about GROUP too.
+    """
+    rows = entries.join(small(cut(_mixed(entries))), "shingle").withColumn("main", (F.col("comp") == F.col("most")).cast("int"))
+    columns = ["shingle", "sid", "n", "left", "comp", "home", "away", "main"]
+    one = (F.col("holds") == 1) & (F.col("passes") == 1)
+    place = lambda k: F.pmod(F.xxhash64("sid"), F.col(k)).cast("int")
+    upto = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
+    # role 0: held; 1: passes by; 2: both, in a list of one part
+    inner = rows.filter("main = 0 or (holds = 1 and passes = 1)").select(*columns, F.explode(F.when(one, F.array(F.lit(0))).otherwise(F.transform(upto("passes"), lambda j: place("holds") * F.col("passes") + j))).alias("part"), F.when(~one, 0).when(F.col("main") == 0, 2).otherwise(3).alias("role"))
+    outer = rows.filter("holds > 1 or passes > 1").select(*columns, F.explode(F.transform(upto("holds"), lambda i: i * F.col("passes") + place("passes"))).alias("part"), F.lit(1).alias("role"))
+    share = percent / 100
+
+    def met(blocks, rows):
+        for block in blocks:
+            for i, j in _reached(block, rows, percent):
+                ok = block["comp"][i] != rows["comp"][j]
+                i, j = i[ok], j[ok]
+                na, nb = block["n"][i].astype(SIGNED), rows["n"][j].astype(SIGNED)
+                rest = (percent * np.maximum(na, nb) + 99) // 100 - 1
+                ok = (np.minimum(block["left"][i], rows["left"][j]) + rest) * (100 + percent) >= percent * (na + nb)
+                ok &= (rows["main"][j] == 1) | (na < nb) | (block["sid"][i] < rows["sid"][j])
+                ok &= (block["home"][i] != rows["home"][j]) | (np.abs(block["away"][i] - rows["away"][j]) <= 1 - share + 1e-9)
+                if ok.any():
+                    yield _batch("a long, b long, n_a int, n_b int", block["sid"][i[ok]], rows["sid"][j[ok]], na[ok], nb[ok])
 
     def scan(batches):
         entering("join")
-        key, held, block = None, [], None
+        key, held, blocks = None, [], None
 
-        def together(held):
-            return {c: np.concatenate([h[c] for h in held]) for c in columns}
+        def ready():
+            """Blocks of what is held; what is both held and passes by meets itself."""
+            whole = {c: np.concatenate([h[c] for _, h in held]) for c in columns}
+            made = _blocks(whole)
+            return made, met(made, whole) if held[0][0] == 2 else ()
 
         for batch in batches:
             d = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "part", "role")}
@@ -324,20 +427,23 @@ def _across(entries: DataFrame, long: DataFrame, percent: int, parts: int) -> Da
             for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
                 if a == b:
                     continue
-                if (now := (d["shingle"][a], d["part"][a], d["role"][a] == 2)) != key:
-                    if key and key[2]:
-                        yield from met(whole := together(held), whole)
-                    key, held, block = now, [], None
+                if (now := (d["shingle"][a], d["part"][a])) != key:
+                    if held and blocks is None:
+                        yield from ready()[1]
+                    key, held, blocks = now, [], None
                 rows = {c: d[c][a:b] for c in columns}
-                if d["role"][a] != 1:
-                    held.append(rows)
+                if (role := int(d["role"][a])) in (0, 2):
+                    held.append((role, rows))
                 elif held:
-                    block = block or together(held)
-                    yield from met(block, rows)
-        if key and key[2]:
-            yield from met(whole := together(held), whole)
-
-    dealt = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", "role", "n", "sid")
+                    if blocks is None:
+                        blocks, own = ready()
+                        yield from own
+                    yield from met(blocks, rows)
+        if held and blocks is None:
+            yield from ready()[1]
+
+    order = F.when(F.col("role").isin(0, 2), 0).otherwise(1)
+    dealt = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", order, "n", "sid")
     return dealt.mapInArrow(scan, "a long, b long, n_a int, n_b int").distinct()
 
 
@@ -347,18 +453,13 @@ def _may_link_exactly(pairs: DataFrame, prefixes: DataFrame, percent: int) -> Da
     return met.filter(_may_link(F.size(F.array_intersect("_a", "_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents link when their sets' Jaccard similarity is percent / 100 or more.
-
-    component_id is the smallest doc_id that links reach. A text without words, or null, has an empty set and links with
-    nothing; equal sets link, so repeated rows share a component; null doc_ids count for nobody's component_id but get
-    one from others they link with. An empty table gives no rows.
-    """
+def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, key (the text's hash), n, sid, comp of each document: the size and number of its set, and one set's number for each component."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     scanned = stored(_scan(docs, words), "sets")
-    members = scanned.filter("n is not null").select("doc_id", "n", "hi", "lo")
+    members = scanned.filter("n is not null").select("doc_id", "key", "n", "hi", "lo")
     shared = members.filter("n > 0").select("hi", "lo").distinct()
     clash = shared.groupBy("hi").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").join(shared, "hi").select("hi", "lo").collect()
     others = {(r.hi, r.lo): xxhash.xxh64_intdigest(f"{r.hi} {r.lo}") - (1 << 63) for r in clash}  # none, as good as always
@@ -374,7 +475,6 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     prefixes = stored(_prefixes(_lists(_entries(docs, words, percent, numbers, order), parts)), "prefixes")
     lists = _entries_of(prefixes)
-    long = cut(lists.groupBy("shingle").agg((F.count(F.lit(1)) / GROUP).cast("int").alias("_last")).filter("_last > 0"))
     least = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def take(batches):
@@ -403,7 +503,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     met = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
     best = met.groupBy("b", "n_b").agg(F.max(F.struct("c", "a", "n_a")).alias("x")).select("x.a", "b", "x.n_a", "n_b")
     best = cut(_may_link_exactly(best, prefixes, percent))
-    first = cut(_verify(best, sets_of, parts))
+    first = stored(_verify(best, sets_of, parts, percent), "first")
     union = F.col("n_a") + F.col("n_b") - F.col("both")
     good = 100 * F.col("both") >= percent * union
     edges = first.filter(good).select("a", "b")
@@ -413,25 +513,53 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     known = cut(found.withColumnRenamed("node", "sid").join(homes, "sid", "full"))
     told = prefixes.join(small(known), "sid", "left").select("sid", "n", "items", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
     entries = _entries_of(told, "comp", "home", "away").drop("m")
-    second = _verify(cut(_may_link_exactly(_across(entries, long, percent, parts), prefixes, percent)), sets_of, parts)
+    left = cut(_may_link_exactly(_across(entries, percent, parts), prefixes, percent))
+    like = first.filter("less is not null").select("b", F.col("a").alias("home"), "less", "more")
+    second = _verify(left, sets_of, parts, percent, like)
     found = cut(components(edges.union(second.filter(good).select("a", "b"))))
+    for shared in (numbers, order):
+        shared.unpersist()
+    out = members.join(found.withColumnRenamed("node", "sid"), "sid", "left")
+    return out.select("doc_id", "key", "n", "sid", F.coalesce("component", "sid").alias("comp"))
+
 
-    grouped = members.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
-    first_id = grouped.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
-    out = grouped.join(small(cut(first_id.filter("size > 1").select("comp", "least"))), "comp", "left")
+def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id: documents link when their sets' Jaccard similarity is percent / 100 or more.
+
+    component_id is the smallest doc_id that links reach. A text without words, or null, has an empty set and links with
+    nothing; equal sets link, so repeated rows share a component; null doc_ids count for nobody's component_id but get
+    one from others they link with. An empty table gives no rows. Texts of any length are cut into shingles whole; docs'
+    other columns play no part, whatever their names; ties in any order only decide what is compared first.
+    """
+    members = grouped(docs, words, percent)
+    first_id = members.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
+    out = members.join(small(cut(first_id.filter("size > 1").select("comp", "least"))), "comp", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component, that of the smallest doc_id; of repeated rows of one doc_id all but one go.
+    """docs with one row of each component: that of the smallest doc_id, nulls last, of several texts under it that of the smallest hash.
 
-    Rows with a null doc_id all stay, copies and near copies of others too: nothing tells which row they are.
+    Of rows that share doc_id and text with the one that stays, one stays. Rows without a word, and null texts, link
+    with nothing, so all of them stay. An empty table gives an empty one. docs' columns may have any names.
     """
-    lost = linked(docs, words, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(small(cut(lost)), docs["doc_id"] == F.col("_id"), "left_anti")
-    again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    again = cut(again)
+    members = cut(grouped(docs, words, percent).filter("n > 0").groupBy("comp", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows")))
+    best = members.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x"), F.sum("rows").alias("all")).filter(F.col("all") > 1)
+    best = cut(best.select(F.col("comp").alias("c"), F.col("x.doc_id").alias("i"), F.col("x.key").alias("k")))
+    met = members.join(small(best), F.col("comp") == F.col("c"))
+    stays = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k"))
+    i, k, key = free_names(docs, "_id", "_key", "_text")
+    rows = docs.withColumn(key, F.xxhash64("text"))
+
+    def those(df: DataFrame) -> DataFrame:
+        return cut(df.select(F.col("doc_id").alias(i), F.col("key").alias(k)).distinct())
+
+    def joined(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return df.join(small(keys), F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(k)), how)
+
+    kept = joined(rows, those(met.filter(~stays)), "left_anti")
+    again = those(met.filter(stays & (F.col("rows") > 1)))
     if again.isEmpty():
-        return kept
-    repeated = kept.join(small(again), kept["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(small(again), kept["doc_id"].eqNullSafe(F.col("_id")), "left_anti").unionByName(repeated)
+        return kept.drop(key)
+    one = joined(kept, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return joined(kept, again, "left_anti").unionByName(one).drop(key)

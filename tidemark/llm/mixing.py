@@ -1,14 +1,21 @@
-"""Mixing sources to target weights: repetition rates by source, whole copies and one hash-seeded Bernoulli copy."""
+"""Mixing sources to target weights: repetition rates by source, whole copies and one hash-seeded Bernoulli copy.
+
+A document's extra copy is a draw of its own: a hash of its doc_id, its text and its source's seed, as a number from 0 up
+to 1, lies below the fraction of its source's rate. The seed is one of SEEDS for each source, the one whose draws bring
+the source's words nearest to its target: each of them alone is a draw with the fraction as its chance.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, WORD, cut, unit_hash
+from .common import WORD, cut, free_names, numbered, small, unit_hash
 
-#: Parts of the hash's range whose words are totalled for each source, to set where its extra copies end.
-BINS = 1024
+#: Seeds that a source's draws are tried with. Few long documents make a source miss its target by much with one seed alone.
+SEEDS = 32
+#: Sources whose levels are found in one round of sums; rounds end when no further source reaches its cap.
+MAX_ROUNDS = 10_000
 
 
 def n_words(text: Column) -> Column:
@@ -16,81 +23,81 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def source_targets(sized: DataFrame, weights: list[float], share: float, cap: float) -> DataFrame:
-    """source, source_size, target, rate: a row for each source of (source, size).
+def source_targets(per: DataFrame, weights: list[float], share: float, cap: float) -> DataFrame:
+    """source, source_size, target, rate of sources (source, source_size), a row each.
 
-    Sources by code point, null last, take the weights in turn; `share` times all sizes is dealt out by weight, no
-    source above `cap` times its size. Targets are min(cap * size, level * weight) at the one level that spends the
-    whole amount; with sources by rising cap / weight, it is the largest of the levels that follow when all sources
-    before one are at their cap. Only the table of sources, a row each, meets in one task.
+    Sources by code point, null last, take the weights in turn; `share` times all sizes is dealt out by weight. Sources
+    above `cap` times their size stop there, and what is left is dealt out anew to the others, until none is above.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    w = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("rank") % len(weights) + 1).cast("int"))
-    ranked = per.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).withColumn("weight", w)
+    w = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("place") % len(weights) + 1).cast("int"))
+    table = cut(numbered(per, [F.col("source").asc_nulls_last()], "place").withColumn("weight", w))
     most = F.col("source_size") * F.lit(float(cap))
-    ordered = Window.orderBy(most / F.col("weight"), F.col("rank"))
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum(most).over(before), F.lit(0.0))
-    level = left / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    out = ranked.withColumn("level", level).withColumn("level", F.max("level").over(everything))
-    out = out.withColumn("target", F.least(most, F.col("level") * F.col("weight")))
-    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(F.lit(0.0))
-    return out.withColumn("rate", rate).select("source", "source_size", "target", "rate")
-
-
-def copies_of(sized: DataFrame, weights: list[float], share: float, cap: float, seed: int) -> DataFrame:
-    """sized(doc_id, source, size) with source_size, target and copies.
-
-    A document is taken floor(rate) times, and once more if its hash is below its source's cut. The cut is the rate's
-    fraction, counted in words instead of documents: the words of BINS equal parts of the hash's range are totalled by
-    source, and the parts up to where these reach the fraction give the copy. So even a source of a few long documents
-    comes near its target. All is decided by (doc_id, seed) and totals, so reruns agree.
-    """
-    spark = sized.sparkSession
-    sized = sized.withColumn("part", F.floor(unit_hash(F.col("doc_id"), seed=seed) * BINS).cast("int"))
-    targets = cut(source_targets(sized, weights, share, cap))
-    n = targets.count()
-    hint = F.broadcast if n <= BROADCAST_ROWS else lambda df: df
-    upto = Window.partitionBy("source").orderBy("part")
-    parts = sized.groupBy("source", "part").agg(F.sum("size").alias("words"))
-    parts = parts.join(hint(targets).withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-    wanted = (F.col("rate") - F.floor("rate")) * F.col("source_size")
-    so_far = F.sum("words").over(upto)
-    # a part is taken if that brings the sum nearer: half of its words at least are still wanted
-    parts = parts.withColumn("taken", so_far - F.col("words") / 2.0 <= wanted)
-    cuts = parts.groupBy("source").agg(F.max(F.when(F.col("taken"), F.col("part"))).alias("cut"))
-    targets = targets.join(hint(cuts).withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-    # `of`: null sources join too
-    dealt = sized.join(hint(cut(targets)).withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    extra = (F.col("rate") > F.floor("rate")) & (F.col("part") <= F.coalesce("cut", F.lit(-1)))
-    return dealt.withColumn("copies", (F.floor("rate") + extra.cast("int")).cast("int")).drop("part", "cut", "rate")
+    total = (table.agg(F.sum("source_size")).first()[0] or 0) * float(share)
+    level, full = 0.0, -1
+    for _ in range(MAX_ROUNDS):  # levels rise, so a source that is at its cap stays there
+        capped = (most <= F.col("weight") * F.lit(level)) if full >= 0 else F.lit(False)
+        n, spent, free = table.agg(F.count_if(capped), F.sum(F.when(capped, most)), F.sum(F.when(~capped, F.col("weight")))).first()
+        if n == full or not free:
+            break
+        level, full = (total - (spent or 0.0)) / free, n
+    level = F.lit(level) if full >= 0 and free else F.lit(float("inf"))
+    target = F.least(most, level * F.col("weight"))
+    rate = F.when(F.col("source_size") > 0, F.least(target / F.col("source_size"), F.lit(float(cap)))).otherwise(F.lit(0.0))
+    return table.select("source", "source_size", target.alias("target"), rate.alias("rate"))
+
+
+def draw(doc_id: Column, key: Column, seed: Column | int) -> Column:
+    """A document's number from 0 up to 1, by its doc_id, its text's hash and a seed."""
+    seed = seed if isinstance(seed, Column) else F.lit(seed)
+    return F.shiftrightunsigned(F.xxhash64(seed.cast("int"), doc_id, key), 11) / F.lit(float(1 << 53))
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size of each document; kept, as both the totals and the documents need them and only counting takes time."""
-    return cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+    """doc_id, source, size, key (its text's hash) of each document; kept, as both the totals and the documents need them and only counting takes time."""
+    return cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("key")))
+
+
+def rates(sized: DataFrame, weights: list[float], share: float, cap: float, seed: int) -> DataFrame:
+    """source, source_size, target, rate, seed: what decides how often each document of a source is taken."""
+    targets = cut(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
+    fractions = small(targets.select(F.col("source").alias("of"), (F.col("rate") - F.floor("rate")).alias("fraction")))
+    met = sized.join(fractions, F.col("source").eqNullSafe(F.col("of")))
+    words = lambda k: F.sum(F.when(draw(F.col("doc_id"), F.col("key"), seed + k) < F.col("fraction"), F.col("size")).otherwise(F.lit(0)))
+    drawn = met.groupBy("source").agg(F.array(*(words(k) for k in range(SEEDS))).alias("words")).withColumnRenamed("source", "of")
+    wanted = (F.col("rate") - F.floor("rate")) * F.col("source_size")
+    off = F.transform("words", lambda w, k: F.struct(F.abs(w - wanted).alias("off"), (k + F.lit(seed)).cast("int").alias("seed")))
+    out = targets.join(small(cut(drawn)), F.col("source").eqNullSafe(F.col("of")), "left")
+    return cut(out.select("source", "source_size", "target", "rate", F.coalesce(F.array_min(off)["seed"], F.lit(seed)).alias("seed")))
+
+
+def times_taken(doc_id: Column, key: Column, rate: Column, seed: Column) -> Column:
+    return (F.floor(rate) + (draw(doc_id, key, seed) < rate - F.floor(rate)).cast("int")).cast("int")
 
 
 def mixture(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 17) -> DataFrame:
     """What the mix takes of each document: doc_id, source, size, source_size, target, copies, taken.
 
-    Null texts have size 0; null sources are one source, the last; repeated rows get a row each; an empty table gives
-    an empty one. Sources hold any share of the rows: totals are combined before they are shuffled.
+    Null texts have size 0; null sources are one source, the last; repeated rows get a row each, and those of one doc_id,
+    text and source one draw, while rows of one doc_id, or of none, with other texts have draws of their own. An empty
+    table gives an empty one. Texts of any length are counted whole; docs' other columns play no part. Reruns agree.
+    Sources hold any share of the rows: totals are combined before they are shuffled, and a source's rate is joined to
+    documents by broadcast, or, beyond a bound, by a join that splits what is hot.
     """
-    return copies_of(sizes(docs), weights, share, cap, seed).withColumn("taken", F.col("size") * F.col("copies"))
+    sized = sizes(docs)
+    per = rates(sized, weights, share, cap, seed).withColumnRenamed("source", "of")
+    met = sized.join(small(per), F.col("source").eqNullSafe(F.col("of")))
+    out = met.withColumn("copies", times_taken(F.col("doc_id"), F.col("key"), F.col("rate"), F.col("seed")))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 17) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with docs' columns.
+    """The mix itself: each document as many times as `mixture` takes it, with docs' columns, whatever their names.
 
-    Rates are fixed by totals over all documents, then documents are repeated where they are read: texts aren't shuffled.
+    Rates are fixed by totals over all documents, then documents are repeated where they are read: texts aren't
+    shuffled. Nulls, empty texts, repeated rows and empty tables count as in `mixture`.
     """
-    sized = sizes(docs)
-    rates = cut(copies_of(sized, weights, share, cap, seed).groupBy("doc_id", "source").agg(F.max("copies").alias("_copies")))
-    rates = rates.filter("_copies <> 1").withColumnsRenamed({"doc_id": "_id", "source": "_source"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    hint = F.broadcast if rates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lambda df: df
-    n = F.coalesce("_copies", F.lit(1))
-    out = docs.join(hint(rates), same, "left").filter(n > 0)
-    return out.withColumn("_again", F.explode(F.sequence(F.lit(1), n))).select(*[out[c] for c in docs.columns])
+    of, rate, own, n, again = free_names(docs, "_of", "_rate", "_seed", "_copies", "_again")
+    per = rates(sizes(docs), weights, share, cap, seed).select(F.col("source").alias(of), F.col("rate").alias(rate), F.col("seed").alias(own))
+    out = docs.join(small(per), docs["source"].eqNullSafe(F.col(of)))
+    out = out.withColumn(n, times_taken(F.col("doc_id"), F.xxhash64("text"), F.col(rate), F.col(own))).filter(F.col(n) > 0)
+    return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

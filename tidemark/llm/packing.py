@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, free_names, small, small_batches
 from .tokens import default_path, encoder
 
 #: Ranks are counted within groups of at most about so many pieces.
@@ -175,22 +175,23 @@ def pack(rows: DataFrame, capacity: int, order: list[str]) -> DataFrame:
     histogram = {r[0]: r[1] for r in rows.groupBy("length").count().collect()}  # at most `capacity` rows
     groups = max(8, sum(histogram.values()) // RANK_GROUP)
     table = spark.sparkContext.broadcast(places(runs_of(histogram, capacity)))
-    rows = rows.withColumn("_group", F.pmod(F.xxhash64(*order), F.lit(groups)).cast("int"))
-    counts = rows.groupBy("length", "_group").count()
-    before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select("length", "_group", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
-    local = F.row_number().over(Window.partitionBy("length", "_group").orderBy(*order)) - 1
-    ranked = rows.withColumn("_local", local).join(small(cut(firsts)), ["length", "_group"])
-    ranked = ranked.select(*rows.columns[:-1], (F.col("_first") + F.col("_local")).cast("long").alias("_rank"))
+    group, first, place, rank = free_names(rows, "_group", "_first", "_local", "_rank")
+    rows = rows.withColumn(group, F.pmod(F.xxhash64(*order), F.lit(groups)).cast("int"))
+    counts = rows.groupBy("length", group).agg(F.count(F.lit(1)).alias(first))
+    before = Window.partitionBy("length").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("length", group, F.coalesce(F.sum(first).over(before), F.lit(0)).alias(first))
+    local = F.row_number().over(Window.partitionBy("length", group).orderBy(*order)) - 1
+    ranked = rows.withColumn(place, local).join(small(cut(firsts)), ["length", group])
+    ranked = ranked.select(*rows.columns[:-1], (F.col(first) + F.col(place)).cast("long").alias(rank))
 
     def find(batches):
         t = table.value
         key = (t[:, 0] << 48) + t[:, 1]
         for batch in batches:
-            length, rank = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("length", "_rank"))
-            row = t[np.searchsorted(key, (length << 48) + rank, "right") - 1]
+            length, at = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("length", rank))
+            row = t[np.searchsorted(key, (length << 48) + at, "right") - 1]
             own = [batch.column(n) for n in kept]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(row[:, 2] + rank - row[:, 1]), pa.array(row[:, 3])], names)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(row[:, 2] + at - row[:, 1]), pa.array(row[:, 3])], names)
 
     kept = rows.columns[:-1]
     names = [*kept, "sequence_id", "offset"]
@@ -202,6 +203,10 @@ def packed(docs: DataFrame, capacity: int = 4096, path: str | None = None, end_i
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document.
 
     A null or empty text is the end id alone. Repeated rows are packed each. Null doc_ids stay null. An empty table
-    gives an empty one. Texts are encoded once, where they are read; only rows of six numbers are shuffled.
+    gives an empty one. Texts of any length are encoded whole; docs' other columns play no part, whatever their names.
+    Rows that tie in doc_id, piece and ids are interchangeable. Texts are encoded once, where they are read; only rows of
+    six numbers are shuffled.
     """
-    return pack(cut(pieces(docs, capacity, path, end_id)), capacity, ["doc_id", "piece", "ids_crc32"])
+    with small_batches(docs.sparkSession):
+        cut_up = cut(pieces(docs, capacity, path, end_id))
+    return pack(cut_up, capacity, ["doc_id", "piece", "ids_crc32"])

@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, small
+from .common import WORD, cut, free_names, small
 
 # Frequent short words of the languages at hand.
 COMMON_WORDS = ["the", "and", "of", "to", "in", "is", "that", "der", "die", "und", "von", "den", "das", "le", "la", "les", "des", "et", "que", "un", "el", "los", "de", "en", "y"]
@@ -123,14 +123,20 @@ def judged(feats: DataFrame, min_words: int = 50, most_repeated: int = 50, thres
 def quality(docs: DataFrame, keep: list[str] = ("doc_id",)) -> DataFrame:
     """A row for each document: keep, features, votes, base_failed, quality, kept.
 
-    Null texts have no words and fail the base; repeated rows get a row each; an empty table gives none. Texts are read
-    once: their features, a few numbers each, are kept for the two passes over them.
+    Null texts have no words and fail the base; repeated rows get a row each; an empty table gives none. Texts of any
+    length count whole; docs' other columns play no part, whatever their names. Equal posteriors get equal verdicts.
+    Texts are read once: their features, a few numbers each, are kept for the two passes over them.
     """
     return judged(cut(features(docs, keep=keep)))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """docs without the documents that fail; a document is known by its doc_id and its text's hash."""
+    """docs without the documents that fail; a document is known by its doc_id and its text's hash, so repeated rows go or stay together.
+
+    Null and empty texts go, as they fail the base; an empty table gives an empty one. docs' columns may have any names.
+    """
+    key, i, k = free_names(docs, "_text", "_id", "_key")
     marked = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    failed = quality(marked, ["doc_id", "key"]).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    return docs.join(small(cut(failed)), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left_anti")
+    failed = quality(marked, ["doc_id", "key"]).filter("not kept").select(F.col("doc_id").alias(i), F.col("key").alias(k)).distinct()
+    rows = docs.withColumn(key, F.xxhash64("text"))
+    return rows.join(small(cut(failed)), F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(k)), "left_anti").drop(key)

@@ -4,11 +4,15 @@ A text's ids are the ids of its words in turn: the pre-tokenizer of the given fi
 token, and its normaliser works on single characters and combining sequences. `split` holds after this was tried on
 probes; a tokenizer that fails them encodes whole texts. Words are split and made distinct by Arrow, so Python looks at
 each distinct word of a batch once.
+
+Letters A to Z are put into lower case beforehand, so that a word is one word in each case; not in texts with combining
+marks, as some letters form one character with a mark in lower case alone, nor where special tokens may stand.
 """
 
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +21,15 @@ import pyarrow.compute as pc
 
 from .common import entering, texts_of
 
-#: Words in the newer half of a worker's cache; beyond, it becomes the older half, from which words in use come back.
-CACHE_WORDS = 250_000
+#: Bytes that the newer half of a worker's cache takes; beyond, it becomes the older half, from which words in use come back. Longer words than LONGEST aren't kept.
+CACHE_BYTES, LONGEST = 8 << 20, 64
+#: Bytes of text whose words are looked up at once.
+STRETCH = 2 << 20
 _ENDS = frozenset(".,;:!?")
-_PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?", "")
+_MARKS = r"[\x{300}-\x{36F}]"
+_PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?", "İ. T\u0308 H\u0331! x\u0301.", "")
+#: Letters and digits after which a point or the like is a token of its own: the normaliser turns each into one letter or digit.
+_WHOLE = frozenset(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] in "LN" and unicodedata.normalize("NFC", c) == c and len(c.lower()) == 1 and unicodedata.category(c.lower())[0] in "LN")
 
 
 class Encoder:
@@ -37,14 +46,15 @@ class Encoder:
             self.last[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.kept = 0
         self.split = all(self._by_word(pa.array([t]))[0].tobytes() == self._whole(t).tobytes() for t in _PROBES)
-        self.cache.clear()
 
     def _whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Words of letters alone are one pre-token each, so many of them are encoded in one go and cut at word ends."""
+        out: dict[str, bytes] = {}
         letters = [w for w in words if w.isalpha()] if self.last.any() else []
         for at in range(0, len(letters), 4096):
             part = letters[at : at + 4096]
@@ -53,34 +63,46 @@ class Encoder:
             if len(ends) == len(part) and ends[-1] == len(ids):
                 raw, begin = ids.tobytes(), 0
                 for w, end in zip(part, (ends * 4).tolist()):
-                    self.cache[w] = raw[begin:end]
+                    out[w] = raw[begin:end]
                     begin = end
-        rest = [w for w in words if w not in self.cache]
-        for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            self.cache[w] = np.asarray(e.ids, "<u4").tobytes()
+        rest = [w for w in words if w not in out]
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
+            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
+                out[w] = np.asarray(e.ids, "<u4").tobytes()
+        return out
+
+    def _keep(self, words: dict[str, bytes]) -> None:
+        short = {w: x for w, x in words.items() if len(w) <= LONGEST}
+        if self.kept > CACHE_BYTES:
+            self.old, self.cache, self.kept = self.cache, {}, 0
+        self.cache.update(short)
+        self.kept += sum(map(len, short)) + sum(map(len, short.values())) + 200 * len(short)
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """Of distinct words; one that ends in a point or the like after a letter or digit is looked up without it."""
-        if len(self.cache) > CACHE_WORDS:
-            self.old, self.cache = self.cache, {}
+        """Of distinct words; one that ends in a point or the like after a letter or digit of _WHOLE is looked up without it."""
         ids = list(map(self.cache.get, words))
         new = {w for w, x in zip(words, ids) if x is None}
-        if new:
-            self.cache.update((w, x) for w in new if (x := self.old.get(w)) is not None)
-            new.difference_update(self.cache)
-            cut = [w for w in new if len(w) > 1 and w[-1] in _ENDS and w[-2].isalnum() and "<|" not in w]
-            whole = new.difference(cut)
-            for w in cut:
-                whole.add(w[:-1])
-                whole.add(w[-1])
-            self._learn([w for w in whole if w not in self.cache])
-            for w in cut:
-                self.cache[w] = self.cache[w[:-1]] + self.cache[w[-1]]
-            ids = list(map(self.cache.__getitem__, words))
-        return ids
+        if not new:
+            return ids
+        got = {w: x for w in new if (x := self.old.get(w)) is not None}
+        new.difference_update(got)
+        cut = [w for w in new if len(w) > 1 and w[-1] in _ENDS and w[-2] in _WHOLE and "<|" not in w]
+        whole = new.difference(cut)
+        parts = {x for w in cut for x in (w[:-1], w[-1])} - whole
+        known = {w: x for w in parts if (x := self.cache.get(w) or self.old.get(w)) is not None}
+        learnt = self._learn([*whole, *(parts - known.keys())])
+        known |= learnt
+        got |= learnt
+        for w in cut:
+            got[w] = known[w[:-1]] + known[w[-1]]
+        self._keep(got)
+        return [x if x is not None else got[w] for w, x in zip(words, ids)]
 
     def _by_word(self, texts: pa.Array) -> list[np.ndarray]:
         marked = pc.match_substring(texts, "<|")  # special tokens stay as they are
+        if not pc.all(pc.string_is_ascii(texts)).as_py():
+            marked = pc.or_(marked, pc.match_substring_regex(texts, _MARKS))
         low = pc.if_else(marked, texts, pc.ascii_lower(texts)) if pc.any(marked).as_py() else pc.ascii_lower(texts)
         words = pc.ascii_split_whitespace(low)
         coded = words.flatten().dictionary_encode()
@@ -98,7 +120,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Null texts count as empty ones."""
-        for _, part in texts_of(texts):
+        for _, part in texts_of(texts, STRETCH):
             yield from self._by_word(part) if self.split else (self._whole(t) for t in part.to_pylist())
 
 
