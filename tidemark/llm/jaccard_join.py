@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, entering, free_names, small, stored, texts_of
+from .common import cut, entering, free_names, small, small_batches, stored, texts_of
 
 #: Shingles of so many, counted in one go, are looked through for frequent ones; LOCAL of them in one go make one frequent.
 CHUNK, LOCAL = 2_000_000, 3
@@ -455,6 +455,11 @@ def _may_link_exactly(pairs: DataFrame, prefixes: DataFrame, percent: int) -> Da
 
 def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, key (the text's hash), n, sid, comp of each document: the size and number of its set, and one set's number for each component."""
+    with small_batches(docs.sparkSession, 2000):
+        return _grouped(docs, words, percent)
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
