@@ -37,34 +37,65 @@ def rows(df):
 # 1 document fingerprints
 
 
-@pytest.mark.parametrize("text", ["ＡＢＣ ｶﾞ", "é é É", "ﬁne ½ … ™ ①", "Straße ΣΑΣ\xa0 x\n\ty", "ệ ệ Việt", "Привет й й", "İstanbul", "", " a  b "])
-def test_canonical(spark, text):
-    want = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text).lower().replace("ß", "ss").replace("ς", "σ")).strip()
-    assert spark.createDataFrame([(text,)], "t string").select(fingerprints.canonical(F.col("t"))).first()[0] == want
+def _canonical(text):
+    folded = unicodedata.normalize("NFKC", text or "").lower().replace("ß", "ss").replace("ς", "σ")
+    return re.sub("[ \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+", " ", folded).strip(" ")
 
 
-def test_fingerprints(docs, spark):
-    got = fingerprints.fingerprints(docs).collect()
-    known = [r for r in cases.texts() if r[0] is not None]
-    order = sorted(known, key=lambda r: (-r[0], r[1] or "")) + sorted([r for r in cases.texts() if r[0] is None], key=lambda r: r[1] or "")
-    want = Counter()
-    for (i, t, _), (_, nxt, _) in zip(order, order[1:] + order[:1]):
-        t, nxt = t or "", nxt or ""
+def _fingerprint(text):
+    raw = _canonical(text).encode()
+    seed = xxhash.xxh64_intdigest(struct.pack("<i", 0x7469646D), 42)
+    return f"{xxhash.xxh64_intdigest(raw, 42):016x}{xxhash.xxh64_intdigest(raw, seed):016x}"
+
+
+def test_canonical(spark):
+    """Conjoining jamo, marks of all classes in any order, and other characters, one by one and in strange texts, as Python's tables have them."""
+    rng = random.Random(9)
+    texts = ["ＡＢＣ ｶﾞ", "é é É", "ﬁne ½ … ™ ①", "Straße ΣΑΣ\xa0 x\n\ty", "ệ ệ Việt", "Привет й й", "İstanbul", "", " a  b ", None]
+    texts += ["\u1112\u1161\u11ab", "a\u0327\u0301", "a\u0301\u0327", "\u05d0\u05bc\u05b8", "a\u0301\u0345\u0323"]
+    texts += ["".join(chr(c) for c in range(k, k + 64) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co") and unicodedata.bidirectional(chr(c)) not in ("B", "S")) for k in range(32, 0x2FA20, 64 * 7)]
+    texts += [_strange(rng).replace("\x1c", "") for _ in range(4000)]
+    texts = [t for t in texts if t is None or all(unicodedata.category(c) != "Cn" for c in t)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    bad = [(ascii(texts[r.i]), ascii(r.c)) for r in df.select("i", fingerprints.canonical(F.col("t")).alias("c")).collect() if r.c != _canonical(texts[r.i])]
+    assert not bad
+
+
+def _falling(data):
+    """(doc_id, text) by falling doc_id, nulls last, then falling hash of the text."""
+    key = lambda t: (lambda h: h - ((h >> 63) << 64))(_hash(42, t or ""))
+    return sorted(((i, t or "") for i, t in data), key=lambda r: (r[0] is None, -(r[0] or 0), -key(r[1])))
+
+
+def _fingerprints(data):
+    order, want = _falling(data), Counter()
+    for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]):
         h = len(t) // 2
-        want[(i, len(t), cases.sha(t[: len(t) - h] + nxt[:h]))] += 1
-    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+        changed = t[: len(t) - h] + nxt[:h]
+        f, e = _fingerprint(t), _fingerprint(changed)
+        want[(i, len(t), cases.sha(changed), f, e, float(f == e), float(f == _fingerprint(nxt)))] += 1
+    return want
+
+
+def test_fingerprints(docs, spark):
+    got = fingerprints.fingerprints(docs)
+    assert rows(got) == _fingerprints([(i, t) for i, t, _ in cases.texts()])
     by = {}
-    for r in got:
+    for r in got.collect():
         by.setdefault(r.doc_id, set()).add(r.fingerprint)
     assert by[1] == by[2] and by[14] == by[15] and by[1] != by[3] and by[8] == by[9]
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     assert fingerprints.fingerprints(cases.none(spark)).count() == 0
 
 
 def test_followed_across_blocks(spark):
-    df = spark.range(0, 3000).select((F.col("id") * F.col("id")).alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
-    got = {r.doc_id: r.next_text for r in fingerprints.followed(df, rows_a_block=2).collect()}
-    assert got == {i * i: f"t{(i - 1) % 3000}" for i in range(3000)}
+    """Ids in clumps, one that many rows have, and many without: each is followed by the next one, in blocks of a few rows."""
+    data = [(i * i, f"t{i}") for i in range(1500)] + [(10**9 + i, f"u{i}") for i in range(1500)] + [(77_777, f"h{i}") for i in range(900)] + [(None, f"n{i}") for i in range(600)]
+    df = fingerprints.keyed(spark.createDataFrame(data, "doc_id long, text string").repartition(4))
+    order = _falling(data)
+    want = Counter((i, t, nxt) for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]))
+    assert rows(fingerprints.followed(df, rows_a_block=2).select("doc_id", "text", "next_text")) == want
+    sizes = [r[0] for r in fingerprints._blocks(df.select("doc_id", "key"), 2)(df).groupBy("block").count().select("count").collect()]
+    assert max(sizes) <= 60
 
 
 def test_hash_collisions_are_told_apart(spark, monkeypatch):
@@ -72,6 +103,8 @@ def test_hash_collisions_are_told_apart(spark, monkeypatch):
     df = spark.createDataFrame([(1, "ab"), (2, "ba"), (3, "AB"), (4, "c")], "doc_id long, text string")
     got = {r.doc_id: (r.class_id, r.n_copies) for r in fingerprints.exact_duplicates(df).collect()}
     assert got == {1: (1, 2), 3: (1, 2), 2: (2, 1), 4: (4, 1)}
+    got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(df).collect()}
+    assert got[1] == got[3] and len({got[1], got[2], got[4]}) == 3
 
 
 # 2 quality rules
