@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import os
 import random
 import re
@@ -338,7 +339,7 @@ def test_revealing_terms_are_generalised(spark):
     data = [(k, f"note {k} from Zebulon about {cases.prose(k, 4)} write zeb@corp.example {cases.prose(k + 9, 5)} The end") for k in range(6)]
     data += [(100 + k, f"{cases.prose(k, 30)} The Office opened") for k in range(300)]
     df = spark.createDataFrame(data, "doc_id long, text string")
-    told = {(r.value, r.term) for r in pii.disclosures(df, pii.detected(df)).collect()}
+    told = {(r.value, r.term) for r in pii.disclosures(pii.detected(df)).collect()}
     assert told == {("email:zeb@corp.example", "Zebulon")}
     red = {r.doc_id: r.text for r in pii.redact(df).collect()}
     assert "Zebulon" not in red[3] and "[TERM]" in red[3] and "[EMAIL]" in red[3] and "The end" in red[3] and red[105] == data[11][1]
@@ -355,11 +356,38 @@ def test_names_in_fixed_phrases_are_generalised(spark):
     data += [(40, "Only Twice two@x.example"), (41, "Only Twice two@x.example"), (42, "Only Twice two@x.example")]
     data += [(100 + k, cases.prose(k, 30)) for k in range(300)]
     df = spark.createDataFrame(data, "doc_id long, text string")
-    told = {(r.value, r.term) for r in pii.disclosures(df, pii.detected(df)).collect()}
+    told = {(r.value, r.term) for r in pii.disclosures(pii.detected(df)).collect()}
     assert told == {("email:jane@x.example", "Jane"), ("email:jane@x.example", "Dorsey"), ("email:ott@x.example", "Ottokar"), ("email:wen@x.example", "Yours"), ("email:wen@x.example", "Wendelin")}
     assert "contact [TERM] [TERM] [EMAIL] for" in {r.doc_id: r.text for r in pii.redact(df).collect()}[3]
 
 
+def test_disclosures_are_brute_forces(spark):
+    """Over texts with names of two scripts at values, share by share; repeated rows count once, lower-case words aren't names."""
+    rng = random.Random(4)
+    names, values = ["Zebulon", "Marfa", "Quill", "李小龙名", "Ottokar", "plain"], [f"p{k}@q.example" for k in range(4)]
+    data = []
+    for k in range(240):
+        v = values[rng.randrange(4)] if k % 3 == 0 else None
+        near = rng.sample(names, 2) if rng.random() < 0.06 else [names[values.index(v)] if v else "plain", "Common"]
+        data.append((k, f"{cases.prose(k, 25)} {' '.join(near)} {v or 'nobody'} {cases.prose(k + 500, 25)}"))
+    data += [data[0], data[3]]
+    word = lambda t: {n for n in re.findall(r"[^\W\d_][^\W_]{2,}", t) if n[0].upper() == n[0]}
+    distinct = sorted(set(data))
+    want = {}
+    for v in values:
+        have = [t for _, t in distinct if v in t]
+        for n in {n for t in have for n in word(t)}:
+            met = [t.split() for t in have if n in t.split() and abs(t.split().index(n) - t.split().index(v)) <= 8]
+            sides = [{" ".join(w[w.index(v) - 11 : w.index(v) - 8]) for w in met}, {" ".join(w[w.index(v) + 9 : w.index(v) + 12]) for w in met}]
+            with_term = sum(n in word(t) for _, t in data)
+            if min(map(len, sides)) >= 3:
+                share = math.log2(min(len(met), len(have), with_term) * len(data) / (len(have) * with_term)) / math.log2(len(data) / len(have))
+                if share >= pii.ALPHA:
+                    want[f"email:{v}", n] = share
+    got = {(r.value, r.term): r.share for r in pii.disclosures(pii.detected(spark.createDataFrame(data, "doc_id long, text string").repartition(3))).collect()}
+    assert want and got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_redact_keeps_columns_and_nulls(docs):
     red = pii.redact(docs)
     assert red.columns == docs.columns

@@ -1,8 +1,8 @@
 """Personal data: patterns find values; what the corpus tells about terms beside a value finds terms that reveal it.
 
 A value's information is -log2 of the share of documents that hold it. A term reveals it as far as their pointwise
-mutual information goes: log2 of how much likelier the value is in a document with the term. A capitalised word near
-the value, in at least MIN_CONTEXTS different contexts, that gives away a share of ALPHA of that information, is
+mutual information goes: log2 of how much likelier the value is in a document with the term. A capitalised word, or one
+of a script without capitals, near the value, in at least MIN_CONTEXTS different contexts, that gives away a share of ALPHA of that information, is
 generalised in documents that hold the value. Contexts count by the words beyond the near ones before the value and by
 those after it, and the smaller number holds: copies of a passage are one context, and copies with a change on one side
 are too, so a passage doesn't speak against its own words; a phrase within NEAR_WORDS words of the value may be the same
@@ -13,18 +13,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, cut, entering
+from .common import cut, entering, free_names, small, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 ALPHA, MIN_CONTEXTS, NEAR_WORDS = 0.75, 3, 8
 #: Words beyond the near ones, on each side, that tell contexts apart.
 FAR_WORDS = 3
+#: Terms whose documents a task counts before it passes the counts on.
+COUNTED = 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
@@ -82,6 +85,11 @@ def value_of(text: str, span: tuple[int, int, int]) -> str:
     return f"{KINDS[kind]}:{text[a:b].lower() if kind < 2 else re.sub('[^0-9]', '', text[a:b])}"
 
 
+def _named(word: str) -> bool:
+    """Whether a word may be a name: it begins with a capital, or its script has none."""
+    return not word[0].islower()
+
+
 def _beside(text: str, span: tuple[int, int, int], spans) -> tuple[int, int, list[str]]:
     """Hashes that tell the context before a value and the one after it, and the names within NEAR_WORDS words of it."""
     a, _, b = span
@@ -99,7 +107,7 @@ def _beside(text: str, span: tuple[int, int, int], spans) -> tuple[int, int, lis
     for m, shift in [(m, low) for m in left] + [(m, 0) for m in right]:
         at = m.start() + shift
         if not any(s <= at < e for s, _, e in spans):
-            names.update(n for n in _NAME.findall(m[0]) if n[0].isupper())
+            names.update(filter(_named, _NAME.findall(m[0])))
     return before, after, sorted(names)
 
 
@@ -111,63 +119,59 @@ def _texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+BESIDE = "array<struct<value: string, term: string, before: long, after: long>>"
+FOUND = f"doc_id long, key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, beside {BESIDE}, name string, n_docs long"
+_ARROW = [pa.int64()] * 6 + [pa.string()] * 2 + [pa.list_(pa.struct([("value", pa.string()), ("term", pa.string()), ("before", pa.int64()), ("after", pa.int64())])), pa.string(), pa.int64()]
+_COLUMNS = ["doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "beside", "name", "n_docs"]
+
+
+def _found_rows(columns: dict[str, list], n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(_COLUMNS, _ARROW)], _COLUMNS)
+
+
 def detected(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of each kind, base_sha256, spans of the patterns, and beside: (value, term, before, after)."""
+    """FOUND, kept: a row for each document (key: its text's hash), with counts of each kind, base_sha256, spans, and beside: (value, term, before, after);
+    and rows of names with in how many documents they stand, all names of all texts, summed by task. Texts are read once."""
 
     def scan(batches):
         entering("pii")
+        names: Counter[str] = Counter()
         for batch in batches:
-            out = ([], [], [], [], [], [], [])
-            for doc, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+            out = {c: [] for c in _COLUMNS[:9]}
+            for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                text = text or ""
+                names.update(filter(_named, set(_NAME.findall(text))))
                 spans = find(text)
                 base, beside = _joined(spans), []
                 for s in spans:
-                    before, after, names = _beside(text, s, spans)
-                    beside += [{"value": value_of(text, s), "term": n, "before": before, "after": after} for n in names or [None]]
+                    before, after, near = _beside(text, s, spans)
+                    beside += [{"value": value_of(text, s), "term": n, "before": before, "after": after} for n in near or [None]]
                 kinds = [k for _, k, _ in spans]
-                for to, x in zip(out, (doc, *(kinds.count(k) for k in range(4)), base, beside)):
+                for to, x in zip(out.values(), (doc, key, *(kinds.count(k) for k in range(4)), hashlib.sha256(base.encode()).hexdigest(), base, beside)):
                     to.append(x)
-            sha = [hashlib.sha256(b.encode()).hexdigest() for b in out[5]]
-            arrays = [*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(sha, pa.string()), pa.array(out[5], pa.string()), pa.array(out[6], pa.list_(pa.struct([("value", pa.string()), ("term", pa.string()), ("before", pa.int64()), ("after", pa.int64())])))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "beside"])
-
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, beside array<struct<value: string, term: string, before: long, after: long>>")
-
-
-def _slices(rows: list, size: int = BROADCAST_ROWS):
-    return [rows[i : i + size] for i in range(0, len(rows), size)]
-
-
-def _document_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """term, n_docs: in how many documents each of the terms stands, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+            yield _found_rows(out, batch.num_rows)
+            if len(names) > COUNTED:
+                yield _found_rows({"name": list(names), "n_docs": list(names.values())}, len(names))
+                names.clear()
+        if names:
+            yield _found_rows({"name": list(names), "n_docs": list(names.values())}, len(names))
 
-    def scan(batches):
-        for batch in batches:
-            counts: dict[str, int] = {}
-            for text in _texts(batch):
-                for t in shared.value.intersection(_NAME.findall(text)):
-                    counts[t] = counts.get(t, 0) + 1
-            yield pa.RecordBatch.from_pydict({"term": pa.array(counts.keys(), pa.string()), "n_docs": pa.array(counts.values(), pa.int64())})
-
-    return docs.select("text").mapInArrow(scan, "term string, n_docs long").groupBy("term").agg(F.sum("n_docs").alias("n_docs"))
+    with small_batches(docs.sparkSession):
+        return stored(docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(scan, FOUND), "found")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+def disclosures(found: DataFrame, alpha: float = ALPHA, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     """value, term, share: terms that give away at least alpha of a value's information; statistics cover all documents."""
-    pairs = found.select("doc_id", F.explode("beside").alias("b")).select("doc_id", "b.*")
-    near = pairs.filter("term is not null").groupBy("value", "term", "before", "after").agg(F.count_distinct("doc_id").alias("n"))
+    rows = found.filter("base_sha256 is not null")
+    pairs = rows.select(F.xxhash64("doc_id", "key").alias("doc"), F.explode("beside").alias("b")).select("doc", "b.*")
+    near = pairs.filter("term is not null").groupBy("value", "term", "before", "after").agg(F.count_distinct("doc").alias("n"))
     contexts = F.least(F.count_distinct("before"), F.count_distinct("after"))
     near = cut(near.groupBy("value", "term").agg(contexts.alias("contexts"), F.sum("n").alias("both")).filter(F.col("contexts") >= min_contexts))
-    terms = [r[0] for r in near.select("term").distinct().toLocalIterator()]
-    if not terms:
+    if near.isEmpty():
         return near.select("value", "term", F.lit(0.0).alias("share"))
-    total = found.count()
-    counts = None
-    for part in _slices(terms):
-        n = _document_counts(docs, part)
-        counts = n if counts is None else counts.union(n)
-    values = pairs.select("value", "doc_id").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("with_value"))
+    total = rows.count()
+    counts = found.filter("name is not null").join(small(cut(near.select(F.col("term").alias("name")).distinct())), "name").groupBy(F.col("name").alias("term")).agg(F.sum("n_docs").alias("n_docs"))
+    values = pairs.select("value", "doc").distinct().join(small(cut(near.select("value").distinct())), "value").groupBy("value").agg(F.count(F.lit(1)).alias("with_value"))
     joint = F.least(F.col("both"), F.col("with_value"), F.col("n_docs"))
     mutual = F.log2(joint * F.lit(float(total)) / (F.col("with_value") * F.col("n_docs")))
     share = mutual / F.log2(F.lit(float(total)) / F.col("with_value"))
@@ -175,50 +179,45 @@ def disclosures(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, min_con
     return cut(told.filter(F.col("share") >= alpha).select("value", "term", "share"))
 
 
-def _with_terms(text: str, spans, told: dict[str, set[str]]):
-    """spans and those of the terms that reveal a value among them."""
-    names = set().union(*(told.get(value_of(text, s), ()) for s in spans if s[1] < 4))
-    if not names:
-        return spans
-    taken = [(a, b) for a, _, b in spans]
-    return sorted([*spans, *((m.start(), 4, m.end()) for m in _NAME.finditer(text) if m[0] in names and not any(a < m.end() and m.start() < b for a, b in taken))])
+def revealing(found: DataFrame) -> DataFrame:
+    """doc_id, key, terms of the documents that hold a value which terms reveal: the terms of all their values, kept."""
+    told = disclosures(found).select("value", "term")
+    holds = found.filter("base_sha256 is not null").select("doc_id", "key", F.explode(F.array_distinct("beside.value")).alias("value"))
+    return cut(holds.join(small(told), "value").groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("term")).alias("terms")))
 
 
-def _told(rows) -> dict[str, set[str]]:
-    out: dict[str, set[str]] = {}
-    for value, term in rows:
-        out.setdefault(value, set()).add(term)
-    return out
+def _with_terms(text: str, spans, terms: list[str]):
+    """spans and those of the terms."""
+    taken, names = [(a, b) for a, _, b in spans], set(terms)
+    return sorted([*spans, *((m.start(), 4, m.end()) for m in _NAME.finditer(text) if m[0] in names and not any(a < m.end() and m.start() < b for a, b in taken))])
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: a row for each document.
 
-    Null texts count as empty: no spans, and the digest of an empty string. Places are code points. Repeated rows get
-    a row each; an empty table gives none. Where corpus statistics find revealing terms, their spans are added by
-    further passes over all texts, one for each BROADCAST_ROWS pairs.
+    Null texts count as empty: no spans, and the digest of an empty string. Places are code points; texts of any length
+    count whole. Spans that begin together stand by kind. Repeated rows get a row each and count once in statistics; an
+    empty table gives none. docs' other columns play no part, whatever their names. Where corpus statistics find
+    revealing terms, documents with them are read once more.
     """
-    found = cut(detected(docs))
-    pairs = [tuple(r) for r in disclosures(docs, found).select("value", "term").toLocalIterator()]
-    if not pairs:
-        return found.drop("beside")
-    parts = [docs.sparkSession.sparkContext.broadcast(_told(p)) for p in _slices(sorted(pairs))]
+    found = detected(docs)
+    out = found.filter("base_sha256 is not null").drop("beside", "name", "n_docs")
+    terms = revealing(found)
+    if terms.isEmpty():
+        return out.drop("key")
 
     def scan(batches):
+        entering("pii")
         for batch in batches:
-            rows = []
-            for text in _texts(batch):
-                spans = find(text)
-                if spans:
-                    extra = {s for p in parts for s in _with_terms(text, spans, p.value)}
-                    rows.append((spans, sorted(extra)))
-                else:
-                    rows.append((spans, spans))
-            count = lambda k: pa.array([sum(s[1] == k for s in base) for base, _ in rows], pa.int64())
-            sha = pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(count, range(4)), sha, pa.array([_joined(s) for _, s in rows], pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            spans = [_joined(_with_terms(t or "", find(t or ""), names)) for t, names in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(spans, pa.string())], ["doc_id", "key", "more"])
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    t = terms.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    met = texts.join(small(t), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+    more = met.select("doc_id", "key", "text", "terms").mapInArrow(scan, "doc_id long, key long, more string").groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.first("more").alias("more"))
+    out = out.join(small(cut(more)), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.coalesce("more", "spans").alias("spans"))
 
 
 def masked(text: str, spans) -> str:
@@ -232,26 +231,31 @@ def masked(text: str, spans) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with values and revealing terms generalised in text; n_chars, where there is one, follows. Null texts stay null."""
-    found = cut(detected(docs))
-    pairs = [tuple(r) for r in disclosures(docs, found).select("value", "term").toLocalIterator()]
-    parts = [docs.sparkSession.sparkContext.broadcast(_told(p)) for p in _slices(sorted(pairs))]
+    """docs with values and revealing terms generalised in text; n_chars, where there is one, follows.
+
+    Null texts stay null and empty ones empty; repeated rows change alike; an empty table gives an empty one. docs'
+    other columns stay, whatever their names.
+    """
+    told = revealing(detected(docs))
     names = docs.columns
+    key, i, k, terms = free_names(docs, "_text", "_id", "_key", "_terms")
+    rows = docs.withColumn(terms, F.lit(None).cast("array<string>"))
+    if not told.isEmpty():
+        told = told.select(F.col("doc_id").alias(i), F.col("key").alias(k), F.col("terms").alias(terms))
+        rows = docs.withColumn(key, F.xxhash64("text")).join(small(told), F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(k)), "left")
 
     def scan(batches):
         entering("pii")
         for batch in batches:
             out = []
-            for text in batch.column("text").to_pylist():
+            for text, more in zip(batch.column("text").to_pylist(), batch.column(terms).to_pylist()):
                 spans = find(text) if text else []
                 if spans:
-                    extra = sorted({s for p in parts for s in _with_terms(text, spans, p.value)} | set(spans))
-                    text = masked(text, extra)
+                    text = masked(text, _with_terms(text, spans, more) if more else spans)
                 out.append(text)
-            columns = dict(zip(names, batch.columns))
+            columns = {n: batch.column(n) for n in names}
             columns["text"] = pa.array(out, batch.schema.field("text").type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    out = docs.mapInArrow(scan, docs.schema)
+    out = rows.select(*names, terms).mapInArrow(scan, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
-
