@@ -677,9 +677,14 @@ def test_licenses_side_by_side(spark):
 # 10 token shards
 
 
-def test_token_shards(docs, spark):
+@pytest.mark.parametrize("shard", [1 << 27, 2000])
+def test_token_shards(docs, spark, monkeypatch, shard):
+    monkeypatch.setattr(token_store, "SHARD_BYTES", shard)
+    monkeypatch.setattr(token_store, "BLOCK", shard >> 4)
+    monkeypatch.setattr(token_store, "READ_BYTES", shard >> 1)
     got = [tuple(r) for r in token_store.encoded(docs).orderBy("start").collect()]
-    order = sorted(cases.texts(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    signed = lambda h: h - ((h >> 63) << 64)
+    order = sorted(cases.texts(), key=lambda r: (r[0] is not None, r[0] or 0, signed(_hash(42, r[1]))))
     want, at = [], 0
     for i, t, _ in order:
         ids = np.append(reference_ids(t), np.uint32(2)).astype("<u4")
@@ -691,6 +696,7 @@ def test_token_shards(docs, spark):
 
 def test_lookup_by_binary_search(docs, spark, monkeypatch):
     monkeypatch.setattr(token_store, "BLOCK", 64)
+    monkeypatch.setattr(token_store, "SHARD_KEYS", 2)
     shards = token_store.write_shards(docs, fresh_dir(spark, "test"))
     ids = spark.createDataFrame([(2,), (-5,), (999,), (None,), (19,)], "doc_id long")
     got = Counter((r.doc_id, tuple(r.ids)) for r in token_store.lookup(shards, ids).collect())
