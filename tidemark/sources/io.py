@@ -95,3 +95,30 @@ def newest(runs: DataFrame, keep: int) -> DataFrame:
 def not_done(rows: DataFrame, log: DataFrame, key: str, status: str = "sent") -> DataFrame:
     """rows that a log (key, status) doesn't have as done: what a resumed job works on."""
     return rows.join(small(log.filter(F.col("status") == status).select(key).distinct()), key, "left_anti")
+
+
+def save_version(df: DataFrame, path: str, run_id: str) -> None:
+    """Writes a run's rows beside those of other runs; a run that is repeated replaces its own."""
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+
+
+def latest_version(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the run with the greatest run_id; only its files are read."""
+    runs = spark.read.option("basePath", path).parquet(f"{path}/run_id=*")
+    last = runs.select("run_id").distinct().agg(F.max(F.col("run_id").cast("string"))).first()[0]
+    return spark.read.parquet(f"{path}/run_id={last}")
+
+
+def save_batch(df: DataFrame, path: str, batch: int) -> None:
+    """One batch of a long job: a batch that is repeated replaces its own part; what has been saved stays if the job ends."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def saved_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All rows saved so far, with their batch."""
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+
+
+def save_json(df: DataFrame, path: str) -> None:
+    """Overwrites a folder with one JSON record a row; null cells are written too."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
