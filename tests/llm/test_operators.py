@@ -137,6 +137,24 @@ def test_quality_rejects_junk_and_keeps_prose(spark):
     assert {r.doc_id for r in left.collect()} == {k for k, _ in good} and left.columns == ["doc_id", "text"]
 
 
+@pytest.mark.skipif(not os.path.exists(TABLES), reason="no test tables here")
+def test_verdicts_against_labels(spark):
+    """Of labelled documents, no bad one stays, and no good one goes that passes the base."""
+    got = quality.quality(spark.read.parquet(f"{TABLES}/documents.parquet")).join(spark.read.parquet(f"{TABLES}/labels.parquet"), "doc_id").collect()
+    bad, good = [r for r in got if r["quality"] is not None and r[-2] == 0], [r for r in got if r[-2] == 1]
+    assert bad and not any(r.kept for r in bad)
+    assert good and all(r.kept or r.base_failed for r in good)
+
+
+def test_posterior_is_the_models(docs):
+    """quality is the posterior chance of good, rule by rule; kept follows it and the base."""
+    got = quality.quality(docs).collect()
+    odds, weights = quality.fit(Counter(tuple(r.votes) for r in got))
+    for r in got:
+        want = 1 / (1 + math.exp(-odds - sum(w[v] for w, v in zip(weights, r.votes))))
+        assert r["quality"] == pytest.approx(want, abs=1e-9) and r.kept == (not r.base_failed and want >= 0.5)
+
+
 def test_em_learns_from_agreement():
     odds, w = quality.fit({(-1, -1, 0): 40, (-1, 0, 0): 5, (0, -1, 0): 5, (0, 0, 1): 900, (0, 0, 0): 50})
     assert odds > 0 and w[0][-1] < -2 and w[1][-1] < -2 and w[2][1] >= 0
@@ -610,6 +628,23 @@ def test_toxicity_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
 
 
+def test_scores_are_the_models(spark):
+    """A text's score by brute force: the weights of its words, and of beginnings that stand in it twice and densely, and the bias."""
+    df = _labelled(spark)
+    model = toxicity.fit(df, df)
+    weight = dict(zip(model["words"], model["weights"]))
+    texts = [r.text for r in df.limit(50).collect()] + [t for _, t, _ in cases.texts()] + ["idiot Idioten idiotic gay"]
+    got = [r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), model).orderBy("doc_id").collect()]
+    for t, s in zip(texts, got, strict=True):
+        words = re.findall(r"(?:(?![\d_])\w|[\u0300-\u036f])+", (t or "").lower())
+        marks = set(words)
+        for k in toxicity.STEMS:
+            for m, n in Counter(f"{w[:k]}*" for w in words if len(w) > k).items():
+                if n >= 2 and n * toxicity.DENSITY >= len(words):
+                    marks.add(m)
+        assert s == pytest.approx(1 / (1 + math.exp(-model["bias"] - sum(weight.get(m, 0.0) for m in marks))), abs=1e-9)
+
+
 def test_identity_terms_carry_no_weight(spark):
     df = _labelled(spark)
     model = toxicity.fit(df, df)
@@ -674,6 +709,44 @@ def test_licenses_side_by_side(spark):
     assert at == {("CC-BY-4.0", 0, 5), ("MIT", 5, 35)}
 
 
+def _scanned(text, contained=licenses.CONTAINED):
+    """Licences by brute force: every place of a text against every template, without bands."""
+    shingle = lambda t: list(zip(w := re.findall(r"[^\W_]+(?:\.\d+)*", t.lower()), w[1:]))
+    h, found = shingle(text or ""), []
+    where = {}
+    for i, x in enumerate(h):
+        where.setdefault(x, []).append(i)
+    for name, template in licenses.TEMPLATES:
+        wanted = set(shingle(template))
+        if len(wanted & where.keys()) < contained * len(wanted):
+            continue
+        for low in sorted({max(0, i - k) for x in wanted & where.keys() for i in where[x] for k in (0, len(wanted))}):
+            text = h[low : low + 2 * len(wanted) + licenses.WINDOW]
+            if len(common := wanted & set(text)) >= contained * len(wanted):
+                ends = [(max(text.index(y, i) for y in common) - i, i) for i, x in enumerate(text) if x in common and all(y in text[i:] for y in common)]
+                n, i = min(ends)
+                found.append((name, len(common) / len(wanted), low + i, low + i + n + 1))
+    return {a for a in found if not any(b[1] > a[1] and b[2] < a[3] and a[2] < b[3] for b in found)}
+
+
+@pytest.mark.skipif(not os.path.exists(TABLES), reason="no test tables here")
+def test_bands_find_what_brute_force_finds(spark):
+    """Licences of all documents, and of made texts with every template whole, lightly edited and beside others."""
+    rng, made = random.Random(6), []
+    for k in range(400):
+        t = licenses.TEMPLATES[k % len(licenses.TEMPLATES)][1].split()
+        if k % 3 and len(t) > 12:
+            t[rng.randrange(len(t))] = "edited"
+        made.append((10**6 + k, f"{cases.prose(k, rng.randrange(40))} {' '.join(t)} {cases.prose(k + 1, rng.randrange(40))} {rng.choice(licenses.TEMPLATES)[1]}"))
+    tables = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    df = tables.unionByName(spark.createDataFrame(made, "doc_id long, text string"))
+    want = {r.doc_id: {a[0] for a in _scanned(r.text)} for r in df.collect()}
+    got = {r.doc_id: set(filter(None, r.licenses.split(","))) for r in licenses.licenses(df).collect()}
+    n = sum(map(len, want.values()))
+    assert n > 400 and sum(len(want[i] & got[i]) for i in want) >= 0.99 * n and sum(len(got[i] - want[i]) for i in want) <= 0.01 * n
+    assert all(got[r.doc_id] == want[r.doc_id] for r in tables.select("doc_id").collect())
+
+
 # 10 token shards
 
 

@@ -44,6 +44,27 @@ TEMPLATES = [
     ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    # clauses of full texts
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT", "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement."),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("Apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"),
+    ("GPL-2.0", "By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software"),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("LGPL-2.1", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary"),
+    ("CC-BY-ND-4.0", "licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 ]
 
 WORD = r"[\p{L}\p{N}]+(?:\.[\p{N}]+)*"
@@ -151,7 +172,9 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] | None = None, contain
 def licenses(docs: DataFrame) -> DataFrame:
     """doc_id, licenses (sorted, comma-joined; empty if none), n_licenses, containment (the best; null if none).
 
-    Null and empty texts have none; repeated rows get a row each; an empty table gives none.
+    Null and empty texts have none; repeated rows get a row each; an empty table gives none. Texts of any length are
+    scanned whole; docs' other columns play no part, whatever their names. Of matches in the same place the fullest
+    stays, and all of them where they are equally full.
     """
     found = matches(docs)
     names = F.array_sort(F.array_distinct(F.col("found.license")))
