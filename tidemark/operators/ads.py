@@ -43,29 +43,38 @@ def pages(ads: DataFrame, as_of: str, extended: bool = False) -> DataFrame:
     share = lambda cond: F.round(F.count_if(cond) / F.count(F.lit(1)), 4)
     recent = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {RECENT_DAYS} DAYS")
     ads = ads.filter("page_id is not null")
-    by_ad = Window.partitionBy("page_id").orderBy("ad_id")
-    texts = [F.struct(F.lit(i).alias("field"), F.col("ad_id"), F.col(c).alias("t")) for i, c in enumerate(("text", "title", "description"))]
-    numbered = ads.withColumn("_n", F.row_number().over(by_ad))
-    kept = F.flatten(F.collect_list(F.when(F.col("_n") <= TEXTS, F.filter(F.array(*texts), lambda x: F.coalesce(x["t"], F.lit("")) != ""))))
-    joined = F.array_join(F.slice(F.transform(F.array_sort(kept), lambda x: x["t"]), 1, TEXTS), " | ")
-    domains = F.slice(F.transform(F.array_sort(F.collect_set(F.when(F.col("_d") == 1, F.struct("ad_id", "domain")))), lambda x: x["domain"]), 1, 5)
-    numbered = numbered.withColumn("_d", F.when(F.col("domain").isNotNull(), F.row_number().over(Window.partitionBy("page_id", "domain").orderBy("ad_id"))))
-    out = numbered.groupBy("page_id").agg(
+    out = ads.groupBy("page_id").agg(
         F.min_by("page_name", "ad_id").alias("page_name"), F.min_by("page_category", "ad_id").alias("page_category"),
         F.count(F.lit(1)).alias("total_ads"), F.count_if("active").alias("active_ads"), F.count_distinct("collation_id").alias("distinct_collations"),
         F.count_if(F.col("start") >= recent).alias("new_ads_30d"), share(F.col("days_live") >= ALWAYS_ON_DAYS).alias("always_on_share"),
         F.round(F.count_distinct("collation_id") / F.count(F.lit(1)), 4).alias("creative_refresh_rate"),
         *(share(F.col("destination") == d).alias(f"share_{d.lower()}") for d in ("MESSAGE", "CALL", "FORM", "WEB")),
         F.max("likes").alias("page_like_count"), F.bool_or("has_carousel").alias("has_carousel"), F.bool_or("has_video").alias("has_video"),
-        F.substring(joined, 1, TEXT_CHARS).alias("ad_texts_combined"), domains.alias("domains"),
         *([F.count_distinct("cta").alias("distinct_ctas"), F.bool_or("active").alias("is_active"), F.array_join(F.array_sort(F.collect_set("link_url")), " | ").alias("link_urls")] if extended else []),
     )
+    out = out.join(first_texts(ads), "page_id", "left").join(first_domains(ads), "page_id", "left").withColumns({"ad_texts_combined": F.coalesce("ad_texts_combined", F.lit("")), "domains": F.coalesce("domains", F.array().cast("array<string>"))})
     out = out.join(mode(ads, "page_id", "cta").withColumnRenamed("cta", "dominant_cta"), "page_id", "left")
     if extended:
         out = out.join(mode(ads, "page_id", "destination").withColumnRenamed("destination", "dominant_dest"), "page_id", "left")
     return out.join(platform_shares(ads), "page_id", "left")
 
 
+def first_texts(ads: DataFrame) -> DataFrame:
+    """page_id, ad_texts_combined: filled texts of a page's first ads, field by field. Each task passes on the first ones of its own alone."""
+    texts = [F.struct(F.lit(i).alias("field"), F.col("ad_id"), F.col(c).alias("t")) for i, c in enumerate(("text", "title", "description"))]
+    some = F.filter(F.array(*texts), lambda x: F.coalesce(x["t"], F.lit("")) != "")
+    rows = ads.select("page_id", "ad_id", "text", "title", "description").withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("ad_id"))).filter(F.col("_n") <= TEXTS)
+    joined = F.array_join(F.slice(F.transform(F.array_sort(F.flatten(F.collect_list(some))), lambda x: x["t"]), 1, TEXTS), " | ")
+    return rows.groupBy("page_id").agg(F.substring(joined, 1, TEXT_CHARS).alias("ad_texts_combined"))
+
+
+def first_domains(ads: DataFrame, most: int = 5) -> DataFrame:
+    """page_id, domains: the domains of a page that come first by ad_id."""
+    firsts = ads.filter("domain is not null").groupBy("page_id", "domain").agg(F.min("ad_id").alias("_first"))
+    firsts = firsts.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("_first", "domain"))).filter(F.col("_n") <= most)
+    return firsts.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "domain"))), lambda x: x["domain"]).alias("domains"))
+
+
 def mode(df: DataFrame, key: str, value: str) -> DataFrame:
     """key and its most frequent value; of equally frequent ones, the smallest."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
@@ -180,8 +189,13 @@ def clusters(df: DataFrame) -> DataFrame:
 
 
 def ranked(df: DataFrame) -> DataFrame:
-    """df with its rank by total_score. The rank is over what has passed the gate; ranges are sorted and counted, then numbered."""
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total_score"), "page_id")))
+    """df with its rank by total_score, then page_id. Rows are sorted within their score, of which there are a thousand; counts of higher scores come before."""
+    counts = df.groupBy("total_score").agg(F.count(F.lit(1)).alias("_c"))
+    higher = Window.orderBy(F.desc("total_score")).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("total_score").alias("_s"), F.coalesce(F.sum("_c").over(higher), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("total_score").orderBy("page_id"))
+    met = df.withColumn("_within", within).join(F.broadcast(before), F.col("total_score").eqNullSafe(F.col("_s")))
+    return met.withColumn("rank", (F.col("_before") + F.col("_within")).cast("int")).drop("_s", "_before", "_within")
 
 
 def leaderboard(df: DataFrame) -> DataFrame:

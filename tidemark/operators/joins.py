@@ -20,8 +20,9 @@ def lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
 
 def latest(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key by order."""
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).filter("_r = 1").drop("_r")
+    """The last row of each key by order; of rows that tie, the one with the greatest cells."""
+    rest = [F.desc(f.name) for f in df.schema.fields if f.name not in (key, order) and f.dataType.typeName() not in ("map", "variant")]
+    return df.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order), *rest))).filter("_r = 1").drop("_r")
 
 
 def update(master: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:

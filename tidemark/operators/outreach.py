@@ -108,10 +108,22 @@ def staged(contacts: DataFrame, stages: list[tuple[str, DataFrame, float]], key:
     return out.select(*contacts.columns, got["email"].alias("email"), got["stage"].alias("stage"), got["status"].alias("status"), got["confidence"].alias("confidence"), F.round(cost, 4).alias("cost"))
 
 
-def within_budget(rows: DataFrame, cost: str, budget: float, order: list[str]) -> DataFrame:
-    """rows in order until their cost so far reaches the budget. The running sum is over one table of work, in one task."""
-    before = F.coalesce(F.sum(cost).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return rows.withColumn("spent_before", before).filter(F.col("spent_before") < budget)
+def within_budget(rows: DataFrame, cost: str, budget: float, order: list[str], ranges: int = 256) -> DataFrame:
+    """rows in order until their cost so far reaches the budget, with what was spent before each; the first column of the order is a number or a time.
+
+    Rows fall into ranges by that column; sums of ranges tell what is spent before each, and only within a range are
+    rows added up one by one. Ranges that begin beyond the budget are left out before that.
+    """
+    at = F.col(order[0]).cast("double")
+    bounds = F.percentile_approx(at, [i / ranges for i in range(1, ranges)], 10_000)
+    cuts = rows.agg(F.coalesce(F.array_distinct(bounds), F.array().cast("array<double>")).alias("_cuts"))
+    placed = rows.crossJoin(F.broadcast(cuts)).withColumn("_range", F.when(at.isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c <= at)))).drop("_cuts")  # a row of cuts
+    sums = placed.groupBy("_range").agg(F.sum(cost).alias("_sum"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select("_range", F.coalesce(F.sum("_sum").over(upto(Window.orderBy("_range"))), F.lit(0.0)).alias("_begin"))
+    kept = placed.join(F.broadcast(begins.filter(F.col("_begin") < budget)), "_range")
+    spent = F.col("_begin") + F.coalesce(F.sum(cost).over(upto(Window.partitionBy("_range").orderBy(*order))), F.lit(0.0))
+    return kept.withColumn("spent_before", spent).filter(F.col("spent_before") < budget).drop("_range", "_begin")
 
 
 def json_answer(text: Column, schema: str, field: str, allowed: list[str], default: str) -> Column:

@@ -57,7 +57,7 @@ def extraction_budget(spark, d):
 def crm_export(spark, d):
     k = F.col("ord")
     df = leads(spark, d).withColumns({"contact_name": F.when(k % 3 == 0, "nan").otherwise(F.concat(F.lit("Ann Lee "), k)), "email_verified": F.when(k % 4 == 0, "valid").when(k % 4 == 1, "invalid")})
-    return io.crm_contacts(df).select("email", "firstname", "lastname", "company", "jobtitle", "website", "instagram_handles", "fb_ad_count", "email_verified")
+    return io.crm_contacts(df).select("email", "firstname", "lastname", "company", "jobtitle", "website", "phone", "instagram_handles", "fb_ad_count", "email_verified")
 
 
 def message_export(spark, d):
@@ -106,7 +106,7 @@ SQL = {
   b AS (SELECT * FROM y WHERE email IS NOT NULL QUALIFY row_number() OVER (PARTITION BY domain ORDER BY CASE WHEN status = 'valid' THEN i ELSE 9 END, confidence DESC, i) = 1)
   SELECT x.domain, b.email, b.stage, b.status, b.confidence, CAST(CASE WHEN h.status IS NOT DISTINCT FROM 'valid' THEN 0.01 WHEN a.status IS NOT DISTINCT FROM 'valid' THEN 0.03 ELSE 0.06 END AS DOUBLE) AS cost FROM x LEFT JOIN b ON b.domain = x.domain""",
     "extraction_budget": "SELECT * FROM (SELECT c_custkey, coalesce(sum(c_custkey % 7 / 4) OVER (ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent_before FROM customer) WHERE spent_before < 100",
-    "crm_export": f"{_L} SELECT primary_email AS email, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Ann' END AS firstname, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Lee ' || ord END AS lastname, page_name AS company, coalesce(contact_position, '') AS jobtitle, coalesce(website_url, '') AS website, CASE WHEN instagram_handles = '[]' THEN '' ELSE instagram_handles END AS instagram_handles, ad_count AS fb_ad_count, CASE ord % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE '' END AS email_verified FROM leads WHERE primary_email IS NOT NULL",
+    "crm_export": f"{_L} SELECT primary_email AS email, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Ann' END AS firstname, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Lee ' || ord END AS lastname, page_name AS company, coalesce(contact_position, '') AS jobtitle, coalesce(website_url, '') AS website, CASE WHEN phones IS NULL THEN '' ELSE '+1 (555) 010-' || right(phones, 4) END AS phone, CASE WHEN instagram_handles = '[]' THEN '' ELSE instagram_handles END AS instagram_handles, ad_count AS fb_ad_count, CASE ord % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE '' END AS email_verified FROM leads WHERE primary_email IS NOT NULL",
     "message_export": f"{_L} SELECT page_name, CASE WHEN ord % 3 = 0 THEN '' ELSE 'Ann' END AS name, phones AS phone, ord % 3 > 0 AS named FROM leads WHERE phones IS NOT NULL AND coalesce(primary_email, '') NOT IN ('e4@x.example', 'e8@x.example') AND phones <> '555-010-0007'",
     "resumed_send": f"{_L} SELECT ord, page_name FROM leads WHERE page_name NOT IN (SELECT page_name FROM leads WHERE ord % 4 = 0)",
     "scrape_history": "SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS times FROM events GROUP BY 1",
