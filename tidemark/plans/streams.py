@@ -15,13 +15,16 @@ def _folder(spark, name: str) -> str:
     """A folder that driver and executors share; a temporary one only where no checkpoint folder is set."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-"))
+        path = sc.getConf().get("spark.checkpoint.dir")
+        if not path and (not sc.master.startswith("local") or sc.master.startswith("local-")):
+            raise ValueError("spark.checkpoint.dir isn't set: set it to a folder that driver and executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="tidemark-"))
     return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 def _events(spark, d):
     kind = F.when(F.col("event_type") == "click", "advance").when(F.col("event_type") == "view", "like").when(F.col("event_type") == "signup", "comment").when(F.col("event_type") == "error", "error").otherwise("none")
-    return read(spark, d, "events").select(F.concat(F.lit("@u"), F.col("user_id") % 300).alias("handle"), kind.alias("kind"), F.col("event_id").alias("ord"), "ts", "user_id", "event_type")
+    return read(spark, d, "events").select(F.concat(F.lit("@u"), F.col("user_id") % 300).alias("handle"), kind.alias("kind"), F.concat(F.lit("post"), F.col("event_id") % 40).alias("post"), F.col("event_id").alias("ord"), "ts", "user_id", "event_type")
 
 
 def stream_edges(spark, d):
@@ -41,19 +44,44 @@ def stream_watermarks(spark, d):
     return jobs.new_since(e, marks, "user_id", "ts").select("ord", "user_id")
 
 
+def _land(spark, rows, parts, job):
+    """Lands the parts of rows one after another, in the order of time, and runs the job after each."""
+    landing = _folder(spark, "landing")
+    for part in parts:
+        rows.filter(part).write.mode("append").parquet(landing)
+        job(jobs.landed(spark, landing, rows.schema))
+
+
 def stream_windows(spark, d):
-    return jobs.windowed_counts(_events(spark, d).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "1 hour", "2 hours")
+    """Windows over two landings with a watermark; the second goes on with the first's open windows."""
+    out, marks = _folder(spark, "windows"), _folder(spark, "marks")
+    e = _events(spark, d).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    middle = e.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    _land(spark, e, (F.col("ts") < F.lit(middle), F.col("ts") >= F.lit(middle)), lambda s: jobs.keep_updates(jobs.windowed_counts(s, "ts", "event_type", "1 hour", "2 hours"), out, marks))
+    return jobs.last_updates(spark, out, ["start", "event_type"])
 
 
 def stream_warm_up(spark, d):
-    return jobs.warm_up_batch(_events(spark, d))
+    """Events in three landings; the state of each prospect is kept between them, and a post that comes again doesn't count again."""
+    out, marks = _folder(spark, "prospects"), _folder(spark, "marks")
+    e = _events(spark, d).select("handle", "kind", "post", "ord")
+    _land(spark, e, [F.col("ord") % 3 == k for k in range(3)], lambda s: jobs.keep_updates(jobs.warm_up(s), out, marks))
+    return jobs.last_updates(spark, out, ["handle"])
+
+
+def stream_quotas(spark, d):
+    kinds = F.when(F.col("event_type") == "click", "follow").when(F.col("event_type") == "view", "like").otherwise("comment")
+    e = read(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), kinds.alias("kind"))
+    return jobs.within_quotas(e, "day", "kind", "event_id").select("event_id", "kind")
 
 
 _KIND = "count(*) FILTER (event_type = '{}')"
-QUERIES = {f.__name__: f for f in (stream_edges, stream_watermarks, stream_windows, stream_warm_up)}
+_POSTS = "count(DISTINCT event_id % 40) FILTER (event_type = '{}')"
+QUERIES = {f.__name__: f for f in (stream_edges, stream_watermarks, stream_windows, stream_warm_up, stream_quotas)}
 SQL = {
     "stream_edges": f"""WITH {MAILS_SQL} SELECT src, dst, count(*) AS n, min(sent) AS first, max(sent) AS last FROM (SELECT sender AS src, unnest(list_distinct(list_concat("to", cc))) AS dst, sent FROM mails) WHERE src <> dst GROUP BY 1, 2""",
     "stream_watermarks": "WITH m AS (SELECT user_id, max(ts) AS last_sync FROM events WHERE event_id % 3 > 0 GROUP BY 1) SELECT event_id AS ord, e.user_id FROM events e LEFT JOIN m USING (user_id) WHERE last_sync IS NULL OR ts > last_sync",
     "stream_windows": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "stream_warm_up": f"SELECT '@u' || (user_id % 300) AS handle, least(7, {_KIND.format('click')}) AS phase, {_KIND.format('view')} AS likes, {_KIND.format('signup')} AS comments, {_KIND.format('error')} AS errors FROM events GROUP BY 1",
+    "stream_warm_up": f"SELECT '@u' || (user_id % 300) AS handle, CASE WHEN {_KIND.format('click')} > 0 THEN 'in_progress' ELSE 'pending' END AS status, least(7, {_KIND.format('click')}) AS phase, {_POSTS.format('view')} AS likes, {_POSTS.format('signup')} AS comments, {_KIND.format('error')} AS errors FROM events GROUP BY 1",
+    "stream_quotas": "SELECT event_id, kind FROM (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE), kind ORDER BY event_id) AS r FROM (SELECT event_id, ts, CASE event_type WHEN 'click' THEN 'follow' WHEN 'view' THEN 'like' ELSE 'comment' END AS kind FROM events)) WHERE r <= CASE kind WHEN 'follow' THEN 25 WHEN 'like' THEN 75 ELSE 12 END",
 }

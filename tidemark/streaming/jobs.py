@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-# Phases of a warm-up and the events that move it on.
+# Phases of a warm-up, and actions of a day.
 PHASES = 7
-STATE = "phase int, likes int, comments int, errors int"
+QUOTAS = {"follow": 25, "like": 75, "comment": 12}
+STATE = "phase int, liked array<string>, commented array<string>, errors int"
 
 
 def landed(spark: SparkSession, path: str, schema, files: int = 100) -> DataFrame:
@@ -66,35 +67,53 @@ def windowed_counts(events: DataFrame, at: str, by: str, width: str, late: str)
     return events.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), by, "n")
 
 
-def fold(events: pd.DataFrame, state: tuple[int, int, int, int]) -> tuple[int, int, int, int]:
-    """A prospect's state after its events in order: `advance` moves on as far as the last phase, each like and comment counts; events carry no post."""
-    phase, likes, comments, errors = state
-    for kind in events["kind"]:
+def keep_updates(rows: DataFrame, folder: str, checkpoint: str) -> None:
+    """Runs a stateful stream over what has landed; each batch leaves its updates in a part of the folder, which a repeated batch replaces."""
+
+    def batch(df, n):
+        df.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+
+    rows.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def last_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """The last update of each key."""
+    rows = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
+    cells = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cells), "batch").alias("_x")).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in cells))
+
+
+def fold(events: pd.DataFrame, state: tuple[int, list[str], list[str], int]) -> tuple[int, list[str], list[str], int]:
+    """A prospect's state after its events: `advance` moves on as far as the last phase; a post is liked, and commented on, once; errors count as retries."""
+    phase, liked, commented, errors = state
+    liked, commented = list(liked), list(commented)
+    for kind, post in zip(events["kind"], events["post"]):
         if kind == "advance":
             phase = min(PHASES, phase + 1)
-        elif kind == "like":
-            likes += 1
-        elif kind == "comment":
-            comments += 1
+        elif kind == "like" and post not in liked:
+            liked.append(post)
+        elif kind == "comment" and post not in commented:
+            commented.append(post)
         elif kind == "error":
             errors += 1
-    return phase, likes, comments, errors
+    return phase, liked, commented, errors
 
 
 def warm_up(events: DataFrame) -> DataFrame:
-    """handle and STATE after each batch of events (handle, kind, ord), kept from batch to batch."""
+    """handle, status and counts after each batch of events (handle, kind, post, ord), whose state is kept from batch to batch."""
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get if state.exists else (0, 0, 0, 0)
-        for batch in batches:
-            now = fold(batch.sort_values("ord"), now)
+        now = state.get if state.exists else (0, [], [], 0)
+        now = fold(pd.concat(list(batches)).sort_values("ord"), now)
         state.update(now)
-        yield pd.DataFrame([(*key, *now)], columns=["handle", "phase", "likes", "comments", "errors"])
+        phase, liked, commented, errors = now
+        yield pd.DataFrame([(*key, "in_progress" if phase else "pending", phase, len(liked), len(commented), errors)], columns=["handle", "status", "phase", "likes", "comments", "errors"])
 
-    return events.groupBy("handle").applyInPandasWithState(step, f"handle string, {STATE}", STATE, "update", GroupStateTimeout.NoTimeout)
+    return events.groupBy("handle").applyInPandasWithState(step, "handle string, status string, phase int, likes int, comments int, errors int", STATE, "update", GroupStateTimeout.NoTimeout)
 
 
-def warm_up_batch(events: DataFrame) -> DataFrame:
-    """The same over a whole log: counts need no order, and the phase is how often it advanced."""
-    n = lambda kind: F.count_if(F.col("kind") == kind)
-    return events.groupBy("handle").agg(F.least(F.lit(PHASES), n("advance")).cast("int").alias("phase"), *(n(k).cast("int").alias(f"{k}s") for k in ("like", "comment", "error")))
+def within_quotas(actions: DataFrame, day: str, kind: str, order: str, quotas: dict[str, int] = QUOTAS) -> DataFrame:
+    """The first actions of each kind and day by order, as many as its quota lets; kinds without one all stay."""
+    most = F.coalesce(*(F.when(F.col(kind) == k, F.lit(n)) for k, n in quotas.items()), F.lit((1 << 31) - 1))
+    place = F.row_number().over(Window.partitionBy(day, kind).orderBy(order))
+    return actions.withColumn("_n", place).filter(F.col("_n") <= most).drop("_n")
