@@ -104,14 +104,12 @@ def test_identity_and_paths(spark):
 
 
 def test_warm_up_keeps_state(spark, tmp_path):
-    rows = [("@a", "advance", k) for k in range(9)] + [("@a", "like", 20), ("@b", "comment", 1), ("@b", "error", 2)]
-    src = str(tmp_path / "in")
-    got = {}
-    for part in (rows[:5], rows[5:]):
-        spark.createDataFrame(part, "handle string, kind string, ord int").coalesce(1).write.mode("append").parquet(src)
-        stream = jobs.warm_up(jobs.landed(spark, src, "handle string, kind string, ord int"))
-        query = stream.writeStream.outputMode("update").foreachBatch(lambda df, n: got.update({r.handle: tuple(r)[1:] for r in df.collect()})).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-        query.awaitTermination()
-    assert got == {"@a": (7, 1, 0, 0), "@b": (0, 0, 1, 1)}
-    assert {r.handle: tuple(r)[1:] for r in jobs.warm_up_batch(spark.createDataFrame(rows, "handle string, kind string, ord int")).collect()} == got
-    assert jobs.fold(pd.DataFrame({"kind": ["advance"] * 9}), (0, 0, 0, 0))[0] == 7
+    schema = "handle string, kind string, post string, ord int"
+    rows = [("@a", "advance", None, k) for k in range(9)] + [("@a", "like", "p1", 20), ("@a", "like", "p1", 21), ("@b", "comment", "p1", 1), ("@b", "error", None, 2), ("@a", "like", "p2", 22)]
+    src, out, marks = (str(tmp_path / x) for x in ("in", "out", "marks"))
+    for part in (rows[:5] + rows[9:10], rows[5:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        jobs.keep_updates(jobs.warm_up(jobs.landed(spark, src, schema)), out, marks)
+    got = {r.handle: tuple(r)[1:] for r in jobs.last_updates(spark, out, ["handle"]).collect()}
+    assert got == {"@a": ("in_progress", 7, 2, 0, 0), "@b": ("pending", 0, 0, 1, 1)}
+    assert jobs.fold(pd.DataFrame({"kind": ["advance"] * 9, "post": [None] * 9}), (0, [], [], 0))[0] == 7
