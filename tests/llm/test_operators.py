@@ -171,7 +171,7 @@ def test_components_match_brute_force(docs, spark, words, percent):
 
 def test_components_of_chains_and_families(spark, monkeypatch):
     """Groups whose members link to few others, over split lists and groups."""
-    for name, value in (("GROUP", 3), ("CHUNK", 500), ("LOCAL", 2), ("BLOCK", 2), ("HOT", 4)):
+    for name, value in (("GROUP", 3), ("PARTNERS", 2), ("CHUNK", 500), ("LOCAL", 2), ("BLOCK", 2), ("HOT", 4)):
         monkeypatch.setattr(jaccard_join, name, value)
     data = _families()
     df = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(3)
@@ -212,7 +212,7 @@ def test_answers_derived_from_likes(spark, monkeypatch, words, percent):
     df = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(3)
     want = Counter(cases.components(data, words, percent))
     assert rows(jaccard_join.linked(df, words, percent)) == want
-    for name, value in (("GROUP", 4), ("BLOCK", 3), ("HOT", 5), ("LOCAL", 2)):
+    for name, value in (("GROUP", 9), ("PARTNERS", 3), ("BLOCK", 3), ("HOT", 5), ("LOCAL", 2)):
         monkeypatch.setattr(jaccard_join, name, value)
     derived, verify = [], jaccard_join._verify
 

@@ -37,9 +37,9 @@ CHUNK, LOCAL = 2_000_000, 3
 MAX_FREQUENT = 250_000
 #: Of a set's lists, so many first ones are looked at for a leader.
 EARLY = 10
-#: Members of a group that meet in one task: of a leader, of a list.
-GROUP = 512
-#: Entries of a list that are skipped together.
+#: Members of a list that meet in one task; sets that are compared with one set in one task.
+GROUP, PARTNERS = 512, 64
+#: Entries of a list that are skipped together; lists that are as short are looked at many at a time.
 BLOCK = 64
 #: A shingle of so many sets has its list dealt out to several tasks from the start.
 HOT = 5_000
@@ -266,16 +266,16 @@ def _verify(pairs: DataFrame, sets_of, parts: int, percent: int, told: DataFrame
 
     told has (b, home, less, more): what sets b have less and more than a set like them, their home. Where it knows b,
     a's overlap with the home is counted once and b's is derived from it. Else b's own set is compared, and less and
-    more are returned, the difference of b from a, if the two are similar. a's set stands once for GROUP of its
-    partners, which pass by one at a time. sets_of gives (sid, items) joined to a table of sids.
+    more are returned, the difference of b from a, if the two are similar. a's set stands once for PARTNERS of
+    those it is compared with, which pass by one at a time. sets_of gives (sid, items) joined to a table of sids.
     """
     if told is None:
         pairs = pairs.select("a", "b", F.col("b").alias("home"), *(F.lit(None).cast("binary").alias(c) for c in ("less", "more")))
     else:
         pairs = pairs.join(told, "b", "left").withColumn("home", F.coalesce("home", "b"))
     near = pairs.groupBy("a", "home").agg(F.count(F.lit(1)).alias("_c"))
-    groups = near.groupBy("a").agg((F.sum("_c") / GROUP).cast("int").alias("_last"))
-    near = near.filter(F.col("_c") > GROUP).select(F.col("a").alias("_a"), F.col("home").alias("_h"), (F.col("_c") / GROUP).cast("int").alias("_split"))
+    groups = near.groupBy("a").agg((F.sum("_c") / PARTNERS).cast("int").alias("_last"))
+    near = near.filter(F.col("_c") > PARTNERS).select(F.col("a").alias("_a"), F.col("home").alias("_h"), (F.col("_c") / PARTNERS).cast("int").alias("_split"))
     dealt = pairs.join(groups, "a").join(small(near), (F.col("a") == F.col("_a")) & (F.col("home") == F.col("_h")), "left")
     turn = F.pmod(F.xxhash64("b"), F.coalesce("_split", F.lit(0)) + 1)
     dealt = stored(dealt.select("a", F.pmod(F.xxhash64("home", turn), F.col("_last") + 1).cast("int").alias("part"), "home", "b", "less", "more"), "pairs")
@@ -334,11 +334,12 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").union(e.select("b", F.col("b").alias("c")).distinct())
 
 
-def _mixed(entries: DataFrame) -> DataFrame:
-    """shingle, most, holds, passes of lists of several components: the component that has most sets, parts of the others' sets, and of all."""
-    counts = entries.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
-    lists = counts.groupBy("shingle").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("x")).filter("n > x.c")
-    return lists.select("shingle", F.col("x.comp").alias("most"), F.ceil((F.col("n") - F.col("x.c")) / GROUP).cast("int").alias("holds"), F.ceil(F.col("n") / GROUP).cast("int").alias("passes"))
+def _long(entries: DataFrame) -> DataFrame:
+    """shingle, most, mixed, holds, passes of lists of more than GROUP sets: the component that has most of them, whether others have some, parts of these, and of all."""
+    long = cut(entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("shingle"))
+    counts = entries.join(small(long), "shingle").groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
+    lists = counts.groupBy("shingle").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("x"))
+    return cut(lists.select("shingle", F.col("x.comp").alias("most"), (F.col("n") > F.col("x.c")).alias("mixed"), F.ceil((F.col("n") - F.col("x.c")) / GROUP).cast("int").alias("holds"), F.ceil(F.col("n") / GROUP).cast("int").alias("passes")))
 
 
 def _blocks(held: dict[str, np.ndarray]) -> list[dict]:
@@ -381,70 +382,97 @@ def _reached(block: dict, rows: dict[str, np.ndarray], percent: int):
             at = to
 
 
+PAIR = "a long, b long, n_a int, n_b int"
+
+
+def _within(rows: dict[str, np.ndarray], sizes: np.ndarray):
+    """(place, place) of all pairs of each of several short lists that lie one after another, some hundred thousand at once."""
+    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    before = np.arange(len(first)) - first
+    ends = np.cumsum(before)
+    at = 0
+    while at < len(before):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 300_000, "right")))
+        k = before[at:to]
+        j = np.repeat(np.arange(at, to), k)
+        yield np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k) + first[j], j
+        at = to
+
+
 def _across(entries: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of different components that stand in lists together and may link; entries have left, comp, home, away.
+    """Pairs PAIR of different components that stand in lists together and may link; entries have left, comp, home, away.
 
     At two sets' first common list, they can't have more lists in common than either has left; pairs that would need
-    more there don't link. Sets of other components than a list's main one are held, in parts of GROUP; all of its sets
-    pass by each part, in parts of about GROUP too.
+    more there don't link. In a list of more than BLOCK sets, those of other components than its main one are held, all
+    pass by; in one of more than GROUP, both in parts of about GROUP. A long list of one component isn't dealt out.
     """
-    rows = entries.join(small(cut(_mixed(entries))), "shingle").withColumn("main", (F.col("comp") == F.col("most")).cast("int"))
+    rows = entries.join(small(_long(entries)), "shingle", "left").filter("mixed is null or mixed").withColumn("main", F.coalesce((F.col("comp") == F.col("most")).cast("int"), F.lit(0)))
     columns = ["shingle", "sid", "n", "left", "comp", "home", "away", "main"]
-    one = (F.col("holds") == 1) & (F.col("passes") == 1)
     place = lambda k: F.pmod(F.xxhash64("sid"), F.col(k)).cast("int")
     upto = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
-    # role 0: held; 1: passes by; 2: both, in a list of one part
-    inner = rows.filter("main = 0 or (holds = 1 and passes = 1)").select(*columns, F.explode(F.when(one, F.array(F.lit(0))).otherwise(F.transform(upto("passes"), lambda j: place("holds") * F.col("passes") + j))).alias("part"), F.when(~one, 0).when(F.col("main") == 0, 2).otherwise(3).alias("role"))
-    outer = rows.filter("holds > 1 or passes > 1").select(*columns, F.explode(F.transform(upto("holds"), lambda i: i * F.col("passes") + place("passes"))).alias("part"), F.lit(1).alias("role"))
+    # role 0: held; 1: passes by; 2: of a list that stays whole
+    whole = rows.filter("mixed is null").select(*columns, F.lit(0).alias("part"), F.lit(2).alias("role"))
+    held = rows.filter("mixed and main = 0").select(*columns, F.explode(F.transform(upto("passes"), lambda j: place("holds") * F.col("passes") + j)).alias("part"), F.lit(0).alias("role"))
+    passing = rows.filter("mixed").select(*columns, F.explode(F.transform(upto("holds"), lambda i: i * F.col("passes") + place("passes"))).alias("part"), F.lit(1).alias("role"))
     share = percent / 100
 
-    def met(blocks, rows):
-        for block in blocks:
+    def kept(x, y, i, j, ordered: bool):
+        """Of pairs (place in x, place in y), those that may link; if ordered, one of (p, q) and (q, p) of sets that are both held."""
+        ok = x["comp"][i] != y["comp"][j]
+        i, j = i[ok], j[ok]
+        na, nb = x["n"][i].astype(SIGNED), y["n"][j].astype(SIGNED)
+        most = np.maximum(na, nb)
+        rest = (percent * most + 99) // 100 - 1
+        ok = (100 * np.minimum(na, nb) >= percent * most) & ((np.minimum(x["left"][i], y["left"][j]) + rest) * (100 + percent) >= percent * (na + nb))
+        if ordered:
+            ok &= (y["main"][j] == 1) | (na < nb) | ((na == nb) & (x["sid"][i] < y["sid"][j]))
+        ok &= (x["home"][i] != y["home"][j]) | (np.abs(x["away"][i] - y["away"][j]) <= 1 - share + 1e-9)
+        return _batch(PAIR, x["sid"][i[ok]], y["sid"][j[ok]], na[ok], nb[ok]) if ok.any() else None
+
+    def met(held, rows):
+        for block in _blocks(held):
             for i, j in _reached(block, rows, percent):
-                ok = block["comp"][i] != rows["comp"][j]
-                i, j = i[ok], j[ok]
-                na, nb = block["n"][i].astype(SIGNED), rows["n"][j].astype(SIGNED)
-                rest = (percent * np.maximum(na, nb) + 99) // 100 - 1
-                ok = (np.minimum(block["left"][i], rows["left"][j]) + rest) * (100 + percent) >= percent * (na + nb)
-                ok &= (rows["main"][j] == 1) | (na < nb) | (block["sid"][i] < rows["sid"][j])
-                ok &= (block["home"][i] != rows["home"][j]) | (np.abs(block["away"][i] - rows["away"][j]) <= 1 - share + 1e-9)
-                if ok.any():
-                    yield _batch("a long, b long, n_a int, n_b int", block["sid"][i[ok]], rows["sid"][j[ok]], na[ok], nb[ok])
+                yield kept(block, rows, i, j, True)
 
     def scan(batches):
         entering("join")
-        key, held, blocks = None, [], None
-
-        def ready():
-            """Blocks of what is held; what is both held and passes by meets itself."""
-            whole = {c: np.concatenate([h[c] for _, h in held]) for c in columns}
-            made = _blocks(whole)
-            return made, met(made, whole) if held[0][0] == 2 else ()
+        rest = None  # of the last list, which may go on
+
+        def lists(d, last):
+            """Pairs of all whole lists in d, and what is left of it."""
+            edge = np.flatnonzero((d["shingle"][1:] != d["shingle"][:-1]) | (d["part"][1:] != d["part"][:-1])) + 1
+            begins = np.concatenate([[0], edge])
+            sizes = np.diff(np.concatenate([begins, [len(d["shingle"])]]))
+            n = len(sizes) if last else len(sizes) - 1
+            short = (sizes[:n] <= BLOCK) & (d["role"][begins[:n]] == 2)
+            some = {c: d[c][: begins[n] if n < len(begins) else None][np.repeat(short, sizes[:n])] for c in columns}
+            out = [kept(some, some, i, j, False) for i, j in _within(some, sizes[:n][short])]
+            for a, size in zip(begins[:n][~short].tolist(), sizes[:n][~short].tolist()):
+                one = {c: d[c][a : a + size] for c in columns}
+                is_held = d["role"][a : a + size] == 0
+                if d["role"][a] == 2:
+                    names, counts = np.unique(one["comp"], return_counts=True)
+                    one["main"] = (one["comp"] == names[counts.argmax()]).astype(np.int32)
+                    is_held, passes = one["main"] == 0, np.ones(size, bool)
+                else:
+                    passes = ~is_held
+                if is_held.any() and passes.any():
+                    out += met({c: x[is_held] for c, x in one.items()}, {c: x[passes] for c, x in one.items()})
+            return [x for x in out if x is not None], None if last else {c: x[begins[-1] :] for c, x in d.items()}
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             d = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "part", "role")}
-            edge = np.flatnonzero((d["shingle"][1:] != d["shingle"][:-1]) | (d["part"][1:] != d["part"][:-1]) | (d["role"][1:] != d["role"][:-1])) + 1
-            for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
-                if a == b:
-                    continue
-                if (now := (d["shingle"][a], d["part"][a])) != key:
-                    if held and blocks is None:
-                        yield from ready()[1]
-                    key, held, blocks = now, [], None
-                rows = {c: d[c][a:b] for c in columns}
-                if (role := int(d["role"][a])) in (0, 2):
-                    held.append((role, rows))
-                elif held:
-                    if blocks is None:
-                        blocks, own = ready()
-                        yield from own
-                    yield from met(blocks, rows)
-        if held and blocks is None:
-            yield from ready()[1]
-
-    order = F.when(F.col("role").isin(0, 2), 0).otherwise(1)
-    dealt = inner.unionByName(outer).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part", order, "n", "sid")
-    return dealt.mapInArrow(scan, "a long, b long, n_a int, n_b int").distinct()
+            if rest is not None:
+                d = {c: np.concatenate([rest[c], x]) for c, x in d.items()}
+            found, rest = lists(d, False)
+            yield from found
+        if rest is not None:
+            yield from lists(rest, True)[0]
+
+    dealt = whole.unionByName(held).unionByName(passing).repartition(parts, "shingle", "part").sortWithinPartitions("shingle", "part")
+    return dealt.mapInArrow(scan, PAIR).distinct()
 
 
 def _may_link_exactly(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
