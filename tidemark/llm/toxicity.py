@@ -237,8 +237,10 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document.
 
-    Null and empty texts get the score of a text without any known word; a null doc_id is never held out; repeated rows
-    get a row each; without labels of both kinds every text gets the same score.
+    Null and empty texts get the score of a text without any known word; texts of any length count whole; a null doc_id
+    is never held out; repeated rows get a row each, and a doc_id with several labels counts as toxic if one says so;
+    without labels of both kinds every text gets the same score; an empty table gives none. Other columns of docs and
+    labels play no part, whatever their names. Marks that tell as much are taken in their order as text.
     """
     out = score(docs, fit(docs, labels))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

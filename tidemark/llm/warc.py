@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_dir, open_fs, small, stored
+from .common import cut, fresh_dir, open_fs, small, small_batches, stored
 
-#: A file is closed at so many bytes; a block has so many lines.
-FILE_BYTES, BLOCK_LINES = 1 << 30, 3000
+#: A file is closed at so many bytes; a block has so many lines, an index shard about so many.
+FILE_BYTES, BLOCK_LINES, SHARD_LINES = 1 << 30, 3000, 1_000_000
 DATE = "2024-01-01T00:00:00Z"
 ENTRY = "urlkey string, url string, page_id long, file string, at long, length long, record_type string"
 _NAMESPACE = uuid.UUID("8d7f3f0e-4d1f-4c64-9a51-1f6f2f1f8a11")
@@ -83,16 +83,15 @@ def _writer(folder: str, ending: str):
     return f"{folder}/{name}", fs.open_output_stream(f"{base}/{name}", compression=None)
 
 
-def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, sha1, refers_to of pages whose payload, of min_bytes at least, a smaller page_id has too.
+def first_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """sha1, refers_to (the smallest page_id) of payloads, of min_bytes at least, that several pages have.
 
-    A payload's first page is found by its digest, summed up before the shuffle; pages aren't brought together.
+    Digests are summed up before the shuffle; pages aren't brought together.
     """
-    meta = pages.select("page_id", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha1"), F.octet_length(F.coalesce("html", F.lit(""))).alias("bytes"))
-    meta = stored(meta.filter(F.col("bytes") >= min_bytes), "payloads")
-    firsts = meta.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1 and refers_to is not null")
-    met = meta.join(small(cut(firsts.select("sha1", "refers_to"))), "sha1")
-    return cut(met.filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "sha1", "refers_to").distinct())
+    html = F.coalesce("html", F.lit(""))
+    meta = pages.filter(F.octet_length(html) >= min_bytes).select("page_id", F.sha1(html.cast("binary")).alias("sha1"))
+    firsts = meta.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+    return cut(firsts.filter("n > 1 and refers_to is not null").select("sha1", "refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
@@ -100,10 +99,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
 
     A task writes files of its own names, so a repeated task leaves files that no entry names.
     """
-    seen = revisits(pages, min_bytes).select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"), "refers_to")
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), url_key(F.col("url")).alias("urlkey"))
-    p = p.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
-    p = p.join(small(seen), F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1")), "left")
+    p = p.withColumn("sha1", F.sha1(F.col("html").cast("binary"))).join(small(first_pages(pages, min_bytes)), "sha1", "left")
+    p = p.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("refers_to")), F.col("refers_to")))
 
     def write(batches):
         name = out = None
@@ -125,12 +123,13 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
         if out is not None:
             out.close()
 
-    return stored(p.select("page_id", "url", "html", "urlkey", "sha1", "refers_to").mapInArrow(write, ENTRY), "captures")
+    with small_batches(pages.sparkSession):
+        return stored(p.select("page_id", "url", "html", "urlkey", "sha1", "refers_to").mapInArrow(write, ENTRY), "captures")
 
 
 def write_index(entries: DataFrame, folder: str) -> DataFrame:
-    """Writes the index's shards; returns shard, first_key, directory (block's place and length; one row a shard)."""
-    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Writes the index's shards, of about SHARD_LINES captures; returns shard and first_key, one row a shard."""
+    n = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries.count() // SHARD_LINES)
 
     def write(batches):
         shard = out = first = None
@@ -158,17 +157,35 @@ def write_index(entries: DataFrame, folder: str) -> DataFrame:
             tail = zlib.compress(json.dumps(directory).encode())
             out.write(tail + struct.pack(_END, at, len(tail), _MAGIC))
             out.close()
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "first_key": [first], "blocks": pa.array([[{"at": a, "length": n} for _, _, a, n in directory]], pa.list_(pa.struct([("at", pa.int64()), ("length", pa.int64())])))})
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "first_key": [first]})
 
     # equal keys needn't meet in one task: a key with a third of all captures is dealt out by page_id
     dealt = entries.repartitionByRange(n, F.coalesce("urlkey", F.lit("")), "page_id").sortWithinPartitions(F.coalesce("urlkey", F.lit("")), "page_id")
-    return cut(dealt.mapInArrow(write, "shard string, first_key string, blocks array<struct<at: long, length: long>>"))
+    return cut(dealt.mapInArrow(write, "shard string, first_key string"))
+
+
+def _directory(f) -> list[list]:
+    """First key, last key, place and length of a shard's blocks, from its end."""
+    size = f.size()
+    at, length, magic = struct.unpack(_END, f.read_at(struct.calcsize(_END), size - struct.calcsize(_END)))
+    if magic != _MAGIC:
+        raise ValueError("no index shard")
+    return json.loads(zlib.decompress(f.read_at(length, at)))
 
 
 def read_index(shards: DataFrame) -> DataFrame:
-    """All entries (ENTRY), from the index's blocks."""
+    """All entries (ENTRY), from the index's blocks, as the shards' own directories list them."""
     n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = shards.select("shard", F.explode("blocks").alias("b")).select("shard", "b.at", "b.length").repartition(n, "shard", "at")
+
+    def listed(batches):
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                fs, path = open_fs(shard)
+                with fs.open_input_file(path) as f:
+                    blocks = _directory(f)
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(blocks), pa.string()), *(pa.array([b[k] for b in blocks], pa.int64()) for k in (2, 3))], ["shard", "at", "length"])
+
+    blocks = shards.select("shard").mapInArrow(listed, "shard string, at long, length long").repartition(n, "shard", "at")
 
     def scan(batches):
         for batch in batches:
@@ -236,9 +253,7 @@ def lookup(shards: DataFrame, urls: DataFrame) -> DataFrame:
                         f.close()
                     fs, path = open_fs(shard)
                     name, f = shard, fs.open_input_file(path)
-                    size = f.size()
-                    at, length, _ = struct.unpack(_END, f.read_at(struct.calcsize(_END), size - struct.calcsize(_END)))
-                    directory = json.loads(zlib.decompress(f.read_at(length, at)))
+                    directory = _directory(f)
                 k, end = bisect_left(directory, key, key=lambda d: d[1]), bisect_right(directory, key, key=lambda d: d[0])
                 got = [r for d in directory[k:end] for r in _lines(f, d[2], d[3]) if r[0] == key]
                 if got:
@@ -252,7 +267,7 @@ def archived(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
     A null html counts as empty, a null url as about:blank; a null page_id is written without a number and is first only
     where all of its payload are null. Rows repeated with their payload's smallest page_id are responses each. An empty
-    table writes nothing and gives no row.
+    table writes nothing and gives no row. Pages of any length are written whole; pages' other columns play no part.
     """
     folder = fresh_dir(pages.sparkSession, "warc")
     shards = write_index(write_archives(pages, folder, min_bytes), folder)
