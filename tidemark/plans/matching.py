@@ -38,13 +38,8 @@ def match_ad_presence(spark, d):
     return M.ad_presence(agents, pages)
 
 
-def match_similarity(spark, d):
-    n = read(spark, d, "nation")
-    return n.select("n_nationkey", F.round(M.similarity("n_name", F.lit("united nations")), 4).alias("similarity"))
-
-
 _CONF = "round((list_value(CAST(0.9 + 0.08 * 4 / 10 AS DOUBLE), 0.99, 0.3, 0.8, 0.65))[1 + c_custkey % 5], 4)"
-QUERIES = {f.__name__: f for f in (match_countries, match_places, match_candidates, match_websites, match_ad_presence, match_similarity)}
+QUERIES = {f.__name__: f for f in (match_countries, match_places, match_candidates, match_websites, match_ad_presence)}
 SQL = {
     "match_countries": f"SELECT c_custkey, {_sql_pick(['Colombia', 'United States', None, 'United Kingdom', None, 'Mexico', 'United Kingdom'], 'c_custkey % 7')} AS country FROM customer",
     "match_places": "SELECT c_custkey, " + ", ".join(f"{_sql_pick(v, 'c_custkey % 6')} AS {c}" for c, v in {"city": ["Miami", "Bogotá", None, None, "Mexico City", "Cali"], "state": ["Florida"] + [None] * 5, "country": ["United States", "Colombia", "Peru", None, "Mexico", "Colombia"], "company_key": ["acme miami", "bogotá homes", "peru trade", "plain", "ciudad de méxico sa", "cali group"]}.items()) + " FROM customer",

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import contacts, funnel, graph, icp, master, matching, outreach, records, scalars, streams
+from . import contacts, funnel, graph, icp, lookups, master, matching, outreach, records, scalars, streams
 
-PARTS = [icp, contacts, funnel, graph, master, matching, outreach, records, scalars, streams]
+PARTS = [icp, contacts, funnel, graph, lookups, master, matching, outreach, records, scalars, streams]
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLE_SQL = {name: sql for part in PARTS for name, sql in part.SQL.items()}
