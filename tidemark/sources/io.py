@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import name_parts, null_if_sentinel, parse_list, us_phone
@@ -89,7 +89,7 @@ def message_contacts(leads: DataFrame, blocked: DataFrame) -> DataFrame:
 
 def newest(runs: DataFrame, keep: int) -> DataFrame:
     """The `keep` newest of runs (run_id ...): what a rotation leaves."""
-    return runs.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("run_id")))).filter(F.col("_r") <= keep).drop("_r")
+    return runs.orderBy(F.desc("run_id")).limit(keep)
 
 
 def not_done(rows: DataFrame, log: DataFrame, key: str, status: str = "sent") -> DataFrame:
