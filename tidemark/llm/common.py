@@ -114,11 +114,6 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def unit_hash(*cols: Column | str, seed: int = 0) -> Column:
-    """A number from 0 up to 1 that depends on the values and the seed alone."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
-
-
 #: Bytes of text that a task works on at once, a longer text alone.
 CHUNK_BYTES = 4 << 20
 _caches: dict[str, list] = {"user": [None], "drop": []}

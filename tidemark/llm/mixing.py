@@ -10,12 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, free_names, numbered, small, unit_hash
+from .common import WORD, cut, free_names, numbered, small
 
 #: Seeds that a source's draws are tried with. Few long documents make a source miss its target by much with one seed alone.
 SEEDS = 32
-#: Sources whose levels are found in one round of sums; rounds end when no further source reaches its cap.
-MAX_ROUNDS = 10_000
 
 
 def n_words(text: Column) -> Column:
@@ -34,7 +32,7 @@ def source_targets(per: DataFrame, weights: list[float], share: float, cap: floa
     most = F.col("source_size") * F.lit(float(cap))
     total = (table.agg(F.sum("source_size")).first()[0] or 0) * float(share)
     level, full = 0.0, -1
-    for _ in range(MAX_ROUNDS):  # levels rise, so a source that is at its cap stays there
+    while True:  # levels rise, so a source that is at its cap stays there, and rounds end when no further one gets there
         capped = (most <= F.col("weight") * F.lit(level)) if full >= 0 else F.lit(False)
         n, spent, free = table.agg(F.count_if(capped), F.sum(F.when(capped, most)), F.sum(F.when(~capped, F.col("weight")))).first()
         if n == full or not free:
