@@ -10,9 +10,24 @@ NOT_ADDRESSES = ["example.com", "sentry", "wixpress", ".png", ".jpg", ".jpeg", "
 PLATFORMS = {"facebook": r"facebook\.com", "instagram": r"instagram\.com", "linkedin": r"linkedin\.com", "twitter": r"(?:twitter|x)\.com", "youtube": r"youtube\.com"}
 CONTACT_PATHS = ["contact", "about", "team", "staff", "agents", "people"]
 NOT_HANDLES = ["p", "reel", "reels", "explore", "stories", "accounts", "about", "share"]
+SERVICES = ["residential", "commercial", "property management", "buying", "selling", "rental", "mortgage", "investment", "luxury", "first-time buyers", "relocation", "foreclosure", "short sale", "new construction"]
 SIGNATURES = {
-    "crm": {"hubspot": r"js\.hs-scripts\.com|hsforms", "salesforce": r"pardot|salesforce", "zoho": r"zoho\.com"}, "chat": {"intercom": r"widget\.intercom\.io", "drift": r"js\.driftt?\.com", "tawk": r"embed\.tawk\.to"},
-    "pixel": {"meta": r"fbq\(|connect\.facebook\.net", "google": r"gtag\(|googletagmanager"}, "scheduling": {"calendly": r"calendly\.com", "acuity": r"acuityscheduling"}, "form": {"typeform": r"typeform\.com", "jotform": r"jotform\.com"},
+    "crm": {
+        "hubspot": r"js\.hs-scripts\.com|js\.hsforms\.net|hbspt\.forms|hs-script-loader|hubspot\.com|_hsq\.push", "salesforce": r"salesforce\.com|force\.com|pardot\.com|sfdc", "followupboss": r"followupboss\.com|fub\.com|followup\.boss",
+        "kvcore": r"kvcore\.com|platform\.kvcore|idx\.kvcore", "liondesk": r"liondesk\.com|ld\.link", "cinc": r"cincpro\.com|cinc\.com", "boomtown": r"boomtownroi\.com|boomtown\.com", "realgeeks": r"realgeeks\.com", "chime": r"chime\.me|chimecentral\.com",
+        "zoho": r"zoho\.com|zohocdn\.com", "pipedrive": r"pipedrive\.com|pipedrivewebforms",
+    },
+    "pixel": {
+        "meta_pixel": r"connect\.facebook\.net|fbq\s*\(|facebook-pixel|facebook\.com/tr|_fbq", "google_analytics": r"google-analytics\.com|googletagmanager\.com|gtag\s*\(|ga\s*\(\s*.create.|analytics\.js|gtm\.js",
+        "google_ads": r"googleadservices\.com|google_conversion|googleads\.g\.doubleclick|gtag.*config.*AW-", "tiktok_pixel": r"analytics\.tiktok\.com|ttq\.track", "linkedin_insight": r"snap\.licdn\.com|linkedin\.com/px|_linkedin_data_partner_id", "hotjar": r"static\.hotjar\.com|hotjar\.com|hj\s*\(",
+    },
+    "scheduling": {"calendly": r"calendly\.com|assets\.calendly\.com", "acuity": r"acuityscheduling\.com|squareup\.com/appointments", "hubspot_meetings": r"meetings\.hubspot\.com|hs-meetings", "booksy": r"booksy\.com", "setmore": r"setmore\.com", "appointy": r"appointy\.com"},
+    "chat": {
+        "intercom": r"intercom\.io|widget\.intercom\.io|intercomcdn\.com|Intercom\s*\(", "drift": r"drift\.com|js\.driftt\.com|driftt\.com", "livechat": r"livechatinc\.com|cdn\.livechatinc\.com|__lc\.license", "tawk": r"tawk\.to|embed\.tawk\.to",
+        "zendesk_chat": r"zopim\.com|zendesk\.com.*chat|static\.zdassets\.com", "freshchat": r"freshchat\.com|wchat\.freshchat\.com", "crisp": r"crisp\.chat|client\.crisp\.chat", "olark": r"olark\.com|static\.olark\.com", "hubspot_chat": r"js\.usemessages\.com|hubspot.*conversations",
+    },
+    "form": {"typeform": r"typeform\.com|embed\.typeform\.com", "jotform": r"jotform\.com|cdn\.jotfor\.ms", "wufoo": r"wufoo\.com", "gravity_forms": r"gravityforms|gform_", "contact_form_7": r"wpcf7|contact-form-7"},
+    "idx": {"idx_broker": r"idxbroker\.com|idx-broker", "showcase_idx": r"showcaseidx\.com", "ihomefinder": r"ihomefinder\.com"},
 }
 
 
@@ -73,3 +88,9 @@ def technologies(html: Column) -> Column:
     t = F.coalesce(html, F.lit(""))
     found = [F.when(t.rlike(f"(?i){p}"), F.lit(f"{kind}:{name}")) for kind, names in SIGNATURES.items() for name, p in names.items()]
     return F.array_sort(F.array_compact(F.array(*found)))
+
+
+def services(html: Column) -> Column:
+    """The services of SERVICES that a page's text names, in their order."""
+    t = F.lower(visible(html))
+    return F.array_compact(F.array(*(F.when(F.contains(t, F.lit(s)), F.lit(s)) for s in SERVICES)))

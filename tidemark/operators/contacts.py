@@ -47,6 +47,17 @@ BOUNCES = [
     rf"Your message to\s+<?({_ADDRESS})>?", rf"message sent to\s+<?({_ADDRESS})>?", r"<([a-zA-Z0-9._%+-]+@(?!googlemail\.com|google\.com)[a-zA-Z0-9.-]+\.[a-zA-Z]{2,})>",
 ]
 NOT_BOUNCED = ["mailer-daemon", "postmaster", "noreply"]
+# first names by which an address's one part is known, longer ones first where both fit
+MAILBOX_NAMES = [
+    "john", "mike", "david", "james", "robert", "michael", "william", "mary", "jennifer", "linda", "sarah", "jessica", "emily", "ashley", "brian", "chris", "matt", "jason", "ryan", "kevin", "steve",
+    "lisa", "kim", "anna", "karen", "nancy", "betty", "helen", "tim", "tom", "bob", "joe", "dan", "mark", "paul", "peter", "amy", "jen", "kate", "meg", "sue", "ann", "pat", "lee",
+    "jeremy", "madison", "victoria", "wendy", "kelly", "tia", "camille", "charlee", "erin", "richard", "roy", "dean", "greg", "alex", "nick", "tony", "bill", "ben", "sam", "max",
+    "jake", "luke", "adam", "jack", "eric", "sean", "alan", "carl", "chad", "cole", "drew", "evan", "gary", "glen", "ivan", "joel", "kent", "kirk", "kurt", "lane", "lars", "leon",
+    "liam", "luis", "marc", "neil", "noah", "omar", "owen", "phil", "reid", "rick", "ross", "russ", "seth", "stan", "todd", "troy", "wade", "walt", "ward", "zach", "abby", "ally", "andy", "beth",
+    "cara", "cary", "dana", "dawn", "deb", "gail", "gina", "hope", "jade", "jane", "jean", "jill", "joan", "jodi", "judy", "june", "kara", "katy", "kris", "lana", "lara", "lena", "lily", "lori",
+    "lucy", "lynn", "macy", "maya", "megan", "nina", "nora", "olga", "pam", "rosa", "rose", "ruby", "ruth", "sara", "tara", "tina", "vera", "vicky", "zoe", "aspen", "chirag", "hoshyar", "keveanu",
+    "terrance", "carroll", "stevie", "lovetra", "jesus",
+]
 GENERIC_DOMAINS = [
     "gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "icloud.com", "aol.com", "live.com", "me.com", "msn.com", "mail.com", "protonmail.com", "zoho.com", "ymail.com", "googlemail.com",
     "comcast.net", "att.net", "verizon.net", "sbcglobal.net", "cox.net", "bellsouth.net", "earthlink.net", "mac.com",
@@ -108,6 +119,66 @@ def first_member(members: Column) -> Column:
     return F.get(F.filter(F.transform(team, lambda m: m["name"]), valid_name), F.lit(0))
 
 
+def first_name_of_mailbox(email: Column, generic: list[str]) -> Column:
+    """A known first name that a mailbox begins with: before a point or line, alone, or before three letters or more; the longest one."""
+    box = F.lower(F.substring_index(email, "@", 1))
+    known = "|".join(sorted(MAILBOX_NAMES, key=lambda n: (-len(n), n)))
+    found = F.coalesce(F.when(box.rlike("[._]"), _found(box, rf"^({known})[._]")), _found(box, rf"^({known})$"), _found(box, rf"^({known})[\p{{L}}]{{3,}}$"))
+    return F.when(F.contains(email, F.lit("@")) & ~box.isin(generic), F.initcap(found))
+
+
+def two_names_of_mailbox(email: Column, generic: list[str]) -> Column:
+    """First Last of a mailbox of exactly two parts of over one character, by the first of . _ - that is in it."""
+    box = F.lower(F.trim(F.substring_index(email, "@", 1)))
+    two = lambda sep: F.split(box, sep)
+    fits = lambda p: (F.size(p) == 2) & (F.length(F.get(p, F.lit(0))) > 1) & (F.length(F.get(p, F.lit(1))) > 1)
+    named = F.coalesce(*(F.when(fits(two(s)), F.initcap(F.array_join(two(s), " "))) for s in (r"\.", "_", "-")))
+    return F.when(F.contains(email, F.lit("@")) & ~box.isin(generic), named)
+
+
+def business_domain(email: Column, personal: list[str], franchises: list[str]) -> Column:
+    """domain, reason: the domain of an address, or why there is none: no_email, personal or franchise."""
+    d = F.lower(F.trim(F.substring_index(email, "@", -1)))
+    reason = F.when(~F.coalesce(F.contains(email, F.lit("@")), F.lit(False)), "no_email").when(d.isin(personal), "personal").when(d.rlike("|".join(franchises)), "franchise").otherwise("")
+    return F.struct(F.when(reason == "", d).alias("domain"), reason.alias("reason"))
+
+
+def industry(email: Column, company: Column, industries: dict[str, list[str]]) -> Column:
+    """The first industry of which a word stands in the address's domain or the company's name."""
+    where = F.lower(F.concat_ws(" ", F.substring_index(email, "@", -1), company))
+    return F.coalesce(*(F.when(where.rlike("|".join(words)), F.lit(name)) for name, words in industries.items()))
+
+
+def replies_by(contacts: DataFrame, *by: str) -> DataFrame:
+    """by, contacts, replied: people who wrote back, by tier and industry."""
+    return contacts.groupBy(*by).agg(F.count_distinct("contact").alias("contacts"), F.count_distinct(F.when(F.col("replies") > 0, F.col("contact"))).alias("replied"))
+
+
+def completeness(df: DataFrame) -> DataFrame:
+    """bucket, n, first: rows by what they have, each in one bucket, and the first name by order: complete, email_contact, email_only, no_email."""
+    email = F.contains(F.coalesce("primary_email", F.lit("")), F.lit("@"))
+    name, phone = null_if_sentinel(F.col("contact_name")).isNotNull(), F.size(parse_list(F.col("phones"))) > 0
+    bucket = F.when(~email, "no_email").when(name & phone, "complete").when(name, "email_contact").otherwise("email_only")
+    return df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.min_by("page_name", "ord").alias("first"))
+
+
+def works_at(extractions: DataFrame, key: Column) -> DataFrame:
+    """email, company_key, company (its first spelling), role, confidence (of the last extraction) of extractions (email, company, role, confidence, ord)."""
+    rows = extractions.withColumn("company_key", key).filter("company_key <> ''")
+    spelt = rows.groupBy("company_key").agg(F.min_by("company", "ord").alias("company"))
+    last = rows.groupBy("email", "company_key").agg(F.max_by(F.struct("role", F.coalesce("confidence", F.lit(0.0)).alias("confidence")), "ord").alias("x"))
+    return last.join(spelt, "company_key").select("email", "company_key", "company", "x.role", "x.confidence")
+
+
+def merged_nodes(people: DataFrame, same: DataFrame) -> DataFrame:
+    """people (node and cells) after those of same(old, new) became one: empty cells of the one that stays are filled from those that go, the smallest first."""
+    cells = [c for c in people.columns if c != "node"]
+    gone = people.join(small(same.select(F.col("old").alias("node"), "new")), "node")
+    fill = gone.groupBy(F.col("new").alias("node")).agg(*(F.min_by(c, F.when(~_blank(F.col(c)), F.col("node"))).alias(f"_{c}") for c in cells))
+    kept = people.join(small(same.select(F.col("old").alias("node"))), "node", "left_anti").join(fill, "node", "left")
+    return kept.select("node", *(F.when(_blank(F.col(c)), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in cells))
+
+
 # pages
 
 

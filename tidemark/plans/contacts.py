@@ -203,9 +203,50 @@ def contact_versions(spark, d):
     return spark.read.schema("c_custkey long, batch int, nation int").json(records)
 
 
+BOXES = ["john.smith@x.example", "sarah@x.example", "johnsmith@x.example", "info@x.example", "jsmith@gmail.com", "mary-ann@century21.example", "j.smith@x.example", "no address", None]
+FIRSTS, TWOS = ["John", "Sarah", "John", None, None, None, None, None, None], ["John Smith", None, None, None, None, "Mary Ann", None, None, None]
+DOMAINS, WHY = ["x.example", "x.example", "x.example", "x.example", None, None, "x.example", None, None], ["", "", "", "", "personal", "franchise", "", "no_email", "no_email"]
+
+
+def contact_mailboxes(spark, d):
+    k = F.col("c_custkey")
+    e = _pick(BOXES, k % 9)
+    b = C.business_domain(e, ["gmail.com"], ["century21", "remax"])
+    return read(spark, d, "customer").select(k, C.first_name_of_mailbox(e, ["info"]).alias("first"), C.two_names_of_mailbox(e, ["info"]).alias("two"), b["domain"].alias("domain"), b["reason"].alias("reason"))
+
+
+def contact_industries(spark, d):
+    """Contacts and who wrote back, by tier and industry."""
+    k = F.col("c_custkey")
+    kind = C.industry(F.concat(F.lit("e@"), _pick(["acme-realty.example", "bank.example", "x.example"], k % 3)), F.when(k % 5 == 0, "Law Firm"), {"real estate": ["realty", "homes"], "finance": ["bank"], "law": ["law"]})
+    rows = read(spark, d, "customer").select(F.concat(F.lit("c"), k % 400).alias("contact"), (k % 400 % 4).alias("tier"), F.coalesce(kind, F.lit("other")).alias("industry"), (k % 2).alias("replies"))
+    return C.replies_by(rows, "tier", "industry")
+
+
+def contact_completeness(spark, d):
+    k = F.col("c_custkey")
+    rows = read(spark, d, "customer").select(k.alias("ord"), F.concat(F.lit("page"), k).alias("page_name"), F.when(k % 3 > 0, "e@x.example").alias("primary_email"), _pick(["Ann", "none", None], k % 4).alias("contact_name"), F.when(k % 5 == 0, "[]").otherwise("555").alias("phones"))
+    return C.completeness(rows)
+
+
+def contact_works_at(spark, d):
+    from ..operators.matching import company_key
+
+    k = F.col("c_custkey")
+    rows = read(spark, d, "customer").select(F.concat(F.lit("e"), k % 300).alias("email"), F.concat(F.lit("Acme "), k % 7, _pick([" Inc", " LLC", ""], k % 3)).alias("company"), F.concat(F.lit("role"), k).alias("role"), F.when(k % 4 > 0, k / 10000).alias("confidence"), k.alias("ord"))
+    return C.works_at(rows, company_key(F.col("company"))).withColumn("confidence", F.round("confidence", 6))
+
+
+def contact_merged_people(spark, d):
+    k = F.col("c_custkey")
+    people = read(spark, d, "customer").select(k.alias("node"), F.when(k % 2 == 0, F.concat(F.lit("name"), k)).alias("name"), F.when(k % 3 == 0, F.concat(F.lit("url"), k)).otherwise("").alias("url"))
+    return C.merged_nodes(people, read(spark, d, "customer").filter(k % 5 == 0).select(k.alias("old"), (k + 1).alias("new")).unionByName(read(spark, d, "customer").filter(k % 5 == 4).select(k.alias("old"), (k + 2).alias("new"))))
+
+
 QUERIES = {f.__name__: f for f in (
     contact_names, contact_bounces, contact_findings, contact_people, contact_page_sets, contact_technologies, contact_ad_texts, contact_advertisers, contact_handles, contact_handle_sources, contact_alternates, contact_domain_matches, contact_first_tier,
-    contact_needing, contact_prospects, contact_profiles, contact_appended, contact_trial_run, contact_statuses, contact_graph_status, contact_drafts, contact_mapped, contact_profile, contact_runs, contact_versions)}
+    contact_needing, contact_prospects, contact_profiles, contact_appended, contact_trial_run, contact_statuses, contact_graph_status, contact_drafts, contact_mapped, contact_profile, contact_runs, contact_versions,
+    contact_mailboxes, contact_industries, contact_completeness, contact_works_at, contact_merged_people)}
 _K = "SELECT c_custkey AS k FROM customer"
 _RAW = f"""ads AS (SELECT o_custkey AS page_id, o_orderkey AS k, o_orderdate AS o, CASE o_orderkey % 4 WHEN 0 THEN 'body ' || (o_orderkey % 6) WHEN 1 THEN 'c1 | c' || (o_orderkey % 5) WHEN 2 THEN 'title' ELSE CASE WHEN o_orderkey % 8 = 3 THEN 'legacy' ELSE '' END END AS text,
   CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 100 ELSE 0 END AS lo, CASE WHEN o_orderkey % 3 > 1 THEN o_orderkey % 100 + 50 ELSE 0 END AS hi, {_sql_pick(["FB", "IG", "MS"], "o_orderkey % 3")} AS p, {_sql_pick(["US", "CO"], "o_orderkey % 2")} AS c FROM orders)"""
@@ -246,5 +287,12 @@ SQL = {
     "contact_mapped": f"SELECT CAST(k AS VARCHAR) AS id, 'Acme a' || k AS page_name, {_sql_pick(['a|b', 'x|y', ''], 'k % 3')} AS platforms, CASE WHEN k % 3 = 0 THEN 12 ELSE 0 END AS ad_count, k % 3 = 0 AS is_active, CASE WHEN k % 3 < 2 THEN '2024-05-06' ELSE '' END AS first_ad_date, concat_ws('|', CASE WHEN k % 2 = 0 THEN '555' END, CASE WHEN k % 5 > 0 THEN '777' END) AS phones FROM ({_K})",
     "contact_profile": f"WITH {_ROWS}, n AS (SELECT count(*) AS rows FROM r) " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", (SELECT count(*) FROM r WHERE trim(CAST({c} AS VARCHAR)) <> '') AS filled, rows FROM n" for c in ("ord", "primary_email", "email_verified", "website_url", "search_confidence", "contact_name", "status", "method")),
     "contact_runs": "SELECT event_id % 20 AS run_id, min(ts) AS started, max(ts) AS ended, count(*) FILTER (event_id % 3 <> 1) AS n_done, count(*) FILTER (event_id % 3 = 1) AS n_failed, count(DISTINCT event_id % 300) AS n_items FROM events GROUP BY 1",
+    "contact_mailboxes": f"SELECT k AS c_custkey, {_sql_pick(FIRSTS, 'k % 9')} AS first, {_sql_pick(TWOS, 'k % 9')} AS two, {_sql_pick(DOMAINS, 'k % 9')} AS domain, {_sql_pick(WHY, 'k % 9')} AS reason FROM ({_K})",
+    "contact_industries": f"SELECT tier, industry, count(DISTINCT c) AS contacts, count(DISTINCT CASE WHEN r > 0 THEN c END) AS replied FROM (SELECT k % 400 AS c, k % 400 % 4 AS tier, CASE k % 3 WHEN 0 THEN 'real estate' WHEN 1 THEN 'finance' ELSE CASE WHEN k % 5 = 0 THEN 'law' ELSE 'other' END END AS industry, k % 2 AS r FROM ({_K})) GROUP BY 1, 2",
+    "contact_completeness": f"SELECT CASE WHEN k % 3 = 0 THEN 'no_email' WHEN k % 4 = 0 AND k % 5 > 0 THEN 'complete' WHEN k % 4 = 0 THEN 'email_contact' ELSE 'email_only' END AS bucket, count(*) AS n, 'page' || min(k) AS first FROM ({_K}) GROUP BY 1",
+    "contact_works_at": f"""WITH r AS (SELECT 'e' || (k % 300) AS email, 'acme ' || (k % 7) AS company_key, 'Acme ' || (k % 7) || {_sql_pick([" Inc", " LLC", ""], "k % 3")} AS company, 'role' || k AS role, CASE WHEN k % 4 > 0 THEN round(k / 10000, 6) ELSE 0.0 END AS confidence, k FROM ({_K})), s AS (SELECT company_key, arg_min(company, k) AS company FROM r GROUP BY 1)
+  SELECT email, r.company_key, any_value(s.company) AS company, arg_max(role, k) AS role, arg_max(confidence, k) AS confidence FROM r JOIN s ON r.company_key = s.company_key GROUP BY 1, 2""",
+    "contact_merged_people": f"""WITH p AS (SELECT k AS node, CASE WHEN k % 2 = 0 THEN 'name' || k END AS name, CASE WHEN k % 3 = 0 THEN 'url' || k END AS url FROM ({_K})), g AS (SELECT node - node % 5 + 1 + CASE WHEN node % 5 = 4 THEN 5 ELSE 0 END AS node, arg_min(name, node) FILTER (name IS NOT NULL) AS n, arg_min(url, node) FILTER (url IS NOT NULL) AS u FROM p WHERE node % 5 IN (0, 4) GROUP BY 1)
+  SELECT p.node, coalesce(p.name, n) AS name, CASE WHEN p.url IS NULL AND g.node IS NULL THEN NULL ELSE coalesce(p.url, u) END AS url FROM p LEFT JOIN g ON g.node = p.node WHERE p.node % 5 NOT IN (0, 4)""",
     "contact_versions": "SELECT c_custkey, CASE c_custkey % 5 WHEN 1 THEN 1 ELSE 0 END AS batch, CASE WHEN c_nationkey > 5 THEN c_nationkey END AS nation FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 5 IN (1, 2)",
 }

@@ -50,12 +50,13 @@ def html_contacts(spark, d):
 
 def html_sites(spark, d):
     h = F.col("html")
-    return read(spark, d, "pages").select("page_id", F.array_join(H.contact_pages(h, T.url_domain(F.col("url"))), ",").alias("contact_pages"), F.array_join(H.technologies(h), ",").alias("technologies"), F.array_join(H.handles(h), ",").alias("handles"), F.array_join(F.map_keys(H.social_links(h)), ",").alias("platforms"))
+    return read(spark, d, "pages").select("page_id", F.array_join(H.contact_pages(h, T.url_domain(F.col("url"))), ",").alias("contact_pages"), F.array_join(H.technologies(h), ",").alias("technologies"), F.array_join(H.handles(h), ",").alias("handles"), F.array_join(F.map_keys(H.social_links(h)), ",").alias("platforms"), F.array_join(H.services(h), ",").alias("services"))
 
 
 _SIGNATURES = ", ".join(f"CASE WHEN regexp_matches(h, '(?i){p}') THEN '{kind}:{name}' END" for kind, names in H.SIGNATURES.items() for name, p in names.items())
 _PLATFORMS = ", ".join(f"CASE WHEN regexp_matches(h, '(?i)href=[\"'']https?://(?:www\\.)?{host}/[^\"''\\s]+') THEN '{name}' END" for name, host in H.PLATFORMS.items())
 _VISIBLE = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '(?is)<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<style\\b.*?</style\\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+_SERVICES = ", ".join(f"CASE WHEN contains(lower({_VISIBLE}), '{x}') THEN '{x}' END" for x in H.SERVICES)
 _H = "WITH p AS (SELECT page_id, coalesce(html, '') AS h, nullif(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.-]*://)?(?:www\\.)?([^/?#]*)', 1), '') AS host FROM pages)"
 _LINKS = "list_distinct(regexp_extract_all(h, '(?i)href=[\"'']([^\"''#\\s]+)', 1))"
 _FOLD = "strip_accents(lower(coalesce(text, '')))"
@@ -66,7 +67,7 @@ SQL = {
   array_to_string(list_sort(list_distinct(list_filter(list_transform(d, lambda x: CASE WHEN length(x) = 11 AND x[1] = '1' THEN x[2:] ELSE x END), lambda x: length(x) = 10))), ',') AS phones, trim(regexp_replace(regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, len({_LINKS}) AS n_links FROM q""",
     "html_sites": f"""{_H} SELECT page_id, array_to_string(list_sort(list_filter({_LINKS}, lambda u: (CASE WHEN starts_with(u, 'http') THEN coalesce(regexp_extract(lower(u), '^https?://(?:www\\.)?([^/?#]+)', 1) = host, FALSE) ELSE TRUE END) AND regexp_matches(lower(u), '{"|".join(H.CONTACT_PATHS)}')))[1:5], ',') AS contact_pages,
   array_to_string(list_sort(list_filter([{_SIGNATURES}], lambda x: x IS NOT NULL)), ',') AS technologies,
-  array_to_string(list_sort(list_distinct(list_transform(list_filter(list_transform(regexp_extract_all(h, '(?i)instagram\\.com/([A-Za-z0-9_.]{{1,30}})', 1), lambda x: lower(x)), lambda x: NOT list_contains([{", ".join(f"'{x}'" for x in H.NOT_HANDLES)}], x)), lambda x: '@' || x)))[1:10], ',') AS handles, array_to_string(list_filter([{_PLATFORMS}], lambda x: x IS NOT NULL), ',') AS platforms FROM p""",
+  array_to_string(list_sort(list_distinct(list_transform(list_filter(list_transform(regexp_extract_all(h, '(?i)instagram\\.com/([A-Za-z0-9_.]{{1,30}})', 1), lambda x: lower(x)), lambda x: NOT list_contains([{", ".join(f"'{x}'" for x in H.NOT_HANDLES)}], x)), lambda x: '@' || x)))[1:10], ',') AS handles, array_to_string(list_filter([{_PLATFORMS}], lambda x: x IS NOT NULL), ',') AS platforms, array_to_string(list_filter([{_SERVICES}], lambda x: x IS NOT NULL), ',') AS services FROM p""",
     "text_fold": f"SELECT doc_id, md5({_FOLD}) AS folded FROM documents",
     "text_patterns": f"SELECT doc_id, CAST(regexp_matches(t, '\\bthe\\b') AS INT) + CAST(regexp_matches(t, '\\bund\\b') AS INT) + CAST(regexp_matches(t, '\\bque\\b') AS INT) + CAST(regexp_matches(t, 'cion') AS INT) + CAST(regexp_matches(t, '\\d{{3}}') AS INT) AS n_patterns, regexp_matches(t, 'licen[cs]e|\\bidiot\\b') AS any_pattern, length(regexp_replace(text, '[^?]', '', 'g')) AS questions FROM (SELECT *, {_FOLD} AS t FROM documents)",
     "text_domains": "SELECT page_id, nullif(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.-]*://)?(?:www\\.)?([^/?#]*)', 1), '') AS domain, regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '^www\\.', ''), '/+$', '') AS normal FROM pages",
