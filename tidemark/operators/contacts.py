@@ -267,8 +267,10 @@ def findings(text: Column) -> Column:
 
 def bounced_address(header: Column, status: Column, body: Column, own: list[str] = ()) -> Column:
     """The address a bounce is about: of the failed-recipients header, of the delivery status, else of the body by BOUNCES; own domains never."""
-    got = [F.lower(F.trim(_found(body, f"(?is){p}"))) for p in BOUNCES]
-    never = "|".join([*NOT_BOUNCED, *(d.replace(".", r"\.") for d in own)])
+    domains = [d.replace(".", r"\.") for d in own]
+    patterns = [p.replace("(?!", f"(?!{'|'.join([*domains, ''])}") for p in BOUNCES]
+    got = [F.lower(F.trim(_found(body, f"(?is){p}"))) for p in patterns]
+    never = "|".join([*NOT_BOUNCED, *domains])
     return F.coalesce(_found(header, f"({_ADDRESS})"), _found(status, rf"(?is)(?:Final|Original)-Recipient:.*?({_ADDRESS})"), *(F.when(~a.rlike(never), a) for a in got))
 
 

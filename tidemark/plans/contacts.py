@@ -271,7 +271,7 @@ SQL = {
   nullif(round(sum(CASE WHEN hi > 0 THEN (lo + hi) / 2 ELSE lo END), 2), 0) AS total_spend, max(CASE WHEN k % 5 = 1 THEN 'USD' END) AS currency, nullif(max(CASE WHEN k % 2 = 0 THEN k % 1000 END), 0) AS max_reach, coalesce(any_value(t.text), '') AS text FROM ads a LEFT JOIN t ON a.page_id = t.page_id GROUP BY 1, 2""",
     "contact_handles": f"SELECT k AS c_custkey, CASE WHEN k % 9 >= 0 THEN '@annlee,@shop' || (k % 9) END AS handles, k % 4 = 0 AS personal, k % 4 = 1 AS company, CAST(CASE k % 4 WHEN 0 THEN 0.8 WHEN 1 THEN 0.7 ELSE 0.0 END AS DOUBLE) AS confidence FROM ({_K})",
     "contact_handle_sources": f"WITH f AS (SELECT k % 200 AS key, k % 4 AS rank, '@ha' || (k % 90) AS h FROM ({_K}) WHERE k % 4 > 0), b AS (SELECT key, min(rank) AS rank FROM f GROUP BY 1) SELECT f.key, 'source' || any_value(f.rank) AS source, array_to_string(list_sort(list(DISTINCT h))[1:20], ',') AS handles FROM f JOIN b ON f.key = b.key AND f.rank = b.rank GROUP BY 1",
-    "contact_alternates": f"SELECT a || (k - k % 3) || '@x.example' AS email, CASE WHEN k - k % 3 > 0 AND (a = 'p' OR a = 'a' OR a = 'b' AND (k - k % 3) % 2 = 0) THEN 'p' || (k - k % 3) || '@x.example' END AS primary_email FROM (SELECT k, {_sql_pick(['p', 'a', 'b', 'z'], 'k % 4')} AS a FROM ({_K}))",
+    "contact_alternates": f"SELECT a || (k - k % 3) || '@x.example' AS email, CASE WHEN k - k % 3 IN (SELECT c_custkey FROM customer) AND (a = 'p' OR a = 'a' OR a = 'b' AND (k - k % 3) % 2 = 0) THEN 'p' || (k - k % 3) || '@x.example' END AS primary_email FROM (SELECT k, {_sql_pick(['p', 'a', 'b', 'z'], 'k % 4')} AS a FROM ({_K}))",
     "contact_domain_matches": f"SELECT s.k AS node, min(r.k) AS match FROM ({_K}) s JOIN ({_K}) r ON s.k % 400 = r.k % 400 AND s.k % 7 = r.k % 7 WHERE s.k % 9 > 0 AND r.k % 10 > 0 GROUP BY 1 HAVING count(*) = 1",
     "contact_first_tier": f"SELECT k % 100 AS node, arg_min(k, (k * 7 % 3, k)) AS match, min(k * 7 % 3 + 1) AS tier FROM ({_K}) GROUP BY 1",
     "contact_needing": f"WITH {_ROWS} SELECT 'name' AS step, ord FROM r WHERE ord % 4 <> 1 UNION ALL SELECT 'email', ord FROM r WHERE ord % 3 > 0 AND (ord % 3 = 2 OR NOT email_verified) AND website_url <> '' AND search_confidence > 0.3 UNION ALL SELECT 'absent', ord FROM r",
