@@ -207,6 +207,6 @@ def packed(docs: DataFrame, capacity: int = 4096, path: str | None = None, end_i
     Rows that tie in doc_id, piece and ids are interchangeable. Texts are encoded once, where they are read; only rows of
     six numbers are shuffled.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, 4000):
         cut_up = cut(pieces(docs, capacity, path, end_id))
     return pack(cut_up, capacity, ["doc_id", "piece", "ids_crc32"])

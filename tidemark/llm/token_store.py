@@ -218,7 +218,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
     dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).repartitionByRange(n, "doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
-    with small_batches(spark):
+    with small_batches(spark, 4000):
         return cut(dealt.select("doc_id", "text").mapInArrow(write, SHARD))
 
 
