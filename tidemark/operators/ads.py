@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import count_matching, days_between, fold, matches_any, url_domain, url_path
+from ..functions.text import count_matching, days_between, fold, matches_any, parse_list, parse_time, url_domain, url_path
+from .matching import literal_to_json
 
 RECENT_DAYS, ALWAYS_ON_DAYS, TEXTS, TEXT_CHARS = 30, 21, 20, 5000
 
@@ -20,6 +21,28 @@ def destination(cta: Column, url: Column, platforms: Column) -> Column:
     return F.when(message, "MESSAGE").when(call, "CALL").when(form, "FORM").otherwise("WEB")
 
 
+SNAPSHOT = "cta_type string, cta_text string, link_url string, title string, link_description string, body struct<text: string, markup: struct<__html: string>>, images array<string>, videos array<string>, cards array<string>, page_like_count long"
+
+
+def from_snapshots(raw: DataFrame) -> DataFrame:
+    """Raw ads, as `normalize` takes them, of scraped ones: what a snapshot (JSON, or a Python literal) holds, else the outer column.
+
+    A snapshot that can't be read counts as empty. A body is a text or has one, or its markup.
+    """
+    cell = F.col("snapshot")
+    text = F.when(cell.rlike(r"^\s*\{\s*'"), literal_to_json(cell)).otherwise(cell)
+    s, plain = F.from_json(text, SNAPSHOT), F.get_json_object(text, "$.body")
+    filled = lambda *cs: F.coalesce(*(F.nullif(c, F.lit("")) for c in cs))
+    body = filled(s["body"]["text"], s["body"]["markup"]["__html"], F.when(~plain.startswith("{"), plain))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return raw.select(
+        "ad_id", "page_id", "page_name", "page_category", filled(s["cta_type"], F.col("cta_type")).alias("cta"), s["cta_text"].alias("cta_text"), filled(s["link_url"], F.col("link_url")).alias("link_url"),
+        parse_list(F.col("publisher_platform")).alias("platforms"), parse_time(F.col("start_date")).alias("start"), parse_time(F.col("end_date")).alias("end"), F.col("is_active").alias("active"), F.coalesce(body, F.lit("")).alias("text"),
+        F.coalesce(s["title"], F.lit("")).alias("title"), F.coalesce(s["link_description"], F.lit("")).alias("description"), size(s["images"]).alias("images"), size(s["videos"]).alias("videos"), size(s["cards"]).alias("cards"),
+        F.coalesce(F.nullif(s["page_like_count"], F.lit(0)), F.col("page_like_count").cast("long"), F.lit(0)).alias("likes"), "collation_id",
+    )
+
+
 def normalize(raw: DataFrame, as_of: str) -> DataFrame:
     """Flat ads of raw ones: ad_id, page_id, page_name, page_category, cta, link_url, platforms array, start, end, active, text, title, description, images, videos, cards, likes, collation_id."""
     end = F.coalesce("end", F.lit(as_of).cast("timestamp"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import ads as A
-from .proxies import ADS_SQL, AS_OF
+from .proxies import ADS_SQL, AS_OF, read
 from .proxies import ads as raw_ads
 
 
@@ -30,6 +30,18 @@ def icp_ads(spark, d):
     return _ads(spark, d).select("ad_id", "page_id", "destination", "cta", "domain", "days_live", "active", "has_video", "has_carousel", "platform_count")
 
 
+def icp_snapshots(spark, d):
+    """Scraped ads whose snapshots are JSON, a Python literal or broken, with columns beside them."""
+    k = F.col("o_orderkey")
+    json_cell = F.concat(F.lit('{"cta_type": "CALL_NOW", "link_url": "https://www.s'), k % 9, F.lit('.example/apply", "title": "t", "body": {"text": "'), F.when(k % 8 == 0, F.lit("")).otherwise(F.lit("said")), F.lit('", "markup": {"__html": "<b>"}}, "images": ["a"], "cards": ["x", "y"], "page_like_count": '), k % 50, F.lit("}"))
+    literal = F.concat(F.lit("{'body': 'plain', 'videos': ['v'], 'link_description': None, 'page_like_count': 0, 'cta_text': 'c"), k % 3, F.lit("'}"))
+    raw = read(spark, d, "orders").select(
+        k.alias("ad_id"), F.col("o_custkey").alias("page_id"), F.lit("P").alias("page_name"), F.lit("").alias("page_category"), F.lit("LEARN_MORE").alias("cta_type"), F.lit("https://out.example/").alias("link_url"), F.lit("['FACEBOOK', 'INSTAGRAM']").alias("publisher_platform"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"), F.lit(None).cast("string").alias("end_date"), (k % 2 == 0).alias("is_active"), (k % 7).alias("page_like_count"), F.lit(1).alias("collation_id"), F.when(k % 4 == 0, json_cell).when(k % 4 == 1, literal).when(k % 4 == 2, "{broken").alias("snapshot"))
+    out = A.normalize(A.from_snapshots(raw), AS_OF)
+    return out.select("ad_id", "destination", "cta", "domain", "days_live", "text", "title", "has_image", "has_video", "has_carousel", "platform_count", "likes")
+
+
 PAGE_COLUMNS = ["page_id", "page_name", "total_ads", "active_ads", "distinct_collations", "new_ads_30d", "always_on_share", "share_message", "share_call", "share_form", "share_web", "page_like_count", "dominant_cta", "dominant_dest", "distinct_ctas", "platform_count", "ad_texts_combined"]
 
 
@@ -132,8 +144,11 @@ def _sql(select: str) -> str:
 
 _MARKS = ", ".join(f"round(quantile_cont(v, {q}), 1) AS {n}" for n, q in (("min", 0), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p90", 0.9), ("max", 1)))
 
-QUERIES = {f.__name__: f for f in (icp_ads, icp_pages, icp_gate, icp_gate_frequencies, icp_scores, icp_clusters, icp_ranked, icp_leaderboard, icp_percentiles, icp_histogram, icp_top_per_cluster, icp_platform_shares)}
+QUERIES = {f.__name__: f for f in (icp_ads, icp_snapshots, icp_pages, icp_gate, icp_gate_frequencies, icp_scores, icp_clusters, icp_ranked, icp_leaderboard, icp_percentiles, icp_histogram, icp_top_per_cluster, icp_platform_shares)}
 SQL = {
+    "icp_snapshots": f"""SELECT o_orderkey AS ad_id, CASE WHEN m = 0 THEN 'CALL' ELSE 'WEB' END AS destination, CASE WHEN m = 0 THEN 'CALL_NOW' ELSE 'LEARN_MORE' END AS cta, CASE WHEN m = 0 THEN 's' || (o_orderkey % 9) || '.example' ELSE 'out.example' END AS domain,
+  CAST(floor((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP))) / 86400000000) AS BIGINT) AS days_live, CASE m WHEN 0 THEN CASE WHEN o_orderkey % 8 = 0 THEN '<b>' ELSE 'said' END WHEN 1 THEN 'plain' ELSE '' END AS text, CASE WHEN m = 0 THEN 't' ELSE '' END AS title,
+  m = 0 AS has_image, m = 1 AS has_video, m = 0 AS has_carousel, 2 AS platform_count, CASE WHEN m = 0 AND o_orderkey % 50 > 0 THEN o_orderkey % 50 ELSE o_orderkey % 7 END AS likes FROM (SELECT *, o_orderkey % 4 AS m FROM orders)""",
     "icp_ads": f"WITH {ADS_SQL} SELECT ad_id, page_id, destination, cta, domain, days_live, active, has_video, has_carousel, len(platforms) AS platform_count FROM ads",
     "icp_pages": _sql("SELECT " + ", ".join(PAGE_COLUMNS) + ", domains FROM agg"),
     "icp_gate": _sql("SELECT page_id, gate_reason, gate_reason NOT IN ('TRANSACTIONAL_DROP', 'NO_SIGNAL_DROP') AS gate_passed, price_count, has_followup, has_consult, has_qualification, regulated_name FROM gated"),
