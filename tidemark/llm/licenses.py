@@ -5,8 +5,9 @@ numbers, in lower case; shingles are two words, as xxhash64. A template is cut i
 one minimum each: a window that holds a template piece of s shingles agrees with it in some band with the chance
 1 - (1 - s / WINDOW) ** BANDS at least, which is over 0.999 for half a window.
 
-A band can only agree if the window holds one of the templates' shingles. Texts without any, nearly all, are done with
-after that one test; it drops nothing that a band could find.
+A band can only agree if the window holds one of the templates' shingles, and a template can only be verified in a text
+that holds enough of its shingles somewhere. Texts without any, and those without enough of any one template, nearly all,
+are done with after these tests; they drop nothing that is both found by a band and verified.
 """
 
 from __future__ import annotations
@@ -131,8 +132,12 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] | None = None, contain
     # places of shingles that templates have, and the windows over them; null, and no work, for all other texts
     met = F.filter(F.transform("_h", lambda h, i: F.when(h.isin(all_shingles), i)), lambda i: i.isNotNull())
     df = df.select("doc_id", "_h", F.when(F.col("_some"), met).alias("_met"))
+    df = df.select("doc_id", "_h", "_met", F.array_distinct(F.transform("_met", lambda i: F.get("_h", i))).alias("_own"))
+    enough = F.filter(table, lambda t: F.size(F.array_intersect(t["shingles"], F.col("_own"))) >= F.size(t["shingles"]) * contained)
+    df = df.select("doc_id", "_h", "_met", F.when(F.col("_own").isNotNull(), enough).alias("_table"))
+    df = df.select("doc_id", "_h", "_table", F.when(F.size("_table") > 0, F.col("_met")).alias("_met"))
     begins = F.array_distinct(F.flatten(F.transform("_met", lambda i: F.filter(F.array(*(F.floor(i / STRIDE).cast("int") * STRIDE - k * STRIDE for k in range(-(-WINDOW // STRIDE)))), lambda b: b >= 0))))
-    df = df.select("doc_id", "_h", _windows(F.col("_h"), begins).alias("_windows"))
+    df = df.select("doc_id", "_h", "_table", _windows(F.col("_h"), begins).alias("_windows"))
     h, windows = F.col("_h"), F.col("_windows")
 
     def verified(t: Column) -> Column:
@@ -160,7 +165,7 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] | None = None, contain
         return F.array_distinct(F.transform(good, place))
 
     licences = F.split(F.lit("\n".join(names)), "\n")
-    flat = F.flatten(F.transform(table, lambda t: F.transform(verified(t), lambda x: F.struct(F.get(licences, t["number"]).alias("license"), x["containment"].alias("containment"), x["start"].alias("start"), x["end"].alias("end")))))
+    flat = F.flatten(F.transform("_table", lambda t: F.transform(verified(t), lambda x: F.struct(F.get(licences, t["number"]).alias("license"), x["containment"].alias("containment"), x["start"].alias("start"), x["end"].alias("end")))))
     empty = F.array().cast("array<struct<license: string, containment: double, start: int, end: int>>")
     df = df.select("doc_id", F.when(F.size("_windows") > 0, flat).otherwise(empty).alias("_found"))
     # of matches that overlap, those that another contains more of go: one version's notice nearly contains another's
