@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import html as H
 from tidemark.functions import text as T
-from tidemark.operators import ads, graph, joins, master
+from tidemark.operators import ads, graph, joins, master, outreach
 from tidemark.streaming import jobs
 
 PAGE = "page_id long, page_name string, page_category string, ad_texts_combined string, dominant_cta string, dominant_dest string, link_urls string, distinct_ctas int, domains array<string>, share_message double, share_call double, share_form double, share_web double, active_ads long, always_on_share double, new_ads_30d long, page_like_count long"
@@ -78,7 +78,7 @@ def test_pages(spark):
     html = """<html><head><title>A  B</title><meta name="description" content="Homes"></head><script>x@y.zz</script>
     <a href="mailto:Ann@Lake.example">m</a> logo@2x.png (555) 010-2345 or 1-555-010-2345 <a href="https://instagram.com/lake.homes">i</a><a href="/contact">c</a><a href="https://other.example/team">t</a><script>fbq('x')</script>"""
     row = spark.createDataFrame([(html,)], "h string").select(H.emails(F.col("h")).alias("e"), H.phones(F.col("h")).alias("p"), H.handles(F.col("h")).alias("a"), H.title(F.col("h")).alias("t"), H.description(F.col("h")).alias("d"), H.technologies(F.col("h")).alias("k"), H.contact_pages(F.col("h"), F.lit("lake.example")).alias("c"), H.social_links(F.col("h")).alias("s")).first()
-    assert row.e == ["ann@lake.example", "x@y.zz"] and row.p == ["5550102345"] and row.a == ["@lake.homes"] and row.t == "A B" and row.d == "Homes" and row.k == ["pixel:meta"] and row.c == ["/contact"] and row.s == {"instagram": "https://instagram.com/lake.homes"}
+    assert row.e == ["ann@lake.example", "x@y.zz"] and row.p == ["5550102345"] and row.a == ["@lake.homes"] and row.t == "A B" and row.d == "Homes" and row.k == ["pixel:meta_pixel"] and row.c == ["/contact"] and row.s == {"instagram": "https://instagram.com/lake.homes"}
 
 
 def test_deduplicate_is_sequential(spark):
@@ -113,3 +113,32 @@ def test_warm_up_keeps_state(spark, tmp_path):
     got = {r.handle: tuple(r)[1:] for r in jobs.last_updates(spark, out, ["handle"]).collect()}
     assert got == {"@a": ("in_progress", 7, 2, 0, 0), "@b": ("pending", 0, 0, 1, 1)}
     assert jobs.fold(pd.DataFrame({"kind": ["advance"] * 9, "post": [None] * 9}), (0, [], [], 0))[0] == 7
+
+
+def test_ranks_go_on_over_scores(spark):
+    df = spark.createDataFrame([(k, float(k * 7 % 5)) for k in range(60)] + [(100, None)], "page_id long, total_score double").repartition(5)
+    want = {r: i + 1 for i, r in enumerate(sorted((p for p, _ in ((k, k) for k in range(60))), key=lambda k: (-(k * 7 % 5), k)))} | {100: 61}
+    assert {r.page_id: r["rank"] for r in ads.ranked(df).collect()} == want
+
+
+def test_budget_over_ranges(spark):
+    """Rows tie in the order's first column, costs may be zero, and a null comes first."""
+    data = [(k % 40 if k else None, k, float(k * 13 % 9)) for k in range(300)]
+    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want, spent = {}, 0.0
+    for _, k, c in order:
+        if spent < 200:
+            want[k] = spent
+        spent += c
+    df = spark.createDataFrame(data, "day long, k long, cost double").repartition(4)
+    got = {r.k: r.spent_before for r in outreach.within_budget(df, "cost", 200.0, ["day", "k"], ranges=16).collect()}
+    assert got == want
+
+
+def test_two_connectors_a_domain_are_enough(spark):
+    edges = spark.createDataFrame([("me", f"p{k}@x.y", 10 - k % 3) for k in range(9)], "src string, dst string, n long")
+    targets = spark.createDataFrame([(f"p{k}@x.y",) for k in (0, 1, 20)], "target string")
+    best = {}
+    for r in sorted(graph.by_company(edges, "me", targets).collect(), key=lambda r: (r.target, -r.n, r.connector)):
+        best.setdefault(r.target, r.connector)
+    assert best == {"p0@x.y": "p3@x.y", "p1@x.y": "p0@x.y", "p20@x.y": "p0@x.y"}
