@@ -545,7 +545,7 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     homes = homes.unionByName(first.select(F.col("a").alias("sid")).distinct().join(homes.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("away")))
     known = cut(found.withColumnRenamed("node", "sid").join(homes, "sid", "full"))
     told = prefixes.join(small(known), "sid", "left").select("sid", "n", "items", F.coalesce("component", "sid").alias("comp"), F.coalesce("home", "sid").alias("home"), F.coalesce("away", F.lit(0.0)).alias("away"))
-    entries = _entries_of(told, "comp", "home", "away").drop("m")
+    entries = stored(_entries_of(told, "comp", "home", "away").drop("m"), "entries")
     left = cut(_may_link_exactly(_across(entries, percent, parts), prefixes, percent))
     like = first.filter("less is not null").select("b", F.col("a").alias("home"), "less", "more")
     second = _verify(left, sets_of, parts, percent, like)
