@@ -27,7 +27,7 @@ ALPHA, MIN_CONTEXTS, NEAR_WORDS = 0.75, 3, 8
 #: Words beyond the near ones, on each side, that tell contexts apart.
 FAR_WORDS = 3
 #: Terms whose documents a task counts before it passes the counts on.
-COUNTED = 200_000
+COUNTED = 50_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
