@@ -22,9 +22,9 @@ import pyarrow.compute as pc
 from .common import entering, texts_of
 
 #: Bytes that the newer half of a worker's cache takes; beyond, it becomes the older half, from which words in use come back. Longer words than LONGEST aren't kept.
-CACHE_BYTES, LONGEST = 12 << 20, 64
+CACHE_BYTES, LONGEST = 16 << 20, 64
 #: Bytes of text whose words are looked up at once.
-STRETCH = 2 << 20
+STRETCH = 3 << 20
 _ENDS = frozenset(".,;:!?")
 _MARKS = r"[\x{300}-\x{36F}]"
 _PROBES = ("Der erste Satz, und: der zweite.\n\nIt's  <|endoftext|> a\tTEST 12.5 é́ İ ΣΣ x", " lead\x0btrail ", "'s't 're a'b (c)d ¿qué?", "İ. T\u0308 H\u0331! x\u0301.", "")
