@@ -133,6 +133,34 @@ def texts_of(column, size: int = CHUNK_BYTES):
             release()
 
 
+def bytes_of(texts):
+    """The bytes of an Arrow array of large strings, and where each text begins and ends in them."""
+    import numpy as np
+
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def runs_of(texts, inside_of):
+    """All runs of bytes for which inside_of(bytes) holds, of all texts in turn, A-Z in lower case, and how many each text has."""
+    import numpy as np
+    import pyarrow as pa
+
+    data, edges = bytes_of(texts)
+    inside = inside_of(data)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begins = edges[:-1][edges[:-1] < len(data)]
+    first[begins] = inside[begins]  # texts touch in the bytes
+    at = np.flatnonzero(first)
+    kept = data[inside]
+    kept = np.where((kept >= 0x41) & (kept <= 0x5A), kept + np.uint8(32), kept)
+    offsets = np.append((np.cumsum(inside) - 1)[at], len(kept)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]), np.diff(np.searchsorted(at, edges))
+
+
 def release() -> None:
     """Gives memory that isn't in use back to the system: a worker lives on between tasks, next to its executor."""
     import ctypes
