@@ -5,6 +5,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import joins, matching, outreach
 from tidemark.sources import io
 
@@ -31,8 +32,8 @@ def test_company_of_domain(spark, domain, want):
 
 
 def test_literals_and_headers(spark):
-    assert one(spark, matching.literal_to_json, "{'a': None, 'b': True}") == '{"a": null, "b": true}'
-    assert one(spark, matching.literal_to_json, '{"a": null}') == '{"a": null}' and one(spark, matching.literal_to_json, "__import__('os')") == "{}" and one(spark, matching.literal_to_json, None) == "{}"
+    assert one(spark, text.literal_object, "{'a': None, 'b': True}") == '{"a": null, "b": true}'
+    assert one(spark, text.literal_object, '{"a": null}') == '{"a": null}' and one(spark, text.literal_object, "__import__('os')") == "{}" and one(spark, text.literal_object, None) == "{}"
     assert one(spark, matching.mime_header, "=?utf-8?q?Jos=C3=A9?=") == "José" and one(spark, matching.mime_header, None) is None
     assert one(spark, matching.addresses, 'Ann <A@x.example>, "B, C" <b@y.example>') == ["a@x.example", "b@y.example"]
 

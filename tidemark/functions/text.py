@@ -95,11 +95,42 @@ def invalid_company(name: Column) -> Column:
     return (F.length(t) <= 1) | ~t.rlike(r"[\p{L}\p{N}]")
 
 
+#: A literal's strings, and what stands between them.
+_TOKENS = r"""(?s)'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""
+
+
+def _json_token(t: Column) -> Column:
+    inner = F.substr(t, F.lit(2), F.length(t) - 2)
+    plain = F.regexp_replace(inner, r"(?s)(?<!\\)((?:\\\\)*)\\'", "$1'")
+    plain = F.regexp_replace(plain, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    quoted = F.concat(F.lit('"'), F.regexp_replace(plain, r"""(?s)(?<!\\)((?:\\\\)*)\\?\"""", r"""$1\\\""""), F.lit('"'))
+    bare = t
+    for word, other in (("None", "null"), ("True", "true"), ("False", "false")):
+        bare = F.regexp_replace(bare, rf"\b{word}\b", other)
+    bare = F.regexp_replace(F.translate(bare, "()", "[]"), r",(\s*[\]}])", "$1")
+    return F.when((F.length(t) > 1) & t.rlike("^['\"]"), quoted).otherwise(bare)
+
+
+def literal_json(c: Column) -> Column:
+    """A Python literal (lists, tuples, dicts, strings of either quote, numbers, None, True, False) as JSON; JSON stays as it is.
+
+    The text is read as a run of whole strings and of what stands between them, so quotes, commas and words within strings
+    stay. What is no literal gives a text that no JSON reader takes.
+    """
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_TOKENS), F.lit(0)), _json_token), "")
+
+
+def literal_object(c: Column) -> Column:
+    """A cell with a dict literal or JSON object as JSON; {} from anything else."""
+    t = literal_json(c)
+    return F.coalesce(F.when(t.rlike(r"^\s*\{") & F.try_parse_json(t).isNotNull(), t), F.lit("{}"))
+
+
 def parse_list(c: Column) -> Column:
-    """A list cell as an array: JSON, single-quoted, or separated by ; or ,. Missing cells are empty arrays."""
+    """A list cell as an array: JSON, a Python literal, or separated by ; or ,. Missing cells are empty arrays; lists within are JSON texts."""
     t = null_if_sentinel(c)
-    marked = t.startswith("[")
-    read = F.from_json(F.when(marked, F.regexp_replace(t, "'", '"')), "array<string>")
+    marked = t.rlike(r"(?s)^[\[(].*[\])]$")
+    read = F.from_json(F.when(marked, literal_json(t)), "array<string>", {"allowUnquotedControlChars": "true"})
     parts = F.filter(F.transform(F.split(F.regexp_replace(t, r"^\[|\]$", ""), "[;,]"), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(F.when(marked, read), parts, F.array().cast("array<string>"))
 

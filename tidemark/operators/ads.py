@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import count_matching, days_between, fold, matches_any, parse_list, parse_time, url_domain, url_path
-from .matching import literal_to_json
+from ..functions.categories import match_counts
+from ..functions.text import count_matching, days_between, fold, literal_object, matches_any, parse_list, parse_time, url_domain, url_path
+from ..sources.shared import numbered
 
 RECENT_DAYS, ALWAYS_ON_DAYS, TEXTS, TEXT_CHARS = 30, 21, 20, 5000
 
@@ -30,7 +31,7 @@ def from_snapshots(raw: DataFrame) -> DataFrame:
     A snapshot that can't be read counts as empty. A body is a text or has one, or its markup.
     """
     cell = F.col("snapshot")
-    text = F.when(cell.rlike(r"^\s*\{\s*'"), literal_to_json(cell)).otherwise(cell)
+    text = F.when(cell.rlike(r"^\s*\{\s*'"), literal_object(cell)).otherwise(cell)
     s, plain = F.from_json(text, SNAPSHOT), F.get_json_object(text, "$.body")
     filled = lambda *cs: F.coalesce(*(F.nullif(c, F.lit("")) for c in cs))
     body = filled(s["body"]["text"], s["body"]["markup"]["__html"], F.when(~plain.startswith("{"), plain))
@@ -60,7 +61,7 @@ def normalize(raw: DataFrame, as_of: str) -> DataFrame:
 def pages(ads: DataFrame, as_of: str, extended: bool = False) -> DataFrame:
     """A row for each page_id that isn't null. Orders are by ad_id, ties of counts by value.
 
-    extended adds what the gate and the clusters look for besides: dominant_dest, link_urls, distinct_ctas, is_active.
+    extended adds what the gate and the clusters look for besides: dominant_dest, shop_link (whether any address is a shop's), distinct_ctas, is_active.
     Texts are kept by place, so a page with any number of ads holds TEXTS of them at most for each field.
     """
     share = lambda cond: F.round(F.count_if(cond) / F.count(F.lit(1)), 4)
@@ -73,13 +74,15 @@ def pages(ads: DataFrame, as_of: str, extended: bool = False) -> DataFrame:
         F.round(F.count_distinct("collation_id") / F.count(F.lit(1)), 4).alias("creative_refresh_rate"),
         *(share(F.col("destination") == d).alias(f"share_{d.lower()}") for d in ("MESSAGE", "CALL", "FORM", "WEB")),
         F.max("likes").alias("page_like_count"), F.bool_or("has_carousel").alias("has_carousel"), F.bool_or("has_video").alias("has_video"),
-        *([F.count_distinct("cta").alias("distinct_ctas"), F.bool_or("active").alias("is_active"), F.array_join(F.array_sort(F.collect_set("link_url")), " | ").alias("link_urls")] if extended else []),
+        *([F.count_distinct("cta").alias("distinct_ctas"), F.bool_or("active").alias("is_active"), F.bool_or(transactional_url(F.col("link_url"))).alias("shop_link")] if extended else []),
     )
     out = out.join(first_texts(ads), "page_id", "left").join(first_domains(ads), "page_id", "left").withColumns({"ad_texts_combined": F.coalesce("ad_texts_combined", F.lit("")), "domains": F.coalesce("domains", F.array().cast("array<string>"))})
     out = out.join(mode(ads, "page_id", "cta").withColumnRenamed("cta", "dominant_cta"), "page_id", "left")
     if extended:
         out = out.join(mode(ads, "page_id", "destination").withColumnRenamed("destination", "dominant_dest"), "page_id", "left")
-    return out.join(platform_shares(ads), "page_id", "left")
+    out = out.join(platform_shares(ads), "page_id", "left")
+    # what follows costs time, not bytes: pages are dealt out by number, as their few bytes would be put into one partition
+    return out.repartition(max(int(ads.sparkSession.conf.get("spark.sql.shuffle.partitions")), ads.sparkSession.sparkContext.defaultParallelism), "page_id")
 
 
 def first_texts(ads: DataFrame) -> DataFrame:
@@ -137,7 +140,7 @@ def signals(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "has_followup": matches_any(t, P.FOLLOW_UP), "has_consult": matches_any(t, P.CONSULT), "has_qualification": matches_any(t, P.QUALIFICATION),
         "price_count": count_matching(t, P.PRICES), "shop_cta": cta.isin(P.SHOP_CTAS), "lead_cta": cta.isin(P.LEAD_CTAS),
-        "shop_url": transactional_url(has_column(df, "link_urls", "")), "regulated_name": matches_any(fold(F.col("page_name")), P.REGULATED_NAMES),
+        "shop_url": has_column(df, "shop_link", False) | transactional_url(has_column(df, "link_urls", "")), "regulated_name": matches_any(fold(F.col("page_name")), P.REGULATED_NAMES),
         "_dest": F.upper(has_column(df, "dominant_dest", "")),
     })
 
@@ -212,26 +215,40 @@ def clusters(df: DataFrame) -> DataFrame:
 
 
 def ranked(df: DataFrame) -> DataFrame:
-    """df with its rank by total_score, then page_id. Rows are sorted within their score, of which there are a thousand; counts of higher scores come before."""
-    counts = df.groupBy("total_score").agg(F.count(F.lit(1)).alias("_c"))
-    higher = Window.orderBy(F.desc("total_score")).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(F.col("total_score").alias("_s"), F.coalesce(F.sum("_c").over(higher), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("total_score").orderBy("page_id"))
-    met = df.withColumn("_within", within).join(F.broadcast(before), F.col("total_score").eqNullSafe(F.col("_s")))
-    return met.withColumn("rank", (F.col("_before") + F.col("_within")).cast("int")).drop("_s", "_before", "_within")
-
-
-def leaderboard(df: DataFrame) -> DataFrame:
-    """A row for each cluster: medians of scores, means of shares, its five first names by rank."""
-    top = F.row_number().over(Window.partitionBy("behavioral_cluster").orderBy("rank"))
-    names = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_top") <= 5, F.struct("rank", F.substring("page_name", 1, 30).alias("n"))))), lambda x: x["n"]), ", ")
-    out = df.withColumn("_top", top).groupBy(F.col("behavioral_cluster").alias("icp_cluster")).agg(
+    """df with its rank by total_score, then page_id, of page_ids that are there once. Only these two columns are sorted, in ranges that many equal scores don't widen."""
+    places = numbered(df.select("page_id", "total_score"), [F.desc("total_score"), F.col("page_id")], "rank")
+    return df.join(places.select("page_id", F.col("rank").cast("int").alias("rank")), "page_id")
+
+
+def leaderboard(df: DataFrame, top: int = 5) -> DataFrame:
+    """A row for each cluster: medians of scores, means of shares, its first names by rank. Of a cluster's pages, `top` leave each task."""
+    place = F.row_number().over(Window.partitionBy("behavioral_cluster").orderBy("rank"))
+    first = df.select("behavioral_cluster", "rank", F.substring("page_name", 1, 30).alias("n")).withColumn("_top", place).filter(F.col("_top") <= top)
+    names = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "n"))), lambda x: x["n"]), ", ")
+    first = first.groupBy(F.col("behavioral_cluster").alias("icp_cluster")).agg(names.alias("top_advertisers"))
+    out = df.groupBy(F.col("behavioral_cluster").alias("icp_cluster")).agg(
         F.count(F.lit(1)).alias("total_advertisers"),
         *(F.round(F.median(f"{s}_score"), 1).alias(f"median_{s}" + ("_score" if s == "total" else "")) for s in ("total", "money", "urgency", "fit")),
         *(F.round(F.avg(f"share_{s}"), 3).alias(f"avg_{s}_share") for s in ("message", "call", "form", "web")),
-        names.alias("top_advertisers"),
     )
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("median_total_score"), "icp_cluster")))
+    return out.join(first, "icp_cluster").withColumn("rank", F.row_number().over(Window.orderBy(F.desc("median_total_score"), "icp_cluster")))
+
+
+def categorised(df: DataFrame, text: Column, table: dict[str, list[str]], none: str = "unknown") -> DataFrame:
+    """df with category, n, categories: what its text matches most by a table of patterns (the earlier of equal ones), how often, and all that it matches, in the table's order.
+
+    Null and empty texts, and texts without a match, have the category `none`, 0 and no categories.
+    """
+    df = df.withColumn("_found", F.filter(match_counts(text, table), lambda x: x["n"] > 0))
+    best = F.reduce("_found", F.struct(F.lit(0).alias("n"), F.lit(none).alias("category")), lambda a, x: F.when(x["n"] > a["n"], x).otherwise(a))
+    return df.withColumns({"_best": best, "categories": F.transform("_found", lambda x: x["category"])}).withColumns({"category": F.col("_best.category"), "n": F.col("_best.n")}).drop("_found", "_best")
+
+
+def category_report(df: DataFrame) -> DataFrame:
+    """category, n_best, n_any of categorised rows: how many have it as their first one, and at all."""
+    one = F.struct(F.col("category"), F.lit(1).alias("best"))
+    rows = df.select(F.explode(F.concat(F.array(one), F.transform("categories", lambda c: F.struct(c.alias("category"), F.lit(0).alias("best"))))).alias("x")).select("x.*")
+    return rows.groupBy("category").agg(F.sum("best").alias("n_best"), F.count_if(F.col("best") == 0).alias("n_any"))
 
 
 def frequencies(df: DataFrame, by: str) -> DataFrame:

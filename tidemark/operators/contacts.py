@@ -170,15 +170,6 @@ def works_at(extractions: DataFrame, key: Column) -> DataFrame:
     return last.join(spelt, "company_key").select("email", "company_key", "company", "x.role", "x.confidence")
 
 
-def merged_nodes(people: DataFrame, same: DataFrame) -> DataFrame:
-    """people (node and cells) after those of same(old, new) became one: empty cells of the one that stays are filled from those that go, the smallest first."""
-    cells = [c for c in people.columns if c != "node"]
-    gone = people.join(small(same.select(F.col("old").alias("node"), "new")), "node")
-    fill = gone.groupBy(F.col("new").alias("node")).agg(*(F.min_by(c, F.when(~_blank(F.col(c)), F.col("node"))).alias(f"_{c}") for c in cells))
-    kept = people.join(small(same.select(F.col("old").alias("node"))), "node", "left_anti").join(fill, "node", "left")
-    return kept.select("node", *(F.when(_blank(F.col(c)), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in cells))
-
-
 # pages
 
 
@@ -331,27 +322,33 @@ def handle_waterfall(found: DataFrame, key: str, most: int = 20) -> DataFrame:
 
 
 def with_alternate(primary: Column, alternates: Column, new: Column) -> Column:
-    """An address added to a person's others, unless it is there or the primary one."""
-    n, have = F.lower(F.trim(new)), F.coalesce(alternates, F.array().cast("array<string>"))
-    return F.when(n.isNull() | (n == F.lower(primary)), have).otherwise(F.array_union(have, F.array(n)))
+    """An address added in lower case to a person's others, unless it is there or the primary one in any case of letters."""
+    key = lambda c: F.lower(F.trim(c))
+    n, have = key(new), F.coalesce(alternates, F.array().cast("array<string>"))
+    known = (n == key(primary)) | F.exists(have, lambda x: key(x) == n)
+    return F.when((F.coalesce(n, F.lit("")) == "") | F.coalesce(known, F.lit(False)), have).otherwise(F.concat(have, F.array(n)))
 
 
 def by_any_address(people: DataFrame, asked: DataFrame) -> DataFrame:
-    """asked (email) with the primary address of the person who has it as primary or other one; the primary one first."""
-    every = people.select(F.col("email").alias("p"), F.posexplode(F.array_union(F.array("email"), F.coalesce("alternates", F.array().cast("array<string>")))).alias("k", "a"))
-    owner = every.groupBy("a").agg(F.min(F.struct((F.col("k") > 0).alias("other"), "p")).alias("x"))
+    """asked (email) with the primary address, as it is written, of the person who has it as primary or other one, in any case of letters; the primary one first."""
+    every = people.select(F.col("email").alias("p"), F.posexplode(F.concat(F.array("email"), F.coalesce("alternates", F.array().cast("array<string>")))).alias("k", "a"))
+    owner = every.groupBy(F.lower(F.trim("a")).alias("a")).agg(F.min(F.struct((F.col("k") > 0).alias("other"), "p")).alias("x"))
     return asked.join(owner, F.lower(F.trim("email")) == F.col("a"), "left").select("email", F.col("x.p").alias("primary_email"))
 
 
 # people who are one
 
 
-def by_domain(synthetic: DataFrame, real: DataFrame, suffixes: list[str]) -> DataFrame:
-    """node, match of people without an address (node, name, company) whose name in normal form is that of one person alone whose address's domain contains the company."""
-    s = synthetic.select("node", matching_name(F.col("name"), suffixes).alias("_n"), F.lower(F.trim("company")).alias("_c")).filter("_n <> '' and length(_c) >= 3")
+def by_domain(synthetic: DataFrame, real: DataFrame, suffixes: list[str], block: int = 3) -> DataFrame:
+    """node, match of people without an address (node, name, company) whose name in normal form is that of one person alone whose address's domain contains the company.
+
+    They meet on the name and the company's first letters, which the domain has somewhere, so a common name makes no pairs of different companies.
+    """
+    s = synthetic.select("node", matching_name(F.col("name"), suffixes).alias("_n"), F.lower(F.trim("company")).alias("_c")).filter(f"_n <> '' and length(_c) >= {block}").withColumn("_k", F.substring("_c", 1, block))
     domain = F.lower(F.split("email", "@")[1])
-    r = real.filter(F.contains("email", F.lit("@"))).select(F.col("node").alias("match"), matching_name(F.col("name"), suffixes).alias("_n"), domain.alias("_d")).filter(~F.col("_d").isin(GENERIC_DOMAINS))
-    met = s.join(r, "_n").filter(F.contains("_d", F.col("_c")))
+    r = real.filter(F.contains("email", F.lit("@"))).select(F.col("node").alias("match"), matching_name(F.col("name"), suffixes).alias("_n"), domain.alias("_d")).filter(~F.col("_d").isin(GENERIC_DOMAINS) & (F.length("_d") >= block))
+    r = r.withColumn("_k", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_d") - block + 1), lambda i: F.substr("_d", i, F.lit(block))))))
+    met = s.join(r, ["_n", "_k"]).filter(F.contains("_d", F.col("_c")))
     return met.groupBy("node").agg(F.min("match").alias("match"), F.count(F.lit(1)).alias("n")).filter("n = 1").select("node", "match")
 
 
@@ -410,13 +407,13 @@ def statuses(df: DataFrame, *by: str) -> DataFrame:
 
 
 def graph_status(people: DataFrame, edges: DataFrame, top: int = 10) -> DataFrame:
-    """section, label, n: filled cells of people, their most frequent countries, and bands of edges' strengths (0 to 100), and edges whose two scores part by over 20."""
+    """section, label, n: filled cells of people, their most frequent countries, and bands of edges' strengths (0 to 100), and edges whose second score is lower by over 20."""
     filled = people.agg(F.count(F.lit(1)).alias("people"), *(F.count_if(~_blank(F.col(c))).alias(c) for c in people.columns if c != "country"), F.count_if(~_blank(F.col("country"))).alias("country"))
     cells = filled.select(F.explode(F.array(*(F.struct(F.lit("filled").alias("section"), F.lit(c).alias("label"), F.col(c).alias("n")) for c in filled.columns))).alias("x")).select("x.*")
     places = people.filter(~_blank(F.col("country"))).groupBy(F.col("country").alias("label")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(top).select(F.lit("country").alias("section"), "label", "n")
     band = F.when(F.col("v2") >= 70, "strong").when(F.col("v2") >= 40, "medium").when(F.col("v2") >= 10, "weak").otherwise("none")
     bands = edges.groupBy(band.alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("strength").alias("section"), "label", "n")
-    apart = edges.agg(F.count_if(F.abs(F.col("v1") - F.col("v2")) > 20).alias("n")).select(F.lit("strength").alias("section"), F.lit("apart").alias("label"), "n")
+    apart = edges.agg(F.count_if(F.col("v1") - F.col("v2") > 20).alias("n")).select(F.lit("strength").alias("section"), F.lit("apart").alias("label"), "n")
     return cells.unionByName(places).unionByName(bands).unionByName(apart)
 
 

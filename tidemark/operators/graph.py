@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import days_between
+from .components import moved_edges
 
 
 def knows(mails: DataFrame) -> DataFrame:
@@ -176,20 +177,38 @@ def latest_mails(mails: DataFrame, k: int = 3) -> DataFrame:
 
 
 def merge_people(edges: DataFrame, same: DataFrame) -> DataFrame:
-    """edges after people of same(old, new) became one: both ends renamed, loops dropped, parallel edges summed."""
-    src, dst = same.select(F.col("old").alias("src"), F.col("new").alias("_s")), same.select(F.col("old").alias("dst"), F.col("new").alias("_d"))
-    moved = edges.join(src, "src", "left").join(dst, "dst", "left").select(F.coalesce("_s", "src").alias("src"), F.coalesce("_d", "dst").alias("dst"), "n", "first", "last")
-    return moved.filter("src <> dst").groupBy("src", "dst").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+    """edges after people of same(old, new) became one, chains followed: both ends renamed, loops dropped, parallel edges summed."""
+    return moved_edges(edges, same).groupBy("src", "dst").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
-def identity(synthetic: DataFrame, real: DataFrame) -> DataFrame:
-    """node, match, tier of people without an address: tier 1 one real person of the name, tier 2 one of the name and company.
+def _grams(c: Column, most: int) -> Column:
+    """All substrings of 1 to `most` characters."""
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.length(c) - i + 1)), lambda n: F.substr(c, i, n)))))
 
-    Both sides have node, name and company; names are compared in normal form.
+
+def _only(df: DataFrame) -> DataFrame:
+    """node, match of nodes with one match alone; repeated pairs are one."""
+    return df.groupBy("node").agg(F.min("match").alias("match"), F.max("match").alias("_last")).filter(F.col("match") == F.col("_last")).select("node", "match")
+
+
+def identity(synthetic: DataFrame, real: DataFrame, block: int = 5) -> DataFrame:
+    """node, match, tier of people without an address: tier 1 where one real person has the name, tier 2 where of several one works where they do.
+
+    Both sides have node, name and company; a real person has a row for each company. Names are compared in normal form;
+    a company is the same if it contains the other's in lower case. Names are counted before anything is joined: those of
+    one real person meet it alone; for the others, people meet on the name and the beginning of the one's company, which the
+    other's has somewhere, so that a name of thousands on both sides makes no pairs of different companies.
     """
-    met = synthetic.join(real.select(F.col("node").alias("match"), F.col("name"), F.col("company").alias("_c")), "name")
-    n = F.count(F.lit(1)).over(Window.partitionBy("node"))
-    same = F.coalesce(F.contains(F.lower("_c"), F.lower("company")) | F.contains(F.lower("company"), F.lower("_c")), F.lit(False))
-    met = met.withColumns({"_n": n, "_same": same.cast("int")}).withColumn("_k", F.sum("_same").over(Window.partitionBy("node")))
-    tier = F.when(F.col("_n") == 1, 1).when((F.col("_same") == 1) & (F.col("_k") == 1), 2)
-    return met.select("node", "match", tier.alias("tier")).filter("tier is not null")
+    names = real.filter("name IS NOT NULL AND trim(name) <> ''").groupBy("name").agg(F.min("node").alias("match"), F.max("node").alias("_last"))
+    alone = F.col("match") == F.col("_last")
+    first = synthetic.select("node", "name").join(names.filter(alone).select("name", "match"), "name").select("node", "match", F.lit(1).alias("tier"))
+    several = names.filter(~alone).select("name")
+    side = lambda df, node: df.select(F.col("node").alias(node), "name", F.lower(F.trim("company")).alias(f"{node}_c")).filter(f"{node}_c <> ''").join(several, "name", "left_semi")
+    asked, there = side(synthetic, "node"), side(real, "match")
+
+    def within(short: DataFrame, s: str, long: DataFrame, at: str) -> DataFrame:
+        met = short.withColumn("_key", F.substring(s, 1, block)).join(long.withColumn("_key", F.explode(_grams(F.col(at), block))), ["name", "_key"])
+        return met.filter(F.contains(at, F.col(s))).select("node", "match")
+
+    second = _only(within(asked, "node_c", there, "match_c").union(within(there, "match_c", asked, "node_c")))
+    return first.unionByName(second.withColumn("tier", F.lit(2)))

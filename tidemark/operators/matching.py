@@ -30,25 +30,6 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x.lower(), y.lower()).ratio() if x and y else 0.0 for x, y in zip(a, b)])
 
 
-@pandas_udf(T.StringType())
-def literal_to_json(cells: pd.Series) -> pd.Series:
-    """A cell with a Python literal or JSON object as JSON; {} from anything else. For use where tables come in."""
-    import ast
-    import json
-
-    def one(x):
-        for read in (ast.literal_eval, json.loads):
-            try:
-                value = read(x)
-            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-                continue
-            if isinstance(value, dict):
-                return json.dumps(value, default=str)
-        return "{}"
-
-    return cells.map(one)
-
-
 @pandas_udf(T.StringType())
 def mime_header(cells: pd.Series) -> pd.Series:
     """A mail header with its encoded words decoded."""

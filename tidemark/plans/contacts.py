@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import components as CC
 from ..operators import contacts as C
 from ..sources import io
+from ..sources.shared import folder as _folder
 from .proxies import _pick, _sql_pick, read
-from .streams import _folder
 
 PAGE_NAMES = ["John Smith, Realtor", "Ann O'hara - Lake Homes", "mark stone Realty", "The Jane Doe Team", "Claudia Sanchez Texas Realtor", "Thomas Upton Compass Real Estate", "Acme Corp", "River Bank, Inc", "Best Homes - Miami", "Maria Lopez/Broker", "Peter Pan", None]
 FROM_PAGES = ["John Smith", "Ann O'hara", "mark stone", "Jane Doe", "Claudia Sanchez", "Thomas Upton", "Acme Corp", None, None, "Maria Lopez", "Peter Pan", None]
@@ -98,13 +99,26 @@ def contact_handle_sources(spark, d):
     return C.handle_waterfall(found, "key").withColumn("handles", F.array_join("handles", ","))
 
 
+def _alternates(spark, d):
+    """People whose addresses, others and new ones are written in several cases of letters."""
+    k = F.col("c_custkey")
+    at = lambda a, upper: F.when(upper, F.concat(F.lit(a.upper()), k, F.lit("@X.example"))).otherwise(F.concat(F.lit(a), k, F.lit("@x.example")))
+    new = F.when(k % 2 == 0, F.concat(F.lit(" "), at("b", F.lit(True)))).when(k % 3 == 0, at("a", F.lit(True))).otherwise(at("p", k % 4 == 1))
+    return read(spark, d, "customer").select(k, at("p", k % 2 == 0).alias("email"), F.array(at("a", k % 5 == 0)).alias("others"), new.alias("new"))
+
+
 def contact_alternates(spark, d):
     k = F.col("c_custkey")
-    people = read(spark, d, "customer").select(F.concat(F.lit("p"), k, F.lit("@x.example")).alias("email"), C.with_alternate(F.concat(F.lit("p"), k, F.lit("@x.example")), F.array(F.concat(F.lit("a"), k, F.lit("@x.example"))), F.when(k % 2 == 0, F.concat(F.lit(" B"), k, F.lit("@X.example"))).otherwise(F.concat(F.lit("P"), k, F.lit("@x.example")))).alias("alternates"))
-    asked = read(spark, d, "customer").select(F.concat(_pick(["p", "a", "b", "z"], k % 4), k - k % 3, F.lit("@x.example")).alias("email"))
+    people = _alternates(spark, d).withColumn("alternates", C.with_alternate(F.col("email"), F.col("others"), F.col("new")))
+    asked = F.concat(_pick(["p", "a", "b", "z"], k % 4), k - k % 3, F.lit("@x.example"))
+    asked = read(spark, d, "customer").select(F.when(k % 5 == 0, F.upper(asked)).otherwise(asked).alias("email"))
     return C.by_any_address(people, asked)
 
 
+def contact_with_alternate(spark, d):
+    return _alternates(spark, d).select("c_custkey", F.array_join(C.with_alternate(F.col("email"), F.col("others"), F.col("new")), ",").alias("alternates"))
+
+
 def contact_domain_matches(spark, d):
     k = F.col("c_custkey")
     real = read(spark, d, "customer").select(k.alias("node"), F.concat(F.lit("Ann  Lee"), k % 400, F.when(k % 2 == 0, ", PhD").otherwise("")).alias("name"), F.concat(F.lit("e@"), F.when(k % 10 == 0, "gmail").otherwise(F.concat(F.lit("corp"), k % 7)), F.lit(".com")).alias("email"))
@@ -240,11 +254,11 @@ def contact_works_at(spark, d):
 def contact_merged_people(spark, d):
     k = F.col("c_custkey")
     people = read(spark, d, "customer").select(k.alias("node"), F.when(k % 2 == 0, F.concat(F.lit("name"), k)).alias("name"), F.when(k % 3 == 0, F.concat(F.lit("url"), k)).otherwise("").alias("url"))
-    return C.merged_nodes(people, read(spark, d, "customer").filter(k % 5 == 0).select(k.alias("old"), (k + 1).alias("new")).unionByName(read(spark, d, "customer").filter(k % 5 == 4).select(k.alias("old"), (k + 2).alias("new"))))
+    return CC.merged_nodes(people, read(spark, d, "customer").filter(k % 5 == 0).select(k.alias("old"), (k + 1).alias("new")).unionByName(read(spark, d, "customer").filter(k % 5 == 4).select(k.alias("old"), (k + 2).alias("new"))))
 
 
 QUERIES = {f.__name__: f for f in (
-    contact_names, contact_bounces, contact_findings, contact_people, contact_page_sets, contact_technologies, contact_ad_texts, contact_advertisers, contact_handles, contact_handle_sources, contact_alternates, contact_domain_matches, contact_first_tier,
+    contact_names, contact_bounces, contact_findings, contact_people, contact_page_sets, contact_technologies, contact_ad_texts, contact_advertisers, contact_handles, contact_handle_sources, contact_alternates, contact_with_alternate, contact_domain_matches, contact_first_tier,
     contact_needing, contact_prospects, contact_profiles, contact_appended, contact_trial_run, contact_statuses, contact_graph_status, contact_drafts, contact_mapped, contact_profile, contact_runs, contact_versions,
     contact_mailboxes, contact_industries, contact_completeness, contact_works_at, contact_merged_people)}
 _K = "SELECT c_custkey AS k FROM customer"
@@ -271,7 +285,9 @@ SQL = {
   nullif(round(sum(CASE WHEN hi > 0 THEN (lo + hi) / 2 ELSE lo END), 2), 0) AS total_spend, max(CASE WHEN k % 5 = 1 THEN 'USD' END) AS currency, nullif(max(CASE WHEN k % 2 = 0 THEN k % 1000 END), 0) AS max_reach, coalesce(any_value(t.text), '') AS text FROM ads a LEFT JOIN t ON a.page_id = t.page_id GROUP BY 1, 2""",
     "contact_handles": f"SELECT k AS c_custkey, CASE WHEN k % 9 >= 0 THEN '@annlee,@shop' || (k % 9) END AS handles, k % 4 = 0 AS personal, k % 4 = 1 AS company, CAST(CASE k % 4 WHEN 0 THEN 0.8 WHEN 1 THEN 0.7 ELSE 0.0 END AS DOUBLE) AS confidence FROM ({_K})",
     "contact_handle_sources": f"WITH f AS (SELECT k % 200 AS key, k % 4 AS rank, '@ha' || (k % 90) AS h FROM ({_K}) WHERE k % 4 > 0), b AS (SELECT key, min(rank) AS rank FROM f GROUP BY 1) SELECT f.key, 'source' || any_value(f.rank) AS source, array_to_string(list_sort(list(DISTINCT h))[1:20], ',') AS handles FROM f JOIN b ON f.key = b.key AND f.rank = b.rank GROUP BY 1",
-    "contact_alternates": f"SELECT a || (k - k % 3) || '@x.example' AS email, CASE WHEN k - k % 3 IN (SELECT c_custkey FROM customer) AND (a = 'p' OR a = 'a' OR a = 'b' AND (k - k % 3) % 2 = 0) THEN 'p' || (k - k % 3) || '@x.example' END AS primary_email FROM (SELECT k, {_sql_pick(['p', 'a', 'b', 'z'], 'k % 4')} AS a FROM ({_K}))",
+    "contact_alternates": f"""WITH q AS (SELECT k, k - k % 3 AS j, {_sql_pick(['p', 'a', 'b', 'z'], 'k % 4')} AS a FROM ({_K}))
+  SELECT CASE WHEN k % 5 = 0 THEN upper(a || j || '@x.example') ELSE a || j || '@x.example' END AS email, CASE WHEN j IN (SELECT c_custkey FROM customer) AND (a = 'p' OR a = 'a' OR a = 'b' AND j % 2 = 0) THEN CASE WHEN j % 2 = 0 THEN 'P' || j || '@X.example' ELSE 'p' || j || '@x.example' END END AS primary_email FROM q""",
+    "contact_with_alternate": f"""SELECT k AS c_custkey, CASE WHEN k % 5 = 0 THEN 'A' || k || '@X.example' ELSE 'a' || k || '@x.example' END || CASE WHEN k % 2 = 0 THEN ',b' || k || '@x.example' ELSE '' END AS alternates FROM ({_K})""",
     "contact_domain_matches": f"SELECT s.k AS node, min(r.k) AS match FROM ({_K}) s JOIN ({_K}) r ON s.k % 400 = r.k % 400 AND s.k % 7 = r.k % 7 WHERE s.k % 9 > 0 AND r.k % 10 > 0 GROUP BY 1 HAVING count(*) = 1",
     "contact_first_tier": f"SELECT k % 100 AS node, arg_min(k, (k * 7 % 3, k)) AS match, min(k * 7 % 3 + 1) AS tier FROM ({_K}) GROUP BY 1",
     "contact_needing": f"WITH {_ROWS} SELECT 'name' AS step, ord FROM r WHERE ord % 4 <> 1 UNION ALL SELECT 'email', ord FROM r WHERE ord % 3 > 0 AND (ord % 3 = 2 OR NOT email_verified) AND website_url <> '' AND search_confidence > 0.3 UNION ALL SELECT 'absent', ord FROM r",
@@ -282,7 +298,7 @@ SQL = {
     "contact_statuses": f"WITH {_ROWS} SELECT coalesce(status, '') AS status, coalesce(method, '') AS method, count(*) AS n FROM r GROUP BY 1, 2",
     "contact_graph_status": f"""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 6 > 0 THEN 'country' || c_nationkey END AS country, c_custkey * 7 % 101 AS v1, c_custkey * 3 % 101 AS v2 FROM customer)
   SELECT 'filled' AS section, 'people' AS label, count(*) AS n FROM c UNION ALL SELECT 'filled', 'name', count(*) FILTER (k % 3 > 0) FROM c UNION ALL SELECT 'filled', 'company', count(*) FILTER (k % 4 > 0) FROM c UNION ALL SELECT 'filled', 'country', count(country) FROM c
-  UNION ALL (SELECT 'country', country, count(*) AS n FROM c WHERE country IS NOT NULL GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10) UNION ALL SELECT 'strength', CASE WHEN v2 >= 70 THEN 'strong' WHEN v2 >= 40 THEN 'medium' WHEN v2 >= 10 THEN 'weak' ELSE 'none' END, count(*) FROM c GROUP BY 2 UNION ALL SELECT 'strength', 'apart', count(*) FILTER (abs(v1 - v2) > 20) FROM c""",
+  UNION ALL (SELECT 'country', country, count(*) AS n FROM c WHERE country IS NOT NULL GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10) UNION ALL SELECT 'strength', CASE WHEN v2 >= 70 THEN 'strong' WHEN v2 >= 40 THEN 'medium' WHEN v2 >= 10 THEN 'weak' ELSE 'none' END, count(*) FROM c GROUP BY 2 UNION ALL SELECT 'strength', 'apart', count(*) FILTER (v1 - v2 > 20) FROM c""",
     "contact_drafts": f"WITH p AS (SELECT k % 700 AS g, min(k) AS prospect FROM ({_K}) GROUP BY 1) SELECT k AS draft_id, 'page' || (k % 900) AS page_name, prospect FROM ({_K}) LEFT JOIN p ON g = k % 900",
     "contact_mapped": f"SELECT CAST(k AS VARCHAR) AS id, 'Acme a' || k AS page_name, {_sql_pick(['a|b', 'x|y', ''], 'k % 3')} AS platforms, CASE WHEN k % 3 = 0 THEN 12 ELSE 0 END AS ad_count, k % 3 = 0 AS is_active, CASE WHEN k % 3 < 2 THEN '2024-05-06' ELSE '' END AS first_ad_date, concat_ws('|', CASE WHEN k % 2 = 0 THEN '555' END, CASE WHEN k % 5 > 0 THEN '777' END) AS phones FROM ({_K})",
     "contact_profile": f"WITH {_ROWS}, n AS (SELECT count(*) AS rows FROM r) " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", (SELECT count(*) FROM r WHERE trim(CAST({c} AS VARCHAR)) <> '') AS filled, rows FROM n" for c in ("ord", "primary_email", "email_verified", "website_url", "search_confidence", "contact_name", "status", "method")),
@@ -293,6 +309,6 @@ SQL = {
     "contact_works_at": f"""WITH r AS (SELECT 'e' || (k % 300) AS email, 'acme ' || (k % 7) AS company_key, 'Acme ' || (k % 7) || {_sql_pick([" Inc", " LLC", ""], "k % 3")} AS company, 'role' || k AS role, CASE WHEN k % 4 > 0 THEN round(k / 10000, 6) ELSE 0.0 END AS confidence, k FROM ({_K})), s AS (SELECT company_key, arg_min(company, k) AS company FROM r GROUP BY 1)
   SELECT email, r.company_key, any_value(s.company) AS company, arg_max(role, k) AS role, arg_max(confidence, k) AS confidence FROM r JOIN s ON r.company_key = s.company_key GROUP BY 1, 2""",
     "contact_merged_people": f"""WITH p AS (SELECT k AS node, CASE WHEN k % 2 = 0 THEN 'name' || k END AS name, CASE WHEN k % 3 = 0 THEN 'url' || k END AS url FROM ({_K})), g AS (SELECT node - node % 5 + 1 + CASE WHEN node % 5 = 4 THEN 5 ELSE 0 END AS node, arg_min(name, node) FILTER (name IS NOT NULL) AS n, arg_min(url, node) FILTER (url IS NOT NULL) AS u FROM p WHERE node % 5 IN (0, 4) GROUP BY 1)
-  SELECT p.node, coalesce(p.name, n) AS name, CASE WHEN p.url IS NULL AND g.node IS NULL THEN NULL ELSE coalesce(p.url, u) END AS url FROM p LEFT JOIN g ON g.node = p.node WHERE p.node % 5 NOT IN (0, 4)""",
+  SELECT p.node, coalesce(p.name, n) AS name, CASE WHEN p.url IS NULL AND g.node IS NULL THEN NULL ELSE coalesce(p.url, u) END AS url FROM p LEFT JOIN g ON g.node = p.node WHERE p.node % 5 NOT IN (0, 4) OR p.node % 5 = 4 AND p.node + 2 NOT IN (SELECT node FROM p)""",
     "contact_versions": "SELECT c_custkey, CASE c_custkey % 5 WHEN 1 THEN 1 ELSE 0 END AS batch, CASE WHEN c_nationkey > 5 THEN c_nationkey END AS nation FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 5 IN (1, 2)",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import ads as A
+from ..sources.shared import stored
 from .proxies import ADS_SQL, AS_OF, read
 from .proxies import ads as raw_ads
 
@@ -23,7 +24,10 @@ def _scored(spark, d):
 
 
 def _ranked(spark, d):
-    return A.ranked(_scored(spark, d).filter("gate_passed"))
+    """Scores are computed once and kept, so that ranks, medians and names read columns of a table."""
+    scores = [c for c in ("total_score", "money_score", "urgency_score", "fit_score", "share_message", "share_call", "share_form", "share_web")]
+    kept = stored(_scored(spark, d).select("page_id", "page_name", "behavioral_cluster", "gate_passed", *scores), "scores")
+    return A.ranked(kept.filter("gate_passed"))
 
 
 def icp_ads(spark, d):

@@ -14,14 +14,14 @@ from ..operators import matching as M
 from ..operators import outreach as O
 from ..operators import records as R
 from ..sources import io
+from ..sources.shared import folder as _folder
 from .proxies import _pick, _sql_pick, leads, read
-from .streams import _folder
 
 NATIONS = [f"NATION_{k}" for k in range(25)]
 NAMES = ["Lee, Ann", "Ann Lee, MBA", "Dr. José  Pérez Jr.", "Lee, Ann, PhD", None, "  "]
 MATCHING = ["ann lee", "ann lee", "dr jose perez", "lee ann", "", ""]
-CELLS = ["{'a': None, 'b': True}", '{"a": null}', "__import__('os')", None]
-AS_JSON = ['{"a": null, "b": true}', '{"a": null}', "{}", "{}"]
+CELLS = ["{'a': None, 'b': True}", '{"a": null}', "__import__('os')", None, """{'body': {'text': "it's None, \\"x\\""}, 't': ('a', 2,), 'n': [None, False]}""", r"{'k': 'O\'Brien \\ \x41 \n'}", "{'open': [1, 2}"]
+AS_JSON = ['{"a": null, "b": true}', '{"a": null}', "{}", "{}", """{"body": {"text": "it's None, \\"x\\""}, "t": ["a", 2], "n": [null, false]}""", r"""{"k": "O'Brien \\ \u0041 \n"}""", "{}"]
 HEADERS = ["=?utf-8?q?Jos=C3=A9?= <J@x.example>", 'Ann <A@x.example>, "B, C" <b@y.example>', None]
 DECODED, SENDERS = ["José <J@x.example>", 'Ann <A@x.example>, "B, C" <b@y.example>', None], ["j@x.example", "a@x.example,b@y.example", ""]
 ANSWERS = ['x ```json\n{"industry": "Tech"}\n``` y', 'so {"industry": "law"}', '{"industry": "??"}', "no", None]
@@ -41,7 +41,7 @@ def cell_similarity(spark, d):
 
 def cell_literals(spark, d):
     k = F.col("c_custkey")
-    return read(spark, d, "customer").select(k, M.literal_to_json(_pick(CELLS, k % 4)).alias("json"))
+    return read(spark, d, "customer").select(k, T.literal_object(_pick(CELLS, k % len(CELLS))).alias("json"))
 
 
 def mail_headers(spark, d):
@@ -167,7 +167,7 @@ _LIKE = " ".join(f"WHEN '{n}' THEN {round(SequenceMatcher(None, n.lower(), 'unit
 SQL = {
     "cell_names": f"SELECT k AS c_custkey, {_sql_pick(MATCHING, 'k % 6')} AS name, k % 4 > 0 AS invalid FROM ({_K})",
     "cell_similarity": f"SELECT n_nationkey, CAST(CASE n_name {_LIKE} END AS DOUBLE) AS similarity FROM nation",
-    "cell_literals": f"SELECT k AS c_custkey, {_sql_pick(AS_JSON, 'k % 4')} AS json FROM ({_K})",
+    "cell_literals": f"SELECT k AS c_custkey, {_sql_pick(AS_JSON, f'k % {len(AS_JSON)}')} AS json FROM ({_K})",
     "mail_headers": f"SELECT k AS c_custkey, {_sql_pick(DECODED, 'k % 3')} AS header, {_sql_pick(SENDERS, 'k % 3')} AS senders FROM ({_K})",
     "mail_introductions": f"SELECT k AS c_custkey, k % 5 IN (0, 1, 3) AS introduced, {_sql_pick(['Ann Lee', 'Bob', None, 'Cyd Ray Moss', None], 'k % 5')} AS name FROM ({_K})",
     "mail_bodies": f"SELECT k AS c_custkey, CASE k % 3 WHEN 0 THEN 'plain' || k WHEN 1 THEN 'page' || k ELSE '' END AS body FROM ({_K})",

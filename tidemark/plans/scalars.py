@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import text as T
-from .proxies import read
+from .proxies import _pick, _sql_pick, read
 
 
 def text_fold(spark, d):
@@ -30,9 +30,13 @@ def text_names(spark, d):
     return read(spark, d, "customer").select("c_custkey", first.alias("first_name"), rest.alias("last_name"), T.us_phone(phone).alias("phone"), T.invalid_company(F.when(F.col("c_custkey") % 7 == 0, "--").otherwise(F.col("c_name"))).alias("invalid"))
 
 
+LIST_CELLS = ["['a', 'b']", '["x","y"]', " p; q ,r", "[]", None, """["it's", "b"]""", r"""['O\'Brien', "it's, ok", 'say "hi"']""", "[['a', 'b'], None, 1, True]", "('one',)", "[it's, b]"]
+LISTS = ["a|b", "x|y", "p|q|r", "", "", "it's|b", """O'Brien|it's, ok|say "hi\"""", '["a","b"]|1|true', "one", "it's|b"]
+
+
 def text_lists(spark, d):
-    k = F.col("event_id")
-    cell = F.when(k % 5 == 0, "['a', 'b']").when(k % 5 == 1, '["x","y"]').when(k % 5 == 2, " p; q ,r").when(k % 5 == 3, "[]").otherwise(None)
+    """Cells with JSON, Python literals, separated and broken lists."""
+    cell = _pick(LIST_CELLS, F.col("event_id") % len(LIST_CELLS))
     return read(spark, d, "events").select("event_id", F.array_join(T.parse_list(cell), "|").alias("items"), F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
@@ -72,6 +76,6 @@ SQL = {
     "text_patterns": f"SELECT doc_id, CAST(regexp_matches(t, '\\bthe\\b') AS INT) + CAST(regexp_matches(t, '\\bund\\b') AS INT) + CAST(regexp_matches(t, '\\bque\\b') AS INT) + CAST(regexp_matches(t, 'cion') AS INT) + CAST(regexp_matches(t, '\\d{{3}}') AS INT) AS n_patterns, regexp_matches(t, 'licen[cs]e|\\bidiot\\b') AS any_pattern, length(regexp_replace(text, '[^?]', '', 'g')) AS questions FROM (SELECT *, {_FOLD} AS t FROM documents)",
     "text_domains": "SELECT page_id, nullif(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.-]*://)?(?:www\\.)?([^/?#]*)', 1), '') AS domain, regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '^www\\.', ''), '/+$', '') AS normal FROM pages",
     "text_names": "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 4 = 0 THEN 'Dr' ELSE split_part(c_name, ' ', 1) END AS first_name, CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 4 = 0 THEN c_name ELSE split_part(c_name, ' ', 2) END AS last_name, CASE WHEN c_custkey % 5 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN '1-' ELSE '' END || '555 010 ' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '9' ELSE '+1 (555) 010-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') END AS phone, c_custkey % 7 = 0 AS invalid FROM customer",
-    "text_lists": "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x|y' WHEN 2 THEN 'p|q|r' ELSE '' END AS items, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "text_lists": f"SELECT event_id, {_sql_pick(LISTS, f'event_id % {len(LISTS)}')} AS items, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "text_times": "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_orderdate WHEN 3 THEN NULL ELSE date_trunc('day', o_orderdate) END AS at FROM orders",
 }

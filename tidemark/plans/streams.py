@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..sources.shared import folder as _folder
 from ..streaming import jobs
 from .proxies import MAILS_SQL, mails, read
 
 
-def _folder(spark, name: str) -> str:
-    """A folder that driver and executors share; a temporary one only where no checkpoint folder is set."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        path = sc.getConf().get("spark.checkpoint.dir")
-        if not path and (not sc.master.startswith("local") or sc.master.startswith("local-")):
-            raise ValueError("spark.checkpoint.dir isn't set: set it to a folder that driver and executors share")
-        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="tidemark-"))
-    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 def _events(spark, d):
     kind = F.when(F.col("event_type") == "click", "advance").when(F.col("event_type") == "view", "like").when(F.col("event_type") == "signup", "comment").when(F.col("event_type") == "error", "error").otherwise("none")
     return read(spark, d, "events").select(F.concat(F.lit("@u"), F.col("user_id") % 300).alias("handle"), kind.alias("kind"), F.concat(F.lit("post"), F.col("event_id") % 40).alias("post"), F.col("event_id").alias("ord"), "ts", "user_id", "event_type")
