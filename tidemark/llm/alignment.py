@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import bytes_of, entering, fresh_dir, small, small_batches, stored, texts_of
 
 #: Bytes of text whose distinct chunks are encoded together; bytes of chunks in one call.
-STRETCH, CALL = 4 << 20, 8 << 10
+STRETCH, CALL = 2 << 20, 8 << 10
 #: Most groups whose results are broadcast.
 BROADCAST_GROUPS = 400_000
 _SHIFT = 20
@@ -38,6 +38,12 @@ def _cumulated(n: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted, each value once."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def _ragged(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     """first, first + 1, ... n times, for each row."""
     return np.arange(int(n.sum())) + np.repeat(first - np.cumsum(n) + n, n)
@@ -95,7 +101,7 @@ class Aligner:
         data, edges = bytes_of(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string())))
         at = np.flatnonzero((data == 0x20) | (data == 0x0A)) if self.split else edges[:0]
         at = at[_solid(data, at - 1)]
-        begins = np.union1d(at, edges[:-1])
+        begins = _distinct(np.concatenate([at, edges[:-1]]))
         ends = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
         return pa.Array.from_buffers(pa.large_string(), len(begins), [None, ends, pa.py_buffer(np.ascontiguousarray(data))]), np.diff(np.searchsorted(begins, edges))
 
@@ -169,7 +175,9 @@ def _stretch(aligner: Aligner, ids: pa.Array, texts: pa.Array, seed: int):
     code, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     a, ends_a, b, ends_b, ok = aligner.encode(distinct)
     chunk_ends = bytes_of(distinct)[1][1:]
-    cuts, links = np.intersect1d(ends_a, ends_b), np.union1d(ends_a, ends_b)
+    links = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # rising ends, merged
+    twice = links[1:] == links[:-1]
+    cuts, links = links[1:][twice], links[np.append(True, ~twice)] if len(links) else links
     pair = (a[np.searchsorted(ends_a, links)] << _SHIFT) + b[np.searchsorted(ends_b, links)] if len(links) else links
     # groups and what stands in each
     group_a, group_b, group_link = (np.searchsorted(cuts, x) for x in (ends_a, ends_b, links))
@@ -214,14 +222,14 @@ def _stretch(aligner: Aligner, ids: pa.Array, texts: pa.Array, seed: int):
     yield {"kind": np.full(len(shown), 1, np.int32), "key": key[shown], "text": text.take(pa.array(shown)).cast(pa.string()), "links": (_cumulated(n), pair[_ragged(edges_link[shown], n)]), "n": n_docs[group[shown]]}
     # pairs: of one distinct group, they are in as many documents as it; of several, documents count once
     n = np.diff(edges_link)[first]
-    of, linked = np.unique(np.stack([np.repeat(np.arange(len(first)), n), pair[_ragged(edges_link[first], n)]]), axis=1) if len(first) else (first, first)
+    of, linked = np.divmod(_distinct((np.repeat(np.arange(len(first)), n) << 2 * _SHIFT) + pair[_ragged(edges_link[first], n)]), 1 << 2 * _SHIFT)
     pairs, at, several = np.unique(linked, return_inverse=True, return_counts=True)
     total = np.bincount(at, n_docs[of] * (several[at] == 1), len(pairs)).astype(np.int64)
     shared = several[at] > 1
     of, at = of[shared], at[shared]
     edges_of = _cumulated(np.bincount(of, minlength=len(keys)))
     n = np.diff(edges_of)[held_group]
-    more = np.unique(np.repeat(held_doc, n) * max(len(pairs), 1) + at[_ragged(edges_of[held_group], n)])
+    more = _distinct(np.repeat(held_doc, n) * max(len(pairs), 1) + at[_ragged(edges_of[held_group], n)])
     total += np.bincount(more % max(len(pairs), 1), minlength=len(pairs)).astype(np.int64)
     yield {"kind": np.full(len(pairs), 2, np.int32), "key": pairs, "n": total}
 
@@ -247,7 +255,7 @@ def parts(docs: DataFrame, path_a: str, path_b: str, seed: int = 0) -> DataFrame
                     yield pa.RecordBatch.from_arrays(columns, names=names.names)
 
     path = fresh_dir(docs.sparkSession, "groups")
-    with small_batches(docs.sparkSession, 2000):
+    with small_batches(docs.sparkSession, 1000):
         docs.select("doc_id", "text").mapInArrow(run, schema).write.partitionBy("kind").parquet(path)
     return docs.sparkSession.read.schema(PARTS).parquet(path)
 
