@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import contacts, funnel, graph, icp, identities, lookups, master, matching, outreach, records, scalars, streams, verticals
+from . import contacts, funnel, graph, icp, identities, lookups, master, matching, outreach, paging, records, scalars, streams, verticals
 
-PARTS = [icp, contacts, funnel, graph, identities, lookups, master, matching, outreach, records, scalars, streams, verticals]
+PARTS = [icp, contacts, funnel, graph, identities, lookups, master, matching, outreach, paging, records, scalars, streams, verticals]
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLE_SQL = {name: sql for part in PARTS for name, sql in part.SQL.items()}

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # Phases of a warm-up, and actions of a day.
@@ -20,29 +23,44 @@ def landed(spark: SparkSession, path: str, schema, files: int = 100) -> DataFram
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def _run(df: DataFrame, checkpoint: str, batch) -> None:
-    query = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def build_edges(mails: DataFrame, folder: str, checkpoint: str) -> None:
-    """Adds the mails that have landed to a folder of partial edges, by batch: a batch that is repeated replaces its own part.
+@contextmanager
+def on_disk(spark: SparkSession):
+    """While streams start, their state is kept on disk with changes in the checkpoint: it may outgrow memory, and a batch costs what it changes."""
+    keys = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-    A message counts once, in the first batch that has it; the ids taken in stand by batch in a folder beside that of the edges.
+
+def _run(df: DataFrame, checkpoint: str, batch, mode: str = "append"):
+    with on_disk(df.sparkSession):
+        query = df.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return query
+
+
+def build_edges(mails: DataFrame, folder: str, checkpoint: str, at: str | None = None, keep: str = "30 days"):
+    """Adds the mails that have come to a folder of partial edges, by batch: a batch that is repeated replaces its own part.
+
+    A message counts once, in the first batch that has it: its id stays in a keyed state store, which a batch asks for its
+    own ids alone, however many there have been. With a time column, ids are forgotten `keep` after the latest time seen.
     """
     from ..operators.graph import knows
 
-    ids = f"{folder}-ids"
+    once = mails.dropDuplicates(["message_id"]) if at is None else mails.withWatermark(at, keep).dropDuplicatesWithinWatermark(["message_id"])
 
     def batch(df, n):
-        new = df.dropDuplicates(["message_id"])
-        if n:  # each batch before has left its ids
-            taken = df.sparkSession.read.schema("message_id string, batch long").parquet(ids).filter(F.col("batch") < n)
-            new = new.join(taken, "message_id", "left_anti")
-        knows(new).drop("last_subject").write.mode("overwrite").parquet(f"{folder}/batch={n}")
-        df.select(F.col("message_id").cast("string")).distinct().write.mode("overwrite").parquet(f"{ids}/batch={n}")
+        knows(df).drop("last_subject").write.mode("overwrite").parquet(f"{folder}/batch={n}")
 
-    _run(mails, checkpoint, batch)
+    return _run(once, checkpoint, batch)
 
 
 def edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,20 +85,20 @@ def windowed_counts(events: DataFrame, at: str, by: str, width: str, late: str)
     return events.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), by, "n")
 
 
-def keep_updates(rows: DataFrame, folder: str, checkpoint: str) -> None:
+def keep_updates(rows: DataFrame, folder: str, checkpoint: str):
     """Runs a stateful stream over what has landed; each batch leaves its updates in a part of the folder, which a repeated batch replaces."""
 
     def batch(df, n):
         df.write.mode("overwrite").parquet(f"{folder}/batch={n}")
 
-    rows.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return _run(rows, checkpoint, batch, "update")
 
 
-def last_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
-    """The last update of each key."""
+def last_updates(spark: SparkSession, folder: str, keys: list[str], *then: str) -> DataFrame:
+    """The last update of each key: of the last batch, and within it, where a key may have several, the greatest by `then`."""
     rows = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
     cells = [c for c in rows.columns if c not in (*keys, "batch")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cells), "batch").alias("_x")).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in cells))
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cells), F.struct("batch", *then)).alias("_x")).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in cells))
 
 
 def fold(events: pd.DataFrame, state: tuple[int, list[str], list[str], int]) -> tuple[int, list[str], list[str], int]:
@@ -112,8 +130,80 @@ def warm_up(events: DataFrame) -> DataFrame:
     return events.groupBy("handle").applyInPandasWithState(step, "handle string, status string, phase int, likes int, comments int, errors int", STATE, "update", GroupStateTimeout.NoTimeout)
 
 
+PLAN = "handle string, status string, phase int, started timestamp, moved timestamp, followed timestamp, likes long, comments long, errors int, retries int"
+
+
+class WarmUp(StatefulProcessor):
+    """A prospect's state: phase and times of phases, who was followed when, posts liked and commented on with their times, errors, and retries that came due.
+
+    Events (handle, kind, post, ts) may come in any order within the watermark: times are least ones, counts are of
+    distinct posts, so the state doesn't depend on the order. An error comes due again `wait` later by event time; a timer
+    tells when.
+    """
+
+    def __init__(self, wait_ms: int):
+        self.wait_ms = wait_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.plan = handle.getValueState("plan", "phase int, started timestamp, moved timestamp, followed timestamp, errors int, retries int")
+        self.liked = handle.getMapState("liked", "post string", "at timestamp")
+        self.commented = handle.getMapState("commented", "post string", "at timestamp")
+
+    def _now(self):
+        return list(self.plan.get()) if self.plan.exists() else [0, None, None, None, 0, 0]
+
+    def _row(self, key, now):
+        phase, started, moved, followed, errors, retries = now
+        n = [sum(1 for _ in posts.keys()) for posts in (self.liked, self.commented)]
+        row = (*key, "in_progress" if phase else "pending", phase, started, moved, followed, *n, errors, retries)
+        columns = [c.split()[0] for c in PLAN.split(", ")]
+        frame = pd.DataFrame([row], columns=columns)
+        return frame.astype({c: "datetime64[ns]" for c in ("started", "moved", "followed")})
+
+    def handleInputRows(self, key, rows, timerValues):
+        now = self._now()
+        least = lambda a, b: b if a is None or pd.isna(a) else min(a, b)
+        for frame in rows:
+            for kind, post, at in zip(frame["kind"], frame["post"], (x.to_pydatetime() for x in frame["ts"])):
+                if kind == "advance":
+                    now[0] = min(PHASES, now[0] + 1)
+                    now[1] = least(now[1], at)
+                    now[2] = at if now[2] is None or pd.isna(now[2]) else max(now[2], at)
+                elif kind == "follow":
+                    now[3] = least(now[3], at)
+                elif kind in ("like", "comment"):
+                    posts = self.liked if kind == "like" else self.commented
+                    before = posts.getValue((post,))[0] if posts.containsKey((post,)) else None
+                    posts.updateValue((post,), (least(before, at),))
+                elif kind == "error":
+                    now[4] += 1
+                    self.handle.registerTimer(int(at.replace(tzinfo=timezone.utc).timestamp() * 1000) + self.wait_ms)
+        self.plan.update(tuple(None if x is not None and pd.isna(x) else x for x in now))
+        yield self._row(key, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = self._now()
+        now[5] += 1
+        self.plan.update(tuple(now))
+        yield self._row(key, now)
+
+    def close(self):
+        pass
+
+
+def warm_up_with_times(events: DataFrame, wait: str = "2 hours", late: str = "1 hour") -> DataFrame:
+    """PLAN after each batch of events (handle, kind, post, ts) and each retry that comes due by event time; of errors of one millisecond one comes due."""
+    ms = int(pd.Timedelta(wait).total_seconds() * 1000)
+    rows = events.withWatermark("ts", late).groupBy("handle")
+    return rows.transformWithStateInPandas(statefulProcessor=WarmUp(ms), outputStructType=PLAN, outputMode="Update", timeMode="EventTime")
+
+
 def within_quotas(actions: DataFrame, day: str, kind: str, order: str, quotas: dict[str, int] = QUOTAS) -> DataFrame:
     """The first actions of each kind and day by order, as many as its quota lets; kinds without one all stay."""
     most = F.coalesce(*(F.when(F.col(kind) == k, F.lit(n)) for k, n in quotas.items()), F.lit((1 << 31) - 1))
     place = F.row_number().over(Window.partitionBy(day, kind).orderBy(order))
-    return actions.withColumn("_n", place).filter(F.col("_n") <= most).drop("_n")
+    bounded = F.col(kind).isin(*quotas)
+    # a literal bound first: each task passes on so many rows of a day and kind at most
+    first = actions.filter(bounded).withColumn("_n", place).filter(F.col("_n") <= max(quotas.values())).filter(F.col("_n") <= most).drop("_n")
+    return first.unionByName(actions.filter(~F.coalesce(bounded, F.lit(False))))
