@@ -35,7 +35,7 @@ def test_pages_are_chained_and_only_those_that_match_are_opened(spark, deals, tm
     got = paged.pages(spark, path, deals.schema, "owner", "closed", [1], since, until)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 0
     plan = got._jdf.queryExecution().toString()
-    assert "EqualTo(key,1)" in plan and "GreaterThanOrEqual(high," in plan and "LessThan(low," in plan
+    assert "PushedFilters: [IsNotNull(key), IsNotNull(high), IsNotNull(low), EqualTo(key,1), GreaterThanOrEqual(high" in plan
     assert paged.pages(spark, path, deals.schema, "owner", "closed", [5]).count() == 0
 
 
