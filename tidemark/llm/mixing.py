@@ -60,12 +60,14 @@ def rates(sized: DataFrame, weights: list[float], share: float, cap: float, seed
     targets = cut(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
     fractions = small(targets.select(F.col("source").alias("of"), (F.col("rate") - F.floor("rate")).alias("fraction")))
     met = sized.join(fractions, F.col("source").eqNullSafe(F.col("of")))
-    words = lambda k: F.sum(F.when(draw(F.col("doc_id"), F.col("key"), seed + k) < F.col("fraction"), F.col("size")).otherwise(F.lit(0)))
-    drawn = met.groupBy("source").agg(F.array(*(words(k) for k in range(SEEDS))).alias("words")).withColumnRenamed("source", "of")
+    # a row a seed, added up where it is made: one expression for all seeds, whose code would be as long as there are seeds
+    tried = met.withColumn("seed", F.explode(F.sequence(F.lit(seed), F.lit(seed + SEEDS - 1))))
+    drawn = F.when(draw(F.col("doc_id"), F.col("key"), F.col("seed")) < F.col("fraction"), F.col("size")).otherwise(F.lit(0))
+    words = tried.groupBy("source", "seed").agg(F.sum(drawn).alias("words")).withColumnRenamed("source", "of")
     wanted = (F.col("rate") - F.floor("rate")) * F.col("source_size")
-    off = F.transform("words", lambda w, k: F.struct(F.abs(w - wanted).alias("off"), (k + F.lit(seed)).cast("int").alias("seed")))
-    out = targets.join(small(cut(drawn)), F.col("source").eqNullSafe(F.col("of")), "left")
-    return cut(out.select("source", "source_size", "target", "rate", F.coalesce(F.array_min(off)["seed"], F.lit(seed)).alias("seed")))
+    off = words.join(small(targets), F.col("source").eqNullSafe(F.col("of"))).groupBy("of").agg(F.min(F.struct(F.abs(F.col("words") - wanted).alias("off"), "seed")).alias("best"))
+    out = targets.join(small(cut(off)), F.col("source").eqNullSafe(F.col("of")), "left")
+    return cut(out.select("source", "source_size", "target", "rate", F.coalesce(F.col("best.seed"), F.lit(seed)).cast("int").alias("seed")))
 
 
 def times_taken(doc_id: Column, key: Column, rate: Column, seed: Column) -> Column:
