@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -90,24 +91,44 @@ def _named(word: str) -> bool:
     return not word[0].islower()
 
 
-def _beside(text: str, span: tuple[int, int, int], spans) -> tuple[int, int, list[str]]:
-    """Hashes that tell the context before a value and the one after it, and the names within NEAR_WORDS words of it."""
+def _words(text: str, spans) -> tuple[list[tuple[int, int]], list[int]]:
+    """All words of a text by their ends, a value being one word and parting those that it touches; and the words' beginnings."""
+    words, k = [], 0
+    for m in _WORD.finditer(text):
+        at, end = m.span()
+        while at < end:
+            while k < len(spans) and spans[k][2] <= at:
+                k += 1
+            if k < len(spans) and spans[k][0] <= at:
+                to = spans[k][2]
+            elif k < len(spans) and spans[k][0] < end:
+                to = spans[k][0]
+            else:
+                to = end
+            words.append((at, min(to, end)))
+            at = max(to, at + 1)
+    return words, [a for a, _ in words]
+
+
+def _beside(text: str, span: tuple[int, int, int], spans, words: list[tuple[int, int]], begins: list[int]) -> tuple[int, int, list[str]]:
+    """Hashes that tell the context before a value and the one after it, and the names within NEAR_WORDS words of it, however long these are."""
     a, _, b = span
     reach = NEAR_WORDS + FAR_WORDS
-    low = max(0, a - 40 * reach)
-    left = [m for m in _WORD.finditer(text[low:a])][-reach:]
-    right = [m for m, _ in zip(_WORD.finditer(text, b, min(len(text), b + 40 * reach)), range(reach))]
-    before = "< " + " ".join(m[0] for m in left[:FAR_WORDS]) if len(left) == reach else None
-    after = "> " + " ".join(m[0] for m in right[NEAR_WORDS:]) if len(right) == reach else None
+    low, high = bisect_left(begins, a), bisect_left(begins, b)
+    left, right = words[max(0, low - reach) : low], words[high : high + reach]
+    said = lambda some: " ".join(text[x:y] for x, y in some)
+    before = "< " + said(left[:FAR_WORDS]) if len(left) == reach else None
+    after = "> " + said(right[NEAR_WORDS:]) if len(right) == reach else None
     left, right = left[-NEAR_WORDS:], right[:NEAR_WORDS]
     if not before and not after:
-        before = " ".join(m[0] for m in left) + " | " + " ".join(m[0] for m in right)
+        before = said(left) + " | " + said(right)
     before, after = (xxhash.xxh64_intdigest(x) - (1 << 63) for x in (before or after, after or before))
+    taken = [s for s, _, _ in spans]
     names = set()
-    for m, shift in [(m, low) for m in left] + [(m, 0) for m in right]:
-        at = m.start() + shift
-        if not any(s <= at < e for s, _, e in spans):
-            names.update(filter(_named, _NAME.findall(m[0])))
+    for x, y in left + right:
+        k = bisect_right(taken, x) - 1
+        if k < 0 or x >= spans[k][2]:
+            names.update(filter(_named, _NAME.findall(text[x:y])))
     return before, after, sorted(names)
 
 
@@ -143,8 +164,9 @@ def detected(docs: DataFrame) -> DataFrame:
                 names.update(filter(_named, set(_NAME.findall(text))))
                 spans = find(text)
                 base, beside = _joined(spans), []
+                words, begins = _words(text, spans) if spans else ([], [])
                 for s in spans:
-                    before, after, near = _beside(text, s, spans)
+                    before, after, near = _beside(text, s, spans, words, begins)
                     beside += [{"value": value_of(text, s), "term": n, "before": before, "after": after} for n in near or [None]]
                 kinds = [k for _, k, _ in spans]
                 for to, x in zip(out.values(), (doc, key, *(kinds.count(k) for k in range(4)), hashlib.sha256(base.encode()).hexdigest(), base, beside)):
