@@ -508,23 +508,25 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     prefixes = stored(_prefixes(_lists(_entries(docs, words, percent, numbers, order), parts)), "prefixes")
     lists = _entries_of(prefixes)
-    least = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    least = members.filter("n > 0").groupBy("sid").agg(F.min(F.struct("doc_id", "key")).alias("x")).select("sid", F.col("x.doc_id").alias("_id"), F.col("x.key").alias("_key"))
 
     def take(batches):
         entering("join")
+        given: set[int] = set()  # rows that share doc_id and text lie together: one of them gives the set
         for batch in batches:
             out, wanted = ([], []), batch.column("sid").to_pylist()
             number = numbers.value
             for s, want in zip(shingle_sets(batch.column("text"), words), wanted):
-                if len(s) and number(s) == want:
+                if len(s) and want not in given and number(s) == want:
+                    given.add(want)
                     out[0].append(want)
                     out[1].append(s.tobytes())
             yield _batch("sid long, items binary", *out)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        """wanted (sid and more) with items, the shingles of the set, made from one document each."""
-        picked = least.join(small(wanted.select("sid").distinct()), "sid").select(F.col("doc_id").alias("_id"), "sid")
-        chosen = docs.join(small(cut(picked)), docs["doc_id"].eqNullSafe(F.col("_id"))).select("sid", "text")
+        """wanted (sid and more) with items, the shingles of the set, made from one document each, known by its id and its text's hash: an id may be null or stand often."""
+        picked = least.join(small(wanted.select("sid").distinct()), "sid")
+        chosen = docs.join(small(cut(picked)), docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["key"] == F.col("_key"))).select("sid", "text")
         return chosen.mapInArrow(take, "sid long, items binary").join(small(wanted), "sid")
 
     # a list's leader has most of its prefix in lists: of near copies, the one with the fewest changes of its own; a set's
