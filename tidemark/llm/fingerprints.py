@@ -94,7 +94,7 @@ def _blocks(ids: DataFrame, rows_a_block: int):
     """A function that adds a column `block` to a table with doc_id and key: about rows_a_block rows each, blocks in the order of ids.
 
     Quantiles of all ids, and of the ids between two of them, are the bounds, so ids may lie in clumps. An id that fills
-    several parts, and rows without an id, are parted by key.
+    several parts, and rows without an id, are parted by key, into RANGES * MAX_PARTS parts at most.
     """
     spark = ids.sparkSession
     n, rows, bounds = ids.agg(F.count("doc_id"), F.count(F.lit(1)), F.percentile_approx("doc_id", [i / RANGES for i in range(RANGES + 1)], 10_000)).first()
@@ -106,7 +106,7 @@ def _blocks(ids: DataFrame, rows_a_block: int):
     fine = cut(fine)  # RANGES rows at most
     often = {r[0]: r[1] for r in fine.select(F.explode("_bounds").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").collect()}
     often |= {b: max(often.get(b, 0), bounds.count(b) * parts) for b in set(bounds or []) if bounds.count(b) > 2}
-    hot = F.broadcast(spark.createDataFrame([*often.items(), (None, max(1, (rows - n) // rows_a_block))], "_often long, _n long"))
+    hot = F.broadcast(spark.createDataFrame([*often.items(), (None, max(1, min(RANGES * MAX_PARTS, (rows - n) // rows_a_block)))], "_often long, _n long"))
     fine = F.broadcast(fine.withColumn("_bounds", F.array_distinct("_bounds")))
 
     def put(df: DataFrame) -> DataFrame:
