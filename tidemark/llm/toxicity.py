@@ -119,10 +119,15 @@ def _present(texts: pa.Array, number: dict[str, int]):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """doc_id, text, toxic of the labelled rows outside the held-out fold, `most` at most: the bound also bounds the broadcast."""
+    """doc_id, text, toxic of the labelled documents outside the held-out fold, `most` rows at most: the bound also bounds the broadcast.
+
+    Of rows that share a doc_id one counts, that of the smallest hash of its text, so however often a labelled document
+    stands in docs, it is one example.
+    """
     rows = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(cut(rows)), "doc_id")
+    met = docs.select("doc_id", "text").join(F.broadcast(cut(rows)), "doc_id")
+    return met.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
 
 
 def mark_counts(texts: DataFrame) -> DataFrame:
