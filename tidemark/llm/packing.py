@@ -177,7 +177,14 @@ def pack(rows: DataFrame, capacity: int, order: list[str]) -> DataFrame:
     table = spark.sparkContext.broadcast(places(runs_of(histogram, capacity)))
     group, first, place, rank = free_names(rows, "_group", "_first", "_local", "_rank")
     rows = rows.withColumn(group, F.pmod(F.xxhash64(*order), F.lit(groups)).cast("int"))
-    counts = rows.groupBy("length", group).agg(F.count(F.lit(1)).alias(first))
+    counts = cut(rows.groupBy("length", group).agg(F.count(F.lit(1)).alias(first)))
+    full = counts.filter(F.col(first) > 4 * RANK_GROUP)
+    if not full.isEmpty():  # many rows tie in all of the order: which of them comes first doesn't matter, so their group is split
+        more = free_names(rows, "_more")[0]
+        full = full.select("length", group, F.ceil(F.col(first) / RANK_GROUP).cast("int").alias(more))
+        part = F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col(more), F.lit(1)))
+        rows = cut(rows.join(F.broadcast(full), ["length", group], "left").withColumn(group, F.col(group) + groups * part.cast("int")).select(*rows.columns))
+        counts = rows.groupBy("length", group).agg(F.count(F.lit(1)).alias(first))
     before = Window.partitionBy("length").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("length", group, F.coalesce(F.sum(first).over(before), F.lit(0)).alias(first))
     local = F.row_number().over(Window.partitionBy("length", group).orderBy(*order)) - 1
