@@ -217,7 +217,8 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
-    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).repartitionByRange(n, "doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
+    # rows that share doc_id and text may be many: their place in the table parts them
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("key"), F.monotonically_increasing_id().alias("nth")).repartitionByRange(n, "doc_id", "key", "nth").sortWithinPartitions("doc_id", "key", "nth")
     with small_batches(spark, 2000):
         return cut(dealt.select("doc_id", "text").mapInArrow(write, SHARD))
 
