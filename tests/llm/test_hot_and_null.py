@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, jaccard_join, packing, pii, token_store, toxicity
+from tidemark.llm import fingerprints, jaccard_join, licenses, packing, pii, token_store, toxicity
 from tidemark.llm.common import fresh_dir
 
 from . import cases
@@ -98,3 +98,24 @@ def test_shards_of_rows_that_repeat(spark):
     got = token_store.read_shards(shards).orderBy("start").collect()
     assert len(got) == 2050 and [r.doc_id for r in got] == sorted(r.doc_id for r in got)
     assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
+
+
+def test_thousands_of_templates(spark):
+    """Templates are met by their bands alone: each of those that stand in texts is found, and few others are looked at."""
+    rng = random.Random(8)
+    said = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    made = [(f"L{k}", said(40)) for k in range(1500)]
+    docs = spark.createDataFrame([(k, f"{said(50)} {made[k * 7][1]} {said(50)}") for k in range(200)] + [(1000 + k, said(200)) for k in range(100)], "doc_id long, text string")
+    got = {r.doc_id: {x.license for x in r.found} for r in licenses.matches(docs, made).collect()}
+    assert all(got[k] == {f"L{k * 7}"} for k in range(200)) and not any(got[1000 + k] for k in range(100))
+    met = licenses.candidates(docs.withColumn("key", F.xxhash64("text")), licenses.templates(spark, made)).count()
+    assert met < 3 * 200
+
+
+def test_full_texts(spark):
+    """A whole licence is found as it is, reworded a little, and in copies of its row; a clause that it holds whole is told too."""
+    texts = dict(licenses.FULL_TEXTS)
+    edited = texts["MIT"].replace("publish", "print").replace("DAMAGES OR", "LOSS OR")
+    rows = [(1, texts["BSD-3-Clause"]), (2, "x " + edited + " y"), (3, texts["Zlib"]), (3, texts["Zlib"]), (None, texts["ISC"]), (4, "no licence")]
+    got = [(r.doc_id, r.licenses) for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert {i: w for i, w in got} == {1: "BSD,BSD-3-Clause", 2: "MIT", 3: "Zlib", None: "ISC", 4: ""} and len(got) == 6
