@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import paged
+from tidemark.operators import joins
+from tidemark.sources import io, paged
 from tidemark.streaming import jobs
 
 DEALS = "id long, owner long, amount double, closed timestamp, note string"
@@ -98,3 +99,23 @@ def test_quotas_of_a_hot_day(spark):
     rows = spark.range(5000).select("id", F.lit("d").alias("day"), F.when(F.col("id") % 50 == 0, "note").otherwise("like").alias("kind"))
     got = jobs.within_quotas(rows, "day", "kind", "id", {"like": 75, "follow": 3})
     assert {(r.kind, r.n, r.last) for r in got.groupBy("kind").agg(F.count("id").alias("n"), F.max("id").alias("last")).collect()} == {("note", 100, 4950), ("like", 75, 76)}
+
+
+def test_a_run_that_dies_is_never_the_newest(spark, tmp_path):
+    path, rows = f"file:{tmp_path}/runs", spark.range(5).withColumn("v", F.lit(1))
+    io.publish(rows, path, "2024-01")
+    # dies after its rows, before its marker; and in the middle of its rows
+    rows.withColumn("v", F.lit(2)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/run_id=2024-02")
+    with pytest.raises(Exception, match="boom"):
+        io.publish(rows.withColumn("v", F.raise_error(F.lit("boom")).cast("int")), path, "2024-03")
+    assert io.finished_runs(spark, path) == ["2024-01"] and io.latest_version(spark, path).first().v == 1
+    io.publish(rows.withColumn("v", F.lit(4)), path, "2023-12", keep=2)
+    assert io.latest_version(spark, path).first().v == 4 and io.finished_runs(spark, path) == ["2023-12", "2024-01"]
+    io.publish(rows.withColumn("v", F.lit(5)), path, "2024-01", keep=1)
+    assert io.latest_version(spark, path).first().v == 5 and io.finished_runs(spark, path) == ["2024-01"]
+
+
+def test_sides_are_broadcast_by_rows_and_bytes(spark):
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"), F.array(F.lit(1)).alias("a"))
+    assert hinted(joins.small(wide)) and not hinted(joins.small(wide, size=50_000)) and not hinted(joins.small(wide, limit=99)) and hinted(joins.small(wide.filter("false")))

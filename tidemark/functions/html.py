@@ -90,6 +90,26 @@ def technologies(html: Column) -> Column:
     return F.array_sort(F.array_compact(F.array(*found)))
 
 
+# Forms of contact that no provider is named in.
+FORMS = [
+    r"<form[^>]*(?:contact|lead|inquiry|schedule|get-started|request)",
+    r"""<form[^>]*id\s*=\s*["'][^"']*(?:contact|lead|inquiry)[^"']*["']""",
+    r"""<form[^>]*class\s*=\s*["'][^"']*(?:contact|lead|inquiry)[^"']*["']""",
+    r"""type\s*=\s*["']email["'][^>]*placeholder\s*=\s*["'][^"']*email""",
+    r"""<input[^>]*name\s*=\s*["'](?:email|phone|name)["']""",
+]
+
+
+def generic_form(html: Column) -> Column:
+    """Whether a page has a contact form of its own: one pass for all patterns."""
+    return F.coalesce(F.lower(html).rlike("(?:" + ")|(?:".join(FORMS) + ")"), F.lit(False))
+
+
+def lead_form(html: Column) -> Column:
+    """Whether a page has a form of a known provider, or one of its own."""
+    return F.exists(technologies(html), lambda t: t.startswith("form:")) | generic_form(html)
+
+
 def services(html: Column) -> Column:
     """The services of SERVICES that a page's text names, in their order."""
     t = F.lower(visible(html))

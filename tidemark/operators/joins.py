@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Most rows of a side that is broadcast.
-BROADCAST_ROWS = 200_000
+#: Most rows, and about how many bytes, of a side that is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+_FIXED = ("byte", "short", "integer", "long", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz")
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `limit` rows, else df: Spark then joins by a shuffle."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most `limit` rows and `size` bytes, else df: Spark then joins by a shuffle."""
+    wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() not in _FIXED]
+    rows, held = df.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(sum(wide, F.lit(16 + 16 * len(df.columns))))).first()
+    return F.broadcast(df) if rows <= limit and (held or 0) <= size else df
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:

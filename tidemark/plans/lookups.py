@@ -156,12 +156,22 @@ def table_templates(spark, d):
     return t.select(F.col("meta")["id"].alias("id"), F.col("meta")["name"].alias("name"), F.col("meta")["empty"].alias("empty"), "subject", "body")
 
 
+def table_published(spark, d):
+    """Four runs, of which the third dies before its end and the fourth is published under a smaller id; two are kept."""
+    path, c = _folder(spark, "runs"), read(spark, d, "customer").select("c_custkey", "c_nationkey")
+    io.publish(c.filter("c_custkey % 3 = 0"), path, "r1", keep=2)
+    io.publish(c.filter("c_custkey % 3 = 1"), path, "r5", keep=2)
+    c.filter("c_custkey % 7 = 0").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/run_id=r9")
+    io.publish(c.filter("c_custkey % 3 = 2"), path, "r3", keep=2)
+    return io.latest_version(spark, path).withColumn("runs", F.lit(",".join(io.finished_runs(spark, path))))
+
+
 def table_newest(spark, d):
     return io.newest(read(spark, d, "customer").select(F.concat(F.lit("run"), F.lpad(F.col("c_custkey"), 9, "0")).alias("run_id")), 5)
 
 
 QUERIES = {f.__name__: f for f in (
-    cell_names, cell_similarity, cell_literals, mail_headers, mail_introductions, mail_bodies, mail_rendered, answer_fields, profile_scores, profile_rows, people_places, people_unlinked, people_identity, listing_rows, run_estimate, table_lookup, table_sample, table_files, table_templates, table_newest)}
+    cell_names, cell_similarity, cell_literals, mail_headers, mail_introductions, mail_bodies, mail_rendered, answer_fields, profile_scores, profile_rows, people_places, people_unlinked, people_identity, listing_rows, run_estimate, table_lookup, table_sample, table_files, table_templates, table_newest, table_published)}
 _K = "SELECT c_custkey AS k FROM customer"
 _LIKE = " ".join(f"WHEN '{n}' THEN {round(SequenceMatcher(None, n.lower(), 'united nations').ratio(), 4)}" for n in NATIONS)
 SQL = {
@@ -185,5 +195,6 @@ SQL = {
     "table_sample": "SELECT 50 AS same",
     "table_files": f"SELECT k AS id, CASE WHEN k % 3 = 0 THEN 0 ELSE k % 6 END AS ad_count, 'Lead ' || (k % 700) AS name, 7 AS likes FROM ({_K}) WHERE k % 3 > 0 UNION ALL SELECT -1, count(*) FILTER (k % 3 = 0), 'rejects', count(*) + count(*) FILTER (k % 2 = 0) FROM ({_K})",
     "table_templates": "SELECT 't' || n_nationkey AS id, 'First' AS name, NULL AS empty, 'Hello ' || n_name AS subject, 'Body' || chr(10) || 'line' AS body FROM nation",
+    "table_published": "SELECT c_custkey, c_nationkey, 'r3,r5' AS runs FROM customer WHERE c_custkey % 3 = 2",
     "table_newest": f"SELECT 'run' || lpad(CAST(k AS VARCHAR), 9, '0') AS run_id FROM ({_K}) ORDER BY 1 DESC LIMIT 5",
 }

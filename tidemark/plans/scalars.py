@@ -57,6 +57,15 @@ def html_sites(spark, d):
     return read(spark, d, "pages").select("page_id", F.array_join(H.contact_pages(h, T.url_domain(F.col("url"))), ",").alias("contact_pages"), F.array_join(H.technologies(h), ",").alias("technologies"), F.array_join(H.handles(h), ",").alias("handles"), F.array_join(F.map_keys(H.social_links(h)), ",").alias("platforms"), F.array_join(H.services(h), ",").alias("services"))
 
 
+def html_forms(spark, d):
+    """Pages as they are, and with forms of several kinds beside their text."""
+    k = F.col("page_id")
+    form = _pick(FORM_CELLS, k % len(FORM_CELLS))
+    h = F.concat(F.coalesce("html", F.lit("")), F.coalesce(form, F.lit("")))
+    return read(spark, d, "pages").select("page_id", H.generic_form(F.col("html")).alias("own"), H.generic_form(h).alias("generic"), H.lead_form(h).alias("lead"))
+
+
+FORM_CELLS = ['<FORM action="/Contact-us">', '<form id = "my-lead-1">', "<form class='x inquiry y'>", '<input type="email" size=3 placeholder="Your Email">', "<input class=x name='phone'>", '<form action="/search"><input name="q">', None, '<script src="https://x.typeform.com/a.js">']
 _SIGNATURES = ", ".join(f"CASE WHEN regexp_matches(h, '(?i){p}') THEN '{kind}:{name}' END" for kind, names in H.SIGNATURES.items() for name, p in names.items())
 _PLATFORMS = ", ".join(f"CASE WHEN regexp_matches(h, '(?i)href=[\"'']https?://(?:www\\.)?{host}/[^\"''\\s]+') THEN '{name}' END" for name, host in H.PLATFORMS.items())
 _VISIBLE = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '(?is)<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<style\\b.*?</style\\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
@@ -64,8 +73,11 @@ _SERVICES = ", ".join(f"CASE WHEN contains(lower({_VISIBLE}), '{x}') THEN '{x}'
 _H = "WITH p AS (SELECT page_id, coalesce(html, '') AS h, nullif(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.-]*://)?(?:www\\.)?([^/?#]*)', 1), '') AS host FROM pages)"
 _LINKS = "list_distinct(regexp_extract_all(h, '(?i)href=[\"'']([^\"''#\\s]+)', 1))"
 _FOLD = "strip_accents(lower(coalesce(text, '')))"
-QUERIES = {f.__name__: f for f in (text_fold, text_patterns, text_domains, text_names, text_lists, text_times, html_contacts, html_sites)}
+QUERIES = {f.__name__: f for f in (text_fold, text_patterns, text_domains, text_names, text_lists, text_times, html_contacts, html_sites, html_forms)}
+_FORM = lambda h: "(" + " OR ".join("regexp_matches(lower(%s), '%s')" % (h, p.replace("'", "''")) for p in H.FORMS) + ")"
+_PROVIDER = " OR ".join(f"regexp_matches(h, '(?i){p}')" for p in H.SIGNATURES["form"].values())
 SQL = {
+    "html_forms": f"WITH p AS (SELECT page_id, coalesce(html, '') AS own, coalesce(html, '') || coalesce({_sql_pick(FORM_CELLS, f'page_id % {len(FORM_CELLS)}')}, '') AS h FROM pages) SELECT page_id, {_FORM('own')} AS own, {_FORM('h')} AS generic, {_FORM('h')} OR {_PROVIDER} AS lead FROM p",
     "html_contacts": f"""{_H}, q AS (SELECT *, list_transform(regexp_extract_all({_VISIBLE}, '(?:\\+?1[\\s.-]?)?\\(?[0-9]{{3}}\\)?[\\s.-]?[0-9]{{3}}[\\s.-]?[0-9]{{4}}'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS d FROM p)
   SELECT page_id, array_to_string(list_sort(list_filter(list_distinct(list_transform(regexp_extract_all(h, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}'), lambda x: lower(x))), lambda e: NOT regexp_matches(e, '{"|".join(x.replace(".", "[.]") for x in H.NOT_ADDRESSES)}'))), ',') AS emails,
   array_to_string(list_sort(list_distinct(list_filter(list_transform(d, lambda x: CASE WHEN length(x) = 11 AND x[1] = '1' THEN x[2:] ELSE x END), lambda x: length(x) = 10))), ',') AS phones, trim(regexp_replace(regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, len({_LINKS}) AS n_links FROM q""",

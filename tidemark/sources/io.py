@@ -97,16 +97,56 @@ def not_done(rows: DataFrame, log: DataFrame, key: str, status: str = "sent") ->
     return rows.join(small(log.filter(F.col("status") == status).select(key).distinct()), key, "left_anti")
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system and path, so that runs may lie wherever Spark writes."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def save_version(df: DataFrame, path: str, run_id: str) -> None:
-    """Writes a run's rows beside those of other runs; a run that is repeated replaces its own."""
-    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    """Writes a run's rows beside those of other runs; a run that is repeated replaces its own. Spark's marker stands there once all is written."""
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/run_id={run_id}")
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    files, at = _files(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
+
+
+def finished_runs(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the runs that were written to their end, rising."""
+    runs = sorted(n.removeprefix("run_id=") for n in _names(spark, path) if n.startswith("run_id="))
+    return [r for r in runs if "_SUCCESS" in _names(spark, f"{path}/run_id={r}")]
+
+
+def publish(df: DataFrame, path: str, run_id: str, keep: int | None = None) -> None:
+    """Saves a run, then makes it the one that readers get, then, with `keep`, removes all but the newest runs.
+
+    A pointer is a new name with the next number, made in one step after the rows are there: a run that dies before is
+    never read. Of the runs that are published, `keep` stay, the last one among them; runs that died go.
+    """
+    spark = df.sparkSession
+    save_version(df, path, run_id)
+    pointers = sorted(_names(spark, f"{path}/_published"))
+    number = 1 + (int(pointers[-1].split("-")[0]) if pointers else 0)
+    files, at = _files(spark, f"{path}/_published/{number:09d}-{run_id}")
+    files.create(at, False).close()
+    if keep is None:
+        return
+    order = list(dict.fromkeys(p.split("-", 1)[1] for p in [*pointers, f"{number:09d}-{run_id}"][::-1]))
+    for name in _names(spark, path):
+        if name.startswith("run_id=") and name.removeprefix("run_id=") not in order[: max(1, keep)]:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    for p in pointers:
+        if p.split("-", 1)[1] not in order[: max(1, keep)]:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_published/{p}"), False)
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the run with the greatest run_id; only its files are read."""
-    runs = spark.read.option("basePath", path).parquet(f"{path}/run_id=*")
-    last = runs.select("run_id").distinct().agg(F.max(F.col("run_id").cast("string"))).first()[0]
-    return spark.read.parquet(f"{path}/run_id={last}")
+    """The rows of the run published last, or, where none was, of the finished run with the greatest run_id; only its files are read."""
+    done = finished_runs(spark, path)
+    published = [r for p in sorted(_names(spark, f"{path}/_published")) if (r := p.split("-", 1)[1]) in done]
+    return spark.read.parquet(f"{path}/run_id={(published or done)[-1]}")
 
 
 def save_batch(df: DataFrame, path: str, batch: int) -> None:
