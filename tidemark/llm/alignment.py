@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import bytes_of, entering, fresh_dir, small, small_batches, stored, texts_of
 
 #: Bytes of text whose distinct chunks are encoded together; bytes of chunks in one call.
-STRETCH, CALL = 2 << 20, 8 << 10
+STRETCH, CALL = 1 << 20, 8 << 10
 #: Most groups whose results are broadcast.
 BROADCAST_GROUPS = 400_000
 _SHIFT = 20
