@@ -29,6 +29,14 @@ def test_gate(spark, change, reason):
     assert ads.gate(page(spark, **change)).first().gate_reason == reason
 
 
+def test_pages_without_an_address_are_no_web_consults(spark):
+    ad = "ad_id long, page_id long, page_name string, page_category string, cta string, link_url string, platforms array<string>, start timestamp, end timestamp, active boolean, text string, title string, description string, images int, videos int, cards int, likes long, collation_id long"
+    row = lambda k, url: (k, k, "Plain Co", "", "LEARN_MORE", url, ["FACEBOOK"], dt.datetime(1998, 1, 1), None, True, "Free consultation. Do you qualify?", "", None, 0, 0, 0, 0, 1)
+    raw = spark.createDataFrame([row(1, None), row(2, "https://a.example/about"), row(3, "https://a.example/cart")], ad)
+    found = ads.clusters(ads.scores(ads.gate(ads.pages(ads.normalize(raw, "1998-09-01 00:00:00"), "1998-09-01 00:00:00", extended=True))))
+    assert {r.page_id: (r.gate_reason, r.behavioral_cluster) for r in found.collect()} == {1: ("NO_SIGNAL_DROP", "uncategorized"), 2: ("WEB_CONSULT", "web_consult"), 3: ("NO_SIGNAL_DROP", "uncategorized")}
+
+
 @pytest.mark.parametrize(("change", "column", "value"), [
     ({"active_ads": 100}, "money_ad_volume", 14), ({"active_ads": 5000}, "money_ad_volume", 14), ({"active_ads": 10}, "money_ad_volume", 7), ({"new_ads_30d": 10}, "money_velocity", 6), ({"page_like_count": 99_999}, "money_scale", 10), ({"always_on_share": 0.99}, "money_always_on", 14),
     ({"share_message": 1.0}, "urgency_direct", 25), ({"share_message": 0.2, "share_call": 0.1}, "urgency_direct", 10), ({"ad_texts_combined": "Call now! Today only, last chance"}, "urgency_immediacy", 8), ({"ad_texts_combined": "Llámanos"}, "urgency_immediacy", 0),
