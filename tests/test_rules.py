@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import categories as C
 from tidemark.functions import html as H
 from tidemark.functions import text as T
 from tidemark.operators import ads, graph, joins, master, outreach
@@ -150,3 +151,40 @@ def test_two_connectors_a_domain_are_enough(spark):
     for r in sorted(graph.by_company(edges, "me", targets).collect(), key=lambda r: (r.target, -r.n, r.connector)):
         best.setdefault(r.target, r.connector)
     assert best == {"p0@x.y": "p3@x.y", "p1@x.y": "p0@x.y", "p20@x.y": "p0@x.y"}
+
+
+def test_patterns_are_tried_only_where_their_words_occur(spark):
+    assert T.literals(r"\bsell(ing)?\s*(your|my)?\s*homes?\b") == [["home", "sell"]] and T.literals(r"a\.com|[xy]+z{2}|\$\d+") == [["a.com"], [], ["$"]]
+    plan = spark.createDataFrame([("x",)], "x string").select(C.first_matched(F.col("x"), {"a": [r"\bhome\b"]}))._jdf.queryExecution().toString()
+    assert "Contains" in plan or "contains" in plan
+
+
+@pytest.mark.parametrize("table", [C.INTENTS, C.TRADES, C.SECTORS])
+def test_words_of_patterns_lose_no_match(spark, table):
+    texts = ["Selling your HOUSE? A free home valuation", "Ready to \u017fell, \u212aitchen remodel", "L\u0130ST\u0131NG my home", "parent barrat", "", "HVAC and AC repair; bed bug", "real estate law firm PC", "\u00c9cole, m\u00e9dical"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "x string")
+    counts = lambda ps: sum((F.regexp_count("x", F.lit(C.FLAGS + p)) for p in ps), F.lit(0))
+    plain = df.select("x", *(counts(ps).alias(k) for k, ps in table.items())).collect()
+    found = {r.x: (r.c, r.f) for r in df.select("x", C.match_counts(F.col("x"), table).alias("c"), C.first_matched(F.col("x"), table).alias("f")).collect()}
+    for r in plain:
+        assert [c.n or 0 for c in found[r.x][0]] == [r[k] or 0 for k in table] and found[r.x][1] == next((k for k in table if r[k]), None)
+
+
+def test_a_snapshot_is_read_once(spark):
+    raw = spark.createDataFrame([(1, "{'body': 'it is', 'cards': ['x', 'y']}")], "ad_id long, snapshot string").select("*", *(F.lit(None).cast(k).alias(c) for c, k in {"page_id": "long", "page_name": "string", "page_category": "string", "cta_type": "string", "link_url": "string", "publisher_platform": "string", "start_date": "string", "end_date": "string", "is_active": "boolean", "page_like_count": "long", "collation_id": "int"}.items()))
+    out = ads.normalize(ads.from_snapshots(raw), "1998-09-01 00:00:00")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(StructField(cta_type") == 1
+    assert (out.first().text, out.first().has_carousel) == ("it is", True)
+
+
+@pytest.mark.parametrize("cell", ["{'a': 'it\\'s \"b\"', 'c': (1, None,)}", "{'a': 'None, True', 'b': [False,]}", '{"a": "x"}', "{broken"])
+def test_literals_as_json(spark, cell):
+    import ast
+    import json
+
+    got = json.loads(one(spark, cell, T.literal_object))
+    try:
+        want = json.loads(json.dumps(ast.literal_eval(cell)))
+    except SyntaxError:
+        want = {}
+    assert got == want
