@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let, may_match
+
 # Parts of addresses that belong to assets and samples, platforms' hosts, paths of contact pages, signatures.
 NOT_ADDRESSES = ["example.com", "sentry", "wixpress", ".png", ".jpg", ".jpeg", ".gif", ".svg", ".webp", "@2x", "@3x"]
 PLATFORMS = {"facebook": r"facebook\.com", "instagram": r"instagram\.com", "linkedin": r"linkedin\.com", "twitter": r"(?:twitter|x)\.com", "youtube": r"youtube\.com"}
@@ -85,9 +87,13 @@ def description(html: Column) -> Column:
 
 def technologies(html: Column) -> Column:
     """Sorted `category:name` of each signature in the page."""
-    t = F.coalesce(html, F.lit(""))
-    found = [F.when(t.rlike(f"(?i){p}"), F.lit(f"{kind}:{name}")) for kind, names in SIGNATURES.items() for name, p in names.items()]
-    return F.array_sort(F.array_compact(F.array(*found)))
+    def search(t: Column) -> Column:
+        def hits(low: Column) -> Column:
+            return F.array(*(F.when(may_match(low, p) & t.rlike(f"(?i){p}"), F.lit(f"{kind}:{name}")) for kind, names in SIGNATURES.items() for name, p in names.items()))
+
+        return let(F.lower(t), hits)
+
+    return F.array_sort(F.array_compact(let(F.coalesce(html, F.lit("")), search)))
 
 
 # Forms of contact that no provider is named in.
@@ -112,5 +118,4 @@ def lead_form(html: Column) -> Column:
 
 def services(html: Column) -> Column:
     """The services of SERVICES that a page's text names, in their order."""
-    t = F.lower(visible(html))
-    return F.array_compact(F.array(*(F.when(F.contains(t, F.lit(s)), F.lit(s)) for s in SERVICES)))
+    return F.array_compact(let(F.lower(visible(html)), lambda t: F.array(*(F.when(F.contains(t, F.lit(s)), F.lit(s)) for s in SERVICES))))
