@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from datetime import timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -137,8 +136,9 @@ class WarmUp(StatefulProcessor):
     """A prospect's state: phase and times of phases, who was followed when, posts liked and commented on with their times, errors, and retries that came due.
 
     Events (handle, kind, post, ts) may come in any order within the watermark: times are least ones, counts are of
-    distinct posts, so the state doesn't depend on the order. An error comes due again `wait` later by event time; a timer
-    tells when.
+    distinct posts, so the state doesn't depend on the order. An error comes due again `wait` later by event time. A batch
+    is added up before the state is asked: for its own posts, each once. Its errors' times are appended to a list, and a
+    single timer stands at the earliest; when it fires, all that have come due by then are counted.
     """
 
     def __init__(self, wait_ms: int):
@@ -146,45 +146,79 @@ class WarmUp(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        self.plan = handle.getValueState("plan", "phase int, started timestamp, moved timestamp, followed timestamp, errors int, retries int")
+        self.plan = handle.getValueState("plan", "phase int, started timestamp, moved timestamp, followed timestamp, likes long, comments long, errors int, retries int, timer long")
         self.liked = handle.getMapState("liked", "post string", "at timestamp")
         self.commented = handle.getMapState("commented", "post string", "at timestamp")
+        self.due = handle.getListState("due", "at array<long>")
 
     def _now(self):
-        return list(self.plan.get()) if self.plan.exists() else [0, None, None, None, 0, 0]
+        now = list(self.plan.get()) if self.plan.exists() else [0, None, None, None, 0, 0, 0, 0, None]
+        return [None if x is not None and pd.isna(x) else x for x in now]
 
     def _row(self, key, now):
-        phase, started, moved, followed, errors, retries = now
-        n = [sum(1 for _ in posts.keys()) for posts in (self.liked, self.commented)]
-        row = (*key, "in_progress" if phase else "pending", phase, started, moved, followed, *n, errors, retries)
+        row = (*key, "in_progress" if now[0] else "pending", *now[:-1])
         columns = [c.split()[0] for c in PLAN.split(", ")]
         frame = pd.DataFrame([row], columns=columns)
         return frame.astype({c: "datetime64[ns]" for c in ("started", "moved", "followed")})
 
+    @staticmethod
+    def _add(posts, found: dict) -> int:
+        """Keeps the least time of each post; how many are new."""
+        new = 0
+        for post, at in found.items():
+            before = posts.getValue((post,))[0] if posts.containsKey((post,)) else None
+            new += before is None
+            if before is None or at < before:
+                posts.updateValue((post,), (at,))
+        return new
+
+    def _wake(self, now, at: int):
+        """The only timer, at the earliest time that an error comes due."""
+        if now[8] is not None and now[8] <= at:
+            return
+        if now[8] is not None:
+            self.handle.deleteTimer(now[8])
+        self.handle.registerTimer(at)
+        now[8] = at
+
     def handleInputRows(self, key, rows, timerValues):
         now = self._now()
-        least = lambda a, b: b if a is None or pd.isna(a) else min(a, b)
+        least = lambda a, b: b if a is None else min(a, b)
+        posts: dict[str, dict] = {"like": {}, "comment": {}}
         for frame in rows:
-            for kind, post, at in zip(frame["kind"], frame["post"], (x.to_pydatetime() for x in frame["ts"])):
+            for kind, some in frame.groupby("kind"):
+                first, last = some["ts"].min().to_pydatetime(), some["ts"].max().to_pydatetime()
                 if kind == "advance":
-                    now[0] = min(PHASES, now[0] + 1)
-                    now[1] = least(now[1], at)
-                    now[2] = at if now[2] is None or pd.isna(now[2]) else max(now[2], at)
+                    now[0] = min(PHASES, now[0] + len(some))
+                    now[1] = least(now[1], first)
+                    now[2] = last if now[2] is None else max(now[2], last)
                 elif kind == "follow":
-                    now[3] = least(now[3], at)
-                elif kind in ("like", "comment"):
-                    posts = self.liked if kind == "like" else self.commented
-                    before = posts.getValue((post,))[0] if posts.containsKey((post,)) else None
-                    posts.updateValue((post,), (least(before, at),))
+                    now[3] = least(now[3], first)
+                elif kind in posts:
+                    for post, at in some.groupby("post", dropna=False)["ts"].min().items():
+                        post = None if pd.isna(post) else post
+                        posts[kind][post] = least(posts[kind].get(post), at.to_pydatetime())
                 elif kind == "error":
-                    now[4] += 1
-                    self.handle.registerTimer(int(at.replace(tzinfo=timezone.utc).timestamp() * 1000) + self.wait_ms)
-        self.plan.update(tuple(None if x is not None and pd.isna(x) else x for x in now))
+                    now[6] += len(some)
+                    times = (some["ts"].astype("datetime64[ms]").astype("int64") + self.wait_ms).unique().tolist()
+                    self.due.appendValue((times,))
+                    self._wake(now, min(times))
+        now[4] += self._add(self.liked, posts["like"])
+        now[5] += self._add(self.commented, posts["comment"])
+        self.plan.update(tuple(now))
         yield self._row(key, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = self._now()
-        now[5] += 1
+        now, fired = self._now(), expiredTimerInfo.getExpiryTimeInMs()
+        by = max(fired, timerValues.getCurrentWatermarkInMs() - 1)  # timers before the watermark fire
+        times = {t for chunk in self.due.get() for t in chunk[0]}
+        later = [t for t in times if t > by]
+        now[7] += len(times) - len(later)
+        now[8] = None
+        self.due.clear()
+        if later:
+            self.due.appendValue((later,))
+            self._wake(now, min(later))
         self.plan.update(tuple(now))
         yield self._row(key, now)
 
