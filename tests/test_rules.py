@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import categories as C
 from tidemark.functions import html as H
 from tidemark.functions import text as T
-from tidemark.operators import ads, graph, joins, master, outreach
+from tidemark.operators import ads, contacts, graph, joins, master, outreach
 from tidemark.streaming import jobs
 
 PAGE = "page_id long, page_name string, page_category string, ad_texts_combined string, dominant_cta string, dominant_dest string, link_urls string, distinct_ctas int, domains array<string>, share_message double, share_call double, share_form double, share_web double, active_ads long, always_on_share double, new_ads_30d long, page_like_count long"
@@ -188,3 +188,9 @@ def test_literals_as_json(spark, cell):
     except SyntaxError:
         want = {}
     assert got == want
+
+
+def test_scores_apart_either_way_count(spark):
+    people = spark.createDataFrame([("n", "c", None)], "name string, company string, country string")
+    rows = contacts.graph_status(people, spark.createDataFrame([(50, 20), (20, 50), (20, 0), (None, 90)], "v1 int, v2 int")).filter("label in ('apart', 'dropped')").collect()
+    assert {r.label: r.n for r in rows} == {"apart": 2, "dropped": 1}
