@@ -119,3 +119,32 @@ def test_sides_are_broadcast_by_rows_and_bytes(spark):
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"), F.array(F.lit(1)).alias("a"))
     assert hinted(joins.small(wide)) and not hinted(joins.small(wide, size=50_000)) and not hinted(joins.small(wide, limit=99)) and hinted(joins.small(wide.filter("false")))
+
+
+def test_a_large_account_lands_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(paged, "PART_BYTES", 2_000)
+    monkeypatch.setattr(paged, "SHARES", 4)
+    box, ids = f"file:{tmp_path}/box", [f"m{k}" for k in range(300)]
+    mails = _mails(spark, ids, "one")
+    paged.land_messages(mails, box, "account", 0)
+    parts = list((tmp_path / "box/one/00000000.parts").glob("*.json"))
+    assert len(parts) > 10 and max(p.stat().st_size for p in parts) < 2_500
+    (tmp_path / "box/one/00000001.parts").mkdir()  # a batch without a list isn't there yet
+    (tmp_path / "box/one/00000001.parts/000000-000000.json").write_text("[")
+    reader = paged.MailboxReader({"path": box}, mails.schema)
+    assert reader.latestOffset() == {"one": 1}
+    tasks = reader.partitions({}, {"one": 1})
+    assert len(tasks) == len(parts) and sorted(x for t in tasks for b in reader.read(t) for x in b.column("message_id").to_pylist()) == sorted(ids)
+
+
+def test_pages_of_a_large_key_are_dealt_in_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(paged, "RANGE_ROWS", 100)
+    path = f"file:{tmp_path}/pages"
+    rows = spark.range(2_345).select("id", F.when(F.col("id") % 9 == 0, "small").otherwise("large").alias("owner"), (F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 7)).alias("at"))
+    paged.land_pages(rows, path, "owner", "at", "id", rows=50)
+    for owner in ("large", "small"):
+        want = [r.id for r in rows.filter(F.col("owner") == owner).orderBy("at", "id").collect()]
+        pages = [json.loads(p.read_text()) for p in sorted((tmp_path / "pages" / owner).glob("*.json"))]
+        assert [r["id"] for p in pages for r in p["results"]] == want and {len(p["results"]) for p in pages[:-1]} == {50}
+        assert [p["paging"].get("next", {}).get("after") for p in pages] == [*map(str, range(1, len(pages))), None]
+    assert paged.pages(spark, path, rows.schema, "owner", "at").count() == 2_345

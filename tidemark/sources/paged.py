@@ -18,8 +18,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from .shared import cut
+
 #: Rows of a page, as the services give them.
 PAGE_ROWS = 100
+#: Rows of a range that a task sorts, bytes of a mailbox's part, and shares that an account is dealt to.
+RANGE_ROWS, PART_BYTES, SHARES = 1_000_000, 4_000_000, 32
 
 
 def _fs(uri: str):
@@ -61,13 +65,20 @@ def _cell(text: str, kind):
 def land_pages(df: DataFrame, path: str, key: str, at: str, order: str, rows: int = PAGE_ROWS) -> None:
     """df as a search service's pages in a folder: for each key, pages by `at` (then `order`), and `pages`, their list with the times they span.
 
-    Rows are dealt to pages within their key; of a key, however large, a task writes one page at a time.
+    All rows are sorted in ranges, and a row's place within its key comes of its place in its range and the counts of the
+    ranges before: of a key, however large, no task sorts more than a range, or holds more than some pages.
     """
-    place = F.row_number().over(Window.partitionBy(key).orderBy(at, order)) - 1
-    paged = df.withColumn("_page", F.floor(place / rows).cast("int"))
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
+    placed = df.repartitionByRange(n, key, at, order).sortWithinPartitions(key, at, order)
+    placed = cut(placed.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    of_key = Window.partitionBy("_key")
+    parts = placed.groupBy(F.col("_range").alias("_r"), F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    parts = parts.withColumns({"_before": F.sum("_n").over(of_key.orderBy("_r")) - F.col("_n"), "_last": F.floor((F.sum("_n").over(of_key) - 1) / rows).cast("int")}).drop("_n")
+    paged = placed.join(parts, (F.col("_range") == F.col("_r")) & F.col(key).eqNullSafe(F.col("_key")))
+    paged = paged.withColumn("_page", F.floor((F.col("_before") + F.col("_at") - F.col("_first")) / rows).cast("int")).repartition(n, key, "_page")
     cells = F.to_json(F.struct(*(F.col(c) for c in df.columns)))
-    page = paged.groupBy(key, "_page").agg(F.min(at).alias("low"), F.max(at).alias("high"), F.array_sort(F.collect_list(F.struct(F.col(at).alias("a"), F.col(order).alias("o"), cells.alias("row")))).alias("_rows"))
-    more = F.lead("_page").over(Window.partitionBy(key).orderBy("_page"))
+    page = paged.groupBy(key, "_page").agg(F.min(at).alias("low"), F.max(at).alias("high"), F.first("_last").alias("_last"), F.array_sort(F.collect_list(F.struct(F.col(at).alias("a"), F.col(order).alias("o"), cells.alias("row")))).alias("_rows"))
+    more = F.when(F.col("_page") < F.col("_last"), F.col("_page") + 1)
     results = F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda x: x["row"]), ","), F.lit("]"))
     paging = F.when(F.col("_more").isNull(), F.lit("{}")).otherwise(F.concat(F.lit('{"next":{"after":"'), F.col("_more"), F.lit('"}}')))
     page = page.withColumn("_more", more).select(F.col(key).cast("string").alias("key"), "_page", F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"), F.concat(F.lit('{"results":'), results, F.lit(',"paging":'), paging, F.lit("}")).alias("value"))
@@ -111,9 +122,9 @@ def pages(spark: SparkSession, path: str, schema, key: str, at: str, keys: list
 
 
 class _Messages(InputPartition):
-    def __init__(self, account: str, first: int, last: int):
-        super().__init__((account, first, last))
-        self.account, self.first, self.last = account, first, last
+    def __init__(self, account: str, file: str):
+        super().__init__((account, file))
+        self.account, self.file = account, file
 
 
 class MailboxReader(DataSourceStreamReader):
@@ -130,17 +141,18 @@ class MailboxReader(DataSourceStreamReader):
         files, base = _fs(self.path)
         offset: dict[str, int] = {}
         for x in files.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True)):
-            if x.is_file and x.path.endswith(".json"):
-                account, name = x.path.removeprefix(base).strip("/").split("/")
+            if x.is_file and x.path.endswith(".json") and len(names := x.path.removeprefix(base).strip("/").split("/")) == 2:
+                account, name = names
                 offset[account] = max(offset.get(account, 0), int(name.removesuffix(".json")) + 1)
         return offset
 
     def partitions(self, start, end):
-        return [_Messages(a, start.get(a, 0), n) for a, n in sorted(end.items()) if n > start.get(a, 0)]
+        """A task for each part of what has come: of a batch only its list is opened."""
+        lists = [(a, f"{a}/{k:08d}.json") for a, n in sorted(end.items()) for k in range(start.get(a, 0), n)]
+        return [_Messages(a, part) for a, name in lists for part in _load(f"{self.path}/{name}")["parts"]]
 
     def read(self, partition):
-        for k in range(partition.first, partition.last):
-            yield _batch([r | {"account": partition.account} for r in _load(f"{self.path}/{partition.account}/{k:08d}.json")], self.schema)
+        yield _batch([r | {"account": partition.account} for r in _load(f"{self.path}/{partition.file}")], self.schema)
 
     def commit(self, end):
         pass
@@ -163,18 +175,51 @@ def mailbox(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def land_messages(df: DataFrame, path: str, account: str, number: int) -> None:
-    """df's messages as batch `number` of each account's folder."""
+    """df's messages as batch `number` of each account's folder: parts of PART_BYTES or little more, and, once all are written, their list, which makes the batch be there.
+
+    An account, however large, is dealt to several tasks, and a task holds a few parts at a time.
+    """
     files, base = _fs(path)
     files.create_dir(base, recursive=True)
-    rows = df.groupBy(F.col(account).cast("string").alias("key")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*df.columns))), ","), F.lit("]")).alias("value"))
+    cells = F.to_json(F.struct(*df.columns))
+    rows = df.select(F.col(account).cast("string").alias("key"), cells.alias("row"))
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", F.pmod(F.xxhash64("row"), F.lit(SHARES)))
 
     def write(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
         out, to = _fs(path)
+        task, n, held = TaskContext.get().partitionId(), 0, {}
+
+        def flush(k: str) -> pa.RecordBatch:
+            nonlocal n
+            name = f"{k}/{number:08d}.parts/{task:06d}-{n:06d}.json"
+            n += 1
+            out.create_dir(f"{to}/{k}/{number:08d}.parts", recursive=True)
+            with out.open_output_stream(f"{to}/{name}") as f:
+                f.write(("[" + ",".join(held.pop(k)[0]) + "]").encode())
+            return pa.RecordBatch.from_arrays([pa.array([k]), pa.array([name])], ["key", "part"])
+
         for batch in batches:
-            for k, text in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist()):
-                out.create_dir(f"{to}/{k}", recursive=True)
+            for k, text in zip(batch.column("key").to_pylist(), batch.column("row").to_pylist()):
+                texts, size = held.get(k, ([], 0))
+                texts.append(text)
+                held[k] = (texts, size + len(text))
+                if held[k][1] >= PART_BYTES:
+                    yield flush(k)
+            while sum(size for _, size in held.values()) > 4 * PART_BYTES:
+                yield flush(max(held, key=lambda k: held[k][1]))
+        for k in list(held):
+            yield flush(k)
+
+    def lists(batches):
+        out, to = _fs(path)
+        for batch in batches:
+            for k, parts in zip(batch.column("key").to_pylist(), batch.column("parts").to_pylist()):
                 with out.open_output_stream(f"{to}/{k}/{number:08d}.json") as f:
-                    f.write(text.encode())
+                    f.write(json.dumps({"parts": parts}).encode())
             yield batch
 
-    rows.mapInArrow(write, "key string, value string").write.format("noop").mode("overwrite").save()
+    parts = rows.mapInArrow(write, "key string, part string").groupBy("key").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    parts.mapInArrow(lists, "key string, parts array<string>").write.format("noop").mode("overwrite").save()
