@@ -194,3 +194,10 @@ def test_scores_apart_either_way_count(spark):
     people = spark.createDataFrame([("n", "c", None)], "name string, company string, country string")
     rows = contacts.graph_status(people, spark.createDataFrame([(50, 20), (20, 50), (20, 0), (None, 90)], "v1 int, v2 int")).filter("label in ('apart', 'dropped')").collect()
     assert {r.label: r.n for r in rows} == {"apart": 2, "dropped": 1}
+
+
+@pytest.mark.parametrize("more", [0, T.FEW])
+def test_words_end_where_ascii_ends(spark, more):
+    patterns = [r"\bund\b"] + [rf"\bnot{k}\b" for k in range(more)]
+    df = spark.createDataFrame([("undße",), ("ßund",), ("und",), ("unde",), ("x und y",), (None,)], "x string").select(T.matches_any(F.col("x"), patterns).alias("m"), T.count_matching(F.col("x"), patterns).alias("n"))
+    assert [tuple(r) for r in df.collect()] == [(True, 1), (True, 1), (True, 1), (False, 0), (True, 1), (None, None)]
