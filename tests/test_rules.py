@@ -1,6 +1,7 @@
 """Rules on rows that hit them: the test tables lack their vocabulary."""
 
 import datetime as dt
+import json
 
 import pandas as pd
 import pytest
@@ -177,6 +178,13 @@ def test_a_snapshot_is_read_once(spark):
     assert (out.first().text, out.first().has_carousel) == ("it is", True)
 
 
+def test_texts_of_snapshots_stay_whole(spark):
+    cells = {"body": {"text": "b" * 7000 + " end"}, "title": "t" * 700 + " end", "link_description": "d" * 700 + " end"}
+    raw = spark.createDataFrame([(1, json.dumps(cells))], "ad_id long, snapshot string").select("*", *(F.lit(None).cast(k).alias(c) for c, k in {"page_id": "long", "page_name": "string", "page_category": "string", "cta_type": "string", "link_url": "string", "publisher_platform": "string", "start_date": "string", "end_date": "string", "is_active": "boolean", "page_like_count": "long", "collation_id": "int"}.items()))
+    row = ads.normalize(ads.from_snapshots(raw), "1998-09-01 00:00:00").first()
+    assert (row.text, row.title, row.description) == (cells["body"]["text"], cells["title"], cells["link_description"])
+
+
 @pytest.mark.parametrize("cell", ["{'a': 'it\\'s \"b\"', 'c': (1, None,)}", "{'a': 'None, True', 'b': [False,]}", '{"a": "x"}', "{broken"])
 def test_literals_as_json(spark, cell):
     import ast
