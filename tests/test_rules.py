@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pandas as pd
 import pytest
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import categories as C
 from tidemark.functions import html as H
+from tidemark.functions import patterns as P
 from tidemark.functions import text as T
 from tidemark.operators import ads, contacts, graph, joins, master, outreach
+from tidemark.plans import icp
 from tidemark.streaming import jobs
 
 PAGE = "page_id long, page_name string, page_category string, ad_texts_combined string, dominant_cta string, dominant_dest string, link_urls string, distinct_ctas int, domains array<string>, share_message double, share_call double, share_form double, share_web double, active_ads long, always_on_share double, new_ads_30d long, page_like_count long"
@@ -39,6 +42,43 @@ def test_pages_without_an_address_are_no_web_consults(spark):
     assert {r.page_id: (r.gate_reason, r.behavioral_cluster) for r in found.collect()} == {1: ("NO_SIGNAL_DROP", "uncategorized"), 2: ("WEB_CONSULT", "web_consult"), 3: ("NO_SIGNAL_DROP", "uncategorized")}
 
 
+AD = "ad_id long, page_id long, page_name string, page_category string, cta string, link_url string, platforms array<string>, start timestamp, end timestamp, active boolean, text string, title string, description string, images int, videos int, cards int, likes long, collation_id long"
+
+
+def gated_by_whole_texts(spark, texts):
+    """What the gate finds on a page of ads with these texts, titles and descriptions."""
+    rows = [(k, 1, "Plain Co", "", "LEARN_MORE", None, ["FACEBOOK"], dt.datetime(1998, 1, 1), None, True, *t, 0, 0, 0, 0, 1) for k, t in enumerate(texts)]
+    as_of = "1998-09-01 00:00:00"
+    found = ads.gate(ads.pages(ads.normalize(spark.createDataFrame(rows, AD).repartition(3), as_of), as_of, extended=True, whole=True)).first()
+    return found.has_followup, found.has_consult, found.has_qualification, found.price_count, found.gate_reason
+
+
+@pytest.mark.parametrize(("texts", "want"), [
+    ([("plain", "", None)] * 40 + [("We will call you", "", None)], (True, False, False, 0, "NO_SIGNAL_DROP")), ([("p" * 9000 + " te contactamos", "", None)], (True, True, True, 0, "NO_SIGNAL_DROP")), ([("plain", "p" * 900 + " Evaluación", "p" * 900 + " coupon")] * 30, (False, True, True, 1, "NO_SIGNAL_DROP")),
+    ([("", None, None), (None, "$20", "coupon"), ("$30", "50% off", "")], (False, False, False, 3, "TRANSACTIONAL_DROP")), ([("buy", "now", None), ("buy", "", "now"), ("now", "buy", "")], (False, False, False, 0, "NO_SIGNAL_DROP")),
+])
+def test_gate_reads_whole_texts_of_all_ads(spark, texts, want):
+    assert gated_by_whole_texts(spark, texts) == want
+
+
+def test_gate_patterns_match_within_one_text():
+    """Ads are searched one by one, so no pattern may match the bar that joins texts."""
+    for p in [*P.FOLLOW_UP, *P.CONSULT, *P.QUALIFICATION, *P.PRICES]:
+        assert not re.search(r"(?<!\\)\.|\[\^|\\[WSD]|\\\|", p)
+
+
+def orders(spark, path, rows):
+    """Orders of which the plans make ads: key and customer."""
+    spark.createDataFrame([(k, c, "O", 1.0, dt.datetime(1998, 1, 1), "1-URGENT") for k, c in rows], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def test_icp_gate_reads_texts_after_the_twentieth(spark, tmp_path):
+    path = orders(spark, tmp_path, [(4 * k + 1, 7) for k in range(24)] + [(99, 7)])  # the last one alone says 'te contactamos'
+    row = icp.icp_gate(spark, path).first()
+    assert (row.has_followup, row.has_consult, row.price_count) == (True, True, 0)
+
+
 @pytest.mark.parametrize(("change", "column", "value"), [
     ({"active_ads": 100}, "money_ad_volume", 14), ({"active_ads": 5000}, "money_ad_volume", 14), ({"active_ads": 10}, "money_ad_volume", 7), ({"new_ads_30d": 10}, "money_velocity", 6), ({"page_like_count": 99_999}, "money_scale", 10), ({"always_on_share": 0.99}, "money_always_on", 14),
     ({"share_message": 1.0}, "urgency_direct", 25), ({"share_message": 0.2, "share_call": 0.1}, "urgency_direct", 10), ({"ad_texts_combined": "Call now! Today only, last chance"}, "urgency_immediacy", 8), ({"ad_texts_combined": "Llámanos"}, "urgency_immediacy", 0),
