@@ -84,6 +84,43 @@ def test_icp_gate_frequencies_read_texts_after_the_twentieth(spark, tmp_path):
     assert [tuple(r) for r in icp.icp_gate_frequencies(spark, path).collect()] == [("MESSAGE", 1, 100.0)]
 
 
+def scored_by_whole_texts(spark, texts):
+    """The page of ads with these texts, titles and descriptions, scored and in its cluster."""
+    rows = [(k, 1, "Plain Co", "", "LEARN_MORE", None, ["FACEBOOK"], dt.datetime(1998, 1, 1), None, True, *t, 0, 0, 0, 0, 1) for k, t in enumerate(texts)]
+    as_of = "1998-09-01 00:00:00"
+    return ads.clusters(ads.scores(ads.gate(ads.pages(ads.normalize(spark.createDataFrame(rows, AD).repartition(3), as_of), as_of, extended=True, whole=True)))).first()
+
+
+TOLD = ["Evaluación: llámanos hoy. Call now?", "We will get back to you. Step 3, get started", "Speak with an advisor on insurance", "Our services: we offer a quote. Do you qualify?", "Check your credit score? Apply today"]
+
+
+@pytest.mark.parametrize("texts", [
+    [("plain", "", None)] * 30 + [(t, "", None) for t in TOLD], [("p" * 9000 + " " + t, "", None) for t in TOLD], [("", "p" * 900 + " " + t, t) for t in TOLD] * 9, [("\tplain", None, None), ("", "", ""), ("a | b\n\n", "c", "d ")], [(None, None, None)],
+])
+def test_scores_of_whole_texts_are_those_of_all_texts_joined(spark, texts):
+    joined = " | ".join(x for t in texts for x in t if x)
+    names = ["exp_questions", "exp_qualification", "exp_consult", "exp_followup", "exp_multistep", "imp_service_breadth", "imp_advisor", "imp_regulated", "urgency_immediacy", "urgency_qualification", "multi_funnel", "junk_risk"]
+    got, want = scored_by_whole_texts(spark, texts), ads.clusters(ads.scores(ads.gate(page(spark, ad_texts_combined=joined)))).first()
+    assert [got[n] for n in names] == [want[n] for n in names]
+
+
+def test_clusters_read_whole_texts_of_all_ads(spark):
+    row = scored_by_whole_texts(spark, [("plain", "", None)] * 30 + [(f"{w}: a text of its own, of over twenty characters", "", None) for w in ("movie", "trailer", "episode", "drama", "novel")])
+    assert row.junk_risk and row.multi_funnel
+    assert not scored_by_whole_texts(spark, [(f"the same text of over twenty characters | short {k}", "", None) for k in range(30)]).multi_funnel
+
+
+def test_patterns_of_scores_match_within_one_text():
+    for p in sum((*ads.ANY_OF.values(), *ads.HOW_MANY.values(), *ads.HOW_MANY_ACCENTED.values()), []):
+        assert not re.search(r"(?<!\\)\.|\[\^|\\[WSD]|\\\|", p)
+
+
+def test_icp_scores_read_texts_after_the_twentieth(spark, tmp_path):
+    path = orders(spark, tmp_path, [(12 * k, 3) for k in range(24)] + [(291, 3)])  # the last one alone says 'Do you qualify? Apply now and we will contact you'
+    row = icp.icp_scores(spark, path).first()
+    assert (row.urgency_immediacy, row.urgency_qualification, row.exp_questions, row.exp_qualification, row.exp_consult, row.exp_followup) == (2, 5, 1, 2, 2, 2)
+
+
 @pytest.mark.parametrize(("change", "column", "value"), [
     ({"active_ads": 100}, "money_ad_volume", 14), ({"active_ads": 5000}, "money_ad_volume", 14), ({"active_ads": 10}, "money_ad_volume", 7), ({"new_ads_30d": 10}, "money_velocity", 6), ({"page_like_count": 99_999}, "money_scale", 10), ({"always_on_share": 0.99}, "money_always_on", 14),
     ({"share_message": 1.0}, "urgency_direct", 25), ({"share_message": 0.2, "share_call": 0.1}, "urgency_direct", 10), ({"ad_texts_combined": "Call now! Today only, last chance"}, "urgency_immediacy", 8), ({"ad_texts_combined": "Llámanos"}, "urgency_immediacy", 0),
