@@ -121,6 +121,11 @@ def test_icp_scores_read_texts_after_the_twentieth(spark, tmp_path):
     assert (row.urgency_immediacy, row.urgency_qualification, row.exp_questions, row.exp_qualification, row.exp_consult, row.exp_followup) == (2, 5, 1, 2, 2, 2)
 
 
+def test_icp_top_per_cluster_reads_texts_after_the_twentieth(spark, tmp_path):
+    path = orders(spark, tmp_path, [(12 * k, 3) for k in range(24)] + [(291, 3)])  # a shop's page, but for the last one: 'Do you qualify?'
+    assert [tuple(r) for r in icp.icp_top_per_cluster(spark, path).collect()] == [("message_first", 3, 1)]
+
+
 @pytest.mark.parametrize(("change", "column", "value"), [
     ({"active_ads": 100}, "money_ad_volume", 14), ({"active_ads": 5000}, "money_ad_volume", 14), ({"active_ads": 10}, "money_ad_volume", 7), ({"new_ads_30d": 10}, "money_velocity", 6), ({"page_like_count": 99_999}, "money_scale", 10), ({"always_on_share": 0.99}, "money_always_on", 14),
     ({"share_message": 1.0}, "urgency_direct", 25), ({"share_message": 0.2, "share_call": 0.1}, "urgency_direct", 10), ({"ad_texts_combined": "Call now! Today only, last chance"}, "urgency_immediacy", 8), ({"ad_texts_combined": "Llámanos"}, "urgency_immediacy", 0),
